@@ -354,3 +354,201 @@ GROUP BY w.warehouse_name, p.product_name""",
         "dim_product",
     ),
 }
+
+
+# --------------------------------------------------------------------------
+# checks: (check_name, observed, expected) -> + passed
+def chk(body: str) -> str:
+    return (
+        "SELECT check_name, CAST(observed AS BIGINT) AS observed, CAST(expected AS BIGINT) AS expected,\n"
+        "       CASE WHEN expected IS NULL THEN observed > 0 ELSE coalesce(observed = expected, false) END AS passed\n"
+        f"FROM (\n{body}\n)"
+    )
+
+
+def row(name: str, observed: str, expected: str = "0") -> str:
+    return f"SELECT '{name}' AS check_name, ({observed}) AS observed, {expected} AS expected"
+
+
+def union(*rows: str) -> str:
+    return "\nUNION ALL\n".join(rows)
+
+
+def dup_keys(table: str, key: str) -> str:
+    return f"SELECT count(*) FROM (SELECT {key} FROM {table} GROUP BY {key} HAVING count(*) > 1)"
+
+
+def orphans(fact: str, fk: str, dim: str, dk: str) -> str:
+    return f"SELECT count(*) FROM {fact} f WHERE NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{dk} = f.{fk})"
+
+
+CORE = [
+    ("silver.customers_history", "history"),
+    ("silver.products_clean", "products_clean"),
+    ("silver.warehouses_clean", "warehouses_clean"),
+    ("silver.orders_clean", "orders_clean"),
+    ("silver.order_items_clean", "items_clean"),
+    ("silver.inventory_events_clean", "events_clean"),
+    ("gold.dim_customer", "history"),
+    ("gold.dim_product", "dim_product"),
+    ("gold.dim_warehouse", "dim_warehouse"),
+    ("gold.dim_date", "dim_date"),
+    ("gold.fct_sales", "fct_sales"),
+    ("gold.fct_inventory_movements", "fct_inv"),
+]
+
+cte(
+    "chk_grain",
+    chk(union(
+        *[row(f"{n} is not empty", f"SELECT count(*) FROM {t}", "NULL") for n, t in CORE],
+        row("fct_sales preserves order-line grain", "SELECT count(*) FROM fct_sales", "(SELECT count(*) FROM items_clean)"),
+        row("no fct_sales order_item_id is duplicated", dup_keys("fct_sales", "order_item_id")),
+        row("fct_inventory_movements preserves event grain", "SELECT count(*) FROM fct_inv", "(SELECT count(*) FROM events_clean)"),
+        row("no fct_inventory_movements event_id is duplicated", dup_keys("fct_inv", "event_id")),
+        row("fct_sales rows all resolve a customer version", "SELECT count(*) FROM fct_sales WHERE customer_sk IS NULL"),
+    )),
+    ["history", "products_clean", "warehouses_clean", "orders_clean", "items_clean", "events_clean",
+     "dim_product", "dim_warehouse", "dim_date", "fct_sales", "fct_inv"],
+)
+cte(
+    "chk_keys",
+    chk(union(
+        row("dim_customer.customer_sk is unique", "SELECT count(DISTINCT customer_sk) FROM history", "(SELECT count(*) FROM history)"),
+        row("dim_product.product_sk is unique", "SELECT count(DISTINCT product_sk) FROM dim_product", "(SELECT count(*) FROM dim_product)"),
+        row("dim_warehouse.warehouse_sk is unique", "SELECT count(DISTINCT warehouse_sk) FROM dim_warehouse", "(SELECT count(*) FROM dim_warehouse)"),
+        row("dim_date.date_key is unique", "SELECT count(DISTINCT date_key) FROM dim_date", "(SELECT count(*) FROM dim_date)"),
+    )),
+    ["history", "dim_product", "dim_warehouse", "dim_date"],
+)
+_PER_KEY = "SELECT customer_id, count(*) FILTER (WHERE is_current) AS c FROM history GROUP BY customer_id"
+cte(
+    "chk_history",
+    chk(union(
+        row("customers_history: each key has exactly one current version", f"SELECT count(*) FROM ({_PER_KEY}) WHERE c <> 1 AND c > 0"),
+        row("customers_history: no key is missing a current version", f"SELECT count(*) FROM ({_PER_KEY}) WHERE c = 0"),
+        row(
+            "customers_history: validity windows do not overlap",
+            """SELECT count(*) FROM (
+  SELECT effective_start_timestamp AS s,
+         max(effective_end_timestamp) OVER (PARTITION BY customer_id
+             ORDER BY effective_start_timestamp, effective_end_timestamp, customer_sk
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm
+  FROM history) WHERE pm > s""",
+        ),
+        row(
+            "customers_history: validity windows have no gaps",
+            """SELECT count(*) FROM (
+  SELECT effective_end_timestamp AS e,
+         lead(effective_start_timestamp) OVER (PARTITION BY customer_id ORDER BY effective_start_timestamp) AS ns
+  FROM history) WHERE ns IS NOT NULL AND ns <> e""",
+        ),
+        row("customers_history: every window starts before it ends",
+            "SELECT count(*) FROM history WHERE NOT (effective_start_timestamp < effective_end_timestamp)"),
+    )),
+    ["history"],
+)
+cte(
+    "chk_fk",
+    chk(union(
+        row("fct_sales.product_sk resolves to dim_product", orphans("fct_sales", "product_sk", "dim_product", "product_sk")),
+        row("fct_sales.warehouse_sk resolves to dim_warehouse", orphans("fct_sales", "warehouse_sk", "dim_warehouse", "warehouse_sk")),
+        row("fct_sales.date_key resolves to dim_date", orphans("fct_sales", "date_key", "dim_date", "date_key")),
+        row("fct_inventory_movements.warehouse_sk resolves to dim_warehouse", orphans("fct_inv", "warehouse_sk", "dim_warehouse", "warehouse_sk")),
+        row("fct_inventory_movements.product_sk resolves to dim_product", orphans("fct_inv", "product_sk", "dim_product", "product_sk")),
+        row("fct_inventory_movements.date_key resolves to dim_date", orphans("fct_inv", "date_key", "dim_date", "date_key")),
+    )),
+    ["fct_sales", "fct_inv", "dim_product", "dim_warehouse", "dim_date"],
+)
+cte(
+    "chk_rules",
+    chk(union(
+        row("fct_sales quantities are positive", "SELECT count(*) FROM fct_sales WHERE quantity <= 0"),
+        row("fct_sales prices and amounts are non-negative",
+            "SELECT count(*) FROM fct_sales WHERE unit_price < 0 OR line_amount < 0"),
+        row("fct_sales line_amount equals quantity * unit_price",
+            "SELECT count(*) FROM fct_sales WHERE abs(CAST(line_amount AS DECIMAL(38,6)) - "
+            "round(CAST(quantity AS DECIMAL(12,0)) * CAST(unit_price AS DECIMAL(20,6)), 2)) > 0.01"),
+        row("inventory movement signs follow their event type",
+            "SELECT count(*) FROM fct_inv WHERE (event_type = 'INBOUND' AND quantity_change <= 0) "
+            "OR (event_type = 'OUTBOUND' AND quantity_change >= 0)"),
+    )),
+    ["fct_sales", "fct_inv"],
+)
+cte(
+    "chk_expect",
+    chk(union(
+        row(
+            "superseded versions retain NULL email",
+            """SELECT count(*) FROM (
+  SELECT is_current, email, lead(email) OVER (PARTITION BY customer_id ORDER BY effective_start_timestamp) AS ne
+  FROM history) WHERE NOT is_current AND email IS NULL AND ne IS NOT NULL""",
+            "NULL",
+        ),
+        row(
+            "lines resolve to the version in effect at order time",
+            """SELECT count(*) FROM fct_sales f
+  JOIN history c ON f.customer_sk = c.customer_sk
+  JOIN (SELECT customer_id AS ck, effective_start_timestamp AS cur_start FROM history WHERE is_current) cur
+    ON c.customer_id = cur.ck
+  WHERE c.is_current <> (f.order_timestamp >= cur.cur_start)""",
+        ),
+        row(
+            "quarantined order items never reached Silver",
+            "SELECT count(*) FROM items_clean WHERE order_item_id IN (SELECT order_item_id FROM items_bad)",
+        ),
+        row("duplicated order items collapsed to a single row", dup_keys("items_clean", "order_item_id")),
+        row("raw order items contain duplicated keys", dup_keys("items_typed", "order_item_id"), "NULL"),
+    )),
+    ["history", "fct_sales", "items_clean", "items_bad", "items_typed"],
+)
+cte(
+    "chk_all",
+    "SELECT * FROM chk_grain UNION ALL SELECT * FROM chk_keys UNION ALL SELECT * FROM chk_history "
+    "UNION ALL SELECT * FROM chk_fk UNION ALL SELECT * FROM chk_rules UNION ALL SELECT * FROM chk_expect",
+    ["chk_grain", "chk_keys", "chk_history", "chk_fk", "chk_rules", "chk_expect"],
+)
+
+STABLE = [
+    ("silver.customers_history", "history"),
+    ("silver.order_items_clean", "items_clean"),
+    ("gold.fct_sales", "fct_sales"),
+    ("gold.fct_inventory_movements", "fct_inv"),
+]
+
+ORACLE.update(
+    {
+        "check_grain": sql("SELECT * FROM chk_grain", "chk_grain"),
+        "check_key_uniqueness": sql("SELECT * FROM chk_keys", "chk_keys"),
+        "check_single_current": sql("SELECT * FROM chk_history WHERE check_name LIKE '%current version%'", "chk_history"),
+        "check_overlaps": sql("SELECT * FROM chk_history WHERE check_name LIKE '%overlap%'", "chk_history"),
+        "check_gaps": sql(
+            "SELECT * FROM chk_history WHERE check_name LIKE '%gaps%' OR check_name LIKE '%starts before%'",
+            "chk_history",
+        ),
+        "check_foreign_keys": sql("SELECT * FROM chk_fk", "chk_fk"),
+        "check_business_rules": sql("SELECT * FROM chk_rules", "chk_rules"),
+        "check_expectations": sql("SELECT * FROM chk_expect", "chk_expect"),
+        "check_suite_summary": sql(
+            "SELECT count(*) AS total, count(*) FILTER (WHERE passed) AS passed, "
+            "count(*) FILTER (WHERE NOT passed) AS failed FROM chk_all",
+            "chk_all",
+        ),
+        "check_run_stability": sql(
+            chk(union(*[row(f"{n} row count is stable across reruns", f"SELECT count(*) FROM {t}",
+                            f"(SELECT count(*) FROM {t})") for n, t in STABLE])),
+            *[t for _, t in STABLE],
+        ),
+        "naive_fanout": sql(
+            """SELECT count(DISTINCT l.order_item_id) AS grain_rows, count(*) AS naive_rows,
+       (SELECT count(*) FROM (
+          SELECT l2.order_item_id FROM items_clean l2 JOIN orders_clean o2 ON l2.order_id = o2.order_id
+          JOIN history h2 ON o2.customer_id = h2.customer_id
+          GROUP BY l2.order_item_id HAVING count(*) > 1)) AS fanned_out_lines
+FROM items_clean l JOIN orders_clean o ON l.order_id = o.order_id
+LEFT JOIN history h ON o.customer_id = h.customer_id""",
+            "items_clean",
+            "orders_clean",
+            "history",
+        ),
+    }
+)

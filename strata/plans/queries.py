@@ -136,3 +136,76 @@ def q_sales_by_customer_version(spark, sf):
 def q_net_stock_movement(spark, sf):
     lay = Layers(spark, sf)
     return star.net_stock_movement(lay.fct_inventory_movements, lay.dim_warehouse, lay.dim_product)
+
+
+def raw_items_typed(lay: Layers) -> DataFrame:
+    """Order lines typed but not deduplicated (the raw side of Q18)."""
+    from strata.operators.clean import standardise
+    from strata.plans.layers import items_spec
+
+    return standardise(lay.raw("order_items"), items_spec())
+
+
+@query("naive_fanout")
+def q_naive_fanout(spark, sf):
+    """J10 negative control: what a key-only customer join would do.
+
+    The fan-out is measured without materialising line x version pairs: each
+    line is joined to its customer's version count (one row per customer).
+    """
+    lay = Layers(spark, sf)
+    lines = lay.silver("order_items").select("order_item_id", "order_id").join(
+        lay.silver("orders").select("order_id", "customer_id"), "order_id"
+    )
+    counts = lay.dim_customer.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_versions"))
+    return lines.join(counts, "customer_id", "left").agg(
+        F.count(F.lit(1)).alias("grain_rows"),
+        F.sum(F.coalesce(F.col("_versions"), F.lit(1))).alias("naive_rows"),
+        F.count_if(F.col("_versions") > 1).alias("fanned_out_lines"),
+    )
+
+
+def _suite(part: str) -> Query:
+    def run(spark, sf):
+        from strata.plans import suite
+
+        return getattr(suite, part)(Layers(spark, sf))
+
+    return run
+
+
+REGISTRY["check_key_uniqueness"] = _suite("key_uniqueness")
+REGISTRY["check_single_current"] = _suite("single_current")
+REGISTRY["check_overlaps"] = _suite("overlaps")
+REGISTRY["check_gaps"] = _suite("gaps")
+REGISTRY["check_foreign_keys"] = _suite("foreign_keys")
+REGISTRY["check_business_rules"] = _suite("business_rules")
+REGISTRY["check_grain"] = _suite("grain")
+REGISTRY["check_expectations"] = _suite("expectations")
+
+
+@query("check_suite_summary")
+def q_check_suite_summary(spark, sf):
+    """Q19: passed / failed over the whole suite (the gate's input)."""
+    from strata.operators import quality as Q
+    from strata.plans import suite
+
+    return Q.summary(suite.full_suite(Layers(spark, sf)))
+
+
+@query("check_run_stability")
+def q_check_run_stability(spark, sf):
+    """Two runs append their counts to a run log in the shared
+    checkpoint folder; the second run is compared with the first."""
+    from strata.operators import quality as Q
+    from strata.plans import suite
+    from strata.session import scratch_path
+    from strata.sources import sinks
+
+    lay = Layers(spark, sf)
+    log_path = scratch_path(spark, "run_log")
+    tables = suite.stability_tables(lay)
+    first = Q.current_counts(spark, tables, F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    sinks.append_run_log(first, log_path)
+    second = Q.current_counts(spark, tables, F.lit("2024-01-02 00:00:00").cast("timestamp"))
+    return Q.run_stability(spark.read.parquet(log_path), second)
