@@ -552,3 +552,87 @@ LEFT JOIN history h ON o.customer_id = h.customer_id""",
         ),
     }
 )
+
+
+# --------------------------------------------------------------------------
+# Bronze and ingestion
+def _values(rows) -> str:
+    def lit(v):
+        if v is None:
+            return "NULL"
+        if isinstance(v, bool):
+            return "true" if v else "false"
+        return "'" + str(v).replace("'", "''") + "'"
+
+    return ",\n".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+
+
+def _seed_cte(name: str, rows) -> None:
+    cte(
+        name,
+        "SELECT entity_name, source_schema, source_table, load_type, CAST(watermark_column AS VARCHAR) AS watermark_column, "
+        "target_path, file_format, is_active FROM (VALUES\n" + _values(rows) + "\n) AS t(entity_name, source_schema, "
+        "source_table, load_type, watermark_column, target_path, file_format, is_active)",
+    )
+
+
+def _register_ingest():
+    from strata.operators.ingest import DEFAULT_SEED
+    from strata.plans.queries import RESEED, RUN_TS, SLICE_LAST_WATERMARK
+
+    _seed_cte("seed", DEFAULT_SEED)
+    _seed_cte("reseed", RESEED)
+    cte(
+        "highs",
+        """SELECT 'orders' AS e, CAST(max(o_orderdate) AS TIMESTAMP) AS h, true AS ok FROM orders
+UNION ALL SELECT 'order_items', CAST(max(l_shipdate) AS TIMESTAMP), true FROM lineitem
+UNION ALL SELECT 'inventory_events', CAST(max(ts) AS TIMESTAMP), false FROM events""",
+    )
+    cte(
+        "advanced",
+        f"""SELECT s.*,
+       CASE WHEN coalesce(h.ok, false) AND h.h IS NOT NULL THEN h.h ELSE CAST(NULL AS TIMESTAMP) END AS last_watermark_value,
+       CASE WHEN coalesce(h.ok, false) AND h.h IS NOT NULL THEN TIMESTAMP '{RUN_TS}' ELSE CAST(NULL AS TIMESTAMP) END AS last_successful_load
+FROM seed s LEFT JOIN highs h ON s.entity_name = h.e""",
+        ["seed", "highs"],
+    )
+    ORACLE.update(
+        {
+            "bronze_batches": """SELECT 'customers' AS entity, CAST(year(o_orderdate) AS VARCHAR) AS batch_id, count(*) AS n FROM orders GROUP BY 2
+UNION ALL SELECT 'orders', CAST(year(o_orderdate) AS VARCHAR), count(*) FROM orders GROUP BY 2
+UNION ALL SELECT 'order_items', CAST(year(l_shipdate) AS VARCHAR), count(*) FROM lineitem GROUP BY 2
+UNION ALL SELECT 'inventory_events', strftime(ts, '%Y-%m-%d'), count(*) FROM events GROUP BY 2
+UNION ALL SELECT 'products', 'snapshot', count(*) FROM part
+UNION ALL SELECT 'warehouses', 'snapshot', count(*) FROM supplier""",
+            "bronze_merged_schema": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CASE WHEN year(o_orderdate) >= 1998 THEN o_orderpriority END AS o_orderpriority,
+       make_date(year(o_orderdate), 1, 1) AS load_date,
+       'load_date=' || strftime(make_date(year(o_orderdate), 1, 1), '%Y-%m-%d') AS batch_id
+FROM orders""",
+            "bronze_latest_snapshot": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CASE WHEN year(o_orderdate) >= 1998 THEN o_orderpriority END AS o_orderpriority,
+       make_date(year(o_orderdate), 1, 1) AS load_date,
+       'load_date=' || strftime(make_date(year(o_orderdate), 1, 1), '%Y-%m-%d') AS batch_id
+FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)""",
+            "ingest_slice": f"""SELECT * FROM orders
+WHERE o_orderdate > TIMESTAMP '{SLICE_LAST_WATERMARK}' AND o_orderdate <= (SELECT max(o_orderdate) FROM orders)""",
+            "ingest_advance_watermark": sql("SELECT * FROM advanced", "advanced"),
+            "ingest_upsert_control": sql(
+                """SELECT coalesce(s.entity_name, e.entity_name) AS entity_name,
+       CASE WHEN s.entity_name IS NOT NULL THEN s.source_schema ELSE e.source_schema END AS source_schema,
+       CASE WHEN s.entity_name IS NOT NULL THEN s.source_table ELSE e.source_table END AS source_table,
+       CASE WHEN s.entity_name IS NOT NULL THEN s.load_type ELSE e.load_type END AS load_type,
+       CASE WHEN s.entity_name IS NOT NULL THEN s.watermark_column ELSE e.watermark_column END AS watermark_column,
+       CASE WHEN s.entity_name IS NOT NULL THEN s.target_path ELSE e.target_path END AS target_path,
+       e.last_watermark_value
+FROM advanced e FULL OUTER JOIN reseed s ON e.entity_name = s.entity_name
+WHERE CASE WHEN s.entity_name IS NOT NULL THEN s.is_active ELSE e.is_active END""",
+                "advanced",
+                "reseed",
+            ),
+            "history_apply_batch": sql("SELECT * FROM history", "history"),
+        }
+    )
+
+
+_register_ingest()

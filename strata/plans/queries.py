@@ -209,3 +209,114 @@ def q_check_run_stability(spark, sf):
     sinks.append_run_log(first, log_path)
     second = Q.current_counts(spark, tables, F.lit("2024-01-02 00:00:00").cast("timestamp"))
     return Q.run_stability(spark.read.parquet(log_path), second)
+
+
+# --------------------------------------------------------------------------
+# Bronze and ingestion
+@query("bronze_batches")
+def q_bronze_batches(spark, sf):
+    """Land every raw entity as CSV batches, read each entity
+    back in one scan with audit columns, and count rows per entity and batch."""
+    from strata.operators.quality import union_all
+    from strata.plans.landing import bronze_frames, land_csv_entities
+
+    root, columns = land_csv_entities(spark, sf)
+    frames = bronze_frames(spark, root, columns)
+    return union_all(
+        [df.select(F.lit(e).alias("entity"), "batch_id") for e, df in frames.items()]
+    ).groupBy("entity", "batch_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("bronze_merged_schema")
+def q_bronze_merged_schema(spark, sf):
+    """All load-date partitions of orders, merged by column name."""
+    from strata.plans.landing import land_orders_by_year
+    from strata.sources.files import read_partitions
+
+    root = land_orders_by_year(spark, sf)
+    return read_partitions(spark, root).drop("source_file")
+
+
+@query("bronze_latest_snapshot")
+def q_bronze_latest_snapshot(spark, sf):
+    """Only the greatest load-date partition."""
+    from strata.plans.landing import land_orders_by_year
+    from strata.sources.files import read_latest_snapshot
+
+    root = land_orders_by_year(spark, sf)
+    return read_latest_snapshot(spark, root).drop("source_file")
+
+
+# The previous run's mark for the incremental slice (a run parameter).
+SLICE_LAST_WATERMARK = "1998-06-30 00:00:00"
+RUN_TS = "2024-03-01 00:00:00"
+
+
+@query("ingest_slice")
+def q_ingest_slice(spark, sf):
+    """Orders in (previous mark, current high]."""
+    from strata.operators.ingest import high_watermark, incremental_slice
+    from strata.plans.standins import table
+
+    orders = table(spark, sf, "orders")
+    high = high_watermark(orders, "o_orderdate").scalar()
+    return incremental_slice(orders, "o_orderdate", SLICE_LAST_WATERMARK, high)
+
+
+def advanced_control(spark, sf, failed: tuple[str, ...] = ("inventory_events",)) -> DataFrame:
+    """Seed -> highs of the incremental sources -> advance (one copy failed)."""
+    from strata.operators.ingest import DEFAULT_SEED, advance_watermark, high_watermark, seed_frame
+    from strata.operators.quality import union_all
+    from strata.plans.standins import table
+
+    highs = union_all(
+        [
+            high_watermark(table(spark, sf, src), wm).select(
+                F.lit(entity).alias("entity_name"),
+                "high_watermark",
+                F.lit(entity not in failed).alias("copy_succeeded"),
+            )
+            for entity, _, src, load, wm, *_ in DEFAULT_SEED
+            if load == "incremental"
+        ]
+    )
+    return advance_watermark(seed_frame(spark), highs, RUN_TS)
+
+
+@query("ingest_advance_watermark")
+def q_ingest_advance_watermark(spark, sf):
+    """Marks move only for successful incremental copies."""
+    return advanced_control(spark, sf)
+
+
+# A re-seed: new target paths, one entity switched off, one entity added.
+RESEED = [
+    ("customers", "tpch", "customer", "full", None, "lake/customers", "parquet", True),
+    ("products", "tpch", "part", "full", None, "lake/products", "parquet", True),
+    ("warehouses", "tpch", "supplier", "full", None, "lake/warehouses", "parquet", False),
+    ("orders", "tpch", "orders", "incremental", "o_orderdate", "lake/orders", "parquet", True),
+    ("order_items", "tpch", "lineitem", "incremental", "l_shipdate", "lake/order_items", "parquet", True),
+    ("inventory_events", "tpch", "events", "incremental", "ts", "lake/inventory_events", "parquet", True),
+    ("regions", "tpch", "region", "full", None, "lake/regions", "parquet", True),
+]
+
+
+@query("ingest_upsert_control")
+def q_ingest_upsert_control(spark, sf):
+    """I8 then I1: re-seeding keeps progress; the copy reads active rows."""
+    from strata.operators.ingest import active_entities, seed_frame, upsert_control
+
+    return active_entities(upsert_control(advanced_control(spark, sf), seed_frame(spark, RESEED)))
+
+
+@query("history_apply_batch")
+def q_history_apply_batch(spark, sf):
+    """H7: history of all but the last batch, then the last batch applied
+    incrementally; equals the full rebuild."""
+    from strata.operators import history as H
+
+    feed = Layers(spark, sf).silver("customers")
+    order = H.order_batches(feed, "batch_id", "updated_at")
+    last = order.select(F.max_by("batch_id", F.struct(H.BATCH_TS, "batch_id"))).scalar()
+    before = H.build_history(feed.where(F.col("batch_id") != last))
+    return H.apply_batch(before, feed.where(F.col("batch_id") == last).drop(H.BATCH_TS))

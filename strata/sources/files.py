@@ -120,3 +120,22 @@ def add_bronze_audit(
     cols["ingestion_timestamp"] = ingestion_ts if ingestion_ts is not None else F.current_timestamp()
     cols["source_system"] = F.lit(source_system)
     return df.withColumns(cols)
+
+
+def read_csv_partitioned(
+    spark: SparkSession,
+    root: str,
+    columns: list[str],
+    batch_col: str = "batch_id",
+) -> DataFrame:
+    """S1 variant for a ``<root>/<batch_col>=<batch>/*.csv`` landing: one read,
+    batch from partition discovery (kept as a string by the explicit schema)."""
+    schema = all_string_schema(columns + [batch_col])
+    df = (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
+        .csv(root)
+    )
+    return df.select(*columns, batch_col, F.col(FILE_PATH).alias("source_file"))
