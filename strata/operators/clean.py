@@ -91,6 +91,9 @@ def total_order(
         tie_break = [
             c for c in df.columns if c not in keys and c != order_col and c in orderable
         ]
+        # A later batch wins a tie on the order column (trap T1).
+        if "batch_id" in tie_break:
+            tie_break = ["batch_id"] + [c for c in tie_break if c != "batch_id"]
     order = [F.col(order_col).desc_nulls_last()] if order_col else []
     return order + [F.col(c).desc_nulls_last() for c in tie_break]
 

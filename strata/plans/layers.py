@@ -51,6 +51,10 @@ class Layers:
                 self._split[entity] = C.clean(self.raw(entity), specs()[entity])
         return self._split[entity]
 
+    def raw_items_typed(self) -> DataFrame:
+        """Order lines typed but not deduplicated (the raw side of Q18)."""
+        return C.standardise(self.raw("order_items"), items_spec())
+
     def silver(self, entity: str) -> DataFrame:
         return self.split(entity)[0]
 

@@ -138,14 +138,6 @@ def q_net_stock_movement(spark, sf):
     return star.net_stock_movement(lay.fct_inventory_movements, lay.dim_warehouse, lay.dim_product)
 
 
-def raw_items_typed(lay: Layers) -> DataFrame:
-    """Order lines typed but not deduplicated (the raw side of Q18)."""
-    from strata.operators.clean import standardise
-    from strata.plans.layers import items_spec
-
-    return standardise(lay.raw("order_items"), items_spec())
-
-
 @query("naive_fanout")
 def q_naive_fanout(spark, sf):
     """J10 negative control: what a key-only customer join would do.

@@ -102,16 +102,16 @@ def grain(lay: Layers) -> DataFrame:
 
 
 def expectations(lay: Layers) -> DataFrame:
-    from strata.plans.queries import raw_items_typed
-
     return Q.union_all(
         [
-            Q.superseded_null_retained(lay.customer_history, "customer_id", "email"),
+            Q.superseded_null_retained(
+                lay.customer_history, "customer_id", getattr(lay, "null_attribute", "email")
+            ),
             Q.resolves_to_version_in_effect(
                 lay.fct_sales, lay.dim_customer, "customer_id", "customer_sk", "order_timestamp"
             ),
             Q.quarantine_routing(
-                lay.silver("order_items"), lay.quarantine("order_items"), raw_items_typed(lay),
+                lay.silver("order_items"), lay.quarantine("order_items"), lay.raw_items_typed(),
                 "order_item_id", "order items",
             ),
         ]

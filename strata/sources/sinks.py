@@ -74,8 +74,9 @@ def write_split(
     )
     n = write_counted(tagged, target, "overwrite", partition_by=[VALID_FLAG])
     back = df.sparkSession.read.parquet(target)
-    valid = back.where(F.col(VALID_FLAG)).drop(VALID_FLAG, "failed_rules")
-    bad = back.where(~F.col(VALID_FLAG)).drop(VALID_FLAG).withColumn("quarantine_reason", F.lit(reason))
+    flag = F.col(VALID_FLAG).cast("boolean")
+    valid = back.where(flag).drop(VALID_FLAG, "failed_rules")
+    bad = back.where(~flag).drop(VALID_FLAG).withColumn("quarantine_reason", F.lit(reason))
     if quarantine_ts is not None:
         bad = bad.withColumn("quarantine_timestamp", quarantine_ts)
     return valid.select(*df.columns), bad, n
