@@ -9,6 +9,7 @@ progress.  MERGE is replaced by a full outer join that keeps progress.
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -83,8 +84,8 @@ def high_watermark(source: DataFrame, column: str) -> DataFrame:
 def incremental_slice(
     source: DataFrame,
     column: str,
-    last: str | Column | None,
-    high: str | Column | None,
+    last: str | dt.datetime | Column | None,
+    high: str | dt.datetime | Column | None,
 ) -> DataFrame:
     """Rows with ``last < wm <= high``; NULL ``last`` means the first run.
 
@@ -92,8 +93,8 @@ def incremental_slice(
     watermark value never qualifies; a NULL ``high`` (empty source) selects
     nothing.
     """
-    lo = F.lit(last) if last is None or isinstance(last, str) else last
-    hi = F.lit(high) if high is None or isinstance(high, str) else high
+    lo = last if isinstance(last, Column) else F.lit(last)
+    hi = high if isinstance(high, Column) else F.lit(high)
     lo = F.coalesce(lo.cast("timestamp_ntz"), F.lit(FIRST_WATERMARK).cast("timestamp_ntz"))
     wm = F.col(column)
     return source.where((wm > lo) & (wm <= hi.cast("timestamp_ntz")))
@@ -144,7 +145,7 @@ def advance_watermark(control: DataFrame, highs: DataFrame, run_ts: str | Column
     ``last_successful_load`` to ``run_ts`` only when the copy succeeded and
     ``high`` is not NULL; every other row is unchanged.
     """
-    ts = F.lit(run_ts) if isinstance(run_ts, str) else run_ts
+    ts = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
     h = highs.select(
         F.col("entity_name").alias("_e"),
         F.col("high_watermark").cast("timestamp_ntz").alias("_high"),
