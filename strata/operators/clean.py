@@ -157,18 +157,39 @@ def split_quarantine(
     return valid, bad
 
 
+def split_tagged(
+    tagged: DataFrame, rules: list[Rule], reason: str, quarantine_ts: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """P8 on a frame that already carries the validity flag."""
+    valid = tagged.where(F.col(VALID_FLAG)).drop(VALID_FLAG)
+    bad = tagged.where(~F.col(VALID_FLAG)).drop(VALID_FLAG).withColumns(
+        {"quarantine_reason": F.lit(reason), "failed_rules": failed_rules(rules)}
+    )
+    if quarantine_ts is not None:
+        bad = bad.withColumn("quarantine_timestamp", quarantine_ts)
+    return valid, bad
+
+
+def clean_tagged(df: DataFrame, spec: EntitySpec) -> DataFrame:
+    """P13 up to the validity flag: standardise -> dedup -> tag.
+
+    Both outputs of the split derive from this one frame, so persisting (or
+    writing) it evaluates the dedup shuffle once for valid and quarantine.
+    """
+    typed = standardise(df, spec)
+    return tag_validity(dedup_latest(typed, spec.keys, spec.order_col, spec.tie_break), spec.rules)
+
+
 def clean(
     df: DataFrame,
     spec: EntitySpec,
     quarantine_ts: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Standardise -> dedup -> validate (or validate -> dedup)."""
-    typed = standardise(df, spec)
     if spec.validate_first:
-        valid, bad = split_quarantine(typed, spec.rules, spec.reason, quarantine_ts)
+        valid, bad = split_quarantine(standardise(df, spec), spec.rules, spec.reason, quarantine_ts)
         return dedup_latest(valid, spec.keys, spec.order_col, spec.tie_break), bad
-    deduped = dedup_latest(typed, spec.keys, spec.order_col, spec.tie_break)
-    return split_quarantine(deduped, spec.rules, spec.reason, quarantine_ts)
+    return split_tagged(clean_tagged(df, spec), spec.rules, spec.reason, quarantine_ts)
 
 
 # ---------------------------------------------------------------------------

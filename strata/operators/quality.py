@@ -317,3 +317,41 @@ def gate(results: DataFrame, suite: str = "lakehouse validation") -> list:
 def amount_matches(quantity: str, unit_price: str, amount: str) -> Column:
     """Helper used by tests: the Q15 predicate for one row."""
     return F.abs(F.col(amount) - S.line_amount(quantity, unit_price)) <= 0.01
+
+
+# --------------------------------------------------------------------------
+# One pass per table: named metrics -> checks
+def metrics(df: DataFrame, prefix: str, named: dict[str, Column]) -> DataFrame:
+    """One aggregate over ``df`` -> rows ``(metric, value)`` named ``prefix.name``."""
+    agg = df.agg(*[c.cast("bigint").alias(f"_m{i}") for i, c in enumerate(named.values())])
+    parts = []
+    for i, name in enumerate(named):
+        parts += [F.lit(f"{prefix}.{name}"), F.col(f"_m{i}")]
+    return agg.select(F.stack(F.lit(len(named)), *parts)).toDF("metric", "value")
+
+
+@dataclass
+class MetricCheck:
+    """``observed`` is a metric name; ``expected`` an int, None (> 0) or a metric name."""
+
+    name: str
+    observed: str
+    expected: int | str | None = 0
+
+
+def checks_from_metrics(metric_rows: DataFrame, checks: list[MetricCheck]) -> DataFrame:
+    """Pivot the metric rows into one row (a single tiny aggregate) and stack
+    the checks out of it."""
+    needed = sorted({c.observed for c in checks} | {c.expected for c in checks if isinstance(c.expected, str)})
+    alias = {m: f"_v{i}" for i, m in enumerate(needed)}
+    wide = metric_rows.agg(*[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(a) for m, a in alias.items()])
+    parts = []
+    for c in checks:
+        exp = F.col(alias[c.expected]) if isinstance(c.expected, str) else F.lit(c.expected).cast("bigint")
+        parts += [F.lit(c.name), F.col(alias[c.observed]), exp]
+    return finish(wide.select(F.stack(F.lit(len(checks)), *parts)).toDF("check_name", "observed", "expected"))
+
+
+def distinct_keys(dim: DataFrame, key: str, alias: str) -> DataFrame:
+    """Distinct keys of a dimension (so a lookup join can never fan out)."""
+    return dim.select(F.col(key).alias(alias)).distinct()

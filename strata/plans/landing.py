@@ -16,9 +16,9 @@ from strata.session import scratch_path
 # Batch of each raw entity when it is landed as CSV.
 CSV_BATCH = {
     "customers": F.col("batch_id"),
-    "orders": F.substring("order_timestamp", 1, 4),
-    "order_items": F.substring("updated_at", 1, 4),
-    "inventory_events": F.substring("event_timestamp", 1, 10),
+    "orders": F.year("order_timestamp").cast("string"),
+    "order_items": F.year("updated_at").cast("string"),
+    "inventory_events": F.to_date("event_timestamp").cast("string"),
     "products": F.lit("snapshot"),
     "warehouses": F.lit("snapshot"),
 }

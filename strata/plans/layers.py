@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators import clean as C
@@ -35,11 +36,37 @@ def specs() -> dict[str, C.EntitySpec]:
 
 
 class Layers:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """Lazy layer plans over the stand-ins.
+
+    With ``persist=True`` the shared layers (tagged Silver frames, history,
+    dimensions, facts) are persisted MEMORY_AND_DISK: a consumer that reads a
+    layer from several branches of one plan (the check suite) computes it
+    once, and a lost block is rebuilt from lineage.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, persist: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.persist = persist
         self._split: dict[str, tuple[DataFrame, DataFrame]] = {}
 
+    def _keep(self, df: DataFrame) -> DataFrame:
+        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.persist else df
+
+    _shared: dict = {}
+
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str, persist: bool = False) -> "Layers":
+        """One plan set per (session, data folder, persist): the lazy plans are
+        built once (building them is many driver round trips) and reused by
+        every query.  Plans hold no data, and each query returns a fresh
+        projection, so no result or shuffle output is shared between queries.
+        """
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), persist)
+        if key not in cls._shared:
+            cls._shared[key] = cls(spark, sf_dir, persist)
+        return cls._shared[key]
+
     def raw(self, entity: str) -> DataFrame:
         return standins.RAW_BUILDERS[entity](self.spark, self.sf_dir)
 
@@ -48,7 +75,9 @@ class Layers:
             if entity == "customers":
                 self._split[entity] = H.prepare_feed(self.raw("customers"))
             else:
-                self._split[entity] = C.clean(self.raw(entity), specs()[entity])
+                spec = specs()[entity]
+                tagged = self._keep(C.clean_tagged(self.raw(entity), spec))
+                self._split[entity] = C.split_tagged(tagged, spec.rules, spec.reason)
         return self._split[entity]
 
     def raw_items_typed(self) -> DataFrame:
@@ -67,7 +96,7 @@ class Layers:
 
     @cached_property
     def customer_history(self) -> DataFrame:
-        return H.build_history(self.silver("customers"))
+        return self._keep(H.build_history(self.silver("customers")))
 
     @cached_property
     def dim_customer(self) -> DataFrame:
@@ -75,29 +104,29 @@ class Layers:
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return star.dim_product(self.silver("products"))
+        return self._keep(star.dim_product(self.silver("products")))
 
     @cached_property
     def dim_warehouse(self) -> DataFrame:
-        return star.dim_warehouse(self.silver("warehouses"))
+        return self._keep(star.dim_warehouse(self.silver("warehouses")))
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return star.dim_date(self.silver("orders"), self.silver("inventory_events"))
+        return self._keep(star.dim_date(self.silver("orders"), self.silver("inventory_events")))
 
     @cached_property
     def fct_sales(self) -> DataFrame:
-        return star.fct_sales(
+        return self._keep(star.fct_sales(
             self.silver("order_items"),
             self.silver("orders"),
             self.dim_customer,
             self.dim_product,
             self.dim_warehouse,
             warehouse_from="items",
-        )
+        ))
 
     @cached_property
     def fct_inventory_movements(self) -> DataFrame:
-        return star.fct_inventory_movements(
+        return self._keep(star.fct_inventory_movements(
             self.silver("inventory_events"), self.dim_warehouse, self.dim_product
-        )
+        ))

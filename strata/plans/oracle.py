@@ -305,8 +305,7 @@ LEFT JOIN dim_product p ON e.product_id = p.product_id""",
 
 ORACLE: dict[str, str] = {
     "trim_to_null": sql(
-        "SELECT customer_id, email, customer_name, segment, city, region, "
-        "CAST(updated_at AS VARCHAR) AS updated_at, batch_id FROM cust_typed",
+        "SELECT customer_id, email, customer_name, segment, city, region, updated_at, batch_id FROM cust_typed",
         "cust_typed",
     ),
     "dedup_latest": sql("SELECT * FROM items_dedup", "items_dedup"),
@@ -375,7 +374,8 @@ def union(*rows: str) -> str:
 
 
 def dup_keys(table: str, key: str) -> str:
-    return f"SELECT count(*) FROM (SELECT {key} FROM {table} GROUP BY {key} HAVING count(*) > 1)"
+    """Rows beyond one per key (0 when the key is unique)."""
+    return f"SELECT count(*) - count(DISTINCT {key}) FROM {table}"
 
 
 def orphans(fact: str, fk: str, dim: str, dk: str) -> str:
@@ -439,7 +439,8 @@ cte(
             "customers_history: validity windows have no gaps",
             """SELECT count(*) FROM (
   SELECT effective_end_timestamp AS e,
-         lead(effective_start_timestamp) OVER (PARTITION BY customer_id ORDER BY effective_start_timestamp) AS ns
+         lead(effective_start_timestamp) OVER (PARTITION BY customer_id
+             ORDER BY effective_start_timestamp, effective_end_timestamp, customer_sk) AS ns
   FROM history) WHERE ns IS NOT NULL AND ns <> e""",
         ),
         row("customers_history: every window starts before it ends",
@@ -480,7 +481,8 @@ cte(
         row(
             "superseded versions retain NULL email",
             """SELECT count(*) FROM (
-  SELECT is_current, email, lead(email) OVER (PARTITION BY customer_id ORDER BY effective_start_timestamp) AS ne
+  SELECT is_current, email, lead(email) OVER (PARTITION BY customer_id
+         ORDER BY effective_start_timestamp, effective_end_timestamp, customer_sk) AS ne
   FROM history) WHERE NOT is_current AND email IS NULL AND ne IS NOT NULL""",
             "NULL",
         ),

@@ -19,20 +19,26 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
+def fresh(df: DataFrame) -> DataFrame:
+    """A new Dataset over the same plan (its own physical plan and shuffles)."""
+    return df.select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def query(name: str):
     def deco(fn: Query) -> Query:
-        REGISTRY[name] = fn
+        REGISTRY[name] = lambda spark, sf: fresh(fn(spark, sf))
+        REGISTRY[name].__doc__ = fn.__doc__
         return fn
 
     return deco
 
 
 def _silver(entity: str) -> Query:
-    return lambda spark, sf: Layers(spark, sf).silver(entity)
+    return lambda spark, sf: fresh(Layers.shared(spark, sf).silver(entity))
 
 
 def _quarantine(entity: str) -> Query:
-    return lambda spark, sf: Layers(spark, sf).quarantine(entity)
+    return lambda spark, sf: fresh(Layers.shared(spark, sf).quarantine(entity))
 
 
 @query("trim_to_null")
@@ -41,7 +47,7 @@ def q_trim_to_null(spark, sf):
     from strata.operators.clean import trim_to_null
     from strata.operators.history import CUSTOMER_TRACKED
 
-    return trim_to_null(Layers(spark, sf).raw("customers"), CUSTOMER_TRACKED)
+    return trim_to_null(Layers.shared(spark, sf).raw("customers"), CUSTOMER_TRACKED)
 
 
 @query("dedup_latest")
@@ -51,7 +57,7 @@ def q_dedup_latest(spark, sf):
     from strata.plans.layers import items_spec
 
     spec = items_spec()
-    typed = standardise(Layers(spark, sf).raw("order_items"), spec)
+    typed = standardise(Layers.shared(spark, sf).raw("order_items"), spec)
     return dedup_latest(typed, spec.keys, spec.order_col)
 
 
@@ -70,20 +76,20 @@ REGISTRY["quarantine_customers"] = _quarantine("customers")
 @query("customer_changes")
 def q_customer_changes(spark, sf):
     """H1-H4: feed rows that open a new version."""
-    return Layers(spark, sf).customer_changes
+    return Layers.shared(spark, sf).customer_changes
 
 
 @query("customer_history")
 def q_customer_history(spark, sf):
     """H5-H6: full Type-2 history."""
-    return Layers(spark, sf).customer_history
+    return Layers.shared(spark, sf).customer_history
 
 
 @query("history_version_counts")
 def q_history_version_counts(spark, sf):
     """Versions per customer."""
     return (
-        Layers(spark, sf)
+        Layers.shared(spark, sf)
         .customer_history.groupBy("customer_id")
         .agg(F.count(F.lit(1)).alias("version_count"))
     )
@@ -91,50 +97,50 @@ def q_history_version_counts(spark, sf):
 
 @query("dim_customer")
 def q_dim_customer(spark, sf):
-    return Layers(spark, sf).dim_customer
+    return Layers.shared(spark, sf).dim_customer
 
 
 @query("dim_product")
 def q_dim_product(spark, sf):
-    return Layers(spark, sf).dim_product
+    return Layers.shared(spark, sf).dim_product
 
 
 @query("dim_warehouse")
 def q_dim_warehouse(spark, sf):
-    return Layers(spark, sf).dim_warehouse
+    return Layers.shared(spark, sf).dim_warehouse
 
 
 @query("dim_date")
 def q_dim_date(spark, sf):
-    return Layers(spark, sf).dim_date
+    return Layers.shared(spark, sf).dim_date
 
 
 @query("fct_sales")
 def q_fct_sales(spark, sf):
     """D6 (flagship): order-line sales fact with the point-in-time customer."""
-    return Layers(spark, sf).fct_sales
+    return Layers.shared(spark, sf).fct_sales
 
 
 @query("fct_inventory_movements")
 def q_fct_inventory(spark, sf):
-    return Layers(spark, sf).fct_inventory_movements
+    return Layers.shared(spark, sf).fct_inventory_movements
 
 
 @query("sales_unresolved")
 def q_sales_unresolved(spark, sf):
     """Lines placed before their customer's first version."""
-    return star.unresolved_sales(Layers(spark, sf).fct_sales)
+    return star.unresolved_sales(Layers.shared(spark, sf).fct_sales)
 
 
 @query("sales_by_customer_version")
 def q_sales_by_customer_version(spark, sf):
-    lay = Layers(spark, sf)
+    lay = Layers.shared(spark, sf)
     return star.sales_by_customer_version(lay.fct_sales, lay.dim_customer)
 
 
 @query("net_stock_movement")
 def q_net_stock_movement(spark, sf):
-    lay = Layers(spark, sf)
+    lay = Layers.shared(spark, sf)
     return star.net_stock_movement(lay.fct_inventory_movements, lay.dim_warehouse, lay.dim_product)
 
 
@@ -145,7 +151,7 @@ def q_naive_fanout(spark, sf):
     The fan-out is measured without materialising line x version pairs: each
     line is joined to its customer's version count (one row per customer).
     """
-    lay = Layers(spark, sf)
+    lay = Layers.shared(spark, sf)
     lines = lay.silver("order_items").select("order_item_id", "order_id").join(
         lay.silver("orders").select("order_id", "customer_id"), "order_id"
     )
@@ -161,7 +167,7 @@ def _suite(part: str) -> Query:
     def run(spark, sf):
         from strata.plans import suite
 
-        return getattr(suite, part)(Layers(spark, sf))
+        return fresh(getattr(suite, part)(Layers.shared(spark, sf)))
 
     return run
 
@@ -182,7 +188,7 @@ def q_check_suite_summary(spark, sf):
     from strata.operators import quality as Q
     from strata.plans import suite
 
-    return Q.summary(suite.full_suite(Layers(spark, sf)))
+    return Q.summary(suite.full_suite(Layers.shared(spark, sf)))
 
 
 @query("check_run_stability")
@@ -194,7 +200,7 @@ def q_check_run_stability(spark, sf):
     from strata.session import scratch_path
     from strata.sources import sinks
 
-    lay = Layers(spark, sf)
+    lay = Layers.shared(spark, sf)
     log_path = scratch_path(spark, "run_log")
     tables = suite.stability_tables(lay)
     first = Q.current_counts(spark, tables, F.lit("2024-01-01 00:00:00").cast("timestamp"))
@@ -307,7 +313,7 @@ def q_history_apply_batch(spark, sf):
     incrementally; equals the full rebuild."""
     from strata.operators import history as H
 
-    feed = Layers(spark, sf).silver("customers")
+    feed = Layers.shared(spark, sf).silver("customers")
     order = H.order_batches(feed, "batch_id", "updated_at")
     last = order.select(F.max_by("batch_id", F.struct(H.BATCH_TS, "batch_id"))).scalar()
     before = H.build_history(feed.where(F.col("batch_id") != last))

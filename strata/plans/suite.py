@@ -1,32 +1,35 @@
-"""The validation suite over the stand-in layers (Q1-Q19 as Spark frames)."""
+"""The validation suite (Q1-Q19, D5, D7, D10) as one pass per table.
+
+Every table is read by exactly one aggregate that computes all of its metrics
+(facts are joined once to all their dimensions; every history-structure check
+comes out of one window pass).  The metric rows are pivoted into check rows by
+a single tiny aggregate, so the whole suite is one Spark action whose result
+has one row per check.
+
+``lay`` is any object exposing the layer tables: :class:`Layers` (lazy plans
+over the stand-ins) or :class:`strata.plans.pipeline.Tables` (written files).
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators import quality as Q
-from strata.plans.layers import Layers
+from strata.operators.history import CURRENT, END, START
 
+MC = Q.MetricCheck
 
-def core_tables(lay: Layers) -> dict[str, DataFrame]:
-    return {
-        "silver.customers_history": lay.customer_history,
-        "silver.products_clean": lay.silver("products"),
-        "silver.warehouses_clean": lay.silver("warehouses"),
-        "silver.orders_clean": lay.silver("orders"),
-        "silver.order_items_clean": lay.silver("order_items"),
-        "silver.inventory_events_clean": lay.silver("inventory_events"),
-        "gold.dim_customer": lay.dim_customer,
-        "gold.dim_product": lay.dim_product,
-        "gold.dim_warehouse": lay.dim_warehouse,
-        "gold.dim_date": lay.dim_date,
-        "gold.fct_sales": lay.fct_sales,
-        "gold.fct_inventory_movements": lay.fct_inventory_movements,
-    }
+SILVER_TABLES = {
+    "silver.products_clean": "products",
+    "silver.warehouses_clean": "warehouses",
+    "silver.orders_clean": "orders",
+    "silver.order_items_clean": "order_items",
+    "silver.inventory_events_clean": "inventory_events",
+}
 
 
-def stability_tables(lay: Layers) -> dict[str, DataFrame]:
+def stability_tables(lay) -> dict[str, DataFrame]:
     return {
         "silver.customers_history": lay.customer_history,
         "silver.order_items_clean": lay.silver("order_items"),
@@ -35,98 +38,236 @@ def stability_tables(lay: Layers) -> dict[str, DataFrame]:
     }
 
 
-def key_uniqueness(lay: Layers) -> DataFrame:
-    return Q.key_uniqueness(
-        {
-            "dim_customer": (lay.dim_customer, "customer_sk"),
-            "dim_product": (lay.dim_product, "product_sk"),
-            "dim_warehouse": (lay.dim_warehouse, "warehouse_sk"),
-            "dim_date": (lay.dim_date, "date_key"),
-        }
+# --------------------------------------------------------------------------
+# metric passes (one per table)
+def history_pass(lay) -> DataFrame:
+    """Rows, key uniqueness and every Type-2 structure metric in one window pass."""
+    h = lay.customer_history
+    attr = getattr(lay, "null_attribute", "email")
+    by_key = Window.partitionBy("customer_id")
+    ordered = by_key.orderBy(F.col(START), F.col(END), F.col("customer_sk"))
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    x = h.select(
+        "customer_sk",
+        F.col(START).alias("s"),
+        F.col(END).alias("e"),
+        F.col(CURRENT).alias("cur"),
+        F.col(attr).alias("attr"),
+        F.count_if(F.col(CURRENT)).over(by_key).alias("cur_per_key"),
+        (F.row_number().over(ordered) == 1).alias("first_of_key"),
+        F.max(END).over(before).alias("prev_max_end"),
+        F.lead(START).over(ordered).alias("next_start"),
+        F.lead(attr).over(ordered).alias("next_attr"),
     )
+    return Q.metrics(x, "history", {
+        "rows": F.count(F.lit(1)),
+        "distinct_sk": F.count_distinct("customer_sk"),
+        "multi_current_keys": F.count_if(F.col("first_of_key") & (F.col("cur_per_key") > 1)),
+        "no_current_keys": F.count_if(F.col("first_of_key") & (F.col("cur_per_key") == 0)),
+        "overlaps": F.count_if(F.col("prev_max_end") > F.col("s")),
+        "gaps": F.count_if(F.col("next_start").isNotNull() & (F.col("next_start") != F.col("e"))),
+        "inverted": F.count_if(~(F.col("s") < F.col("e"))),
+        "null_retained": F.count_if(~F.col("cur") & F.col("attr").isNull() & F.col("next_attr").isNotNull()),
+    })
 
 
-def history_structure(lay: Layers) -> DataFrame:
-    return Q.history_structure(lay.customer_history, "customer_id", "customer_sk", "customers_history")
+def sales_pass(lay) -> DataFrame:
+    """The sales fact joined once to every dimension; all its metrics in one aggregate."""
+    dc = lay.dim_customer
+    versions = dc.groupBy("customer_sk").agg(
+        F.max("customer_id").alias("_ck"), F.max(F.col(CURRENT).cast("int")).alias("_cur")
+    )
+    current_start = dc.where(F.col(CURRENT)).groupBy(F.col("customer_id").alias("_key")).agg(
+        F.max(START).alias("_cur_start")
+    )
+    j = (
+        lay.fct_sales.join(versions, "customer_sk", "left")
+        .join(current_start, F.col("_ck") == F.col("_key"), "left")
+        .join(Q.distinct_keys(lay.dim_product, "product_sk", "_psk"), F.col("product_sk") == F.col("_psk"), "left")
+        .join(Q.distinct_keys(lay.dim_warehouse, "warehouse_sk", "_wsk"), F.col("warehouse_sk") == F.col("_wsk"), "left")
+        .join(Q.distinct_keys(lay.dim_date, "date_key", "_dk"), F.col("date_key") == F.col("_dk"), "left")
+    )
+    expected_amount = F.round(
+        F.col("quantity").cast("decimal(12,0)") * F.col("unit_price").cast("decimal(20,6)"), 2
+    )
+    return Q.metrics(j, "fct_sales", {
+        "rows": F.count(F.lit(1)),
+        "extra_rows": F.count(F.lit(1)) - F.count_distinct("order_item_id"),
+        "unresolved_customer": F.count_if(F.col("customer_sk").isNull()),
+        "bad_quantity": F.count_if(F.col("quantity") <= 0),
+        "negative_amounts": F.count_if((F.col("unit_price") < 0) | (F.col("line_amount") < 0)),
+        "amount_mismatch": F.count_if(F.abs(F.col("line_amount").cast("decimal(38,6)") - expected_amount) > 0.01),
+        "orphan_product": F.count_if(F.col("_psk").isNull()),
+        "orphan_warehouse": F.count_if(F.col("_wsk").isNull()),
+        "orphan_date": F.count_if(F.col("_dk").isNull()),
+        "version_mismatch": F.count_if((F.col("_cur") == 1) != (F.col("order_timestamp") >= F.col("_cur_start"))),
+    })
 
 
-def single_current(lay: Layers) -> DataFrame:
-    return history_structure(lay).where(F.col("check_name").contains("current version"))
+def inventory_pass(lay) -> DataFrame:
+    j = (
+        lay.fct_inventory_movements
+        .join(Q.distinct_keys(lay.dim_warehouse, "warehouse_sk", "_wsk"), F.col("warehouse_sk") == F.col("_wsk"), "left")
+        .join(Q.distinct_keys(lay.dim_product, "product_sk", "_psk"), F.col("product_sk") == F.col("_psk"), "left")
+        .join(Q.distinct_keys(lay.dim_date, "date_key", "_dk"), F.col("date_key") == F.col("_dk"), "left")
+    )
+    et, q = F.col("event_type"), F.col("quantity_change")
+    return Q.metrics(j, "fct_inventory_movements", {
+        "rows": F.count(F.lit(1)),
+        "extra_rows": F.count(F.lit(1)) - F.count_distinct("event_id"),
+        "sign_violations": F.count_if(((et == "INBOUND") & (q <= 0)) | ((et == "OUTBOUND") & (q >= 0))),
+        "orphan_warehouse": F.count_if(F.col("_wsk").isNull()),
+        "orphan_product": F.count_if(F.col("_psk").isNull()),
+        "orphan_date": F.count_if(F.col("_dk").isNull()),
+    })
 
 
-def overlaps(lay: Layers) -> DataFrame:
-    return history_structure(lay).where(F.col("check_name").contains("overlap"))
+def dimension_pass(df: DataFrame, name: str, key: str) -> DataFrame:
+    return Q.metrics(df, name, {"rows": F.count(F.lit(1)), "distinct_key": F.count_distinct(key)})
 
 
-def gaps(lay: Layers) -> DataFrame:
-    return history_structure(lay).where(
-        F.col("check_name").contains("gaps") | F.col("check_name").contains("starts before")
-    )
+def items_pass(lay) -> DataFrame:
+    """Silver order items: rows, duplicates, and keys that are also quarantined."""
+    bad = lay.quarantine("order_items").select(F.col("order_item_id").alias("_qk")).distinct()
+    j = lay.silver("order_items").join(bad, F.col("order_item_id") == F.col("_qk"), "left")
+    return Q.metrics(j, "silver.order_items_clean", {
+        "rows": F.count(F.lit(1)),
+        "extra_rows": F.count(F.lit(1)) - F.count_distinct("order_item_id"),
+        "leaked": F.count_if(F.col("_qk").isNotNull()),
+    })
 
 
-def foreign_keys(lay: Layers) -> DataFrame:
-    fs, fi = lay.fct_sales, lay.fct_inventory_movements
-    dp, dw, dd = lay.dim_product, lay.dim_warehouse, lay.dim_date
-    return Q.foreign_keys(
-        [
-            ("fct_sales", fs, "product_sk", "dim_product", dp, "product_sk"),
-            ("fct_sales", fs, "warehouse_sk", "dim_warehouse", dw, "warehouse_sk"),
-            ("fct_sales", fs, "date_key", "dim_date", dd, "date_key"),
-            ("fct_inventory_movements", fi, "warehouse_sk", "dim_warehouse", dw, "warehouse_sk"),
-            ("fct_inventory_movements", fi, "product_sk", "dim_product", dp, "product_sk"),
-            ("fct_inventory_movements", fi, "date_key", "dim_date", dd, "date_key"),
-        ]
-    )
+def raw_items_pass(lay) -> DataFrame:
+    raw = lay.raw_items_typed()
+    return Q.metrics(raw, "raw.order_items", {"extra_rows": F.count(F.lit(1)) - F.count_distinct("order_item_id")})
 
 
-def business_rules(lay: Layers) -> DataFrame:
-    return Q.union_all(
-        [
-            Q.table_checks(lay.fct_sales, Q.sales_rules(lay.fct_sales)),
-            Q.table_checks(lay.fct_inventory_movements, Q.inventory_rules()),
-        ]
-    )
+def silver_pass(lay, table: str) -> DataFrame:
+    return Q.metrics(lay.silver(SILVER_TABLES[table]), table, {"rows": F.count(F.lit(1))})
 
 
-def grain(lay: Layers) -> DataFrame:
-    return Q.union_all(
-        [
-            Q.not_empty(core_tables(lay)),
-            Q.fact_grain(lay.fct_sales, lay.silver("order_items"), "order_item_id", "fct_sales", "order-line"),
-            Q.fact_grain(lay.fct_inventory_movements, lay.silver("inventory_events"), "event_id",
-                         "fct_inventory_movements", "event"),
-            Q.table_checks(lay.fct_sales, [Q.Check("fct_sales rows all resolve a customer version",
-                                                   F.count_if(F.col("customer_sk").isNull()))]),
-        ]
-    )
+PASSES = {
+    "history": history_pass,
+    "fct_sales": sales_pass,
+    "fct_inventory_movements": inventory_pass,
+    "dim_product": lambda lay: dimension_pass(lay.dim_product, "dim_product", "product_sk"),
+    "dim_warehouse": lambda lay: dimension_pass(lay.dim_warehouse, "dim_warehouse", "warehouse_sk"),
+    "dim_date": lambda lay: dimension_pass(lay.dim_date, "dim_date", "date_key"),
+    "silver.order_items_clean": items_pass,
+    "raw.order_items": raw_items_pass,
+    **{t: (lambda lay, t=t: silver_pass(lay, t)) for t in SILVER_TABLES if t != "silver.order_items_clean"},
+}
 
 
-def expectations(lay: Layers) -> DataFrame:
-    return Q.union_all(
-        [
-            Q.superseded_null_retained(
-                lay.customer_history, "customer_id", getattr(lay, "null_attribute", "email")
-            ),
-            Q.resolves_to_version_in_effect(
-                lay.fct_sales, lay.dim_customer, "customer_id", "customer_sk", "order_timestamp"
-            ),
-            Q.quarantine_routing(
-                lay.silver("order_items"), lay.quarantine("order_items"), lay.raw_items_typed(),
-                "order_item_id", "order items",
-            ),
-        ]
-    )
+# --------------------------------------------------------------------------
+# check groups: (check name, observed metric, expected)
+NOT_EMPTY = [
+    MC("silver.customers_history is not empty", "history.rows", None),
+    MC("silver.products_clean is not empty", "silver.products_clean.rows", None),
+    MC("silver.warehouses_clean is not empty", "silver.warehouses_clean.rows", None),
+    MC("silver.orders_clean is not empty", "silver.orders_clean.rows", None),
+    MC("silver.order_items_clean is not empty", "silver.order_items_clean.rows", None),
+    MC("silver.inventory_events_clean is not empty", "silver.inventory_events_clean.rows", None),
+    MC("gold.dim_customer is not empty", "history.rows", None),
+    MC("gold.dim_product is not empty", "dim_product.rows", None),
+    MC("gold.dim_warehouse is not empty", "dim_warehouse.rows", None),
+    MC("gold.dim_date is not empty", "dim_date.rows", None),
+    MC("gold.fct_sales is not empty", "fct_sales.rows", None),
+    MC("gold.fct_inventory_movements is not empty", "fct_inventory_movements.rows", None),
+]
+GRAIN = NOT_EMPTY + [
+    MC("fct_sales preserves order-line grain", "fct_sales.rows", "silver.order_items_clean.rows"),
+    MC("no fct_sales order_item_id is duplicated", "fct_sales.extra_rows"),
+    MC("fct_inventory_movements preserves event grain", "fct_inventory_movements.rows",
+       "silver.inventory_events_clean.rows"),
+    MC("no fct_inventory_movements event_id is duplicated", "fct_inventory_movements.extra_rows"),
+    MC("fct_sales rows all resolve a customer version", "fct_sales.unresolved_customer"),
+]
+KEYS = [
+    MC("dim_customer.customer_sk is unique", "history.distinct_sk", "history.rows"),
+    MC("dim_product.product_sk is unique", "dim_product.distinct_key", "dim_product.rows"),
+    MC("dim_warehouse.warehouse_sk is unique", "dim_warehouse.distinct_key", "dim_warehouse.rows"),
+    MC("dim_date.date_key is unique", "dim_date.distinct_key", "dim_date.rows"),
+]
+SINGLE_CURRENT = [
+    MC("customers_history: each key has exactly one current version", "history.multi_current_keys"),
+    MC("customers_history: no key is missing a current version", "history.no_current_keys"),
+]
+OVERLAPS = [MC("customers_history: validity windows do not overlap", "history.overlaps")]
+GAPS = [
+    MC("customers_history: validity windows have no gaps", "history.gaps"),
+    MC("customers_history: every window starts before it ends", "history.inverted"),
+]
+FOREIGN_KEYS = [
+    MC("fct_sales.product_sk resolves to dim_product", "fct_sales.orphan_product"),
+    MC("fct_sales.warehouse_sk resolves to dim_warehouse", "fct_sales.orphan_warehouse"),
+    MC("fct_sales.date_key resolves to dim_date", "fct_sales.orphan_date"),
+    MC("fct_inventory_movements.warehouse_sk resolves to dim_warehouse", "fct_inventory_movements.orphan_warehouse"),
+    MC("fct_inventory_movements.product_sk resolves to dim_product", "fct_inventory_movements.orphan_product"),
+    MC("fct_inventory_movements.date_key resolves to dim_date", "fct_inventory_movements.orphan_date"),
+]
+BUSINESS_RULES = [
+    MC("fct_sales quantities are positive", "fct_sales.bad_quantity"),
+    MC("fct_sales prices and amounts are non-negative", "fct_sales.negative_amounts"),
+    MC("fct_sales line_amount equals quantity * unit_price", "fct_sales.amount_mismatch"),
+    MC("inventory movement signs follow their event type", "fct_inventory_movements.sign_violations"),
+]
 
 
-def full_suite(lay: Layers) -> DataFrame:
-    """Every structural check of the suite as one frame (one action)."""
-    return Q.union_all(
-        [
-            grain(lay),
-            key_uniqueness(lay),
-            history_structure(lay),
-            foreign_keys(lay),
-            business_rules(lay),
-            expectations(lay),
-        ]
-    )
+def expectation_checks(lay) -> list[Q.MetricCheck]:
+    attr = getattr(lay, "null_attribute", "email")
+    return [
+        MC(f"superseded versions retain NULL {attr}", "history.null_retained", None),
+        MC("lines resolve to the version in effect at order time", "fct_sales.version_mismatch"),
+        MC("quarantined order items never reached Silver", "silver.order_items_clean.leaked"),
+        MC("duplicated order items collapsed to a single row", "silver.order_items_clean.extra_rows"),
+        MC("raw order items contain duplicated keys", "raw.order_items.extra_rows", None),
+    ]
+
+
+def run_checks(lay, checks: list[Q.MetricCheck]) -> DataFrame:
+    """Compute only the table passes the checks need, then the check rows."""
+    names = {c.observed for c in checks} | {c.expected for c in checks if isinstance(c.expected, str)}
+    needed = sorted({n.rsplit(".", 1)[0] for n in names})
+    return Q.checks_from_metrics(Q.union_all([PASSES[p](lay) for p in needed]), checks)
+
+
+def all_checks(lay) -> list[Q.MetricCheck]:
+    return GRAIN + KEYS + SINGLE_CURRENT + OVERLAPS + GAPS + FOREIGN_KEYS + BUSINESS_RULES + expectation_checks(lay)
+
+
+def grain(lay) -> DataFrame:
+    return run_checks(lay, GRAIN)
+
+
+def key_uniqueness(lay) -> DataFrame:
+    return run_checks(lay, KEYS)
+
+
+def single_current(lay) -> DataFrame:
+    return run_checks(lay, SINGLE_CURRENT)
+
+
+def overlaps(lay) -> DataFrame:
+    return run_checks(lay, OVERLAPS)
+
+
+def gaps(lay) -> DataFrame:
+    return run_checks(lay, GAPS)
+
+
+def foreign_keys(lay) -> DataFrame:
+    return run_checks(lay, FOREIGN_KEYS)
+
+
+def business_rules(lay) -> DataFrame:
+    return run_checks(lay, BUSINESS_RULES)
+
+
+def expectations(lay) -> DataFrame:
+    return run_checks(lay, expectation_checks(lay))
+
+
+def full_suite(lay) -> DataFrame:
+    """Every structural check as one frame (one action, one pass per table)."""
+    return run_checks(lay, all_checks(lay))
