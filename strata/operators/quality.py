@@ -296,7 +296,7 @@ def summary(results: DataFrame) -> DataFrame:
     )
 
 
-def gate(results: DataFrame, suite: str = "lakehouse validation") -> list:
+def gate(results: DataFrame, suite: str = "validation suite") -> list:
     """Evaluate every check, then raise listing *all* failures.
 
     ``results`` has one row per check, so collecting it is bounded by the
