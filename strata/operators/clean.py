@@ -48,6 +48,7 @@ class EntitySpec:
     order_col: str | None = None
     tie_break: list[str] | None = None
     validate_first: bool = False
+    trim_keys: bool = False
 
 
 _CASTS = {"int": S.to_int, "double": S.to_double, "timestamp": S.to_timestamp}
@@ -61,6 +62,9 @@ def trim_to_null(df: DataFrame, columns: list[str]) -> DataFrame:
 def standardise(df: DataFrame, spec: EntitySpec) -> DataFrame:
     """P1-P3 as a single projection (stays inside one codegen stage)."""
     exprs: dict[str, Column] = {}
+    if spec.trim_keys:  # keys are not trimmed unless asked (trap T6)
+        for c in spec.keys:
+            exprs[c] = S.trim_to_null(c)
     for c in spec.trims:
         exprs[c] = S.trim_to_null(c)
     for c in spec.uppers:

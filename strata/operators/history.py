@@ -86,6 +86,22 @@ def _differs(tracked: list[str], w: Window) -> Column:
     )
 
 
+def version_order(ts_col: str, batch_col: str, order_by: str = "batch") -> list[Column]:
+    """Order of a key's versions.
+
+    ``'batch'`` (the default, as the source system): batches in
+    ``(min ts, batch_id)`` order, so a late batch can close a version with an
+    end before its start (trap T7, reported by the quality suite).
+    ``'event_time'``: the change time itself, batch order only breaking ties,
+    so late data slots into its place in time.
+    """
+    if order_by == "event_time":
+        return [F.col(ts_col), F.col(BATCH_TS), F.col(batch_col)]
+    if order_by != "batch":
+        raise ValueError(f"order_by must be 'batch' or 'event_time', not {order_by!r}")
+    return [F.col(BATCH_TS), F.col(batch_col)]
+
+
 def detect_changes(
     feed: DataFrame,
     key: str = "customer_id",
@@ -93,6 +109,7 @@ def detect_changes(
     batch_col: str = "batch_id",
     tracked: list[str] = CUSTOMER_TRACKED,
     tie_break: list[str] | None = None,
+    order_by: str = "batch",
 ) -> DataFrame:
     """H2-H4: rows that open a new version (new key or changed attributes).
 
@@ -100,7 +117,7 @@ def detect_changes(
     """
     latest = dedup_within_batch(feed, key, ts_col, batch_col, tie_break)
     ordered = latest.join(order_batches(feed, batch_col, ts_col), batch_col, "inner")
-    w = Window.partitionBy(key).orderBy(F.col(BATCH_TS), F.col(batch_col))
+    w = Window.partitionBy(key).orderBy(*version_order(ts_col, batch_col, order_by))
     is_first = F.lag(F.lit(1)).over(w).isNull()
     return (
         ordered.withColumn("_opens", is_first | _differs(tracked, w))
@@ -116,9 +133,10 @@ def versions_from_changes(
     batch_col: str = "batch_id",
     tracked: list[str] = CUSTOMER_TRACKED,
     sk_col: str = "customer_sk",
+    order_by: str = "batch",
 ) -> DataFrame:
     """H5/H6: chain kept rows into half-open ``[start, end)`` versions."""
-    w = Window.partitionBy(key).orderBy(F.col(BATCH_TS), F.col(batch_col))
+    w = Window.partitionBy(key).orderBy(*version_order(ts_col, batch_col, order_by))
     nxt = F.lead(ts_col).over(w)
     return changes.select(
         S.version_key(key, ts_col).alias(sk_col),
@@ -138,10 +156,11 @@ def build_history(
     tracked: list[str] = CUSTOMER_TRACKED,
     sk_col: str = "customer_sk",
     tie_break: list[str] | None = None,
+    order_by: str = "batch",
 ) -> DataFrame:
     """H2-H6: the complete version history of a prepared (typed) feed."""
-    changes = detect_changes(feed, key, ts_col, batch_col, tracked, tie_break)
-    return versions_from_changes(changes, key, ts_col, batch_col, tracked, sk_col)
+    changes = detect_changes(feed, key, ts_col, batch_col, tracked, tie_break, order_by)
+    return versions_from_changes(changes, key, ts_col, batch_col, tracked, sk_col, order_by)
 
 
 def apply_batch(

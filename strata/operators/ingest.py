@@ -86,16 +86,21 @@ def incremental_slice(
     column: str,
     last: str | dt.datetime | Column | None,
     high: str | dt.datetime | Column | None,
+    lookback: str | None = None,
 ) -> DataFrame:
     """Rows with ``last < wm <= high``; NULL ``last`` means the first run.
 
     With literal bounds the predicate is pushed into the Parquet scan.  A NULL
     watermark value never qualifies; a NULL ``high`` (empty source) selects
-    nothing.
+    nothing.  ``lookback`` (e.g. ``'2 days'``) re-reads a margin below the
+    mark to pick up rows committed late with an older watermark value (trap
+    T9); the copy is then at-least-once and Silver dedup removes the repeats.
     """
     lo = last if isinstance(last, Column) else F.lit(last)
     hi = high if isinstance(high, Column) else F.lit(high)
     lo = F.coalesce(lo.cast("timestamp_ntz"), F.lit(FIRST_WATERMARK).cast("timestamp_ntz"))
+    if lookback:
+        lo = lo - F.expr(f"INTERVAL {lookback}")
     wm = F.col(column)
     return source.where((wm > lo) & (wm <= hi.cast("timestamp_ntz")))
 

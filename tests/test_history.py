@@ -172,3 +172,37 @@ def test_prepare_feed_quarantines_before_dedup(spark):
     reasons = sorted(r.failed_rules for r in bad.collect())
     assert reasons == ["customer_id_not_null", "updated_at_not_null"]
     assert [r.segment for r in bad.orderBy("failed_rules").collect()] == [None, None]
+
+
+def test_late_batch_inverts_a_window_unless_ordered_by_event_time(spark):
+    from strata.operators import quality as Q
+
+    d = lambda day: dt.datetime(2024, 1, day)
+    # b1 sorts first (its earliest row is Z's), but K's row in b1 is newer than
+    # K's row in b2: in batch order, K's first version ends before it starts
+    df = _feed(spark, [
+        ("Z", "x", "n", "s", "c", "r", d(1), "b1"),
+        ("K", "A", "n", "s", "c", "r", d(10), "b1"),
+        ("K", "B", "n", "s", "c", "r", d(5), "b2"),
+    ])
+    by_batch = H.build_history(df).where("customer_id = 'K'").orderBy(H.START).collect()
+    inverted = [r for r in by_batch if not r[H.START] < r[H.END]]
+    assert [r.email for r in inverted] == ["A"]  # as the source system does (T7)
+    res = {r.check_name: r.observed for r in Q.history_structure(
+        H.build_history(df), "customer_id", "customer_sk", "h").collect()}
+    assert res["h: every window starts before it ends"] == 1
+    by_time = H.build_history(df, order_by="event_time").where("customer_id = 'K'").orderBy(H.START).collect()
+    assert [r.email for r in by_time] == ["B", "A"]
+    assert all(r[H.START] < r[H.END] for r in by_time)
+
+
+def test_equal_timestamps_in_two_batches(spark):
+    t = dt.datetime(2024, 1, 1)
+    df = _feed(spark, [
+        ("K", "A", "n", "s", "c", "r", t, "b1"),
+        ("K", "B", "n", "s", "c", "r", t, "b2"),
+    ])
+    h = H.build_history(df).collect()
+    # two versions with the same start: an empty window and a repeated version key
+    assert len(h) == 2 and len({r.customer_sk for r in h}) == 1
+    assert sum(r.is_current for r in h) == 1

@@ -130,3 +130,39 @@ def test_run_stability_compares_latest_previous_run(spark):
                                 Q.RUN_LOG_SCHEMA)
     res = {r.check_name.split(" ")[0]: r.passed for r in Q.run_stability(log, now).collect()}
     assert res == {"t1": True, "t2": False}  # t3 has no previous count: skipped
+
+
+def test_item_without_order_breaks_grain(spark):
+    from strata.operators import star
+
+    items = spark.createDataFrame([("OI1", "O1", "P1", 1, 2.0), ("OI2", "O404", "P1", 1, 2.0)],
+                                  "order_item_id string, order_id string, product_id string, quantity int, unit_price double")
+    orders = spark.createDataFrame([("O1", "C1", "W1", D(2024, 1, 10), "COMPLETED")],
+                                   "order_id string, customer_id string, warehouse_id string, order_timestamp timestamp_ntz, status string")
+    dim_c = spark.createDataFrame([("v1", "C1", "e", "n", "s", "c", "r", D(2024, 1, 1), EOT, True)],
+                                  f"customer_sk string, customer_id string, email string, customer_name string, segment string, city string, region string, {START} timestamp_ntz, {END} timestamp_ntz, {CURRENT} boolean")
+    dim_p = spark.createDataFrame([("p", "P1", "x", "c", 2.0)], "product_sk string, product_id string, product_name string, category string, list_unit_price double")
+    dim_w = spark.createDataFrame([("w", "W1", "x", "c", "r")], "warehouse_sk string, warehouse_id string, warehouse_name string, city string, region string")
+    fct = star.fct_sales(items, orders, dim_c, dim_p, dim_w)
+    assert [r.order_item_id for r in fct.collect()] == ["OI1"]  # inner join drops the orphan line
+    res = Q.fact_grain(fct, items, "order_item_id", "fct_sales", "order-line").collect()
+    assert not [r for r in res if "grain" in r.check_name][0].passed
+
+
+def test_incremental_slice_lookback(spark):
+    from strata.operators.ingest import incremental_slice
+
+    src = spark.createDataFrame([(1, D(2024, 1, 1)), (2, D(2024, 1, 2)), (3, D(2024, 1, 3))], "id int, wm timestamp_ntz")
+    got = incremental_slice(src, "wm", "2024-01-02 12:00:00", D(2024, 1, 3), lookback="1 day")
+    assert sorted(r.id for r in got.collect()) == [2, 3]
+
+
+def test_trim_keys_is_opt_in(spark):
+    from strata.operators import clean as C
+
+    df = spark.createDataFrame([(" W1 ", "Amsterdam DC", "A", "NH", "t", "b1")],
+                               "warehouse_id string, warehouse_name string, city string, region string, ingestion_timestamp string, batch_id string")
+    spec = C.warehouses_spec()
+    assert C.clean(df, spec)[0].first().warehouse_id == " W1 "
+    spec.trim_keys = True
+    assert C.clean(df, spec)[0].first().warehouse_id == "W1"
