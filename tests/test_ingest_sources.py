@@ -166,3 +166,11 @@ def test_create_namespaces_is_idempotent(spark):
     assert sinks.create_namespaces(spark, "strata_test_") == sinks.create_namespaces(spark, "strata_test_")
     names = {r.namespace for r in spark.sql("SHOW SCHEMAS").collect()}
     assert {"strata_test_bronze", "strata_test_gold"} <= names
+
+
+def test_replace_table_as_and_read_table(spark):
+    df = spark.range(5).withColumn("v", F.col("id") * 2)
+    assert sinks.replace_table_as(df, "strata_test_gold_t") == 5
+    assert sinks.replace_table_as(df.limit(3), "strata_test_gold_t") == 3   # replaced, not appended
+    assert files.read_table(spark, "strata_test_gold_t").count() == 3
+    spark.sql("DROP TABLE IF EXISTS strata_test_gold_t")
