@@ -261,8 +261,9 @@ FROM events_dedup WHERE NOT coalesce({EVENTS_OK}, false)""",
 # Gold
 cte(
     "dim_date",
-    """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date, year(d) AS year,
-       quarter(d) AS quarter, month(d) AS month, day(d) AS day_of_month,
+    """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date, CAST(year(d) AS INTEGER) AS year,
+       CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
+       CAST(day(d) AS INTEGER) AS day_of_month,
        strftime(d, '%A') AS day_name, dayofweek(d) IN (0, 6) AS is_weekend
 FROM (
   SELECT CAST(unnest(generate_series(CAST(min_date AS TIMESTAMP), CAST(max_date AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d

@@ -30,6 +30,10 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
 
 
+DUCK_TYPE = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+             "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
@@ -38,6 +42,9 @@ def test_query_matches_oracle(spark, con, name):
     o_cols, o_rows = canon([d[0] for d in cur.description], cur.fetchall())
     assert s_cols == o_cols
     assert s_rows == o_rows
+    rel = con.sql(ORACLE[name])
+    duck = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {f.name: DUCK_TYPE.get(f.dataType.simpleString()) for f in df.schema.fields} == duck
 
 
 def test_entry_runs(spark):
