@@ -13,6 +13,57 @@ from pyspark.sql import functions as F
 from strata.operators.history import CURRENT, END, START
 
 
+SALT = "_salt"
+
+
+def hot_keys(facts: DataFrame, key: str, fraction: float) -> DataFrame:
+    """Keys holding at least ``fraction`` of all fact rows.
+
+    At most ``1 / fraction`` keys can qualify, so the result has a proven size
+    bound and may be broadcast.  The per-key count is a partial (map-side)
+    aggregate, so a hot key is counted without being gathered in one task.
+    """
+    counts = facts.groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.select(F.sum("_n")).scalar()  # from the per-key counts, not a second scan
+    return counts.where(F.col("_n") >= total * F.lit(fraction)).select("_hot_key")
+
+
+def salt_hot_keys(
+    facts: DataFrame,
+    versions: DataFrame,
+    fact_key: str,
+    version_key: str,
+    fraction: float,
+    buckets: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Spread each hot key over ``buckets`` join partitions.
+
+    A hot fact row gets a salt from a hash of the whole row (deterministic, so
+    a recomputed task puts every row in the same bucket again); the versions of
+    a hot key are copied once per bucket; every other key keeps salt 0 and a
+    single copy.  Only the versions of at most ``1 / fraction`` keys are
+    replicated.
+    """
+    hot = F.broadcast(hot_keys(facts, fact_key, fraction))
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
+    f = facts.join(hot, facts[fact_key] == hot["_hot_key"], "left").select(
+        *[facts[f"`{c}`"] for c in facts.columns],
+        F.when(F.col("_hot_key").isNotNull(), F.pmod(row_hash, F.lit(buckets)))
+        .otherwise(F.lit(0))
+        .cast("bigint")
+        .alias(SALT),
+    )
+    v = versions.join(hot, versions[version_key] == hot["_hot_key"], "left").select(
+        *[versions[f"`{c}`"] for c in versions.columns],
+        F.explode(
+            F.when(F.col("_hot_key").isNotNull(), F.sequence(F.lit(0), F.lit(buckets - 1)))
+            .otherwise(F.array(F.lit(0)))
+            .cast("array<bigint>")
+        ).alias("_v_salt"),
+    )
+    return f, v
+
+
 def point_in_time_join(
     facts: DataFrame,
     versions: DataFrame,
@@ -22,15 +73,32 @@ def point_in_time_join(
     start: str = START,
     end: str = END,
     how: str = "left",
+    skew_fraction: float | None = None,
+    salt_buckets: int = 32,
 ) -> DataFrame:
     """As-of join on ``key = key AND start <= ts < end``.
 
     Planned as a sort-merge (or, when AQE measures the versions side as small,
-    broadcast hash) join on the key with the range as a residual.  A hot fact
-    key is split by AQE's skew-join handling, which may split the fact
-    (streamed) side of a left join; the versions of one key are bounded by the
-    number of batches.  ``versions`` must carry distinct column names.
+    broadcast hash) join on the key with the range as a residual; no range is
+    exploded and at most one version matches a row.  The versions of one key
+    are bounded by the number of batches.
+
+    Hot keys: AQE splits a skewed partition when both join inputs are plain
+    shuffles (e.g. a dimension read from its table).  With ``skew_fraction``
+    set, keys holding at least that fraction of the facts are additionally
+    salted over ``salt_buckets`` partitions (see :func:`salt_hot_keys`), which
+    works whatever the shape of the inputs.  ``versions`` must carry distinct
+    column names.
     """
+    if skew_fraction:
+        facts, versions = salt_hot_keys(facts, versions, fact_key, version_key, skew_fraction, salt_buckets)
+        cond = (
+            (facts[fact_key] == versions[version_key])
+            & (facts[SALT] == versions["_v_salt"])
+            & (facts[fact_ts] >= versions[start])
+            & (facts[fact_ts] < versions[end])
+        )
+        return facts.join(versions, cond, how).drop(SALT, "_v_salt")
     cond = (
         (facts[fact_key] == versions[version_key])
         & (facts[fact_ts] >= versions[start])

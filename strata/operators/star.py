@@ -90,11 +90,19 @@ def dim_date(
     return calendar(date_bounds((orders, order_ts), (events, event_ts)))
 
 
-def resolve_customer_version(orders: DataFrame, dim_cust: DataFrame) -> DataFrame:
+# Customers holding at least this share of all orders are salted in the
+# point-in-time join (at most 1 / SKEW_FRACTION = 100 such customers).
+SKEW_FRACTION = 0.01
+
+
+def resolve_customer_version(
+    orders: DataFrame, dim_cust: DataFrame, skew_fraction: float | None = SKEW_FRACTION
+) -> DataFrame:
     """J3 applied to order headers: the customer version in effect at order time.
 
     Resolving on the headers (before the line-item join) shuffles the smaller
-    table by customer; the items then join on the order key.
+    table by customer; the items then join on the order key.  Customers with
+    at least ``skew_fraction`` of the orders are salted (``None`` turns it off).
     """
     versions = dim_cust.select(
         F.col("customer_id").alias("_c_id"),
@@ -103,7 +111,8 @@ def resolve_customer_version(orders: DataFrame, dim_cust: DataFrame) -> DataFram
         F.col(END).alias("_c_end"),
     )
     return point_in_time_join(
-        orders, versions, "customer_id", "_c_id", "order_timestamp", "_c_start", "_c_end"
+        orders, versions, "customer_id", "_c_id", "order_timestamp", "_c_start", "_c_end",
+        skew_fraction=skew_fraction,
     ).drop("_c_id", "_c_start", "_c_end")
 
 

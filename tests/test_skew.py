@@ -36,8 +36,10 @@ def test_hot_customer_is_split_in_point_in_time_join(spark, tmp_path):
             F.lit(dt.datetime(9999, 12, 31, 23, 59, 59)).cast("timestamp_ntz").alias(END),
             F.lit(True).alias(CURRENT),
         ).write.parquet(str(tmp_path / "dim_customer"))
+        # AQE path (salting off): both inputs are plain shuffles, so the hot partition is split
         res = star.resolve_customer_version(
-            spark.read.parquet(str(tmp_path / "orders")), spark.read.parquet(str(tmp_path / "dim_customer")))
+            spark.read.parquet(str(tmp_path / "orders")), spark.read.parquet(str(tmp_path / "dim_customer")),
+            skew_fraction=None)
         rows = res.collect()
         assert len(rows) == n and all(r.customer_sk for r in rows)  # whole result, nothing dropped
         buf = io.StringIO()
@@ -50,3 +52,31 @@ def test_hot_customer_is_split_in_point_in_time_join(spark, tmp_path):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_salted_point_in_time_join_equals_plain_join(spark):
+    from strata.operators import joins as J
+
+    n = 20000
+    facts = spark.range(n).select(
+        F.col("id").alias("fid"),
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 500).cast("string")).alias("k"),
+        (F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz") + F.make_interval(days=(F.col("id") % 60).cast("int"))).alias("ts"),
+    )
+    keys = [str(i) for i in range(500)] + ["HOT"]
+    rows = []
+    for k in keys:  # two versions per key, changing on day 30
+        rows.append((k, f"{k}-a", dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 31)))
+        rows.append((k, f"{k}-b", dt.datetime(2024, 1, 31), dt.datetime(9999, 12, 31, 23, 59, 59)))
+    versions = spark.createDataFrame(rows, f"vk string, sk string, {START} timestamp_ntz, {END} timestamp_ntz")
+    plain = J.point_in_time_join(facts, versions, "k", "vk", "ts")
+    salted = J.point_in_time_join(facts, versions, "k", "vk", "ts", skew_fraction=0.05, salt_buckets=8)
+    assert salted.columns == plain.columns
+    a = sorted((r.fid, r.sk) for r in plain.select("fid", "sk").collect())
+    b = sorted((r.fid, r.sk) for r in salted.select("fid", "sk").collect())
+    assert a == b and len(b) == n                     # whole result, one version per row at most
+    assert J.hot_keys(facts, "k", 0.05).collect()[0]["_hot_key"] == "HOT"
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        salted.explain()
+    assert "_salt" in buf.getvalue()
