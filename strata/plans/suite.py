@@ -73,16 +73,21 @@ def history_pass(lay) -> DataFrame:
 
 def sales_pass(lay) -> DataFrame:
     """The sales fact joined once to every dimension; all its metrics in one aggregate."""
-    dc = lay.dim_customer
-    versions = dc.groupBy("customer_sk").agg(
-        F.max("customer_id").alias("_ck"), F.max(F.col(CURRENT).cast("int")).alias("_cur")
-    )
-    current_start = dc.where(F.col(CURRENT)).groupBy(F.col("customer_id").alias("_key")).agg(
-        F.max(START).alias("_cur_start")
+    # one read of the history: each version with its key's current start (a
+    # window over the customer partitioning the history already has), then one
+    # row per version key so the lookup cannot fan out
+    per_key = Window.partitionBy("customer_id")
+    versions = (
+        lay.dim_customer.select(
+            "customer_sk",
+            F.col(CURRENT).cast("int").alias("_cur"),
+            F.max(F.when(F.col(CURRENT), F.col(START))).over(per_key).alias("_cur_start"),
+        )
+        .groupBy("customer_sk")
+        .agg(F.max("_cur").alias("_cur"), F.max("_cur_start").alias("_cur_start"))
     )
     j = (
         lay.fct_sales.join(versions, "customer_sk", "left")
-        .join(current_start, F.col("_ck") == F.col("_key"), "left")
         .join(Q.distinct_keys(lay.dim_product, "product_sk", "_psk"), F.col("product_sk") == F.col("_psk"), "left")
         .join(Q.distinct_keys(lay.dim_warehouse, "warehouse_sk", "_wsk"), F.col("warehouse_sk") == F.col("_wsk"), "left")
         .join(Q.distinct_keys(lay.dim_date, "date_key", "_dk"), F.col("date_key") == F.col("_dk"), "left")
