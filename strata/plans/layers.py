@@ -62,7 +62,11 @@ class Layers:
         every query.  Plans hold no data, and each query returns a fresh
         projection, so no result or shuffle output is shared between queries.
         """
-        key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), persist)
+        try:
+            app = spark.sparkContext.applicationId
+        except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. a remote session)
+            app = None
+        key = (id(spark), app, sf_dir.rstrip("/"), persist)
         if key not in cls._shared:
             cls._shared[key] = cls(spark, sf_dir, persist)
         return cls._shared[key]
