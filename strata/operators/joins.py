@@ -35,6 +35,7 @@ def salt_hot_keys(
     version_key: str,
     fraction: float,
     buckets: int,
+    hot: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Spread each hot key over ``buckets`` join partitions.
 
@@ -44,7 +45,7 @@ def salt_hot_keys(
     single copy.  Only the versions of at most ``1 / fraction`` keys are
     replicated.
     """
-    hot = F.broadcast(hot_keys(facts, fact_key, fraction))
+    hot = F.broadcast(hot if hot is not None else hot_keys(facts, fact_key, fraction))
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
     f = facts.join(hot, facts[fact_key] == hot["_hot_key"], "left").select(
         *[facts[f"`{c}`"] for c in facts.columns],
@@ -107,6 +108,31 @@ def point_in_time_join(
     return facts.join(versions, cond, how)
 
 
+def lookup_join(
+    facts: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    dim_key: str,
+    how: str = "left",
+    skew_fraction: float | None = None,
+    salt_buckets: int = 32,
+    hot: DataFrame | None = None,
+) -> DataFrame:
+    """Equi lookup of a Type-1 dimension (one row per key on the dim side).
+
+    AQE broadcasts the dimension when its measured size allows; otherwise it
+    is a sort-merge join, and with ``skew_fraction`` set the keys holding at
+    least that share of the facts are salted as in the point-in-time join.
+    ``hot`` may pass precomputed hot keys (column ``_hot_key``), e.g. counted
+    on a cheaper upstream column with the same distribution.
+    """
+    if skew_fraction:
+        f, d = salt_hot_keys(facts, dim, fact_key, dim_key, skew_fraction, salt_buckets, hot)
+        cond = (f[fact_key] == d[dim_key]) & (f[SALT] == d["_v_salt"])
+        return f.join(d, cond, how).drop(SALT, "_v_salt")
+    return facts.join(dim, facts[fact_key] == dim[dim_key], how)
+
+
 def naive_key_join(
     facts: DataFrame, versions: DataFrame, fact_key: str, version_key: str
 ) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import scalar as S
 from strata.operators.history import CURRENT, END, START, CUSTOMER_TRACKED
-from strata.operators.joins import multi_version_keys, point_in_time_join
+from strata.operators.joins import hot_keys, lookup_join, multi_version_keys, point_in_time_join
 
 DIM_CUSTOMER_COLUMNS = ["customer_sk", "customer_id", *CUSTOMER_TRACKED, START, END, CURRENT]
 
@@ -123,11 +123,16 @@ def fct_sales(
     dim_prod: DataFrame,
     dim_wh: DataFrame,
     warehouse_from: str = "orders",
+    lookup_skew_fraction: float | None = None,
 ) -> DataFrame:
     """Order-line grain sales fact (J1 + J3 + 2 x J2).
 
     ``warehouse_from`` names the side that carries ``warehouse_id``
     ('orders' in the retail model, 'items' when lines ship from a supplier).
+    Customers are always salted when hot.  Product and warehouse lookups are
+    broadcast by AQE when the dimension is small and split by AQE's skew join
+    when it is read from its table; ``lookup_skew_fraction`` additionally
+    salts hot products/warehouses (for large dimensions inside one plan).
     """
     o_cols = ["order_id", "customer_id", "order_timestamp", "status"]
     i_cols = ["order_item_id", "order_id", "product_id", "quantity", "unit_price"]
@@ -138,13 +143,21 @@ def fct_sales(
     headers = resolve_customer_version(
         orders.select(*o_cols).withColumnRenamed("order_id", "_o_id"), dim_cust
     )
-    lines = order_items.select(*i_cols).join(
-        headers, F.col("order_id") == F.col("_o_id"), "inner"
-    )
+    items = order_items.select(*i_cols)
+    lines = items.join(headers, F.col("order_id") == F.col("_o_id"), "inner")
     prod = dim_prod.select(F.col("product_id").alias("_p_id"), "product_sk")
     wh = dim_wh.select(F.col("warehouse_id").alias("_w_id"), "warehouse_sk")
-    joined = lines.join(prod, F.col("product_id") == F.col("_p_id"), "left").join(
-        wh, F.col("warehouse_id") == F.col("_w_id"), "left"
+    # hot products / warehouses are counted on the item input (same key
+    # distribution as the joined lines, one cheap aggregate) and salted
+    f = lookup_skew_fraction
+    joined = lookup_join(
+        lines, prod, "product_id", "_p_id", skew_fraction=f,
+        hot=hot_keys(items, "product_id", f) if f else None,
+    )
+    wh_source = headers if warehouse_from == "orders" else items
+    joined = lookup_join(
+        joined, wh, "warehouse_id", "_w_id", skew_fraction=f,
+        hot=hot_keys(wh_source, "warehouse_id", f) if f else None,
     )
     return joined.select(
         "order_item_id",
@@ -162,13 +175,19 @@ def fct_sales(
 
 
 def fct_inventory_movements(
-    events: DataFrame, dim_wh: DataFrame, dim_prod: DataFrame
+    events: DataFrame,
+    dim_wh: DataFrame,
+    dim_prod: DataFrame,
+    lookup_skew_fraction: float | None = None,
 ) -> DataFrame:
-    """Event-grain inventory fact (2 x J2)."""
+    """Event-grain inventory fact (2 x J2); lookups as in :func:`fct_sales`."""
     wh = dim_wh.select(F.col("warehouse_id").alias("_w_id"), "warehouse_sk")
     prod = dim_prod.select(F.col("product_id").alias("_p_id"), "product_sk")
-    joined = events.join(wh, F.col("warehouse_id") == F.col("_w_id"), "left").join(
-        prod, F.col("product_id") == F.col("_p_id"), "left"
+    f = lookup_skew_fraction
+    joined = lookup_join(events, wh, "warehouse_id", "_w_id", skew_fraction=f)
+    joined = lookup_join(
+        joined, prod, "product_id", "_p_id", skew_fraction=f,
+        hot=hot_keys(events, "product_id", f) if f else None,
     )
     return joined.select(
         "event_id",

@@ -80,3 +80,18 @@ def test_salted_point_in_time_join_equals_plain_join(spark):
     with contextlib.redirect_stdout(buf):
         salted.explain()
     assert "_salt" in buf.getvalue()
+
+
+def test_salted_lookups_equal_plain_lookups(spark):
+    from strata.operators import star
+    from strata.plans.layers import Layers
+
+    lay = Layers.shared(spark, "/root/testdata/sf0.001")
+    args = (lay.silver("order_items"), lay.silver("orders"), lay.dim_customer, lay.dim_product, lay.dim_warehouse)
+    plain = star.fct_sales(*args, warehouse_from="items")
+    salted = star.fct_sales(*args, warehouse_from="items", lookup_skew_fraction=0.001)
+    key = lambda r: tuple("" if v is None else str(v) for v in r)
+    assert sorted(map(key, plain.collect())) == sorted(map(key, salted.collect()))
+    inv = (lay.silver("inventory_events"), lay.dim_warehouse, lay.dim_product)
+    assert sorted(map(key, star.fct_inventory_movements(*inv).collect())) == sorted(
+        map(key, star.fct_inventory_movements(*inv, lookup_skew_fraction=0.001).collect()))
