@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import FIXTURE_LANDING
-from strata.operators.history import CURRENT, END, START
+from strata.operators.history import CURRENT, END
 from strata.plans import suite
 from strata.plans.pipeline import Tables, run_pipeline
 
