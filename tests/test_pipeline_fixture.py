@@ -130,3 +130,32 @@ def test_failing_gate_does_not_append_run_log(spark, tmp_path):
         run_pipeline(spark, FIXTURE_LANDING, ["batch_1", "batch_2"], out, dt.datetime(2024, 3, 1), "demo", bad)
     assert "C001 has 3 version(s)" in str(err.value)
     assert not os.path.exists(os.path.join(out, "gold", "validation_run_log"))
+
+
+def test_parquet_landing_gives_the_same_lake(spark, tmp_path, run):
+    """Incremental entities accumulate load dates; full entities use only the
+    latest snapshot (an older, partial snapshot is ignored)."""
+    from strata.operators.ingest import land_partitioned
+    from strata.plans.pipeline import ENTITY_COLUMNS, LOAD_TYPES
+    from strata.sources import files
+
+    landing = str(tmp_path / "landing")
+    dates = {"batch_1": "2024-01-01", "batch_2": "2024-02-01"}
+    for entity, cols in ENTITY_COLUMNS.items():
+        read = lambda bs: files.read_csv_batches(spark, FIXTURE_LANDING, bs, entity, cols).select(*cols)
+        if LOAD_TYPES[entity] == "incremental":
+            for b, d in dates.items():
+                land_partitioned(read([b]), f"{landing}/{entity}", d)
+        else:
+            land_partitioned(read(["batch_1"]), f"{landing}/{entity}", dates["batch_1"])
+            land_partitioned(read(["batch_1", "batch_2"]), f"{landing}/{entity}", dates["batch_2"])
+    out = str(tmp_path / "lake")
+    res = run_pipeline(spark, landing, None, out, dt.datetime(2024, 3, 1), "landing", EDGE, landing_format="parquet")
+    assert res.passed and len(res.checks) == 50
+    _, first, _ = run
+    same = [k for k in first.counts if not k.startswith("bronze.warehouses")]
+    assert {k: res.counts[k] for k in same} == {k: first.counts[k] for k in same}
+    t = Tables(spark, out)
+    assert round(t.fct_sales.agg(F.sum("line_amount")).first()[0], 2) == 643.86
+    assert {r.batch_id for r in t.raw("orders").collect()} == {"load_date=2024-01-01", "load_date=2024-02-01"}
+    assert {r.batch_id for r in t.raw("order_items").collect()} == {"load_date=2024-02-01"}
