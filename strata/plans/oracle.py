@@ -634,6 +634,13 @@ WHERE CASE WHEN s.entity_name IS NOT NULL THEN s.is_active ELSE e.is_active END"
                 "reseed",
             ),
             "history_apply_batch": sql("SELECT * FROM history", "history"),
+            "ingest_run": """SELECT 'customers' AS entity_name, (SELECT count(*) FROM customer) AS landed_rows,
+       CAST(NULL AS TIMESTAMP) AS last_watermark_value
+UNION ALL SELECT 'products', (SELECT count(*) FROM part), CAST(NULL AS TIMESTAMP)
+UNION ALL SELECT 'warehouses', (SELECT count(*) FROM supplier), CAST(NULL AS TIMESTAMP)
+UNION ALL SELECT 'orders', (SELECT count(*) FROM orders WHERE o_orderdate IS NOT NULL), (SELECT max(o_orderdate) FROM orders)
+UNION ALL SELECT 'order_items', (SELECT count(*) FROM lineitem WHERE l_shipdate IS NOT NULL), (SELECT max(l_shipdate) FROM lineitem)
+UNION ALL SELECT 'inventory_events', (SELECT count(*) FROM events WHERE ts IS NOT NULL), (SELECT max(ts) FROM events)""",
         }
     )
 

@@ -174,3 +174,32 @@ def test_replace_table_as_and_read_table(spark):
     assert sinks.replace_table_as(df.limit(3), "strata_test_gold_t") == 3   # replaced, not appended
     assert files.read_table(spark, "strata_test_gold_t").count() == 3
     spark.sql("DROP TABLE IF EXISTS strata_test_gold_t")
+
+
+def test_run_ingestion_first_repeat_new_and_failed(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    orders = spark.createDataFrame([(1, D(2024, 1, 1)), (2, D(2024, 1, 2))], "id int, ts timestamp_ntz")
+    items = spark.createDataFrame([(1, 1)], "order_id int, line int")
+    control = I.seed_frame(spark, [
+        ("orders", "s", "orders", "incremental", "ts", "orders", "parquet", True),
+        ("items", "s", "items", "full", None, "items", "parquet", True),
+    ])
+    c1, rep = I.run_ingestion(spark, control, {"orders": orders, "items": items}, landing, "2024-01-03", "2024-01-03 01:00:00")
+    marks = {r.entity_name: r.last_watermark_value for r in c1.collect()}
+    assert marks == {"orders": D(2024, 1, 2), "items": None} and all(r["succeeded"] for r in rep)
+    # repeat run, nothing new: an empty slice is landed and the mark stays
+    c2, _ = I.run_ingestion(spark, c1, {"orders": orders, "items": items}, landing, "2024-01-04", "2024-01-04 01:00:00")
+    assert {r.entity_name: r.last_watermark_value for r in c2.collect()}["orders"] == D(2024, 1, 2)
+    # new rows: only they are copied
+    more = orders.unionByName(spark.createDataFrame([(3, D(2024, 1, 5))], "id int, ts timestamp_ntz"))
+    c3, _ = I.run_ingestion(spark, c2, {"orders": more, "items": items}, landing, "2024-01-05", "2024-01-05 01:00:00")
+    landed = files.read_partitions(spark, f"{landing}/orders")
+    got = {r.batch_id: r.n for r in landed.groupBy("batch_id").agg(F.count("*").alias("n")).collect()}
+    assert got == {"load_date=2024-01-03": 2, "load_date=2024-01-05": 1}
+    # a failed copy keeps its mark and does not stop the other entity
+    broken = spark.createDataFrame([("x", D(2024, 1, 9))], "id string, ts timestamp_ntz").select(
+        F.col("id").cast("int").alias("id"), "ts")  # ANSI cast error at run time
+    c4, rep4 = I.run_ingestion(spark, c3, {"orders": broken, "items": items}, landing, "2024-01-09", "2024-01-09 01:00:00")
+    out = {r["entity_name"]: r for r in rep4}
+    assert not out["orders"]["succeeded"] and out["items"]["succeeded"]
+    assert {r.entity_name: r.last_watermark_value for r in c4.collect()}["orders"] == D(2024, 1, 5)
