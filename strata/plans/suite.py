@@ -230,11 +230,20 @@ def expectation_checks(lay) -> list[Q.MetricCheck]:
     ]
 
 
+def table_pass(lay, name: str) -> DataFrame:
+    """The metric pass of one table, built once per layer object (a plan, not
+    data: every query still executes it afresh)."""
+    cache = lay.__dict__.setdefault("_suite_passes", {})
+    if name not in cache:
+        cache[name] = PASSES[name](lay)
+    return cache[name]
+
+
 def run_checks(lay, checks: list[Q.MetricCheck]) -> DataFrame:
     """Compute only the table passes the checks need, then the check rows."""
     names = {c.observed for c in checks} | {c.expected for c in checks if isinstance(c.expected, str)}
     needed = sorted({n.rsplit(".", 1)[0] for n in names})
-    return Q.checks_from_metrics(Q.union_all([PASSES[p](lay) for p in needed]), checks)
+    return Q.checks_from_metrics(Q.union_all([table_pass(lay, p) for p in needed]), checks)
 
 
 def all_checks(lay) -> list[Q.MetricCheck]:
