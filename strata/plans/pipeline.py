@@ -81,6 +81,7 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str, null_attribute: str = "region"):
         self.spark, self.root = spark, root.rstrip("/")
         self.null_attribute = null_attribute
+        self.splits: dict[str, sinks.SplitTable] = {}
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -94,11 +95,20 @@ class Tables:
     def raw_items_typed(self) -> DataFrame:
         return C.standardise(self.raw("order_items"), C.order_items_spec())
 
+    def _split(self, entity: str) -> sinks.SplitTable:
+        if entity not in self.splits:  # a lake written by an earlier run
+            cols = [c for c in self.spark.read.parquet(self.path("silver", SILVER_NAME[entity])).columns
+                    if c not in sinks.SPLIT_AUDIT and c != C.VALID_FLAG]
+            self.splits[entity] = sinks.SplitTable(self.path("silver", SILVER_NAME[entity]), cols, -1, -1)
+        return self.splits[entity]
+
     def silver(self, entity: str) -> DataFrame:
-        return self.read("silver", SILVER_NAME[entity])
+        return self._split(entity).valid(self.spark)
 
     def quarantine(self, entity: str) -> DataFrame:
-        return self.read("quarantine", entity)
+        if entity == "customers":
+            return self.read("quarantine", entity)
+        return self._split(entity).quarantined(self.spark)
 
     @property
     def customer_history(self) -> DataFrame:
@@ -217,16 +227,15 @@ def run_pipeline(
         bronze = files.add_bronze_audit(raw, source_system, ingestion_ts=ts)
         counts[f"bronze.{entity}"] = sinks.write_bronze(bronze, t.path("bronze", entity))
 
-    # Silver: typed + deduplicated, evaluated once per entity (tagged write),
-    # then split into the clean table and the quarantine table.
+    # Silver: typed + deduplicated, evaluated and written once per entity;
+    # the clean table and the quarantine are the two partitions of that write.
     for entity, spec in entity_specs().items():
         typed = C.standardise(t.raw(entity), spec)
         deduped = C.dedup_latest(typed, spec.keys, spec.order_col, spec.tie_break)
-        valid, bad, _ = sinks.write_split(
-            deduped, spec.rules, spec.reason, t.path("_staging", entity), quarantine_ts=ts
-        )
-        counts[f"silver.{SILVER_NAME[entity]}"] = sinks.write_silver(valid, t.path("silver", SILVER_NAME[entity]), ts)
-        counts[f"quarantine.{entity}"] = sinks.write_quarantine(bad, t.path("quarantine", entity))
+        split = sinks.write_split(deduped, spec.rules, spec.reason, t.path("silver", SILVER_NAME[entity]), ts)
+        t.splits[entity] = split
+        counts[f"silver.{SILVER_NAME[entity]}"] = split.valid_rows
+        counts[f"quarantine.{entity}"] = split.quarantined_rows
 
     # Customer history: quarantine before dedup, then the window rebuild.
     feed, bad_feed = H.prepare_feed(t.raw("customers"), quarantine_ts=ts)

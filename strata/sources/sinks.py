@@ -7,6 +7,8 @@ Parquet table cannot be overwritten while it is being read.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -55,31 +57,71 @@ def write_quarantine(df: DataFrame, target: str, **kw) -> int:
     return write_counted(df, target, "overwrite", **kw)
 
 
+SPLIT_AUDIT = ["silver_processed_timestamp", "quarantine_reason", "failed_rules", "quarantine_timestamp"]
+
+
+@dataclass
+class SplitTable:
+    """A Silver table and its quarantine, stored once as two partitions."""
+
+    path: str
+    columns: list[str]
+    valid_rows: int
+    quarantined_rows: int
+    schema: StructType | None = None  # as written (no inference; works for empty writes)
+
+    def _read(self, spark: SparkSession) -> DataFrame:
+        reader = spark.read.schema(self.schema) if self.schema is not None else spark.read
+        return reader.parquet(self.path)
+
+    def valid(self, spark: SparkSession) -> DataFrame:
+        flag = F.col(VALID_FLAG).cast("boolean")
+        return self._read(spark).where(flag).select(*self.columns, "silver_processed_timestamp")
+
+    def quarantined(self, spark: SparkSession) -> DataFrame:
+        flag = F.col(VALID_FLAG).cast("boolean")
+        return self._read(spark).where(~flag).select(
+            *self.columns, "quarantine_reason", "failed_rules", "quarantine_timestamp"
+        )
+
+
 def write_split(
     df: DataFrame,
     rules: list[Rule],
     reason: str,
     target: str,
-    quarantine_ts: Column | None = None,
-) -> tuple[DataFrame, DataFrame, int]:
-    """P8 at scale: evaluate the (deduplicated) plan **once**.
-
-    The tagged rows are written a single time, partitioned by the validity
-    flag; valid and quarantined outputs are then two partition-pruned reads
-    of that folder, so the upstream dedup shuffle is not recomputed per
-    output.  Returns ``(valid, quarantined, rows_written)``.
+    run_ts: Column | None = None,
+) -> SplitTable:
+    """P8 + S8 + S9 at scale: the (deduplicated) plan is evaluated and written
+    **once**.
+
+    Rows are tagged with the validity flag and written partitioned by it, so
+    the Silver table is the ``true`` partition and the quarantine table the
+    ``false`` partition of one folder; readers prune to their partition.  The
+    audit columns of each side are filled only on that side.  Both row counts
+    come from one :class:`Observation` on the write.
     """
-    tagged = tag_validity(df, rules).withColumn(
-        "failed_rules", F.when(~F.col(VALID_FLAG), failed_rules(rules))
+    ts = run_ts if run_ts is not None else F.current_timestamp()
+    flag = F.col(VALID_FLAG)
+    tagged = tag_validity(df, rules).withColumns(
+        {
+            "silver_processed_timestamp": F.when(flag, ts),
+            "quarantine_reason": F.when(~flag, F.lit(reason)),
+            "failed_rules": F.when(~flag, failed_rules(rules)),
+            "quarantine_timestamp": F.when(~flag, ts),
+        }
+    )
+    obs = Observation(f"split_{abs(hash(target)) % 10**8}")
+    observed = tagged.observe(
+        obs, F.count_if(flag).alias("valid"), F.count_if(~flag).alias("quarantined")
+    )
+    observed.write.mode("overwrite").partitionBy(VALID_FLAG).parquet(target)
+    got = obs.get
+    data = [f for f in tagged.schema.fields if f.name != VALID_FLAG]
+    schema = StructType(data + [f for f in tagged.schema.fields if f.name == VALID_FLAG])
+    return SplitTable(
+        target, list(df.columns), int(got.get("valid", 0)), int(got.get("quarantined", 0)), schema
     )
-    n = write_counted(tagged, target, "overwrite", partition_by=[VALID_FLAG])
-    back = df.sparkSession.read.parquet(target)
-    flag = F.col(VALID_FLAG).cast("boolean")
-    valid = back.where(flag).drop(VALID_FLAG, "failed_rules")
-    bad = back.where(~flag).drop(VALID_FLAG).withColumn("quarantine_reason", F.lit(reason))
-    if quarantine_ts is not None:
-        bad = bad.withColumn("quarantine_timestamp", quarantine_ts)
-    return valid.select(*df.columns), bad, n
 
 
 def replace_table_as(df: DataFrame, name: str, fmt: str = "parquet") -> int:

@@ -151,15 +151,23 @@ def test_sinks_count_without_reread(spark, tmp_path):
     assert sinks.drop_and_rebuild(df.select("id"), str(tmp_path / "h"), spark.range(1).schema) == 10
 
 
-def test_write_split_evaluates_once(spark, tmp_path):
+def test_write_split_writes_once(spark, tmp_path):
     from strata.operators.clean import Rule
 
     df = spark.range(10).withColumn("v", F.when(F.col("id") < 7, F.lit(1)))
-    valid, bad, n = sinks.write_split(df, [Rule("v_not_null", F.col("v").isNotNull())], "null v",
-                                      str(tmp_path / "split"))
-    assert n == 10 and valid.count() == 7 and bad.count() == 3
+    split = sinks.write_split(df, [Rule("v_not_null", F.col("v").isNotNull())], "null v", str(tmp_path / "split"))
+    assert (split.valid_rows, split.quarantined_rows) == (7, 3)
+    valid, bad = split.valid(spark), split.quarantined(spark)
+    assert valid.count() == 7 and bad.count() == 3
+    assert valid.columns == ["id", "v", "silver_processed_timestamp"]
     assert {r.failed_rules for r in bad.collect()} == {"v_not_null"}
+    assert {r.quarantine_reason for r in bad.collect()} == {"null v"}
     assert os.path.isdir(str(tmp_path / "split" / "_is_valid=true"))
+    # nothing quarantined: the false partition is absent and the read is still empty, not an error
+    clean = sinks.write_split(spark.range(3), [Rule("ok", F.lit(True))], "r", str(tmp_path / "s2"))
+    assert clean.quarantined(spark).count() == 0 and clean.valid(spark).count() == 3
+    empty = sinks.write_split(spark.range(0), [Rule("ok", F.lit(True))], "r", str(tmp_path / "s3"))
+    assert empty.valid(spark).count() == 0 and empty.quarantined(spark).count() == 0
 
 
 def test_create_namespaces_is_idempotent(spark):
