@@ -159,3 +159,17 @@ def test_parquet_landing_gives_the_same_lake(spark, tmp_path, run):
     assert round(t.fct_sales.agg(F.sum("line_amount")).first()[0], 2) == 643.86
     assert {r.batch_id for r in t.raw("orders").collect()} == {"load_date=2024-01-01", "load_date=2024-02-01"}
     assert {r.batch_id for r in t.raw("order_items").collect()} == {"load_date=2024-02-01"}
+
+
+def test_facts_partitioned_by_month(spark, tmp_path, run):
+    out = str(tmp_path / "lake")
+    res = run_pipeline(spark, FIXTURE_LANDING, ["batch_1", "batch_2"], out, dt.datetime(2024, 3, 1), "demo", EDGE,
+                       facts_by_month=True)
+    assert res.passed
+    months = sorted(d for d in os.listdir(os.path.join(out, "gold", "fct_sales")) if d.startswith("date_month="))
+    assert months == ["date_month=202401", "date_month=202402"]
+    t = Tables(spark, out)
+    assert "date_month" not in t.fct_sales.columns and t.fct_sales.count() == 9
+    # a month filter reads one partition only
+    jan = spark.read.parquet(os.path.join(out, "gold", "fct_sales")).where("date_month = 202401")
+    assert jan.count() == 6
