@@ -63,7 +63,11 @@ def date_bounds(*sources: tuple[DataFrame, str]) -> DataFrame:
 
 
 def calendar(bounds: DataFrame) -> DataFrame:
-    """One row per day between the bounds with calendar attributes."""
+    """One row per day between the bounds with calendar attributes.
+
+    The days come from one bounds row, so one task generates them; their
+    number is the span of the dates in days (bounded by time, not by data).
+    """
     days = bounds.select(
         F.explode(F.sequence("min_date", "max_date", F.expr("INTERVAL 1 DAY"))).alias("date")
     )
