@@ -310,3 +310,47 @@ def local_path(path: str) -> str:
     from strata.session import local_dir
 
     return local_dir(path)
+
+
+def register_layers(spark: SparkSession, out_root: str, prefix: str = "") -> list[str]:
+    """Expose a written lake in the catalog as ``{prefix}bronze|silver|quarantine|gold``.
+
+    Bronze and Gold folders become tables over their location; each Silver
+    table and its quarantine become views over their partition of the split
+    folder.  Existing names are replaced.  Returns the qualified names.
+    """
+    t = Tables(spark, out_root)
+    ns = {layer: f"{prefix}{layer}" for layer in sinks.LAYERS}
+    sinks.create_namespaces(spark, prefix)
+    names = []
+
+    def table(schema: str, name: str, path: str) -> None:
+        spark.sql(f"DROP VIEW IF EXISTS `{schema}`.`{name}`")
+        spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{name}`")
+        spark.sql(f"CREATE TABLE `{schema}`.`{name}` USING parquet LOCATION '{path}'")
+        names.append(f"{schema}.{name}")
+
+    def view(schema: str, name: str, path: str, cols: list[str], valid: bool) -> None:
+        select = ", ".join(f"`{c}`" for c in cols)
+        cond = f"CAST(`{C.VALID_FLAG}` AS BOOLEAN)" if valid else f"NOT CAST(`{C.VALID_FLAG}` AS BOOLEAN)"
+        spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{name}`")
+        spark.sql(
+            f"CREATE OR REPLACE VIEW `{schema}`.`{name}` AS "
+            f"SELECT {select} FROM parquet.`{path}` WHERE {cond}"
+        )
+        names.append(f"{schema}.{name}")
+
+    for entity in ENTITY_COLUMNS:
+        table(ns["bronze"], entity, t.path("bronze", entity))
+    table(ns["silver"], "customers_history", t.path("silver", "customers_history"))
+    table(ns["quarantine"], "customers", t.path("quarantine", "customers"))
+    for entity, name in SILVER_NAME.items():
+        split = t._split(entity)
+        view(ns["silver"], name, split.path, split.columns + ["silver_processed_timestamp"], True)
+        view(ns["quarantine"], entity, split.path,
+             split.columns + ["quarantine_reason", "failed_rules", "quarantine_timestamp"], False)
+    for name in ["dim_customer", "dim_product", "dim_warehouse", "dim_date", "fct_sales",
+                 "fct_inventory_movements", "validation_run_log"]:
+        if _exists(spark, t.path("gold", name)):
+            table(ns["gold"], name, t.path("gold", name))
+    return names

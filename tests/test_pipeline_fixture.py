@@ -173,3 +173,25 @@ def test_facts_partitioned_by_month(spark, tmp_path, run):
     # a month filter reads one partition only
     jan = spark.read.parquet(os.path.join(out, "gold", "fct_sales")).where("date_month = 202401")
     assert jan.count() == 6
+
+
+def test_register_layers_answers_reference_style_sql(spark, run):
+    from strata.plans.pipeline import register_layers
+
+    out, *_ = run
+    names = register_layers(spark, out, prefix="demo_")
+    assert "demo_gold.fct_sales" in names and "demo_silver.order_items_clean" in names
+    rows = spark.sql("""
+        SELECT f.order_item_id, f.order_timestamp, c.customer_id, c.email, f.line_amount
+        FROM demo_gold.fct_sales f
+        JOIN demo_gold.dim_customer c ON f.customer_sk = c.customer_sk
+        WHERE c.customer_id IN (
+            SELECT customer_id FROM demo_gold.dim_customer GROUP BY customer_id HAVING COUNT(*) > 1)
+        ORDER BY c.customer_id, f.order_timestamp, f.order_item_id
+    """).collect()
+    assert [(r.order_item_id, r.email) for r in rows] == [
+        ("OI1001", "c001@old.example"), ("OI1002", "c001@old.example"),
+        ("OI2001", "c001@new.example"), ("OI1003", "c002@example.com")]
+    q = spark.sql("SELECT order_item_id FROM demo_quarantine.order_items").collect()
+    assert [r.order_item_id for r in q] == ["OI2002"]
+    assert spark.sql("SELECT count(*) AS n FROM demo_silver.order_items_clean").first().n == 9
