@@ -76,6 +76,7 @@ def point_in_time_join(
     how: str = "left",
     skew_fraction: float | None = None,
     salt_buckets: int = 32,
+    bypass_null_keys: bool = False,
 ) -> DataFrame:
     """As-of join on ``key = key AND start <= ts < end``.
 
@@ -88,24 +89,46 @@ def point_in_time_join(
     shuffles (e.g. a dimension read from its table).  With ``skew_fraction``
     set, keys holding at least that fraction of the facts are additionally
     salted over ``salt_buckets`` partitions (see :func:`salt_hot_keys`), which
-    works whatever the shape of the inputs.  ``versions`` must carry distinct
-    column names.
+    works whatever the shape of the inputs.  ``bypass_null_keys`` keeps
+    NULL-key facts out of the shuffle (:func:`null_keys_bypass`) for inputs
+    whose key may be NULL; Silver's not-null rules normally make it
+    unnecessary.  ``versions`` must carry distinct column names.
     """
-    if skew_fraction:
-        facts, versions = salt_hot_keys(facts, versions, fact_key, version_key, skew_fraction, salt_buckets)
-        cond = (
-            (facts[fact_key] == versions[version_key])
-            & (facts[SALT] == versions["_v_salt"])
-            & (facts[fact_ts] >= versions[start])
-            & (facts[fact_ts] < versions[end])
-        )
-        return facts.join(versions, cond, how).drop(SALT, "_v_salt")
-    cond = (
-        (facts[fact_key] == versions[version_key])
-        & (facts[fact_ts] >= versions[start])
-        & (facts[fact_ts] < versions[end])
+    def join(f: DataFrame, v: DataFrame) -> DataFrame:
+        if skew_fraction:
+            f, v = salt_hot_keys(f, v, fact_key, version_key, skew_fraction, salt_buckets)
+            cond = (
+                (f[fact_key] == v[version_key])
+                & (f[SALT] == v["_v_salt"])
+                & (f[fact_ts] >= v[start])
+                & (f[fact_ts] < v[end])
+            )
+            return f.join(v, cond, how).drop(SALT, "_v_salt")
+        cond = (f[fact_key] == v[version_key]) & (f[fact_ts] >= v[start]) & (f[fact_ts] < v[end])
+        return f.join(v, cond, how)
+
+    if bypass_null_keys:
+        return null_keys_bypass(facts, versions, fact_key, how, join)
+    return join(facts, versions)
+
+
+def null_keys_bypass(facts: DataFrame, other: DataFrame, fact_key: str, how: str, join) -> DataFrame:
+    """Keep NULL-key fact rows out of a left join's shuffle.
+
+    A NULL key never matches, yet a left join must keep the row, so every
+    NULL-key row would hash to the same partition: with a third of the facts
+    NULL, one task would get them all.  They are filtered off map-side and
+    unioned back with NULL dimension columns instead.
+    """
+    if how not in ("left", "left_outer", "leftouter"):
+        return join(facts, other)
+    key = F.col(f"`{fact_key}`")
+    joined = join(facts.where(key.isNotNull()), other)
+    nulls = facts.where(key.isNull()).select(
+        *[F.col(f"`{c}`") for c in facts.columns],
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema.fields],
     )
-    return facts.join(versions, cond, how)
+    return joined.unionByName(nulls.select(*joined.columns))
 
 
 def lookup_join(
@@ -117,6 +140,7 @@ def lookup_join(
     skew_fraction: float | None = None,
     salt_buckets: int = 32,
     hot: DataFrame | None = None,
+    bypass_null_keys: bool = False,
 ) -> DataFrame:
     """Equi lookup of a Type-1 dimension (one row per key on the dim side).
 
@@ -125,12 +149,20 @@ def lookup_join(
     least that share of the facts are salted as in the point-in-time join.
     ``hot`` may pass precomputed hot keys (column ``_hot_key``), e.g. counted
     on a cheaper upstream column with the same distribution.
+    ``bypass_null_keys`` keeps NULL-key rows out of the shuffle (see
+    :func:`null_keys_bypass`); it evaluates ``facts`` in two branches, so use
+    it when ``facts`` is cheap to read twice (a table, not a deep join).
     """
-    if skew_fraction:
-        f, d = salt_hot_keys(facts, dim, fact_key, dim_key, skew_fraction, salt_buckets, hot)
-        cond = (f[fact_key] == d[dim_key]) & (f[SALT] == d["_v_salt"])
-        return f.join(d, cond, how).drop(SALT, "_v_salt")
-    return facts.join(dim, facts[fact_key] == dim[dim_key], how)
+    def join(f: DataFrame, d: DataFrame) -> DataFrame:
+        if skew_fraction:
+            f, d = salt_hot_keys(f, d, fact_key, dim_key, skew_fraction, salt_buckets, hot)
+            cond = (f[fact_key] == d[dim_key]) & (f[SALT] == d["_v_salt"])
+            return f.join(d, cond, how).drop(SALT, "_v_salt")
+        return f.join(d, f[fact_key] == d[dim_key], how)
+
+    if bypass_null_keys:
+        return null_keys_bypass(facts, dim, fact_key, how, join)
+    return join(facts, dim)
 
 
 def naive_key_join(

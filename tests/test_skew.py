@@ -95,3 +95,23 @@ def test_salted_lookups_equal_plain_lookups(spark):
     inv = (lay.silver("inventory_events"), lay.dim_warehouse, lay.dim_product)
     assert sorted(map(key, star.fct_inventory_movements(*inv).collect())) == sorted(
         map(key, star.fct_inventory_movements(*inv, lookup_skew_fraction=0.001).collect()))
+
+
+def test_null_keys_bypass_the_left_join_shuffle(spark):
+    from strata.operators import joins as J
+
+    facts = spark.range(3000).select(
+        F.col("id").alias("fid"),
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise((F.col("id") % 50).cast("string")).alias("k"),
+        F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz").alias("ts"),
+    )
+    versions = spark.createDataFrame(
+        [(str(i), f"v{i}", dt.datetime(2024, 1, 1), dt.datetime(9999, 12, 31)) for i in range(50)],
+        f"vk string, sk string, {START} timestamp_ntz, {END} timestamp_ntz")
+    got = J.point_in_time_join(facts, versions, "k", "vk", "ts", bypass_null_keys=True)
+    rows = got.collect()
+    assert len(rows) == 3000 and got.columns == facts.columns + versions.columns
+    assert sum(r.sk is None for r in rows) == 1000 and all(r.sk == f"v{r.k}" for r in rows if r.k is not None)
+    dims = spark.createDataFrame([(str(i), f"d{i}") for i in range(50)], "dk string, name string")
+    looked = J.lookup_join(facts, dims, "k", "dk", bypass_null_keys=True).collect()
+    assert len(looked) == 3000 and sum(r.name is None for r in looked) == 1000
