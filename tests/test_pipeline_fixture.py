@@ -180,6 +180,7 @@ def test_register_layers_answers_reference_style_sql(spark, run):
 
     out, *_ = run
     names = register_layers(spark, out, prefix="demo_")
+    assert register_layers(spark, out, prefix="demo_") == names  # re-registering replaces
     assert "demo_gold.fct_sales" in names and "demo_silver.order_items_clean" in names
     rows = spark.sql("""
         SELECT f.order_item_id, f.order_timestamp, c.customer_id, c.email, f.line_amount
