@@ -324,18 +324,23 @@ def register_layers(spark: SparkSession, out_root: str, prefix: str = "") -> lis
     sinks.create_namespaces(spark, prefix)
     names = []
 
+    def drop(schema: str, name: str) -> None:
+        full = f"{schema}.{name}"
+        if spark.catalog.tableExists(full):
+            kind = "VIEW" if spark.catalog.getTable(full).tableType == "VIEW" else "TABLE"
+            spark.sql(f"DROP {kind} `{schema}`.`{name}`")  # external tables keep their files
+
     def table(schema: str, name: str, path: str) -> None:
-        spark.sql(f"DROP VIEW IF EXISTS `{schema}`.`{name}`")
-        spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{name}`")
+        drop(schema, name)
         spark.sql(f"CREATE TABLE `{schema}`.`{name}` USING parquet LOCATION '{path}'")
         names.append(f"{schema}.{name}")
 
     def view(schema: str, name: str, path: str, cols: list[str], valid: bool) -> None:
         select = ", ".join(f"`{c}`" for c in cols)
         cond = f"CAST(`{C.VALID_FLAG}` AS BOOLEAN)" if valid else f"NOT CAST(`{C.VALID_FLAG}` AS BOOLEAN)"
-        spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{name}`")
+        drop(schema, name)
         spark.sql(
-            f"CREATE OR REPLACE VIEW `{schema}`.`{name}` AS "
+            f"CREATE VIEW `{schema}`.`{name}` AS "
             f"SELECT {select} FROM parquet.`{path}` WHERE {cond}"
         )
         names.append(f"{schema}.{name}")
