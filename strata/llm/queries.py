@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import best_fit, block_search, byte_bpe, ngram_join, quality_net, toxicity_mil
+from strata.llm import best_fit, block_search, byte_bpe, html_layout, license_scan, line_rules, ngram_join, quality_net, toxicity_mil
 from strata.llm.common import read_table
 
 
@@ -13,6 +13,11 @@ def op1_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_search.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = line_rules.judged(read_table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "kept_chars", "kept_words")
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(read_table(spark, sf_dir, "documents"))
 
@@ -36,10 +41,33 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_mil.score(docs, toxicity_mil.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licences(read_table(spark, sf_dir, "documents")).drop("matches")
+
+
+def op9_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_layout.extracted(read_table(spark, sf_dir, "pages"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return quality_net.score(docs, quality_net.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_block_search, op4_ngram_join, op5_byte_bpe, op6_best_fit, op7_toxicity, op10_quality)}
-ORACLE: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_block_search,
+        op3_line_rules,
+        op4_ngram_join,
+        op5_byte_bpe,
+        op6_best_fit,
+        op7_toxicity,
+        op8_license_scan,
+        op9_html_layout,
+        op10_quality,
+    )
+}
+
+#: SQL for DuckDB; the other operators are learned, approximate or iterative and are tested by brute force.
+ORACLE: dict[str, str] = {"op3_line_rules": line_rules.oracle()}
