@@ -7,7 +7,7 @@ their sequences with room are dealt, whole sequences at a time, over fewer parti
 is kept if it saves a sequence. After ``rounds`` exchanges, or when no partition has a gap, the packing stands.
 
 Tokenising goes by words between ASCII white space, which the tokenizer's pattern never spans, so that every
-word is encoded once per task and remembered (a bounded memory).
+word is encoded once per worker and remembered (a bounded memory).
 
 Defined results: a null or empty text is its closing id alone; repeated rows are packed each; null ids are
 kept; columns other than ``doc_id`` and ``text`` are not read; an empty table gives no rows.
@@ -15,8 +15,12 @@ kept; columns other than ``doc_id`` and ``text`` are not read; an empty table gi
 
 from __future__ import annotations
 
+import os
+import re
+import unicodedata
 import zlib
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +37,18 @@ class Params:
     tokenizer: str | None = None  # a file; by default the public word BPE of 49,408 ids
     items: int = 50_000
     rounds: int = 3
-    remembered: int = 300_000
+    remembered: int = 500_000
 
 
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit integers."""
+    """Ids of whole texts as little-endian unsigned 32-bit integers.
+
+    A word seen before costs one lookup. Of a new one, letters followed by other signs are matches of their own
+    in the tokenizer's pattern, so both are looked up apart; new letter runs are encoded many at a time, and the
+    tokens that end a match tell them apart again.
+    """
+
+    LETTERS = re.compile(rb"([A-Za-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")
 
     def __init__(self, path: str | None, remembered: int):
         import public_tokenizers
@@ -45,34 +56,89 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[bytes, bytes] = {}
+        vocabulary, suffix = self.tokenizer.get_vocab(), self.tokenizer.model.end_of_word_suffix
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.words: dict[bytes, bytes] = {}
+        self.letters: dict[bytes, bytes] = {}
+        self.signs: dict[bytes, bytes] = {b"": b""}
         self.remembered = remembered
 
+    def ids(self, text: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn_letters(self, new: list[bytes]) -> None:
+        for lo in range(0, len(new), 1024):
+            some = new[lo : lo + 1024]
+            packed = self.ids(b" ".join(some))
+            ends = np.flatnonzero(self.ends[np.frombuffer(packed, "<u4")]) * 4 + 4
+            if len(ends) == len(some):
+                at = [0, *ends.tolist()]
+                self.letters.update(zip(some, [packed[a:b] for a, b in zip(at, at[1:])], strict=True))
+            else:
+                self.letters.update((x, self.ids(x)) for x in some)
+
+    def learn(self, new: list[bytes]) -> None:
+        if len(self.letters) > self.remembered:
+            self.letters = {}
+        if len(self.signs) > self.remembered:
+            self.signs = {b"": b""}
+        split = []
+        for w in new:
+            m = self.LETTERS.fullmatch(w)
+            letters, signs = m.groups() if m else (b"", b"")
+            if not m or not (letters.isascii() or unicodedata.normalize("NFC", letters.decode("utf-8", "replace")).lower().isalpha()):
+                self.words[w] = self.ids(w)
+                continue
+            split.append((w, letters.lower() if letters.isascii() else letters, signs))
+            if signs not in self.signs:
+                self.signs[signs] = self.ids(signs)
+        self.learn_letters(list({x for _, x, _ in split if x not in self.letters}))
+        self.words.update((w, self.letters[x] + self.signs[y]) for w, x, y in split)
+
+    def prepare(self, texts: list[bytes]) -> None:
+        """Learn the new words of some texts at once; of large texts, piece by piece later."""
+        if len(self.words) > self.remembered:
+            self.words = {}
+        every: set[bytes] = set()
+        for text in texts:
+            if len(text) <= 1 << 20:
+                every.update(text.split())
+        self.learn([w for w in every if w not in self.words])
+
     def __call__(self, text: bytes) -> bytes:
         out = []
         for piece in cut(text, 1 << 20):
             words = piece.split()  # at the six ASCII white-space bytes
-            if len(self.known) > self.remembered:
-                self.known = {}
-            new = [w for w in set(words) if w not in self.known]
-            if new:
-                found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-                self.known.update(zip(new, [np.array(e.ids, "<u4").tobytes() for e in found], strict=True))
-            out.append(b"".join(map(self.known.__getitem__, words)))
+            try:
+                out.append(b"".join(map(self.words.__getitem__, words)))
+            except KeyError:
+                if len(self.words) > 2 * self.remembered:
+                    self.words = {}
+                self.learn([w for w in set(words) if w not in self.words])
+                out.append(b"".join(map(self.words.__getitem__, words)))
         return b"".join(out)
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str | None, remembered: int) -> Encoder:
+    """One per worker process, whatever the number of its tasks."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Encoder(path, remembered)
+
+
 def pieces(docs: DataFrame, p: Params) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 and an even ``spread`` of numbers."""
 
     def run(batches):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode, spread = Encoder(p.tokenizer, p.remembered), TaskContext.get().partitionId()
+        encode, spread = encoder(p.tokenizer, p.remembered), TaskContext.get().partitionId()
         for batch in batches:
             row, number, start, length, crc = [], [], [], [], []
-            for i, text in enumerate(column_bytes(batch, "text")):
+            texts = column_bytes(batch, "text")
+            for i, text in enumerate(texts):
+                if i % 256 == 0:
+                    encode.prepare(texts[i : i + 256])
                 ids = encode(text) + b"\0\0\0\0"
                 step = 4 * p.capacity
                 for k, at in enumerate(range(0, len(ids), step)):
