@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -150,11 +151,17 @@ class Coder(dict):
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
 
+@lru_cache(maxsize=1)
+def coder_of(p: Params) -> Coder:
+    """One per worker process, whatever the number of its tasks."""
+    return Coder(p)
+
+
 def round_trip(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """doc_id, ids, decoded (binary): each text's encoding and what it decodes to; one row per input row."""
 
     def run(batches):
-        coder = Coder(p)
+        coder = coder_of(p)
         for batch in batches:
             texts = column_bytes(batch, "text")
             lo = 0
