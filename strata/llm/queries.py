@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import best_fit, block_search, byte_bpe, html_layout, license_scan, line_rules, ngram_join, quality_net, toxicity_mil
-from strata.llm.common import read_table
+from strata.llm import best_fit, block_search, byte_bpe, context_tree, html_layout, license_scan, line_rules, ngram_join, quality_net, toxicity_mil
+from strata.llm.common import fold, read_table
 
 
 def op1_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_search.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(read_table(spark, sf_dir, "documents"), fold() == 1)
+
+
 def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = line_rules.judged(read_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "kept_chars", "kept_words")
@@ -58,6 +62,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_block_search,
+        op2_context_tree,
         op3_line_rules,
         op4_ngram_join,
         op5_byte_bpe,
