@@ -37,7 +37,7 @@ class Params:
     tokenizer: str | None = None  # a file; by default the public word BPE of 49,408 ids
     items: int = 50_000
     rounds: int = 3
-    remembered: int = 500_000
+    remembered: int = 350_000
 
 
 class Encoder:

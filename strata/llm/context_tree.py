@@ -197,6 +197,9 @@ def requests(chunks: DataFrame, buckets: int, p: Params) -> DataFrame:
                                 k, n = np.unique(values[inside], return_counts=True)
                                 found[kind][0].append(k)
                                 found[kind][1].append(n * weight)
+                        if sum(map(len, found[kind][0])) > 1 << 21:
+                            k, n = added(*found[kind])
+                            found[kind] = ([k], [n])
                 for kind, (keys, counts) in found.items():
                     k, n = added(keys, counts)
                     place = (mix(k >> np.uint64(24)) if kind == "g" else k >> np.uint64(20)) % np.uint64(buckets)
@@ -438,7 +441,7 @@ def score(docs: DataFrame, held_out: Column, p: Params = Params()) -> DataFrame:
                         store[where] += sums_.astype(store.dtype)
             length = np.frombuffer(row["lengths"], "<i8")
             out.append(pa.table({
-                "doc_id": packs["ids"].type.value_type and pa.array(row["ids"], packs["ids"].type.value_type), "held_out": np.arange(n) >= c.train, "n_tokens": words + 1, "n_known": seen + end_known,
+                "doc_id": pa.array(row["ids"], packs["ids"].type.value_type), "held_out": np.arange(n) >= c.train, "n_tokens": words + 1, "n_known": seen + end_known,
                 "train_tokens": np.full(n, total), "base_score": base + end_score, "score": bits, "n_bytes": length, "bits_per_byte": -bits / log10(2) / (length + 1),
             }))
         return pa.concat_tables(out)

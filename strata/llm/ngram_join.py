@@ -21,7 +21,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from fractions import Fraction
-from math import ceil, log, sqrt
+from math import ceil, log1p, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -46,10 +46,11 @@ class Params:
 
 def banding(similarity: float, recall: float, max_hashes: int) -> tuple[int, int]:
     """Most rows a band (fewest false candidates) whose band count for the recall stays within the hashes."""
-    best = (ceil(log(1 - recall) / log(1 - similarity)) if similarity < 1 else 1, 1)
-    for rows in range(2, max_hashes + 1):
-        bands = ceil(log(1 - recall) / log(1 - similarity**rows)) if similarity < 1 else 1
-        if bands * rows <= max_hashes:
+    best = (1, 1)
+    for rows in range(1, max_hashes + 1):
+        hit = similarity**rows  # the chance that two such texts share a band
+        bands = 1 if hit >= recall else ceil(log1p(-recall) / log1p(-hit))
+        if rows == 1 or bands * rows <= max_hashes:
             best = (bands, rows)
     return best
 
