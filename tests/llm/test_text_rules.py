@@ -9,12 +9,12 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from odd import TEXTS, empty_docs, odd_docs
 
-from strata.llm import html_layout, license_scan, line_rules, queries
+from strata.llm import html_layout, license_scan, line_rules
 
-PROSE = "\n".join(f"This is line number {k} with plain{k} and honest{k} words, which ends as it should." for k in range(12))
+PROSE = "\n".join(" ".join(f"{w}{k}" for w in "this line has plain and honest words that end as they should".split()) + "." for k in range(12))
 
 
-def test_line_rules_equal_their_sql(spark, tmp_path):
+def test_line_rules_equal_their_sql(spark):
     rows = TEXTS + [
         (20, PROSE),
         (21, PROSE + "\nHome | About | Contact | Help\nShop\nAll rights reserved.\nREAD MORE"),
@@ -26,7 +26,7 @@ def test_line_rules_equal_their_sql(spark, tmp_path):
         (27, "one two three four five six seven eight"),
     ]
     got = line_rules.judged(odd_docs(spark, rows))
-    columns = [r for r in queries.ORACLE and got.columns if r != "clean_text"]
+    columns = [c for c in got.columns if c != "clean_text"]
     con = duckdb.connect()
     con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]).astype({"doc_id": "Int64", "text": object}))
     key = lambda r: tuple((x is None, str(x)) for x in r)
@@ -48,7 +48,6 @@ def test_line_rules_run_without_python(spark):
 # -- licences ----------------------------------------------------------------------------------------------------
 def pairs(text):
     # ASCII case only, as the operator lowers bytes
-    w = [x.lower() for x in re.findall(rb"[A-Za-z\x80-\xff]+|[0-9]+|[0-9A-Za-z\x80-\xff]+", re.sub(rb"[^0-9A-Za-z\x80-\xff]+", b" ", text.encode()))]
     w = [x.lower() for x in re.sub(rb"[^0-9A-Za-z\x80-\xff]+", b" ", text.encode()).split()]
     return Counter(zip(w, w[1:]))
 
