@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: the end-of-time sentinel that marks an open (current) version.
 END_OF_TIME = "9999-12-31 23:59:59"
+# The largest price that the amount's decimal arithmetic holds; NaN compares above it.
+MAX_PRICE = 99_999_999_999_999.0
 
 
 def as_col(c: str | Column) -> Column:
@@ -39,8 +41,20 @@ def to_double(c: str | Column) -> Column:
 
 
 def to_timestamp(c: str | Column) -> Column:
-    """string -> zone-free timestamp; malformed -> NULL."""
-    return as_col(c).try_cast("timestamp_ntz")
+    """string -> zone-free timestamp in UTC; malformed -> NULL.
+
+    A text with a zone offset is moved to UTC, whatever the session zone; one
+    without is taken as it stands.
+    """
+    text = as_col(c).cast("string")
+    zoned = F.convert_timezone(F.current_timezone(), F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz"))
+    return F.when(text.rlike(r"\d:\d\d.*(Z|[+-]\d{1,2}(:?\d{2})?)\s*$"), zoned).otherwise(as_col(c).try_cast("timestamp_ntz"))
+
+
+def natural_order(c: str | Column) -> Column:
+    """A text's sorting key in which runs of digits compare as numbers (up to 20 digits)."""
+    parts = F.regexp_extract_all(as_col(c), F.lit(r"(\d+|\D+)"), F.lit(1))
+    return F.array_join(F.transform(parts, lambda x: F.when(x.rlike(r"^\d"), F.lpad(x, 20, "0")).otherwise(x)), "")
 
 
 def end_of_time() -> Column:
@@ -66,8 +80,10 @@ def line_amount(quantity: str | Column, unit_price: str | Column) -> Column:
     """round(quantity * price, 2) computed in decimal, returned as double.
 
     The price is taken at six decimals so a price with more than two decimals is
-    rounded once, on the product, exactly as ROUND(q * p, 2) intends.
+    rounded once, on the product, exactly as ROUND(q * p, 2) intends.  A value
+    that does not fit gives NULL, which the amount check counts; Silver keeps
+    prices above MAX_PRICE, infinite ones and NaN out.
     """
-    q = as_col(quantity).cast("decimal(12,0)")
-    p = as_col(unit_price).cast("decimal(20,6)")
+    q = as_col(quantity).try_cast("decimal(12,0)")
+    p = as_col(unit_price).try_cast("decimal(20,6)")
     return F.round(q * p, 2).cast("double")

@@ -95,10 +95,10 @@ def total_order(
         tie_break = [
             c for c in df.columns if c not in keys and c != order_col and c in orderable
         ]
-        # A later batch wins a tie on the order column (trap T1).
-        if "batch_id" in tie_break:
-            tie_break = ["batch_id"] + [c for c in tie_break if c != "batch_id"]
     order = [F.col(order_col).desc_nulls_last()] if order_col else []
+    if "batch_id" in tie_break:
+        # A later batch wins a tie on the order column (trap T1); batch_10 is later than batch_9.
+        order.append(S.natural_order("batch_id").desc_nulls_last())
     return order + [F.col(c).desc_nulls_last() for c in tie_break]
 
 
@@ -226,6 +226,7 @@ def products_spec() -> EntitySpec:
             _nn("product_id"),
             _nn("unit_price"),
             Rule("unit_price_non_negative", F.col("unit_price") >= 0),
+            Rule("unit_price_in_range", F.col("unit_price").isNull() | (F.col("unit_price") <= S.MAX_PRICE)),
         ],
         reason=REASON_PRODUCTS,
     )
@@ -272,6 +273,7 @@ def order_items_spec() -> EntitySpec:
             _nn("quantity"),
             Rule("quantity_positive", F.col("quantity") > 0),
             Rule("unit_price_non_negative", F.col("unit_price") >= 0),
+            Rule("unit_price_in_range", F.col("unit_price").isNull() | (F.col("unit_price") <= S.MAX_PRICE)),
         ],
         reason=REASON_ORDER_ITEMS,
     )

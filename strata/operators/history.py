@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import scalar as S
-from strata.operators.clean import Rule, dedup_latest, split_quarantine
+from strata.operators.clean import REASON_CUSTOMERS, Rule, dedup_latest, split_quarantine
 
 START = "effective_start_timestamp"
 END = "effective_end_timestamp"
@@ -40,7 +40,7 @@ def prepare_feed(
     ts_col: str = "updated_at",
     batch_col: str = "batch_id",
     tracked: list[str] = CUSTOMER_TRACKED,
-    reason: str = "null customer_id, updated_at, or batch_id",
+    reason: str = REASON_CUSTOMERS,
     quarantine_ts: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """H1: trim tracked columns, parse the change time, quarantine rows without
@@ -110,13 +110,15 @@ def detect_changes(
     tracked: list[str] = CUSTOMER_TRACKED,
     tie_break: list[str] | None = None,
     order_by: str = "batch",
+    order: DataFrame | None = None,
 ) -> DataFrame:
     """H2-H4: rows that open a new version (new key or changed attributes).
 
-    Output keeps the feed columns plus ``_batch_ts``.
+    Output keeps the feed columns plus ``_batch_ts``.  ``order`` may pass the
+    batch order of a larger feed of which this is a part.
     """
     latest = dedup_within_batch(feed, key, ts_col, batch_col, tie_break)
-    ordered = latest.join(order_batches(feed, batch_col, ts_col), batch_col, "inner")
+    ordered = latest.join(order if order is not None else order_batches(feed, batch_col, ts_col), batch_col, "inner")
     w = Window.partitionBy(key).orderBy(*version_order(ts_col, batch_col, order_by))
     is_first = F.lag(F.lit(1)).over(w).isNull()
     return (
@@ -157,62 +159,78 @@ def build_history(
     sk_col: str = "customer_sk",
     tie_break: list[str] | None = None,
     order_by: str = "batch",
+    order: DataFrame | None = None,
 ) -> DataFrame:
     """H2-H6: the complete version history of a prepared (typed) feed."""
-    changes = detect_changes(feed, key, ts_col, batch_col, tracked, tie_break, order_by)
+    changes = detect_changes(feed, key, ts_col, batch_col, tracked, tie_break, order_by, order)
     return versions_from_changes(changes, key, ts_col, batch_col, tracked, sk_col, order_by)
 
 
-def apply_batch(
+def late_keys(batches: DataFrame, feed: DataFrame, key: str, ts_col: str, batch_col: str) -> tuple[DataFrame, DataFrame]:
+    """Keys with a row in a batch that sorts before the last one already applied, and the order of all batches."""
+    order = order_batches(feed.select(batch_col, ts_col).unionByName(batches.select(batch_col, ts_col)), batch_col, ts_col)
+    place = F.struct(BATCH_TS, batch_col)
+    last = order.join(feed.select(batch_col).distinct(), batch_col, "left_semi").agg(F.max(place).alias("_last"))
+    late = order.join(batches.select(batch_col).distinct(), batch_col, "left_semi").join(last, place <= F.col("_last"), "left_semi")
+    return batches.join(late.select(batch_col), batch_col, "left_semi").select(key).distinct(), order
+
+
+def apply_batches(
     history: DataFrame,
-    batch: DataFrame,
+    batches: DataFrame,
+    feed: DataFrame | None = None,
     key: str = "customer_id",
     ts_col: str = "updated_at",
+    batch_col: str = "batch_id",
     tracked: list[str] = CUSTOMER_TRACKED,
     sk_col: str = "customer_sk",
     tie_break: list[str] | None = None,
 ) -> DataFrame:
-    """H7: apply one new batch to an existing history without MERGE.
-
-    new key or changed attributes (null-safe, against the current version)
-    -> close the current version at the new start and add a current version.
-    Replaying an unchanged batch adds nothing.  The result equals a full
-    rebuild when the batch sorts after every batch already in ``history``;
-    for a late batch, rebuild the keys it touches from the feed instead.
+    """H7: apply any number of new batches to an existing history in one plan, without MERGE.
+
+    Each key's current version and its new rows go through one window: a row
+    that differs (null-safely) from the one before it opens a version and
+    closes the last.  Closed versions pass through untouched, so the plan reads
+    the history twice (current, closed) however many batches there are, and
+    replaying a batch adds nothing.
+
+    A *late* batch sorts before one already applied, and closed versions no
+    longer hold the rows that changed nothing then.  With ``feed``, the rows
+    applied so far, the keys of late batches are rebuilt from it and the result
+    equals a full rebuild; without it every batch must be later than all applied.
     """
-    latest = dedup_latest(batch, [key], ts_col, tie_break)
-    current = history.where(F.col(CURRENT)).select(
-        F.col(key).alias("_k"), *[F.col(c).alias(f"_h_{c}") for c in tracked]
-    )
-    joined = latest.join(current, latest[key] == current["_k"], "left")
-    differs = reduce(
-        lambda a, b: a | b,
-        [~F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in tracked],
-        F.lit(False),
-    )
-    changes = joined.where(F.col("_k").isNull() | differs).select(key, ts_col, *tracked)
-
-    closing = changes.select(F.col(key).alias("_ck"), F.col(ts_col).alias("_new_start"))
-    touched = F.col(CURRENT) & F.col("_ck").isNotNull()
-    updated = (
-        history.join(closing, history[key] == closing["_ck"], "left")
-        .select(
-            *[
-                F.when(touched, F.col("_new_start")).otherwise(F.col(END)).alias(END)
-                if c == END
-                else F.when(touched, F.lit(False)).otherwise(F.col(CURRENT)).alias(CURRENT)
-                if c == CURRENT
-                else F.col(c)
-                for c in history.columns
-            ]
+    if feed is not None:
+        keys, order = late_keys(batches, feed, key, ts_col, batch_col)
+        columns = [key, ts_col, batch_col, *tracked]
+        every = feed.select(*columns).unionByName(batches.select(*columns)).join(keys, key, "left_semi")
+        rebuilt = build_history(every, key, ts_col, batch_col, tracked, sk_col, tie_break, order=order)
+        rest = apply_batches(
+            history.join(keys, key, "left_anti"), batches.join(keys, key, "left_anti"), None, key, ts_col, batch_col, tracked, sk_col, tie_break
         )
+        return rest.unionByName(rebuilt.select(*rest.columns))
+    latest = dedup_within_batch(batches, key, ts_col, batch_col, tie_break).join(order_batches(batches, batch_col, ts_col), batch_col)
+    new = latest.select(key, ts_col, *tracked, BATCH_TS, batch_col, F.lit(True).alias("_new"))
+    current = history.where(F.col(CURRENT)).select(
+        key, F.col(START).alias(ts_col), *tracked,
+        F.lit(None).cast(new.schema[BATCH_TS].dataType).alias(BATCH_TS),
+        F.lit(None).cast(new.schema[batch_col].dataType).alias(batch_col),
+        F.lit(False).alias("_new"),
     )
-    inserted = changes.select(
+    w = Window.partitionBy(key).orderBy("_new", BATCH_TS, batch_col)
+    opens = ~F.col("_new") | F.lag(F.lit(1)).over(w).isNull() | _differs(tracked, w)
+    changes = current.unionByName(new).withColumn("_opens", opens).where(F.col("_opens"))
+    following = F.lead(ts_col).over(w)
+    versions = changes.select(
         S.version_key(key, ts_col).alias(sk_col),
         F.col(key),
         *[F.col(c) for c in tracked],
         F.col(ts_col).alias(START),
-        S.end_of_time().alias(END),
-        F.lit(True).alias(CURRENT),
+        F.coalesce(following, S.end_of_time()).alias(END),
+        following.isNull().alias(CURRENT),
     )
-    return updated.unionByName(inserted.select(*history.columns))
+    return history.where(~F.col(CURRENT)).unionByName(versions.select(*history.columns))
+
+
+def apply_batch(history: DataFrame, batch: DataFrame, *args, **kw) -> DataFrame:
+    """:func:`apply_batches` for one batch without a batch column."""
+    return apply_batches(history, batch.withColumn("batch_id", F.lit("new")), None, *args, **kw)

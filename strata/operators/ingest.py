@@ -53,6 +53,7 @@ ACTIVE_COLUMNS = [
 # incremental copy, and the name pattern of a time-like column.
 LOAD_TYPES = ["full", "incremental"]
 FIRST_WATERMARK = "1900-01-01 00:00:00"
+RUN_ID = "run_id"
 TIME_LIKE = re.compile(r"(_at|_timestamp)$")
 
 # The six retail entities mapped onto the benchmark source tables.
@@ -125,19 +126,26 @@ def route_by_load_type(
     return full_snapshot(source), False
 
 
-def land_partitioned(df: DataFrame, target: str, load_date: str | Column, mode: str = "overwrite") -> None:
-    """Snappy Parquet under ``<target>/load_date=<d>/``.
+def land_partitioned(
+    df: DataFrame, target: str, load_date: str | Column, mode: str = "overwrite", run_id: str | None = None
+) -> None:
+    """Snappy Parquet under ``<target>/load_date=<d>/[run_id=<r>/]``.
 
     Dynamic partition overwrite replaces only the partition(s) being written,
-    so re-landing a date is idempotent and other dates are untouched.
+    so re-landing a date is idempotent and other dates are untouched.  With a
+    ``run_id`` a second run on one date gets a folder of its own: its slice
+    begins where the first ended, so it must not replace it; only a retry of
+    the same run does.
     """
     ld = F.lit(load_date).cast("date") if isinstance(load_date, str) else load_date.cast("date")
+    dated = df.withColumn("load_date", ld)
+    if run_id is not None:
+        dated = dated.withColumn(RUN_ID, F.lit(run_id))
     (
-        df.withColumn("load_date", ld)
-        .write.mode(mode)
+        dated.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
-        .partitionBy("load_date")
+        .partitionBy("load_date", *([RUN_ID] if run_id is not None else []))
         .parquet(target)
     )
 
@@ -256,6 +264,7 @@ def run_ingestion(
     """
     report = []
     highs = []
+    run_id = "r" + re.sub(r"\D", "", str(run_ts))
     for row in active_entities(control).collect():
         entity = row.asDict()
         source = sources[entity["source_table"]]
@@ -265,10 +274,11 @@ def run_ingestion(
             if entity["load_type"] == "incremental":
                 high = high_watermark(source, entity["watermark_column"]).first()["high_watermark"]
             rows, advance = route_by_load_type(entity, source, high)
-            land_partitioned(rows, target, load_date)
+            # a snapshot replaces its date; a slice is kept beside earlier slices of the date
+            land_partitioned(rows, target, load_date, run_id=run_id if advance else None)
             ok, error = True, None
         except Exception as exc:  # noqa: BLE001 - one failed copy must not stop the others
-            advance, ok, error = entity["load_type"] == "incremental", False, f"{type(exc).__name__}: {exc}"[:300]
+            advance, ok, error = entity["load_type"] == "incremental", False, f"{type(exc).__name__}: {exc}"
         if advance:
             highs.append((entity["entity_name"], high, ok))
         report.append({"entity_name": entity["entity_name"], "succeeded": ok, "high_watermark": high, "error": error})

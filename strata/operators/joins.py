@@ -45,7 +45,10 @@ def salt_hot_keys(
     single copy.  Only the versions of at most ``1 / fraction`` keys are
     replicated.
     """
-    hot = F.broadcast(hot if hot is not None else hot_keys(facts, fact_key, fraction))
+    if not 0 < fraction <= 1:
+        raise ValueError(f"a share of the rows must be above 0 and at most 1, not {fraction}")
+    if hot is None:
+        hot = F.broadcast(hot_keys(facts, fact_key, fraction))  # at most 1 / fraction rows
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
     f = facts.join(hot, facts[fact_key] == hot["_hot_key"], "left").select(
         *[facts[f"`{c}`"] for c in facts.columns],
@@ -206,7 +209,9 @@ def overlapping_versions(
     Sorting a key's versions by start and keeping the running max of the
     previous ends finds every clash without a self join; each clash is
     reported once, on its later window.  Versions sharing a version key are
-    compared too (uniqueness of that key is checked separately).
+    compared too (uniqueness of that key is checked separately).  An empty
+    window (start not before end) overlaps nothing; a check of its own reports
+    it.
     """
     w = (
         Window.partitionBy(key)
@@ -214,8 +219,8 @@ def overlapping_versions(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        history.withColumn("_prev_max_end", F.max(end).over(w))
-        .where(F.col("_prev_max_end") > F.col(start))
+        history.withColumn("_prev_max_end", F.max(F.when(F.col(start) < F.col(end), F.col(end))).over(w))
+        .where((F.col(start) < F.col(end)) & (F.col("_prev_max_end") > F.col(start)))
         .drop("_prev_max_end")
     )
 
@@ -224,7 +229,7 @@ def version_gaps(
     history: DataFrame, key: str, start: str = START, end: str = END
 ) -> DataFrame:
     """Versions whose end is not the next version's start."""
-    w = Window.partitionBy(key).orderBy(F.col(start))
+    w = Window.partitionBy(key).orderBy(F.col(start), F.col(end), *[F.col(c) for c in history.columns if c not in (key, start, end)])
     return (
         history.withColumn("next_start", F.lead(start).over(w))
         .where(F.col("next_start").isNotNull() & (F.col("next_start") != F.col(end)))
@@ -234,13 +239,3 @@ def version_gaps(
 def multi_version_keys(history: DataFrame, key: str) -> DataFrame:
     """Keys with more than one version (IN ... HAVING COUNT(*) > 1)."""
     return history.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select(key)
-
-
-def semi_join(df: DataFrame, keys: DataFrame, on: str | list[str] | Column) -> DataFrame:
-    """P10: IN-subquery as a left semi join."""
-    return df.join(keys, on, "left_semi")
-
-
-def anti_join(df: DataFrame, keys: DataFrame, on: str | list[str] | Column) -> DataFrame:
-    """NOT EXISTS as a left anti join (NULL keys are kept)."""
-    return df.join(keys, on, "left_anti")

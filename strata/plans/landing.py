@@ -56,7 +56,7 @@ def land_orders_by_year(spark: SparkSession, sf_dir: str) -> str:
     orders = standins.table(spark, sf_dir, "orders")
     load_date = F.make_date(F.year("o_orderdate"), F.lit(1), F.lit(1))
     early = orders.where(F.year("o_orderdate") < PRIORITY_SINCE_YEAR).drop("o_orderpriority")
-    late = orders.where(F.year("o_orderdate") >= PRIORITY_SINCE_YEAR)
+    late = orders.where((F.year("o_orderdate") >= PRIORITY_SINCE_YEAR) | F.col("o_orderdate").isNull())
     land_partitioned(early, root, load_date)
     land_partitioned(late, root, load_date)
     return root

@@ -152,6 +152,14 @@ FROM supplier s LEFT JOIN geo g ON s.s_nationkey = g.n_nationkey""",
 cte("warehouses_dedup", dedup("warehouses_typed", "warehouse_id", dn("warehouse_name", "city", "region")), ["warehouses_typed"])
 WAREHOUSES_OK = "(warehouse_id IS NOT NULL AND warehouse_name IS NOT NULL)"
 cte("warehouses_clean", f"SELECT * FROM warehouses_dedup WHERE coalesce({WAREHOUSES_OK}, false)", ["warehouses_dedup"])
+cte(
+    "warehouses_bad",
+    f"""SELECT *, 'null warehouse_id or warehouse_name' AS quarantine_reason,
+       concat_ws(',', CASE WHEN warehouse_id IS NULL THEN 'warehouse_id_not_null' END,
+                      CASE WHEN warehouse_name IS NULL THEN 'warehouse_name_not_null' END) AS failed_rules
+FROM warehouses_dedup WHERE NOT coalesce({WAREHOUSES_OK}, false)""",
+    ["warehouses_dedup"],
+)
 cte(
     "dim_warehouse",
     "SELECT md5(warehouse_id) AS warehouse_sk, warehouse_id, warehouse_name, city, region FROM warehouses_clean",
@@ -317,6 +325,7 @@ ORACLE: dict[str, str] = {
     "clean_inventory_events": sql("SELECT * FROM events_clean", "events_clean"),
     "quarantine_products": sql("SELECT * FROM products_bad", "products_bad"),
     "quarantine_orders": sql("SELECT * FROM orders_bad", "orders_bad"),
+    "quarantine_warehouses": sql("SELECT * FROM warehouses_bad", "warehouses_bad"),
     "quarantine_order_items": sql("SELECT * FROM items_bad", "items_bad"),
     "quarantine_inventory_events": sql("SELECT * FROM events_bad", "events_bad"),
     "quarantine_customers": sql("SELECT * FROM feed_bad", "feed_bad"),
@@ -401,12 +410,12 @@ CORE = [
 cte(
     "chk_grain",
     chk(union(
-        *[row(f"{n} is not empty", f"SELECT count(*) FROM {t}", "NULL") for n, t in CORE],
-        row("fct_sales preserves order-line grain", "SELECT count(*) FROM fct_sales", "(SELECT count(*) FROM items_clean)"),
-        row("no fct_sales order_item_id is duplicated", dup_keys("fct_sales", "order_item_id")),
-        row("fct_inventory_movements preserves event grain", "SELECT count(*) FROM fct_inv", "(SELECT count(*) FROM events_clean)"),
-        row("no fct_inventory_movements event_id is duplicated", dup_keys("fct_inv", "event_id")),
-        row("fct_sales rows all resolve a customer version", "SELECT count(*) FROM fct_sales WHERE customer_sk IS NULL"),
+        *[row(f"rows present: {n}", f"SELECT count(*) FROM {t}", "NULL") for n, t in CORE],
+        row("row count: fct_sales = silver.order_items_clean", "SELECT count(*) FROM fct_sales", "(SELECT count(*) FROM items_clean)"),
+        row("repeated keys: fct_sales.order_item_id", dup_keys("fct_sales", "order_item_id")),
+        row("row count: fct_inventory_movements = silver.inventory_events_clean", "SELECT count(*) FROM fct_inv", "(SELECT count(*) FROM events_clean)"),
+        row("repeated keys: fct_inventory_movements.event_id", dup_keys("fct_inv", "event_id")),
+        row("missing customer version: fct_sales", "SELECT count(*) FROM fct_sales WHERE customer_sk IS NULL"),
     )),
     ["history", "products_clean", "warehouses_clean", "orders_clean", "items_clean", "events_clean",
      "dim_product", "dim_warehouse", "dim_date", "fct_sales", "fct_inv"],
@@ -414,10 +423,10 @@ cte(
 cte(
     "chk_keys",
     chk(union(
-        row("dim_customer.customer_sk is unique", "SELECT count(DISTINCT customer_sk) FROM history", "(SELECT count(*) FROM history)"),
-        row("dim_product.product_sk is unique", "SELECT count(DISTINCT product_sk) FROM dim_product", "(SELECT count(*) FROM dim_product)"),
-        row("dim_warehouse.warehouse_sk is unique", "SELECT count(DISTINCT warehouse_sk) FROM dim_warehouse", "(SELECT count(*) FROM dim_warehouse)"),
-        row("dim_date.date_key is unique", "SELECT count(DISTINCT date_key) FROM dim_date", "(SELECT count(*) FROM dim_date)"),
+        row("distinct = rows: dim_customer.customer_sk", "SELECT count(DISTINCT customer_sk) FROM history", "(SELECT count(*) FROM history)"),
+        row("distinct = rows: dim_product.product_sk", "SELECT count(DISTINCT product_sk) FROM dim_product", "(SELECT count(*) FROM dim_product)"),
+        row("distinct = rows: dim_warehouse.warehouse_sk", "SELECT count(DISTINCT warehouse_sk) FROM dim_warehouse", "(SELECT count(*) FROM dim_warehouse)"),
+        row("distinct = rows: dim_date.date_key", "SELECT count(DISTINCT date_key) FROM dim_date", "(SELECT count(*) FROM dim_date)"),
     )),
     ["history", "dim_product", "dim_warehouse", "dim_date"],
 )
@@ -425,26 +434,28 @@ _PER_KEY = "SELECT customer_id, count(*) FILTER (WHERE is_current) AS c FROM his
 cte(
     "chk_history",
     chk(union(
-        row("customers_history: each key has exactly one current version", f"SELECT count(*) FROM ({_PER_KEY}) WHERE c <> 1 AND c > 0"),
-        row("customers_history: no key is missing a current version", f"SELECT count(*) FROM ({_PER_KEY}) WHERE c = 0"),
+        row("several current versions: customers_history", f"SELECT count(*) FROM ({_PER_KEY}) WHERE c <> 1 AND c > 0"),
+        row("no current version: customers_history", f"SELECT count(*) FROM ({_PER_KEY}) WHERE c = 0"),
         row(
-            "customers_history: validity windows do not overlap",
-            """SELECT count(*) FROM (
-  SELECT effective_start_timestamp AS s,
-         max(effective_end_timestamp) OVER (PARTITION BY customer_id
-             ORDER BY effective_start_timestamp, effective_end_timestamp, customer_sk
-             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm
-  FROM history) WHERE pm > s""",
+            "overlapping windows: customers_history",
+            """SELECT count(*) FROM history b
+  WHERE b.effective_start_timestamp < b.effective_end_timestamp AND EXISTS (
+    SELECT 1 FROM history a
+    WHERE a.customer_id = b.customer_id AND a.effective_start_timestamp < a.effective_end_timestamp
+      AND (a.effective_start_timestamp, a.effective_end_timestamp, a.customer_sk)
+        < (b.effective_start_timestamp, b.effective_end_timestamp, b.customer_sk)
+      AND a.effective_start_timestamp < b.effective_end_timestamp
+      AND b.effective_start_timestamp < a.effective_end_timestamp)""",
         ),
         row(
-            "customers_history: validity windows have no gaps",
+            "gaps between windows: customers_history",
             """SELECT count(*) FROM (
   SELECT effective_end_timestamp AS e,
          lead(effective_start_timestamp) OVER (PARTITION BY customer_id
              ORDER BY effective_start_timestamp, effective_end_timestamp, customer_sk) AS ns
   FROM history) WHERE ns IS NOT NULL AND ns <> e""",
         ),
-        row("customers_history: every window starts before it ends",
+        row("empty windows: customers_history",
             "SELECT count(*) FROM history WHERE NOT (effective_start_timestamp < effective_end_timestamp)"),
     )),
     ["history"],
@@ -452,25 +463,25 @@ cte(
 cte(
     "chk_fk",
     chk(union(
-        row("fct_sales.product_sk resolves to dim_product", orphans("fct_sales", "product_sk", "dim_product", "product_sk")),
-        row("fct_sales.warehouse_sk resolves to dim_warehouse", orphans("fct_sales", "warehouse_sk", "dim_warehouse", "warehouse_sk")),
-        row("fct_sales.date_key resolves to dim_date", orphans("fct_sales", "date_key", "dim_date", "date_key")),
-        row("fct_inventory_movements.warehouse_sk resolves to dim_warehouse", orphans("fct_inv", "warehouse_sk", "dim_warehouse", "warehouse_sk")),
-        row("fct_inventory_movements.product_sk resolves to dim_product", orphans("fct_inv", "product_sk", "dim_product", "product_sk")),
-        row("fct_inventory_movements.date_key resolves to dim_date", orphans("fct_inv", "date_key", "dim_date", "date_key")),
+        row("orphans: fct_sales.product_sk -> dim_product", orphans("fct_sales", "product_sk", "dim_product", "product_sk")),
+        row("orphans: fct_sales.warehouse_sk -> dim_warehouse", orphans("fct_sales", "warehouse_sk", "dim_warehouse", "warehouse_sk")),
+        row("orphans: fct_sales.date_key -> dim_date", orphans("fct_sales", "date_key", "dim_date", "date_key")),
+        row("orphans: fct_inventory_movements.warehouse_sk -> dim_warehouse", orphans("fct_inv", "warehouse_sk", "dim_warehouse", "warehouse_sk")),
+        row("orphans: fct_inventory_movements.product_sk -> dim_product", orphans("fct_inv", "product_sk", "dim_product", "product_sk")),
+        row("orphans: fct_inventory_movements.date_key -> dim_date", orphans("fct_inv", "date_key", "dim_date", "date_key")),
     )),
     ["fct_sales", "fct_inv", "dim_product", "dim_warehouse", "dim_date"],
 )
 cte(
     "chk_rules",
     chk(union(
-        row("fct_sales quantities are positive", "SELECT count(*) FROM fct_sales WHERE quantity <= 0"),
-        row("fct_sales prices and amounts are non-negative",
+        row("quantity not above 0: fct_sales", "SELECT count(*) FROM fct_sales WHERE quantity <= 0"),
+        row("price or amount below 0: fct_sales",
             "SELECT count(*) FROM fct_sales WHERE unit_price < 0 OR line_amount < 0"),
-        row("fct_sales line_amount equals quantity * unit_price",
-            "SELECT count(*) FROM fct_sales WHERE abs(CAST(line_amount AS DECIMAL(38,6)) - "
+        row("amount differs from quantity times price: fct_sales",
+            "SELECT count(*) FROM fct_sales WHERE line_amount IS NULL OR abs(CAST(line_amount AS DECIMAL(38,6)) - "
             "round(CAST(quantity AS DECIMAL(12,0)) * CAST(unit_price AS DECIMAL(20,6)), 2)) > 0.01"),
-        row("inventory movement signs follow their event type",
+        row("sign against event type: fct_inventory_movements",
             "SELECT count(*) FROM fct_inv WHERE (event_type = 'INBOUND' AND quantity_change <= 0) "
             "OR (event_type = 'OUTBOUND' AND quantity_change >= 0)"),
     )),
@@ -480,7 +491,7 @@ cte(
     "chk_expect",
     chk(union(
         row(
-            "superseded versions retain NULL email",
+            "closed versions with NULL email before a value",
             """SELECT count(*) FROM (
   SELECT is_current, email, lead(email) OVER (PARTITION BY customer_id
          ORDER BY effective_start_timestamp, effective_end_timestamp, customer_sk) AS ne
@@ -488,7 +499,7 @@ cte(
             "NULL",
         ),
         row(
-            "lines resolve to the version in effect at order time",
+            "version not in effect at order time: fct_sales",
             """SELECT count(*) FROM fct_sales f
   JOIN history c ON f.customer_sk = c.customer_sk
   JOIN (SELECT customer_id AS ck, effective_start_timestamp AS cur_start FROM history WHERE is_current) cur
@@ -496,11 +507,11 @@ cte(
   WHERE c.is_current <> (f.order_timestamp >= cur.cur_start)""",
         ),
         row(
-            "quarantined order items never reached Silver",
+            "quarantined keys in silver.order_items_clean",
             "SELECT count(*) FROM items_clean WHERE order_item_id IN (SELECT order_item_id FROM items_bad)",
         ),
-        row("duplicated order items collapsed to a single row", dup_keys("items_clean", "order_item_id")),
-        row("raw order items contain duplicated keys", dup_keys("items_typed", "order_item_id"), "NULL"),
+        row("repeated keys: silver.order_items_clean.order_item_id", dup_keys("items_clean", "order_item_id")),
+        row("repeated keys before dedup: order_items", dup_keys("items_typed", "order_item_id"), "NULL"),
     )),
     ["history", "fct_sales", "items_clean", "items_bad", "items_typed"],
 )
@@ -523,9 +534,9 @@ ORACLE.update(
         "check_grain": sql("SELECT * FROM chk_grain", "chk_grain"),
         "check_key_uniqueness": sql("SELECT * FROM chk_keys", "chk_keys"),
         "check_single_current": sql("SELECT * FROM chk_history WHERE check_name LIKE '%current version%'", "chk_history"),
-        "check_overlaps": sql("SELECT * FROM chk_history WHERE check_name LIKE '%overlap%'", "chk_history"),
+        "check_overlaps": sql("SELECT * FROM chk_history WHERE check_name LIKE '%overlapping%'", "chk_history"),
         "check_gaps": sql(
-            "SELECT * FROM chk_history WHERE check_name LIKE '%gaps%' OR check_name LIKE '%starts before%'",
+            "SELECT * FROM chk_history WHERE check_name LIKE '%gaps between%' OR check_name LIKE '%empty windows%'",
             "chk_history",
         ),
         "check_foreign_keys": sql("SELECT * FROM chk_fk", "chk_fk"),
@@ -537,7 +548,7 @@ ORACLE.update(
             "chk_all",
         ),
         "check_run_stability": sql(
-            chk(union(*[row(f"{n} row count is stable across reruns", f"SELECT count(*) FROM {t}",
+            chk(union(*[row(f"same row count as the last run: {n}", f"SELECT count(*) FROM {t}",
                             f"(SELECT count(*) FROM {t})") for n, t in STABLE])),
             *[t for _, t in STABLE],
         ),
@@ -634,6 +645,12 @@ WHERE CASE WHEN s.entity_name IS NOT NULL THEN s.is_active ELSE e.is_active END"
                 "reseed",
             ),
             "history_apply_batch": sql("SELECT * FROM history", "history"),
+            "dedup_latest_batches": """SELECT o_custkey, batch_id, ingestion_timestamp, o_orderkey FROM (
+  SELECT o_custkey, 'batch_' || month(o_orderdate) AS batch_id, TIMESTAMP '2024-01-01 00:00:00' AS ingestion_timestamp, o_orderkey,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY month(o_orderdate) DESC NULLS LAST, o_orderkey DESC) AS rn
+  FROM orders) WHERE rn = 1""",
+            "ingest_two_runs": f"""SELECT *, DATE '{RUN_TS[:10]}' AS load_date, 'load_date={RUN_TS[:10]}' AS batch_id
+FROM orders WHERE o_orderdate IS NOT NULL""",
             "ingest_run": """SELECT 'customers' AS entity_name, (SELECT count(*) FROM customer) AS landed_rows,
        CAST(NULL AS TIMESTAMP) AS last_watermark_value
 UNION ALL SELECT 'products', (SELECT count(*) FROM part), CAST(NULL AS TIMESTAMP)

@@ -146,27 +146,27 @@ def specific_checks(t: Tables, edge: EdgeCases) -> list[DataFrame]:
     if edge.null_to_value_customer:
         k, a = edge.null_to_value_customer, edge.null_attribute
         frames.append(Q.table_checks(hist, [Q.Check(
-            "the superseded version retains its NULL attribute",
+            "closed version keeps its NULL attribute",
             F.count_if((F.col("customer_id") == k) & ~F.col(H.CURRENT) & F.col(a).isNull()), 1)]))
     resolved = t.fct_sales.join(t.dim_customer.select("customer_sk", H.CURRENT), "customer_sk")
     checks = []
     if edge.order_before_change:
-        checks.append(Q.Check("order before the change resolves to the superseded version",
+        checks.append(Q.Check("lines of the earlier order on a closed version",
                               F.count_if((F.col("order_id") == edge.order_before_change) & ~F.col(H.CURRENT)), None))
     if edge.order_after_change:
-        checks.append(Q.Check("order after the change resolves to the current version",
+        checks.append(Q.Check("lines of the later order on the open version",
                               F.count_if((F.col("order_id") == edge.order_after_change) & F.col(H.CURRENT)), None))
     if checks:
         frames.append(Q.table_checks(resolved, checks))
     if edge.illegal_order_item:
         k = edge.illegal_order_item
         frames.append(Q.table_checks(t.quarantine("order_items"), [
-            Q.Check("invalid quantity row is quarantined", F.count_if(F.col("order_item_id") == k), 1)]))
+            Q.Check("invalid line in quarantine", F.count_if(F.col("order_item_id") == k), 1)]))
         frames.append(Q.table_checks(t.silver("order_items"), [
-            Q.Check("invalid quantity row never reached Silver", F.count_if(F.col("order_item_id") == k), 0)]))
+            Q.Check("invalid line in Silver", F.count_if(F.col("order_item_id") == k), 0)]))
     if edge.duplicate_order_item:
         frames.append(Q.table_checks(t.silver("order_items"), [
-            Q.Check("duplicated order item collapsed to a single row",
+            Q.Check("rows of the repeated line in Silver",
                     F.count_if(F.col("order_item_id") == edge.duplicate_order_item), 1)]))
     return frames
 
@@ -236,7 +236,7 @@ def run_pipeline(
     landing_format: str = "csv",
     facts_by_month: bool = False,
 ) -> RunResult:
-    run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     ts: Column = F.lit(run_ts).cast("timestamp")
     t = Tables(spark, out_root)
     counts: dict[str, int] = {}
@@ -287,23 +287,18 @@ def run_pipeline(
     try:
         rows = Q.gate(results)
         passed = True
-    except Q.ValidationFailed:
+    except Q.ValidationFailed as failed:
         if raise_on_failure:
             raise
-        rows, passed = results.collect(), False
+        rows, passed = failed.rows, False
     if passed:
         sinks.append_run_log(current, log_path)
     return RunResult(out_root, counts, rows, passed)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    if path.startswith("file:") or path.startswith("/"):
-        return os.path.isdir(local_path(path))
-    try:
-        spark.read.parquet(path).inputFiles()
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
 
 
 def local_path(path: str) -> str:

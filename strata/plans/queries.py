@@ -61,6 +61,22 @@ def q_dedup_latest(spark, sf):
     return dedup_latest(typed, spec.keys, spec.order_col)
 
 
+@query("dedup_latest_batches")
+def q_dedup_latest_batches(spark, sf):
+    """W1 over twelve batches loaded at one time: per customer the latest batch
+    (order month, batch_10 after batch_9), then the largest order key, wins."""
+    from strata.operators.clean import dedup_latest
+    from strata.plans.standins import table
+
+    orders = table(spark, sf, "orders").select(
+        "o_custkey",
+        F.concat(F.lit("batch_"), F.month("o_orderdate")).alias("batch_id"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("ingestion_timestamp"),
+        "o_orderkey",
+    )
+    return dedup_latest(orders, ["o_custkey"], "ingestion_timestamp")
+
+
 REGISTRY["clean_products"] = _silver("products")
 REGISTRY["clean_warehouses"] = _silver("warehouses")
 REGISTRY["clean_orders"] = _silver("orders")
@@ -71,6 +87,7 @@ REGISTRY["quarantine_orders"] = _quarantine("orders")
 REGISTRY["quarantine_order_items"] = _quarantine("order_items")
 REGISTRY["quarantine_inventory_events"] = _quarantine("inventory_events")
 REGISTRY["quarantine_customers"] = _quarantine("customers")
+REGISTRY["quarantine_warehouses"] = _quarantine("warehouses")
 
 
 @query("customer_changes")
@@ -309,15 +326,16 @@ def q_ingest_upsert_control(spark, sf):
 
 @query("history_apply_batch")
 def q_history_apply_batch(spark, sf):
-    """H7: history of all but the last batch, then the last batch applied
-    incrementally; equals the full rebuild."""
+    """H7: the last three batches and a late one (the second) applied in one
+    plan to the history of the others; equals the full rebuild."""
     from strata.operators import history as H
 
     feed = Layers.shared(spark, sf).silver("customers")
-    order = H.order_batches(feed, "batch_id", "updated_at")
-    last = order.select(F.max_by("batch_id", F.struct(H.BATCH_TS, "batch_id"))).scalar()
-    before = H.build_history(feed.where(F.col("batch_id") != last))
-    return H.apply_batch(before, feed.where(F.col("batch_id") == last).drop(H.BATCH_TS))
+    order = H.order_batches(feed, "batch_id", "updated_at").orderBy(H.BATCH_TS, "batch_id")
+    names = [r["batch_id"] for r in order.collect()]  # one row per batch
+    new = F.col("batch_id").isin([*names[1:2], *names[-3:]])
+    before = feed.where(~new)
+    return H.apply_batches(H.build_history(before), feed.where(new), before)
 
 
 @query("ingest_run")
@@ -344,3 +362,25 @@ def q_ingest_run(spark, sf):
         for entity, _, _, _, _, path, *_ in DEFAULT_SEED
     ])
     return landed.join(new_control.select("entity_name", "last_watermark_value"), "entity_name")
+
+
+# The first of two runs on one load date copies up to this mark.
+FIRST_RUN_UNTIL = "1995-06-30 00:00:00"
+
+
+@query("ingest_two_runs")
+def q_ingest_two_runs(spark, sf):
+    """I3/I6 twice on one load date: orders up to a mark, then the rest; both
+    slices stay, so what has landed equals the source (rows without an order
+    date have no place in any slice)."""
+    from strata.operators.ingest import high_watermark, incremental_slice, land_partitioned
+    from strata.plans.standins import table
+    from strata.session import scratch_path
+    from strata.sources.files import read_partitions
+
+    orders = table(spark, sf, "orders")
+    landing = scratch_path(spark, "two-runs")
+    high = high_watermark(orders, "o_orderdate").scalar()
+    land_partitioned(incremental_slice(orders, "o_orderdate", None, FIRST_RUN_UNTIL), landing, RUN_TS[:10], run_id="r1")
+    land_partitioned(incremental_slice(orders, "o_orderdate", FIRST_RUN_UNTIL, high), landing, RUN_TS[:10], run_id="r2")
+    return read_partitions(spark, landing).drop("source_file")

@@ -55,7 +55,7 @@ def history_pass(lay) -> DataFrame:
         F.col(attr).alias("attr"),
         F.count_if(F.col(CURRENT)).over(by_key).alias("cur_per_key"),
         (F.row_number().over(ordered) == 1).alias("first_of_key"),
-        F.max(END).over(before).alias("prev_max_end"),
+        F.max(F.when(F.col(START) < F.col(END), F.col(END))).over(before).alias("prev_max_end"),
         F.lead(START).over(ordered).alias("next_start"),
         F.lead(attr).over(ordered).alias("next_attr"),
     )
@@ -64,7 +64,7 @@ def history_pass(lay) -> DataFrame:
         "distinct_sk": F.count_distinct("customer_sk"),
         "multi_current_keys": F.count_if(F.col("first_of_key") & (F.col("cur_per_key") > 1)),
         "no_current_keys": F.count_if(F.col("first_of_key") & (F.col("cur_per_key") == 0)),
-        "overlaps": F.count_if(F.col("prev_max_end") > F.col("s")),
+        "overlaps": F.count_if((F.col("s") < F.col("e")) & (F.col("prev_max_end") > F.col("s"))),
         "gaps": F.count_if(F.col("next_start").isNotNull() & (F.col("next_start") != F.col("e"))),
         "inverted": F.count_if(~(F.col("s") < F.col("e"))),
         "null_retained": F.count_if(~F.col("cur") & F.col("attr").isNull() & F.col("next_attr").isNotNull()),
@@ -93,7 +93,7 @@ def sales_pass(lay) -> DataFrame:
         .join(Q.distinct_keys(lay.dim_date, "date_key", "_dk"), F.col("date_key") == F.col("_dk"), "left")
     )
     expected_amount = F.round(
-        F.col("quantity").cast("decimal(12,0)") * F.col("unit_price").cast("decimal(20,6)"), 2
+        F.col("quantity").try_cast("decimal(12,0)") * F.col("unit_price").try_cast("decimal(20,6)"), 2
     )
     return Q.metrics(j, "fct_sales", {
         "rows": F.count(F.lit(1)),
@@ -101,7 +101,7 @@ def sales_pass(lay) -> DataFrame:
         "unresolved_customer": F.count_if(F.col("customer_sk").isNull()),
         "bad_quantity": F.count_if(F.col("quantity") <= 0),
         "negative_amounts": F.count_if((F.col("unit_price") < 0) | (F.col("line_amount") < 0)),
-        "amount_mismatch": F.count_if(F.abs(F.col("line_amount").cast("decimal(38,6)") - expected_amount) > 0.01),
+        "amount_mismatch": F.count_if(F.col("line_amount").isNull() | expected_amount.isNull() | (F.abs(F.col("line_amount").cast("decimal(38,6)") - expected_amount) > 0.01)),
         "orphan_product": F.count_if(F.col("_psk").isNull()),
         "orphan_warehouse": F.count_if(F.col("_wsk").isNull()),
         "orphan_date": F.count_if(F.col("_dk").isNull()),
@@ -167,66 +167,66 @@ PASSES = {
 # --------------------------------------------------------------------------
 # check groups: (check name, observed metric, expected)
 NOT_EMPTY = [
-    MC("silver.customers_history is not empty", "history.rows", None),
-    MC("silver.products_clean is not empty", "silver.products_clean.rows", None),
-    MC("silver.warehouses_clean is not empty", "silver.warehouses_clean.rows", None),
-    MC("silver.orders_clean is not empty", "silver.orders_clean.rows", None),
-    MC("silver.order_items_clean is not empty", "silver.order_items_clean.rows", None),
-    MC("silver.inventory_events_clean is not empty", "silver.inventory_events_clean.rows", None),
-    MC("gold.dim_customer is not empty", "history.rows", None),
-    MC("gold.dim_product is not empty", "dim_product.rows", None),
-    MC("gold.dim_warehouse is not empty", "dim_warehouse.rows", None),
-    MC("gold.dim_date is not empty", "dim_date.rows", None),
-    MC("gold.fct_sales is not empty", "fct_sales.rows", None),
-    MC("gold.fct_inventory_movements is not empty", "fct_inventory_movements.rows", None),
+    MC("rows present: silver.customers_history", "history.rows", None),
+    MC("rows present: silver.products_clean", "silver.products_clean.rows", None),
+    MC("rows present: silver.warehouses_clean", "silver.warehouses_clean.rows", None),
+    MC("rows present: silver.orders_clean", "silver.orders_clean.rows", None),
+    MC("rows present: silver.order_items_clean", "silver.order_items_clean.rows", None),
+    MC("rows present: silver.inventory_events_clean", "silver.inventory_events_clean.rows", None),
+    MC("rows present: gold.dim_customer", "history.rows", None),
+    MC("rows present: gold.dim_product", "dim_product.rows", None),
+    MC("rows present: gold.dim_warehouse", "dim_warehouse.rows", None),
+    MC("rows present: gold.dim_date", "dim_date.rows", None),
+    MC("rows present: gold.fct_sales", "fct_sales.rows", None),
+    MC("rows present: gold.fct_inventory_movements", "fct_inventory_movements.rows", None),
 ]
 GRAIN = NOT_EMPTY + [
-    MC("fct_sales preserves order-line grain", "fct_sales.rows", "silver.order_items_clean.rows"),
-    MC("no fct_sales order_item_id is duplicated", "fct_sales.extra_rows"),
-    MC("fct_inventory_movements preserves event grain", "fct_inventory_movements.rows",
+    MC("row count: fct_sales = silver.order_items_clean", "fct_sales.rows", "silver.order_items_clean.rows"),
+    MC("repeated keys: fct_sales.order_item_id", "fct_sales.extra_rows"),
+    MC("row count: fct_inventory_movements = silver.inventory_events_clean", "fct_inventory_movements.rows",
        "silver.inventory_events_clean.rows"),
-    MC("no fct_inventory_movements event_id is duplicated", "fct_inventory_movements.extra_rows"),
-    MC("fct_sales rows all resolve a customer version", "fct_sales.unresolved_customer"),
+    MC("repeated keys: fct_inventory_movements.event_id", "fct_inventory_movements.extra_rows"),
+    MC("missing customer version: fct_sales", "fct_sales.unresolved_customer"),
 ]
 KEYS = [
-    MC("dim_customer.customer_sk is unique", "history.distinct_sk", "history.rows"),
-    MC("dim_product.product_sk is unique", "dim_product.distinct_key", "dim_product.rows"),
-    MC("dim_warehouse.warehouse_sk is unique", "dim_warehouse.distinct_key", "dim_warehouse.rows"),
-    MC("dim_date.date_key is unique", "dim_date.distinct_key", "dim_date.rows"),
+    MC("distinct = rows: dim_customer.customer_sk", "history.distinct_sk", "history.rows"),
+    MC("distinct = rows: dim_product.product_sk", "dim_product.distinct_key", "dim_product.rows"),
+    MC("distinct = rows: dim_warehouse.warehouse_sk", "dim_warehouse.distinct_key", "dim_warehouse.rows"),
+    MC("distinct = rows: dim_date.date_key", "dim_date.distinct_key", "dim_date.rows"),
 ]
 SINGLE_CURRENT = [
-    MC("customers_history: each key has exactly one current version", "history.multi_current_keys"),
-    MC("customers_history: no key is missing a current version", "history.no_current_keys"),
+    MC("several current versions: customers_history", "history.multi_current_keys"),
+    MC("no current version: customers_history", "history.no_current_keys"),
 ]
-OVERLAPS = [MC("customers_history: validity windows do not overlap", "history.overlaps")]
+OVERLAPS = [MC("overlapping windows: customers_history", "history.overlaps")]
 GAPS = [
-    MC("customers_history: validity windows have no gaps", "history.gaps"),
-    MC("customers_history: every window starts before it ends", "history.inverted"),
+    MC("gaps between windows: customers_history", "history.gaps"),
+    MC("empty windows: customers_history", "history.inverted"),
 ]
 FOREIGN_KEYS = [
-    MC("fct_sales.product_sk resolves to dim_product", "fct_sales.orphan_product"),
-    MC("fct_sales.warehouse_sk resolves to dim_warehouse", "fct_sales.orphan_warehouse"),
-    MC("fct_sales.date_key resolves to dim_date", "fct_sales.orphan_date"),
-    MC("fct_inventory_movements.warehouse_sk resolves to dim_warehouse", "fct_inventory_movements.orphan_warehouse"),
-    MC("fct_inventory_movements.product_sk resolves to dim_product", "fct_inventory_movements.orphan_product"),
-    MC("fct_inventory_movements.date_key resolves to dim_date", "fct_inventory_movements.orphan_date"),
+    MC("orphans: fct_sales.product_sk -> dim_product", "fct_sales.orphan_product"),
+    MC("orphans: fct_sales.warehouse_sk -> dim_warehouse", "fct_sales.orphan_warehouse"),
+    MC("orphans: fct_sales.date_key -> dim_date", "fct_sales.orphan_date"),
+    MC("orphans: fct_inventory_movements.warehouse_sk -> dim_warehouse", "fct_inventory_movements.orphan_warehouse"),
+    MC("orphans: fct_inventory_movements.product_sk -> dim_product", "fct_inventory_movements.orphan_product"),
+    MC("orphans: fct_inventory_movements.date_key -> dim_date", "fct_inventory_movements.orphan_date"),
 ]
 BUSINESS_RULES = [
-    MC("fct_sales quantities are positive", "fct_sales.bad_quantity"),
-    MC("fct_sales prices and amounts are non-negative", "fct_sales.negative_amounts"),
-    MC("fct_sales line_amount equals quantity * unit_price", "fct_sales.amount_mismatch"),
-    MC("inventory movement signs follow their event type", "fct_inventory_movements.sign_violations"),
+    MC("quantity not above 0: fct_sales", "fct_sales.bad_quantity"),
+    MC("price or amount below 0: fct_sales", "fct_sales.negative_amounts"),
+    MC("amount differs from quantity times price: fct_sales", "fct_sales.amount_mismatch"),
+    MC("sign against event type: fct_inventory_movements", "fct_inventory_movements.sign_violations"),
 ]
 
 
 def expectation_checks(lay) -> list[Q.MetricCheck]:
     attr = getattr(lay, "null_attribute", "email")
     return [
-        MC(f"superseded versions retain NULL {attr}", "history.null_retained", None),
-        MC("lines resolve to the version in effect at order time", "fct_sales.version_mismatch"),
-        MC("quarantined order items never reached Silver", "silver.order_items_clean.leaked"),
-        MC("duplicated order items collapsed to a single row", "silver.order_items_clean.extra_rows"),
-        MC("raw order items contain duplicated keys", "raw.order_items.extra_rows", None),
+        MC(f"closed versions with NULL {attr} before a value", "history.null_retained", None),
+        MC("version not in effect at order time: fct_sales", "fct_sales.version_mismatch"),
+        MC("quarantined keys in silver.order_items_clean", "silver.order_items_clean.leaked"),
+        MC("repeated keys: silver.order_items_clean.order_item_id", "silver.order_items_clean.extra_rows"),
+        MC("repeated keys before dedup: order_items", "raw.order_items.extra_rows", None),
     ]
 
 

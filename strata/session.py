@@ -17,7 +17,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # an overwrite replaces the whole table; landing one date asks for "dynamic" in its own writer
+    "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -31,18 +32,23 @@ def build_session(
     shuffle_partitions: int = 8,
     app_name: str = "strata",
     extra: dict[str, str] | None = None,
+    initial_partitions: int | None = None,
 ) -> SparkSession:
     """Build (or reuse) a session with the settings strata expects.
 
     On a cluster, ``master`` comes from spark-submit and ``shuffle_partitions``
     should be sized so one partition holds roughly 128-256 MB of shuffle data;
-    AQE coalesces partitions that turn out smaller.
+    AQE coalesces partitions that turn out smaller.  ``initial_partitions`` is
+    the number AQE starts from before merging; on a cluster set it high (it
+    merges small partitions but does not split ordinary ones).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if initial_partitions:
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(initial_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -55,14 +61,18 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` is used as-is.  Only when the
-    session has none (local tests) is a private folder created and set.
+    The folder named by ``spark.checkpoint.dir`` is used as-is.  Only a local
+    master may do without: there a private folder is created and set.  On a
+    cluster a machine-local folder would be invisible to the executors, so a
+    missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local") or sc.master.startswith("local-cluster") and not configured:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(configured)

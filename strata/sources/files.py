@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 FILE_PATH = "_metadata.file_path"
+RUN_ID = "run_id"  # a second partition level that tells runs of one date apart
 
 
 def all_string_schema(columns: list[str]) -> StructType:
@@ -49,21 +50,19 @@ def read_csv_batches(
     )
 
 
-def _partition_values(files: list[str], column: str) -> list[str]:
-    pat = re.compile(rf"/{re.escape(column)}=([^/]+)/")
-    return sorted({m.group(1) for f in files for m in [pat.search(f)] if m})
-
-
 def list_batches(spark: SparkSession, root: str, column: str = "load_date") -> list[str]:
     """Sorted partition values under ``root``; raises when the entity or
-    its partitions are missing.  Uses the file listing only (no data scan)."""
-    try:
-        files = spark.read.parquet(root).inputFiles()
-    except Exception as exc:  # noqa: BLE001 - a clear message for a missing entity
-        raise FileNotFoundError(f"No landing data for entity at {root}") from exc
-    values = _partition_values(files, column)
+    its partitions are missing.  Lists one folder level through the Hadoop file
+    system: neither data nor footers are read, and no file list reaches the driver."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(path):
+        raise FileNotFoundError(f"nothing has been landed in {root}")
+    prefix = f"{column}="
+    names = (s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory())
+    values = sorted(n[len(prefix):] for n in names if n.startswith(prefix))
     if not values:
-        raise FileNotFoundError(f"No {column}=* partitions under {root}")
+        raise FileNotFoundError(f"{root} has no folder named {prefix}<value>")
     return values
 
 
@@ -74,7 +73,11 @@ def read_partitions(
     (columns absent from older files become NULL).  ``batch_id`` is
     ``'<column>=<value>'`` and ``source_file`` the file path."""
     df = spark.read.option("mergeSchema", merge_schema).parquet(root)
-    data_cols = [c for c in df.columns if c != column]
+    return _with_batch(df, column)
+
+
+def _with_batch(df: DataFrame, column: str) -> DataFrame:
+    data_cols = [c for c in df.columns if c not in (column, RUN_ID)]
     return df.select(
         *data_cols,
         F.col(column),
@@ -88,12 +91,12 @@ def read_latest_snapshot(
 ) -> DataFrame:
     """S3: only the greatest partition of a full-load entity.
 
-    The latest value comes from the file listing, and the equality filter on
-    the partition column prunes every older snapshot before any file is read.
+    The latest value comes from the folder listing and only that folder is
+    opened, so a column that older snapshots had does not come back.
     """
     latest = list_batches(spark, root, column)[-1]
-    df = read_partitions(spark, root, column, merge_schema)
-    return df.where(F.col(column).cast("string") == F.lit(latest))
+    reader = spark.read.option("mergeSchema", merge_schema).option("basePath", root)
+    return _with_batch(reader.parquet(f"{root.rstrip('/')}/{column}={latest}"), column)
 
 
 def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:

@@ -26,12 +26,16 @@ def write_counted(
     fmt: str = "parquet",
     as_table: bool = False,
 ) -> int:
-    """Write ``df`` once and return the number of rows written."""
+    """Write ``df`` once and return the number of rows written.
+
+    An overwrite replaces every partition of the target, also those that get no
+    rows this time, whatever the session's overwrite mode.
+    """
     obs = Observation(f"rows_{abs(hash(target)) % 10**8}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode(mode).format(fmt)
     if mode == "overwrite":
-        writer = writer.option("overwriteSchema", "true")
+        writer = writer.option("overwriteSchema", "true").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if as_table:
@@ -115,7 +119,7 @@ def write_split(
     observed = tagged.observe(
         obs, F.count_if(flag).alias("valid"), F.count_if(~flag).alias("quarantined")
     )
-    observed.write.mode("overwrite").partitionBy(VALID_FLAG).parquet(target)
+    observed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(VALID_FLAG).parquet(target)
     got = obs.get
     data = [f for f in tagged.schema.fields if f.name != VALID_FLAG]
     schema = StructType(data + [f for f in tagged.schema.fields if f.name == VALID_FLAG])

@@ -3,9 +3,10 @@
 The landing zone receives one ``load_date=<d>`` partition per ingestion run
 (I6).  A file-source stream over it sees every new partition exactly once
 (the stream's checkpoint records processed files), and ``foreachBatch``
-applies the new batches to the Type-2 history with :func:`apply_batch` (H7),
-oldest batch first.  Each micro-batch writes the complete new history to its
-own ``epoch=<id>`` folder, which
+applies all its new batches to the Type-2 history in one plan with
+:func:`apply_batches` (H7); keys of late batches are rebuilt from the landing.
+Each micro-batch writes the complete new history to its own ``epoch=<id>``
+folder, which
 
 * cuts lineage (the next epoch reads files, not a growing plan),
 * makes a replayed epoch idempotent (the folder is overwritten with the same
@@ -25,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from strata.operators import history as H
+from strata.sources.files import RUN_ID, list_batches
 
 EPOCH = "epoch"
 
@@ -40,28 +42,18 @@ def landing_stream(spark: SparkSession, root: str, schema: StructType, max_files
     return reader.parquet(root)
 
 
-def latest_history(spark: SparkSession, history_root: str, before_epoch: int | None = None) -> DataFrame | None:
-    """The history written by the latest completed epoch (``None`` if none)."""
+def epochs(spark: SparkSession, history_root: str) -> list[int]:
+    """The epochs written so far, in order; none only if the folder does not exist or is empty."""
     try:
-        hist = spark.read.parquet(history_root)
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return None
-    if before_epoch is not None:
-        hist = hist.where(F.col(EPOCH) < before_epoch)
-    last = hist.agg(F.max(EPOCH)).first()[0]
-    if last is None:
-        return None
-    return hist.where(F.col(EPOCH) == last).drop(EPOCH)
-
-
-def batch_order(feed: DataFrame, batch_col: str = "batch_id", ts_col: str = "updated_at") -> list[str]:
-    """Batches of one micro-batch in (min ts, id) order.
-
-    One row per landed partition in the micro-batch, so the list is bounded
-    by the number of partitions a trigger admits (``maxFilesPerTrigger``).
-    """
-    rows = H.order_batches(feed, batch_col, ts_col).orderBy(H.BATCH_TS, batch_col).collect()
-    return [r[batch_col] for r in rows]
+        return sorted(int(x) for x in list_batches(spark, history_root, EPOCH))
+    except FileNotFoundError:
+        return []
+
+
+def latest_history(spark: SparkSession, history_root: str, before_epoch: int | None = None) -> DataFrame | None:
+    """The history of the latest epoch (``None`` if there is none); only its folder is opened."""
+    done = [e for e in epochs(spark, history_root) if before_epoch is None or e < before_epoch]
+    return spark.read.parquet(f"{history_root.rstrip('/')}/{EPOCH}={done[-1]}") if done else None
 
 
 def history_writer(
@@ -71,21 +63,40 @@ def history_writer(
     ts_col: str = "updated_at",
     tracked: list[str] = H.CUSTOMER_TRACKED,
     sk_col: str = "customer_sk",
+    landing_root: str | None = None,
+    quarantine_root: str | None = None,
 ):
-    """The ``foreachBatch`` function: prepare, apply batch by batch, write."""
+    """The ``foreachBatch`` function: prepare, quarantine, apply all batches in one plan, write.
+
+    With ``landing_root`` late batches are recognised and their keys rebuilt
+    from what has landed.  Rejected rows go to ``quarantine_root`` (default:
+    beside the history), one folder per epoch.
+    """
+    rejected = quarantine_root or f"{history_root.rstrip('/')}-quarantine"
+
+    def prepared(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+        named = raw.withColumn("batch_id", F.concat(F.lit("load_date="), F.col("load_date").cast("string")))
+        return H.prepare_feed(named.drop("load_date", RUN_ID), key, ts_col, "batch_id", tracked)
 
     def apply(micro: DataFrame, epoch_id: int) -> None:
-        raw = micro.withColumn("batch_id", F.concat(F.lit("load_date="), F.col("load_date").cast("string")))
-        feed, _bad = H.prepare_feed(raw.drop("load_date"), key, ts_col, "batch_id", tracked)
+        newest = max(epochs(spark, history_root), default=-1)
+        if newest > epoch_id:
+            raise RuntimeError(
+                f"{history_root} holds epoch {newest}, later than this stream's {epoch_id}: "
+                "go on with the checkpoint that wrote it, or use another history folder"
+            )
+        feed, bad = prepared(micro)
+        bad.write.mode("overwrite").parquet(f"{rejected}/{EPOCH}={epoch_id}")
         hist = latest_history(spark, history_root, before_epoch=epoch_id)
-        for b in batch_order(feed, "batch_id", ts_col):
-            rows = feed.where(F.col("batch_id") == b)
-            if hist is None:
-                hist = H.build_history(rows, key, ts_col, "batch_id", tracked, sk_col)
-            else:
-                hist = H.apply_batch(hist, rows.drop("batch_id"), key, ts_col, tracked, sk_col)
-        if hist is not None:
-            (hist.write.mode("overwrite").parquet(f"{history_root.rstrip('/')}/{EPOCH}={epoch_id}"))
+        if hist is None:
+            hist = H.build_history(feed, key, ts_col, "batch_id", tracked, sk_col)
+        else:
+            before = None
+            if landing_root:
+                landed, _ = prepared(spark.read.schema(micro.schema).parquet(landing_root))
+                before = landed.join(feed.select("batch_id").distinct(), "batch_id", "left_anti")
+            hist = H.apply_batches(hist, feed, before, key, ts_col, "batch_id", tracked, sk_col)
+        hist.write.mode("overwrite").parquet(f"{history_root.rstrip('/')}/{EPOCH}={epoch_id}")
 
     return apply
 
@@ -102,7 +113,7 @@ def start_history_stream(
     """Start the incremental history job (exactly-once over landed files)."""
     writer = (
         landing_stream(spark, landing_root, schema)
-        .writeStream.foreachBatch(history_writer(spark, history_root, **kw))
+        .writeStream.foreachBatch(history_writer(spark, history_root, landing_root=landing_root, **kw))
         .option("checkpointLocation", checkpoint)
     )
     if available_now:

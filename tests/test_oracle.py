@@ -14,8 +14,8 @@ import __spark_entry__ as E  # noqa: E402
 from check_oracle import canon  # noqa: E402
 from strata.plans.standins import TABLES  # noqa: E402
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+from strata.plans.oracle import ORACLE  # noqa: E402
+from strata.plans.queries import REGISTRY as QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")

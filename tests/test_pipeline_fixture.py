@@ -36,7 +36,7 @@ def test_first_run_and_rerun_pass(run):
     assert len(first.checks) == 50
     # the rerun adds the four row-count stability checks
     assert len(second.checks) == 54
-    assert sum("stable across reruns" in r["check_name"] for r in second.checks) == 4
+    assert sum("as the last run" in r["check_name"] for r in second.checks) == 4
 
 
 def test_bronze_counts(run):
@@ -128,7 +128,7 @@ def test_failing_gate_does_not_append_run_log(spark, tmp_path):
     bad = EdgeCases(versions={"C001": 3})
     with pytest.raises(ValidationFailed) as err:
         run_pipeline(spark, FIXTURE_LANDING, ["batch_1", "batch_2"], out, dt.datetime(2024, 3, 1), "demo", bad)
-    assert "C001 has 3 version(s)" in str(err.value)
+    assert "versions of C001: observed 2, expected 3" in str(err.value)
     assert not os.path.exists(os.path.join(out, "gold", "validation_run_log"))
 
 
