@@ -1,7 +1,9 @@
 """Toxicity by multiple-instance learning: sentences are instances, a document is a bag.
 
-A sentence's score is a logistic function of the weights of its words; a document is toxic if any of its
-sentences is (noisy-or: ``1 - prod(1 - p_s)``). Only document labels are learned from: the noisy-or
+A sentence's score is a logistic function of the weights of its distinct words; a document is toxic if any of its
+sentences is (noisy-or: ``1 - prod(1 - p_s)``). The chance of a sentence without evidence is taken out of every
+factor and counted once a document (the leak), so that a long clean document is no likelier toxic than a short
+one. Only document labels are learned from: the noisy-or
 likelihood's gradient shares a document's blame among its sentences, which afterwards locates the offending
 ones. Features are lower-cased runs of letters and their first 4 to 7 bytes (insults are inflected), hashed to
 ``2**buckets_log2`` weights (a fixed size, hence safe to broadcast; bucket 0 stays empty). Weights are learned
@@ -36,7 +38,7 @@ _LETTER = (KIND == 1).astype(np.uint8)
 class Params:
     buckets_log2: int = 20
     prefixes: tuple[int, ...] = (4, 5, 6, 7)
-    max_labelled: int = 6_000
+    max_labelled: int = 8_000
     max_fit_bytes: int = 20_000
     max_features: int = 4_096
     min_docs: int = 4
@@ -77,17 +79,20 @@ def softplus(z: np.ndarray) -> np.ndarray:
 def bags(texts: list[bytes], m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Per text: score, sentences with p >= 0.5, and start and end (bytes of the lowered text) of the worst."""
     n = len(texts)
-    none, count = np.zeros(n), np.zeros(n, np.int64)
+    leak = softplus(m.bias)
+    none, count = np.full(n, leak), np.zeros(n, np.int64)
     best, where = np.full(n, -np.inf), np.zeros((n, 2), np.int64)
     ahead = np.zeros(n, np.int64)  # bytes of a text in its earlier pieces
     for block in blocks(lowered(texts)):
         ids, sentence, part, stops = instances(block, m.params)
-        w = m.weights[ids].sum(axis=1)
+        word, column = np.nonzero(m.weights[ids])
+        found = np.unique(sentence[word].astype(np.int64) << m.params.buckets_log2 | ids[word, column])
         used = np.zeros(len(stops), bool)
         used[sentence] = True
-        z = m.bias + np.bincount(sentence, w, len(stops))[used]
+        weight = m.weights[found & ((1 << m.params.buckets_log2) - 1)]
+        z = m.bias + np.bincount(found >> m.params.buckets_log2, weight, len(stops))[used]
         owner, begin, end = block.owner[part[used]], np.concatenate(([0], stops[:-1] + 1))[used], stops[used]
-        np.add.at(none, owner, softplus(z))
+        np.add.at(none, owner, np.maximum(softplus(z) - leak, 0))
         np.add.at(count, owner, (z >= 0).astype(np.int64))
         shift = ahead[owner] - block.starts[part[used]]
         order = np.lexsort((begin, -z, owner))
@@ -97,7 +102,6 @@ def bags(texts: list[bytes], m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarr
             best[owner[k]], where[owner[k]] = z[k], (begin[k] + shift[k], end[k] + shift[k])
         sizes = np.diff(np.append(block.starts, len(block.buf))) - 1
         np.add.at(ahead, block.owner, sizes)
-    none[np.isinf(best)] = softplus(m.bias)
     return -np.expm1(-none), count, where[:, 0], where[:, 1]
 
 
@@ -125,16 +129,19 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, p: Params) -
     owner = np.repeat(np.arange(len(docs)), sentences)
     word, feature = np.nonzero(column[ids] >= 0)
     row = (np.concatenate([s for _, s in docs]) + offset[doc])[word]
-    col = column[ids[word, feature]]
+    pairs = np.unique(row.astype(np.int64) * len(frequent) + column[ids[word, feature]])  # once in a sentence
+    row, col = pairs // max(1, len(frequent)), pairs % max(1, len(frequent))
     w, bias = np.zeros(len(frequent)), -5.0
     gw, gb = np.full(len(frequent), 1e-3), 1e-3
     for _ in range(p.steps):
         z = bias + np.bincount(row, w[col], len(owner))
-        none = np.bincount(owner, softplus(z), len(docs))  # -log(1 - P)
-        chance = 1 / (1 + np.exp(-np.clip(z, -60, 60)))
+        leak, floor = softplus(bias), 1 / (1 + np.exp(-bias))
+        none = leak + np.bincount(owner, np.maximum(softplus(z) - leak, 0), len(docs))  # -log(1 - P)
+        chance = np.where(z >= bias, 1 / (1 + np.exp(-np.clip(z, -60, 60))), 0)
         pull = np.where(y == 1, -1 / np.maximum(np.expm1(np.minimum(none, 60)), 1e-6), 1.0)
         g = pull[owner] * chance
-        dw, db = np.bincount(col, g[row], len(w)), g.sum()
+        dw = np.bincount(col, g[row], len(w))
+        db = pull.sum() * floor + (pull[owner] * (chance - np.where(z >= bias, floor, 0))).sum()
         gw += dw * dw
         gb += db * db
         rate = p.rate / np.sqrt(gw)
