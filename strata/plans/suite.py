@@ -1,10 +1,11 @@
 """The validation suite (Q1-Q19, D5, D7, D10) as one pass per table.
 
-Every table is read by exactly one aggregate that computes all of its metrics
-(facts are joined once to all their dimensions; every history-structure check
-comes out of one window pass).  The metric rows are pivoted into check rows by
-a single tiny aggregate, so the whole suite is one Spark action whose result
-has one row per check.
+A pass computes only the metrics that the checks at hand ask for.  A fact's own
+rules are one aggregate without a join; its foreign keys are first counted per
+key (partial aggregates, so a NULL or hot key is one row per task) and only the
+key lists meet the dimensions; every history-structure check comes out of one
+window pass.  The metric rows are pivoted into check rows by a single tiny
+aggregate, so the whole suite is one Spark action with one row per check.
 
 ``lay`` is any object exposing the layer tables: :class:`Layers` (lazy plans
 over the stand-ins) or :class:`strata.plans.pipeline.Tables` (written files).
@@ -40,7 +41,7 @@ def stability_tables(lay) -> dict[str, DataFrame]:
 
 # --------------------------------------------------------------------------
 # metric passes (one per table)
-def history_pass(lay) -> DataFrame:
+def history_pass(lay, want: set[str]) -> DataFrame:
     """Rows, key uniqueness and every Type-2 structure metric in one window pass."""
     h = lay.customer_history
     attr = getattr(lay, "null_attribute", "email")
@@ -59,7 +60,7 @@ def history_pass(lay) -> DataFrame:
         F.lead(START).over(ordered).alias("next_start"),
         F.lead(attr).over(ordered).alias("next_attr"),
     )
-    return Q.metrics(x, "history", {
+    return chosen(x, "history", want, {
         "rows": F.count(F.lit(1)),
         "distinct_sk": F.count_distinct("customer_sk"),
         "multi_current_keys": F.count_if(F.col("first_of_key") & (F.col("cur_per_key") > 1)),
@@ -71,96 +72,119 @@ def history_pass(lay) -> DataFrame:
     })
 
 
-def sales_pass(lay) -> DataFrame:
-    """The sales fact joined once to every dimension; all its metrics in one aggregate."""
-    # one read of the history: each version with its key's current start (a
-    # window over the customer partitioning the history already has), then one
-    # row per version key so the lookup cannot fan out
-    per_key = Window.partitionBy("customer_id")
-    versions = (
-        lay.dim_customer.select(
-            "customer_sk",
-            F.col(CURRENT).cast("int").alias("_cur"),
-            F.max(F.when(F.col(CURRENT), F.col(START))).over(per_key).alias("_cur_start"),
-        )
-        .groupBy("customer_sk")
-        .agg(F.max("_cur").alias("_cur"), F.max("_cur_start").alias("_cur_start"))
-    )
-    j = (
-        lay.fct_sales.join(versions, "customer_sk", "left")
-        .join(Q.distinct_keys(lay.dim_product, "product_sk", "_psk"), F.col("product_sk") == F.col("_psk"), "left")
-        .join(Q.distinct_keys(lay.dim_warehouse, "warehouse_sk", "_wsk"), F.col("warehouse_sk") == F.col("_wsk"), "left")
-        .join(Q.distinct_keys(lay.dim_date, "date_key", "_dk"), F.col("date_key") == F.col("_dk"), "left")
+def chosen(df: DataFrame, prefix: str, want: set[str], named: dict) -> DataFrame:
+    return Q.metrics(df, prefix, {k: v for k, v in named.items() if k in want})
+
+
+def orphans(fact: DataFrame, prefix: str, keys: dict[str, tuple[str, DataFrame, str]]) -> DataFrame:
+    """Rows whose key a dimension lacks (NULL included), for ``metric -> (fk, dimension, key)``.
+
+    Keys are counted before they meet the dimensions, so no fact row is shuffled.
+    """
+    named = [x for metric, (fk, _, _) in keys.items() for x in (F.lit(metric), F.col(fk).cast("string"))]
+    counts = fact.select(F.stack(F.lit(len(keys)), *named)).toDF("metric", "key").groupBy("metric", "key").agg(F.count(F.lit(1)).alias("n"))
+    known = Q.union_all([
+        dim.select(F.lit(metric).alias("metric"), F.col(key).cast("string").alias("key")).distinct()
+        for metric, (_, dim, key) in keys.items()
+    ])
+    missing = counts.join(known, ["metric", "key"], "left_anti").groupBy("metric").agg(F.sum("n").alias("n"))
+    names = fact.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, keys))).alias("metric"))
+    return names.join(missing, "metric", "left").select(
+        F.concat(F.lit(f"{prefix}."), "metric").alias("metric"), F.coalesce("n", F.lit(0)).cast("bigint").alias("value")
     )
+
+
+def fact_passes(fact: DataFrame, prefix: str, want: set[str], own: dict, keys: dict) -> list[DataFrame]:
+    frames = [chosen(fact, prefix, want, own)] if want & set(own) else []
+    asked = {k: v for k, v in keys.items() if k in want}
+    return frames + ([orphans(fact, prefix, asked)] if asked else [])
+
+
+def sales_pass(lay, want: set[str]) -> DataFrame:
     expected_amount = F.round(
         F.col("quantity").try_cast("decimal(12,0)") * F.col("unit_price").try_cast("decimal(20,6)"), 2
     )
-    return Q.metrics(j, "fct_sales", {
+    frames = fact_passes(lay.fct_sales, "fct_sales", want, {
         "rows": F.count(F.lit(1)),
         "extra_rows": F.count(F.lit(1)) - F.count_distinct("order_item_id"),
         "unresolved_customer": F.count_if(F.col("customer_sk").isNull()),
         "bad_quantity": F.count_if(F.col("quantity") <= 0),
         "negative_amounts": F.count_if((F.col("unit_price") < 0) | (F.col("line_amount") < 0)),
         "amount_mismatch": F.count_if(F.col("line_amount").isNull() | expected_amount.isNull() | (F.abs(F.col("line_amount").cast("decimal(38,6)") - expected_amount) > 0.01)),
-        "orphan_product": F.count_if(F.col("_psk").isNull()),
-        "orphan_warehouse": F.count_if(F.col("_wsk").isNull()),
-        "orphan_date": F.count_if(F.col("_dk").isNull()),
-        "version_mismatch": F.count_if((F.col("_cur") == 1) != (F.col("order_timestamp") >= F.col("_cur_start"))),
+    }, {
+        "orphan_product": ("product_sk", lay.dim_product, "product_sk"),
+        "orphan_warehouse": ("warehouse_sk", lay.dim_warehouse, "warehouse_sk"),
+        "orphan_date": ("date_key", lay.dim_date, "date_key"),
     })
+    if "version_mismatch" in want:
+        # each version with its key's current start, one row per version key so the lookup cannot fan out;
+        # lines without a version match none and stay out of the shuffle
+        per_key = Window.partitionBy("customer_id")
+        versions = (
+            lay.dim_customer.select(
+                "customer_sk",
+                F.col(CURRENT).cast("int").alias("_cur"),
+                F.max(F.when(F.col(CURRENT), F.col(START))).over(per_key).alias("_cur_start"),
+            )
+            .groupBy("customer_sk")
+            .agg(F.max("_cur").alias("_cur"), F.max("_cur_start").alias("_cur_start"))
+        )
+        lines = lay.fct_sales.where(F.col("customer_sk").isNotNull()).join(versions, "customer_sk")
+        frames.append(Q.metrics(lines, "fct_sales", {
+            "version_mismatch": F.count_if((F.col("_cur") == 1) != (F.col("order_timestamp") >= F.col("_cur_start"))),
+        }))
+    return Q.union_all(frames)
 
 
-def inventory_pass(lay) -> DataFrame:
-    j = (
-        lay.fct_inventory_movements
-        .join(Q.distinct_keys(lay.dim_warehouse, "warehouse_sk", "_wsk"), F.col("warehouse_sk") == F.col("_wsk"), "left")
-        .join(Q.distinct_keys(lay.dim_product, "product_sk", "_psk"), F.col("product_sk") == F.col("_psk"), "left")
-        .join(Q.distinct_keys(lay.dim_date, "date_key", "_dk"), F.col("date_key") == F.col("_dk"), "left")
-    )
+def inventory_pass(lay, want: set[str]) -> DataFrame:
     et, q = F.col("event_type"), F.col("quantity_change")
-    return Q.metrics(j, "fct_inventory_movements", {
+    return Q.union_all(fact_passes(lay.fct_inventory_movements, "fct_inventory_movements", want, {
         "rows": F.count(F.lit(1)),
         "extra_rows": F.count(F.lit(1)) - F.count_distinct("event_id"),
         "sign_violations": F.count_if(((et == "INBOUND") & (q <= 0)) | ((et == "OUTBOUND") & (q >= 0))),
-        "orphan_warehouse": F.count_if(F.col("_wsk").isNull()),
-        "orphan_product": F.count_if(F.col("_psk").isNull()),
-        "orphan_date": F.count_if(F.col("_dk").isNull()),
-    })
+    }, {
+        "orphan_warehouse": ("warehouse_sk", lay.dim_warehouse, "warehouse_sk"),
+        "orphan_product": ("product_sk", lay.dim_product, "product_sk"),
+        "orphan_date": ("date_key", lay.dim_date, "date_key"),
+    }))
 
 
-def dimension_pass(df: DataFrame, name: str, key: str) -> DataFrame:
-    return Q.metrics(df, name, {"rows": F.count(F.lit(1)), "distinct_key": F.count_distinct(key)})
+def dimension_pass(df: DataFrame, name: str, key: str, want: set[str]) -> DataFrame:
+    return chosen(df, name, want, {"rows": F.count(F.lit(1)), "distinct_key": F.count_distinct(key)})
 
 
-def items_pass(lay) -> DataFrame:
-    """Silver order items: rows, duplicates, and keys that are also quarantined."""
-    bad = lay.quarantine("order_items").select(F.col("order_item_id").alias("_qk")).distinct()
-    j = lay.silver("order_items").join(bad, F.col("order_item_id") == F.col("_qk"), "left")
-    return Q.metrics(j, "silver.order_items_clean", {
+def items_pass(lay, want: set[str]) -> DataFrame:
+    """Silver order items: rows, repeated keys, and keys that are also quarantined."""
+    items = lay.silver("order_items")
+    frames = [chosen(items, "silver.order_items_clean", want, {
         "rows": F.count(F.lit(1)),
         "extra_rows": F.count(F.lit(1)) - F.count_distinct("order_item_id"),
-        "leaked": F.count_if(F.col("_qk").isNotNull()),
-    })
+    })] if want - {"leaked"} else []
+    if "leaked" in want:
+        bad = lay.quarantine("order_items").select("order_item_id").distinct()
+        frames.append(Q.metrics(items.join(bad, "order_item_id", "left_semi"), "silver.order_items_clean", {"leaked": F.count(F.lit(1))}))
+    return Q.union_all(frames)
 
 
-def raw_items_pass(lay) -> DataFrame:
+def raw_items_pass(lay, want: set[str]) -> DataFrame:
     raw = lay.raw_items_typed()
-    return Q.metrics(raw, "raw.order_items", {"extra_rows": F.count(F.lit(1)) - F.count_distinct("order_item_id")})
+    return chosen(raw, "raw.order_items", want, {"extra_rows": F.count(F.lit(1)) - F.count_distinct("order_item_id")})
 
 
-def silver_pass(lay, table: str) -> DataFrame:
-    return Q.metrics(lay.silver(SILVER_TABLES[table]), table, {"rows": F.count(F.lit(1))})
+def silver_pass(lay, table: str, want: set[str]) -> DataFrame:
+    return chosen(lay.silver(SILVER_TABLES[table]), table, want, {"rows": F.count(F.lit(1))})
 
 
 PASSES = {
     "history": history_pass,
     "fct_sales": sales_pass,
     "fct_inventory_movements": inventory_pass,
-    "dim_product": lambda lay: dimension_pass(lay.dim_product, "dim_product", "product_sk"),
-    "dim_warehouse": lambda lay: dimension_pass(lay.dim_warehouse, "dim_warehouse", "warehouse_sk"),
-    "dim_date": lambda lay: dimension_pass(lay.dim_date, "dim_date", "date_key"),
+    "dim_product": lambda lay, want: dimension_pass(lay.dim_product, "dim_product", "product_sk", want),
+    "dim_warehouse": lambda lay, want: dimension_pass(lay.dim_warehouse, "dim_warehouse", "warehouse_sk", want),
+    "dim_date": lambda lay, want: dimension_pass(lay.dim_date, "dim_date", "date_key", want),
     "silver.order_items_clean": items_pass,
     "raw.order_items": raw_items_pass,
-    **{t: (lambda lay, t=t: silver_pass(lay, t)) for t in SILVER_TABLES if t != "silver.order_items_clean"},
+    **{t: (lambda lay, want, t=t: silver_pass(lay, t, want)) for t in SILVER_TABLES if t != "silver.order_items_clean"},
 }
 
 
@@ -230,20 +254,25 @@ def expectation_checks(lay) -> list[Q.MetricCheck]:
     ]
 
 
-def table_pass(lay, name: str) -> DataFrame:
-    """The metric pass of one table, built once per layer object (a plan, not
+def table_pass(lay, name: str, want: frozenset[str]) -> DataFrame:
+    """The metrics ``want`` of one table, built once per layer object (a plan, not
     data: every query still executes it afresh)."""
     cache = lay.__dict__.setdefault("_suite_passes", {})
-    if name not in cache:
-        cache[name] = PASSES[name](lay)
-    return cache[name]
+    if (name, want) not in cache:
+        cache[name, want] = PASSES[name](lay, set(want))
+    return cache[name, want]
 
 
 def run_checks(lay, checks: list[Q.MetricCheck]) -> DataFrame:
-    """Compute only the table passes the checks need, then the check rows."""
-    names = {c.observed for c in checks} | {c.expected for c in checks if isinstance(c.expected, str)}
-    needed = sorted({n.rsplit(".", 1)[0] for n in names})
-    return Q.checks_from_metrics(Q.union_all([table_pass(lay, p) for p in needed]), checks)
+    """Compute only the metrics the checks need, then the check rows."""
+    wanted: dict[str, set[str]] = {}
+    for c in checks:
+        for metric in (c.observed, c.expected):
+            if isinstance(metric, str):
+                table, _, name = metric.rpartition(".")
+                wanted.setdefault(table, set()).add(name)
+    frames = [table_pass(lay, t, frozenset(names)) for t, names in sorted(wanted.items())]
+    return Q.checks_from_metrics(Q.union_all(frames), checks)
 
 
 def all_checks(lay) -> list[Q.MetricCheck]:
