@@ -80,6 +80,7 @@ def point_in_time_join(
     skew_fraction: float | None = None,
     salt_buckets: int = 32,
     bypass_null_keys: bool = False,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """As-of join on ``key = key AND start <= ts < end``.
 
@@ -92,14 +93,16 @@ def point_in_time_join(
     shuffles (e.g. a dimension read from its table).  With ``skew_fraction``
     set, keys holding at least that fraction of the facts are additionally
     salted over ``salt_buckets`` partitions (see :func:`salt_hot_keys`), which
-    works whatever the shape of the inputs.  ``bypass_null_keys`` keeps
+    works whatever the shape of the inputs.  ``hot`` may pass keys counted on a
+    cheaper upstream column; a key more or less there changes the plan, never
+    the rows.  ``bypass_null_keys`` keeps
     NULL-key facts out of the shuffle (:func:`null_keys_bypass`) for inputs
     whose key may be NULL; Silver's not-null rules normally make it
     unnecessary.  ``versions`` must carry distinct column names.
     """
     def join(f: DataFrame, v: DataFrame) -> DataFrame:
         if skew_fraction:
-            f, v = salt_hot_keys(f, v, fact_key, version_key, skew_fraction, salt_buckets)
+            f, v = salt_hot_keys(f, v, fact_key, version_key, skew_fraction, salt_buckets, hot)
             cond = (
                 (f[fact_key] == v[version_key])
                 & (f[SALT] == v["_v_salt"])

@@ -11,10 +11,12 @@ from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.operators import clean as C
 from strata.operators import history as H
 from strata.operators import star
+from strata.operators.joins import hot_keys
 from strata.plans import standins
 
 
@@ -80,8 +82,11 @@ class Layers:
                 self._split[entity] = H.prepare_feed(self.raw("customers"))
             else:
                 spec = specs()[entity]
-                tagged = self._keep(C.clean_tagged(self.raw(entity), spec))
-                self._split[entity] = C.split_tagged(tagged, spec.rules, spec.reason)
+                if spec.validate_first:
+                    self._split[entity] = C.clean(self.raw(entity), spec)
+                else:
+                    tagged = self._keep(C.clean_tagged(self.raw(entity), spec))
+                    self._split[entity] = C.split_tagged(tagged, spec.rules, spec.reason)
         return self._split[entity]
 
     def raw_items_typed(self) -> DataFrame:
@@ -127,6 +132,8 @@ class Layers:
             self.dim_product,
             self.dim_warehouse,
             warehouse_from="items",
+            # one scan of the raw key column instead of the deduplicated orders again
+            hot_customers=F.broadcast(hot_keys(self.raw("orders"), "customer_id", star.SKEW_FRACTION)),
         ))
 
     @cached_property
