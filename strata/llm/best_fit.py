@@ -20,7 +20,6 @@ import re
 import unicodedata
 import zlib
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import column_bytes, cut, in_arrow, settled
+from strata.llm.common import column_bytes, cut, in_arrow, remembered, settled
 
 
 @dataclass(frozen=True)
@@ -37,7 +36,7 @@ class Params:
     tokenizer: str | None = None  # a file; by default the public word BPE of 49,408 ids
     items: int = 50_000
     rounds: int = 3
-    remembered: int = 350_000
+    remembered: int = 400_000  # words, and as many letter runs, of each of two generations
 
 
 class Encoder:
@@ -60,8 +59,11 @@ class Encoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         if suffix:
             self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        # two generations: a full one becomes the older, and what is used again moves to the new one
         self.words: dict[bytes, bytes] = {}
+        self.older_words: dict[bytes, bytes] = {}
         self.letters: dict[bytes, bytes] = {}
+        self.older_letters: dict[bytes, bytes] = {}
         self.signs: dict[bytes, bytes] = {b"": b""}
         self.remembered = remembered
 
@@ -80,8 +82,13 @@ class Encoder:
                 self.letters.update((x, self.ids(x)) for x in some)
 
     def learn(self, new: list[bytes]) -> None:
+        if len(self.words) > self.remembered:
+            self.words, self.older_words = {}, self.words
         if len(self.letters) > self.remembered:
-            self.letters = {}
+            self.letters, self.older_letters = {}, self.letters
+        known = [w for w in new if w in self.older_words]
+        self.words.update(zip(known, map(self.older_words.__getitem__, known), strict=True))
+        new = [w for w in new if w not in self.older_words]
         if len(self.signs) > self.remembered:
             self.signs = {b"": b""}
         split = []
@@ -94,18 +101,23 @@ class Encoder:
             split.append((w, letters.lower() if letters.isascii() else letters, signs))
             if signs not in self.signs:
                 self.signs[signs] = self.ids(signs)
-        self.learn_letters(list({x for _, x, _ in split if x not in self.letters}))
+        every = {x for _, x, _ in split if x not in self.letters}
+        known = [x for x in every if x in self.older_letters]
+        self.letters.update(zip(known, map(self.older_letters.__getitem__, known), strict=True))
+        self.learn_letters([x for x in every if x not in self.older_letters])
         self.words.update((w, self.letters[x] + self.signs[y]) for w, x, y in split)
 
-    def prepare(self, texts: list[bytes]) -> None:
-        """Learn the new words of some texts at once; of large texts, piece by piece later."""
-        if len(self.words) > self.remembered:
-            self.words = {}
+    def many(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of some texts, whose new words are learned together."""
+        split = [text.split() if len(text) <= 1 << 20 else None for text in texts]
         every: set[bytes] = set()
-        for text in texts:
-            if len(text) <= 1 << 20:
-                every.update(text.split())
+        for words in split:
+            every.update(words or ())
         self.learn([w for w in every if w not in self.words])
+        try:
+            return [self(text) if words is None else b"".join(map(self.words.__getitem__, words)) for text, words in zip(texts, split, strict=True)]
+        except KeyError:  # a change of generations has dropped some
+            return list(map(self, texts))
 
     def __call__(self, text: bytes) -> bytes:
         out = []
@@ -114,32 +126,25 @@ class Encoder:
             try:
                 out.append(b"".join(map(self.words.__getitem__, words)))
             except KeyError:
-                if len(self.words) > 2 * self.remembered:
-                    self.words = {}
-                self.learn([w for w in set(words) if w not in self.words])
+                self.learn(list(set(words)))  # all of them: a change of generations may have dropped some
                 out.append(b"".join(map(self.words.__getitem__, words)))
         return b"".join(out)
 
 
-@lru_cache(maxsize=1)
-def encoder(path: str | None, remembered: int) -> Encoder:
-    """One per worker process, whatever the number of its tasks."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Encoder(path, remembered)
-
-
 def pieces(docs: DataFrame, p: Params) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 and an even ``spread`` of numbers."""
 
+    memory = f"word ids {p.tokenizer} {p.remembered}"
+
     def run(batches):
-        encode, spread = encoder(p.tokenizer, p.remembered), TaskContext.get().partitionId()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        encode, spread = remembered(memory, lambda: Encoder(p.tokenizer, p.remembered)), TaskContext.get().partitionId()
         for batch in batches:
             row, number, start, length, crc = [], [], [], [], []
             texts = column_bytes(batch, "text")
-            for i, text in enumerate(texts):
-                if i % 256 == 0:
-                    encode.prepare(texts[i : i + 256])
-                ids = encode(text) + b"\0\0\0\0"
+            coded = (x for lo in range(0, len(texts), 256) for x in encode.many(texts[lo : lo + 256]))
+            for i, ids in enumerate(coded):
+                ids += b"\0\0\0\0"
                 step = 4 * p.capacity
                 for k, at in enumerate(range(0, len(ids), step)):
                     part = ids[at : at + step]
@@ -156,7 +161,7 @@ def pieces(docs: DataFrame, p: Params) -> DataFrame:
             )
 
     rows = docs.select("doc_id", "text")
-    return in_arrow(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long, spread long")
+    return in_arrow(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long, spread long", keeps=memory)
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:

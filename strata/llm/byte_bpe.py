@@ -22,13 +22,12 @@ from __future__ import annotations
 
 import base64
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from strata.llm.common import column_bytes, in_arrow
+from strata.llm.common import column_bytes, in_arrow, remembered
 
 
 @dataclass(frozen=True)
@@ -151,17 +150,13 @@ class Coder(dict):
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
 
-@lru_cache(maxsize=1)
-def coder_of(p: Params) -> Coder:
-    """One per worker process, whatever the number of its tasks."""
-    return Coder(p)
-
-
 def round_trip(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """doc_id, ids, decoded (binary): each text's encoding and what it decodes to; one row per input row."""
 
+    memory = f"byte bpe {p}"
+
     def run(batches):
-        coder = coder_of(p)
+        coder = remembered(memory, lambda: Coder(p))
         for batch in batches:
             texts = column_bytes(batch, "text")
             lo = 0
@@ -176,4 +171,4 @@ def round_trip(docs: DataFrame, p: Params = Params()) -> DataFrame:
                 lo = hi
 
     rows = docs.select("doc_id", "text")
-    return in_arrow(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary, decoded binary")
+    return in_arrow(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary, decoded binary", keeps=memory)

@@ -57,10 +57,35 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def in_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """``mapInArrow`` with this package at hand on the executors."""
+_memory: dict[str, object] = {}
+
+
+def remembered(name: str, make: Callable):
+    """An object that a worker process keeps from task to task, made at its first use; one at a time."""
+    if name not in _memory:
+        _memory.clear()
+        _memory[name] = make()
+    return _memory[name]
+
+
+def forget_others(name: str) -> None:
+    if name not in _memory:
+        _memory.clear()
+
+
+def in_arrow(df: DataFrame, run: Callable, schema, rows: int = 1000, keeps: str = "") -> DataFrame:
+    """``mapInArrow`` with this package at hand on the executors.
+
+    ``run`` gets the batches in slices of at most ``rows`` rows, which bounds what it holds as Python objects.
+    ``keeps`` names the worker's memory that it uses; a memory of other work is given up before it starts.
+    """
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def sliced(batches):
+        forget_others(keeps)
+        return run(b.slice(lo, rows) for b in batches for lo in range(0, b.num_rows, rows))
+
+    return df.mapInArrow(sliced, schema)
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -120,7 +145,7 @@ class Block:
         return np.searchsorted(self.starts, positions, "right") - 1
 
 
-def blocks(texts: list[bytes], limit: int = 1 << 20, pieces: bool = True) -> Iterator[Block]:
+def blocks(texts: list[bytes], limit: int = 1 << 19, pieces: bool = True) -> Iterator[Block]:
     """The texts in blocks of about ``limit`` bytes; with ``pieces`` longer texts are cut."""
     parts: list[tuple[int, bytes]] = []
     size = 0

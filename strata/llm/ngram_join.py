@@ -56,11 +56,11 @@ def banding(similarity: float, recall: float, max_hashes: int) -> tuple[int, int
 
 
 def grams(texts: list[bytes], words: int) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """The first index and sorted distinct n-gram hashes of some texts after another, about 4 MB at once."""
+    """The first index and sorted distinct n-gram hashes of some texts after another, about 2 MB at once."""
     lo = 0
     while lo < len(texts):
         hi, size = lo, 0
-        while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= 4 << 20):
+        while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= 2 << 20):
             size += len(texts[hi])
             hi += 1
         h, d = [], []

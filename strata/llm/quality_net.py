@@ -72,7 +72,7 @@ def tokens(block: Block, p: Params) -> tuple[np.ndarray, np.ndarray]:
 def context_sums(texts: list[bytes], p: Params, pos: np.ndarray, sign: np.ndarray) -> np.ndarray:
     """Per bucket, the sum of the index vectors around its tokens."""
     total = np.zeros((1 << p.buckets_log2) * p.dim)
-    for block in blocks(texts):
+    for block in blocks(texts, 1 << 20):
         ids, part = tokens(block, p)
         for d in range(1, p.window + 1):
             same = part[d:] == part[:-d]
