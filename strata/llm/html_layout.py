@@ -2,7 +2,8 @@
 
 The builder tokenises tags, comments, declarations, raw text elements and character references, keeps the stack
 of open elements and closes what a start tag or an end tag implies (``p`` before blocks, ``li``, ``dt``/``dd``,
-``option``, table rows and cells; an end tag closes everything above its element; stray end tags are ignored).
+``option``, table rows and cells, ``head`` before text or a tag that cannot stand in it; an end tag closes everything
+above its element; stray end tags are ignored).
 It calls the renderer as elements open and close, so no tree of the whole page is held and deep nesting needs no
 recursion. The renderer leaves out what is not shown (``head``, scripts, styles, templates, the ``hidden``
 attribute, ``display:none``, ``visibility:hidden``, hidden inputs), folds white space except in ``pre``, starts
@@ -35,6 +36,7 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu dir pre blockquote table hr figure fieldset".split())
 CLOSES_P = BLOCKS - frozenset("body html dd dt li legend".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+IN_HEAD = frozenset("base link meta noframes noscript script style template title".split())
 #: An opening tag -> the open elements it closes, and the elements that shield them.
 IMPLIED = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir", "table"}),
@@ -239,27 +241,44 @@ def render(page: str) -> str:
             if stack[k][0] in shields:
                 return
 
+    def leave_head() -> None:
+        """Close an open head that holds the current place, itself or through a noscript."""
+        while standing["head"] and stack[-1][0] in ("head", "noscript"):
+            pop()
+
+    def text(raw: str) -> None:
+        shown = html.unescape(raw)
+        if standing["head"] and shown.strip(" \t\r\n\f"):
+            leave_head()
+        out.text(shown)
+
     while at < len(page):
         found = _TAG.search(page, at)
         if not found:
-            out.text(html.unescape(page[at:]))
+            text(page[at:])
             break
         if found.start() > at:
-            out.text(html.unescape(page[at : found.start()]))
+            text(page[at : found.start()])
         at = found.end()
         if not found[2]:
             continue
         tag = found[2].lower()
         if found[1]:
             if tag == "br":
-                out.opened("br", {})
+                leave_head()
+                if out.opened("br", {}):
+                    out.hidden -= 1
             elif tag == "p" and not standing["p"]:
-                out.opened("p", {})
-                out.closed("p", False, {})
+                out.closed("p", out.opened("p", {}), {})
             elif standing[tag]:
                 shields = {"table"} if tag not in ("table", "body", "html") else set()
                 close({tag}, shields - {tag})
             continue
+        if standing["head"]:
+            if tag in ("head", "html"):
+                continue
+            if tag not in IN_HEAD:
+                leave_head()
         attributes = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(found[3])} if found[3].strip(" /") else {}
         if standing["p"] and tag in CLOSES_P:
             close({"p"}, {"td", "th", "caption", "button", "table"})

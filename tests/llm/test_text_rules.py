@@ -134,3 +134,17 @@ def test_no_visible_word_is_lost(parts):
     words = [x for x in parts if x[0] == "w"]
     out = html_layout.render(" ".join(parts))
     assert sorted(re.findall(r"w\d", out)) == sorted(words)
+
+
+def test_a_head_ends_where_it_must():
+    for page, text in {
+        "<head><title>t</title><body><p>Hello": "Hello",
+        "<html><head><meta charset=x><title>t</title><p>Hello</p>": "Hello",
+        "<head><style>a</style>\n Hello <b>all</b>": "Hello all",
+        "<head><noscript><link href=x></noscript><script>s</script><div>Hello": "Hello",
+        "<head><noscript><img alt=pic></noscript><title>t</title> Hello": "pic Hello",
+        "<head><template><p>no</template><head><html><title>t</title></p>Hello": "Hello",
+        "<head> <title>t</title> </head> <body>Hello": "Hello",
+        "<div hidden>no</p></br></div>Hello": "Hello",
+    }.items():
+        assert html_layout.render(page) == text, page
