@@ -1,20 +1,26 @@
 """Licence scan: Dice coefficient over word bigrams between normalised text and licence templates.
 
-Normalised words are lower-cased runs of ASCII letters and digits or of other UTF-8 bytes. Three kinds of
-segments of a text are compared: every line, every paragraph (lines up to an empty one) and the whole text.
+Normalised words are lower-cased runs of ASCII letters and digits or of other UTF-8 bytes. Every window of
+neighbouring words of a text is compared, whatever lines or empty lines lie between, with every template.
 With a and b bigrams, the coefficient ``2 * common / (a + b)`` can reach ``t`` only if
-``t / (2 - t) <= a / b <= (2 - t) / t``; these size bounds prune the templates of a segment, and a segment with
-no bigram of any template is not looked at. Bigrams count as often as they occur.
+``t / (2 - t) <= a / b <= (2 - t) / t``. A window that begins or ends with a bigram the template lacks is worse than
+the one without it, so windows run from one such bigram (a hit) to another; a start whose next ``t / (2 - t) * b``
+hits do not lie within ``(2 - t) / t * b`` bigrams is passed over. Bigrams count as often as they occur.
+
+The matches of one template are its best window, the best one beside it, and so on; the match of a template is
+left out where a better one, at least as long, overlaps it.
 
 The templates are short public notices; more can be passed as a parameter (id -> text).
 
 Defined results: a null or empty text, like a text that matches nothing, has a null licence, dice 0 and no
-matches; ties go to the longer template, then to the smaller id, then to the earlier segment; repeated rows are
+matches; ties go to the longer template, then to the smaller id, then to the earlier window; repeated rows are
 scanned each; columns other than ``doc_id`` and ``text`` are not read. Lines are numbered from 0.
 """
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -101,7 +107,7 @@ def bigrams(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 class Templates:
     def __init__(self, p: Params):
-        self.least = p.least
+        self.least = max(p.least, 1e-9)
         self.all = []
         for name, text in p.templates.items():
             b, _, _ = bigrams(Block([(0, text.lower().encode())]))
@@ -109,31 +115,74 @@ class Templates:
                 self.all.append((len(b), name, Counter(b.tolist())))
         self.all.sort(key=lambda t: (-t[0], t[1]))
         self.sorted = np.unique(np.array([x for _, _, c in self.all for x in c], np.uint64))
+        self.counts = np.array([[c.get(x, 0) for x in self.sorted.tolist()] for _, _, c in self.all], np.int64).reshape(len(self.all), len(self.sorted))
+        self.bounds = [(max(1, math.ceil(self.least * n / (2 - self.least) - 1e-9)), math.floor((2 - self.least) * n / self.least + 1e-9)) for n, _, _ in self.all]
         self.seen = np.zeros(1 << _FILTER, bool)
         self.seen[self.sorted >> np.uint64(64 - _FILTER)] = True
 
-    def known(self, b: np.ndarray) -> np.ndarray:
-        """Which bigrams some template has: a bit field first, then the sorted hashes."""
+    def known(self, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which bigrams some template has, and their numbers: a bit field first, then the sorted hashes."""
         maybe = np.flatnonzero(self.seen[b >> np.uint64(64 - _FILTER)])
         at = np.searchsorted(self.sorted, b[maybe])
-        return maybe[self.sorted[np.minimum(at, len(self.sorted) - 1)] == b[maybe]] if len(self.sorted) else maybe[:0]
+        same = self.sorted[np.minimum(at, len(self.sorted) - 1)] == b[maybe] if len(self.sorted) else np.zeros(0, bool)
+        return maybe[same], at[same]
+
+    def best_ends(self, k: int, at: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Dice, first and last hit of the best window from every start that reaches the least coefficient.
+
+        ``at`` and ``ids`` are the places and numbers of template ``k``'s hits in a stretch of text.
+        """
+        n, size, (fewest, most) = len(at), self.all[k][0], self.bounds[k]
+        near = np.flatnonzero(at[fewest - 1 :] - at[: max(0, n - fewest + 1)] < most)
+        if not len(near):
+            return np.zeros(0), near, near
+        # a hit adds to a window if the window lacks the hit that many of its kind earlier
+        order = np.argsort(ids, kind="stable")
+        earlier = np.arange(n) - self.counts[k][ids[order]]
+        rival = np.empty(n, np.int64)
+        rival[order] = np.where(earlier >= np.searchsorted(ids[order], ids[order]), order[np.maximum(earlier, 0)], -1)
+        stop = np.searchsorted(at, at[near] + most)
+        width = int((stop - near).max())
+        out = []
+        for lo in range(0, len(near), max(1, (1 << 18) // width)):
+            first = near[lo : lo + max(1, (1 << 18) // width)]
+            last = first[:, None] + np.arange(width)
+            inside = last < stop[lo : lo + len(first), None]
+            last = np.minimum(last, n - 1)
+            common = np.cumsum((rival[last] < first[:, None]) & inside, axis=1)
+            dice = np.where(inside, 2 * common / (at[last] - at[first][:, None] + 1 + size), 0)
+            top = dice.argmax(1)
+            row = np.arange(len(first))
+            reach = dice[row, top] >= self.least
+            out.append((dice[row, top][reach], first[reach], last[row, top][reach]))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
-    def best(self, b: np.ndarray) -> tuple[float, str] | None:
-        """The template nearest to a segment's bigrams, if it reaches the least coefficient."""
-        own, found, n = None, None, len(b)
-        for size, name, template in self.all:
-            if not self.least * (n + size) <= 2 * min(n, size):
-                continue  # the size bounds
-            own = own or Counter(b.tolist())
-            dice = 2 * sum(min(k, template[x]) for x, k in own.items() if x in template) / (n + size)
-            if dice >= self.least and (found is None or dice > found[0]):
-                found = dice, name
-        return found
+    def windows(self, k: int, at: np.ndarray, ids: np.ndarray) -> list[tuple[float, int, int]]:
+        """(dice, first bigram, last bigram) of windows of template ``k`` without overlap, the best ones first."""
+        mine = self.counts[k][ids] > 0
+        at, ids = at[mine], ids[mine]
+        out, stretches = [], [(0, len(at))]
+        while stretches:
+            lo, hi = stretches.pop()
+            dice, first, last = self.best_ends(k, at[lo:hi], ids[lo:hi])
+            firsts, lasts = [], []  # of the windows taken, in order
+            for x in np.lexsort((first, -dice)).tolist():
+                a, z = int(first[x]), int(last[x])
+                i = bisect_left(lasts, a)
+                if i == len(firsts) or firsts[i] > z:
+                    firsts.insert(i, a)
+                    lasts.insert(i, z)
+                    out.append((float(dice[x]), int(at[lo + a]), int(at[lo + z])))
+            for a, z in zip([0, *(x + 1 for x in lasts)], [*firsts, hi - lo], strict=True):
+                # a start between two windows whose best end lay in the second may have another
+                if firsts and np.searchsorted(first, a) < np.searchsorted(first, z):
+                    stretches.append((lo + a, lo + z))
+        return out
 
 
 def scan(text: bytes, t: Templates, block_bytes: int) -> list[tuple[float, str, int, int]]:
-    """(dice, licence, first line, last line) of every matching segment of one text."""
-    lines, hashes_, begins, ends, shift, line = [], [], [], [], 0, 0
+    """(dice, licence, first line, last line) of the matches of one text."""
+    hashes_, begins, ends, line = [], [], [], 0
     pieces = list(cut(text.lower(), block_bytes))
     for k, piece in enumerate(pieces):
         # a bigram across two pieces is found by giving each piece the first word of the next
@@ -146,34 +195,26 @@ def scan(text: bytes, t: Templates, block_bytes: int) -> list[tuple[float, str,
         hashes_.append(b[inside])
         begins.append(first[inside])
         ends.append((line + np.searchsorted(feeds, hi - 1))[inside])
-        lines.append(feeds + shift)
-        shift, line = shift + len(piece), line + len(feeds)
+        line += len(feeds)
     b, begin, end = np.concatenate(hashes_), np.concatenate(begins), np.concatenate(ends)
-    hit = t.known(b)
-    if not len(hit):
+    at, ids = t.known(b)
+    if not len(at):
         return []
-    edges = np.concatenate(([-1], np.concatenate(lines), [len(text)]))
-    blank = [k for k in range(len(edges) - 1) if not text[edges[k] + 1 : edges[k + 1]].strip()] if len(edges) > 2 else []
-    walls = np.array([-1, *blank, len(edges) - 1])
-    segments = {(0, len(edges) - 2)}
-    for x in np.unique(begin[hit]).tolist():
-        segments.add((x, x))
-        k = int(np.searchsorted(walls, x, "right"))
-        segments.add((int(walls[k - 1]) + 1, int(walls[k]) - 1 if k < len(walls) else len(edges) - 2))
-    found = []
-    for lo, hi in sorted(segments):
-        inside = b[np.searchsorted(begin, lo) : np.searchsorted(begin, hi, "right")]
-        last = end[np.searchsorted(begin, lo) : np.searchsorted(begin, hi, "right")]
-        best = t.best(inside[last <= hi])
-        if best:
-            found.append((*best, lo, hi))
-    return found
+    often = (t.counts[:, ids] > 0).sum(1)
+    found = [(d, k, lo, hi) for k in range(len(t.all)) if often[k] >= t.bounds[k][0] for d, lo, hi in t.windows(k, at, ids)]
+    longest, out = np.zeros(len(b) if found else 0, np.int64), []  # of the matches over each bigram
+    for d, k, lo, hi in sorted(found, key=lambda x: (-x[0], x[1], x[2])):
+        over = longest[lo : hi + 1]
+        if over.max() <= hi - lo:
+            np.maximum(over, hi - lo + 1, out=over)
+            out.append((lo, hi, d, t.all[k][1]))
+    return [(d, name, int(begin[lo]), int(end[hi])) for lo, hi, d, name in sorted(out)]
 
 
 def licences(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """doc_id, licence, dice, line_start, line_end, n_matches, matches: one row per input row.
 
-    ``matches`` lists every matching segment; the first five columns are the best of them.
+    ``matches`` lists every match in the order of the text; the first five columns are the best of them.
     """
 
     def run(batches):
@@ -202,7 +243,7 @@ def candidates(texts: list[bytes], t: Templates, p: Params) -> list[int]:
     def flush() -> None:
         block = Block(parts)
         b, lo, hi = bigrams(block)
-        hit = t.known(b)
+        hit, _ = t.known(b)
         same = block.part_of(lo[hit]) == block.part_of(hi[hit] - 1)
         out.extend(block.owner[np.unique(block.part_of(lo[hit][same]))].tolist())
 

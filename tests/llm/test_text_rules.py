@@ -94,6 +94,50 @@ def test_a_text_in_pieces_gives_the_same():
     assert whole and license_scan.scan(text.encode(), t, 100) == whole
 
 
+def best_window(text, templates, least=0.8):
+    w = [x.lower() for x in re.sub(rb"[^0-9A-Za-z\x80-\xff]+", b" ", text.encode()).split()]
+    own, best = list(zip(w, w[1:])), 0.0
+    for t in templates.values():
+        other = pairs(t)
+        size = sum(other.values())
+        for i in range(len(own)):
+            seen, common = Counter(), 0
+            for j in range(i, min(len(own), i + int(size * (2 - least) / least) + 1)):
+                seen[own[j]] += 1
+                common += seen[own[j]] <= other[own[j]]
+                best = max(best, 2 * common / (j - i + 1 + size))
+    return best if best >= least else 0.0
+
+
+GPL = license_scan.TEMPLATES["GPL-3.0"]
+MIT = license_scan.TEMPLATES["MIT"].replace("conditions:\n", "conditions:\n\n").replace("Software. THE", "Software.\n\nTHE")
+
+
+def test_licences_are_found_in_all_windows():
+    t = license_scan.Templates(license_scan.Params())
+    for text, name, lines in [
+        (f"{PROSE}\n{PROSE}\n\n{MIT}\n\n{PROSE}", "MIT", (25, 37)),
+        (f"{PROSE}\n\n{GPL.replace('version. This', 'version.' + chr(10) * 2 + 'This')}\n\n{PROSE}", "GPL-3.0", (13, 19)),
+        ("Copyright 2019 Example Corp. All rights reserved.", "Copyright-notice", (0, 0)),
+        ("One.\nThis project is released under the\nMIT License.", "MIT-notice", (1, 2)),
+    ]:
+        found = license_scan.scan(text.encode(), t, 1 << 20)
+        assert found == license_scan.scan(text.encode(), t, 100)
+        assert [(n, (a, b)) for _, n, a, b in found] == [(name, lines)], text
+        assert found[0][0] == best_window(text, license_scan.TEMPLATES)
+    two = [(n, a) for _, n, a, _ in license_scan.scan(f"{MIT}\n\n{MIT}".encode(), t, 1 << 20)]
+    assert two == [("MIT", 0), ("MIT", 14)]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from("a b c d e f . \n \n\n".split(" ")), max_size=60), st.lists(st.lists(st.sampled_from("a b c d".split()), min_size=2, max_size=9), min_size=1, max_size=3), st.sampled_from([0.5, 0.8, 1.0]))
+def test_the_best_window_is_found(words, templates, least):
+    p = license_scan.Params(least=least, templates={str(k): " ".join(x) for k, x in enumerate(templates)})
+    text = " ".join(words)
+    got = license_scan.scan(text.encode(), license_scan.Templates(p), 1 << 20)
+    assert max((x[0] for x in got), default=0.0) == best_window(text, p.templates, least)
+
+
 # -- HTML --------------------------------------------------------------------------------------------------------
 PAGES = {
     "": "",
