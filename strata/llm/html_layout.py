@@ -6,9 +6,15 @@ of open elements and closes what a start tag or an end tag implies (``p`` before
 above its element; stray end tags are ignored).
 It calls the renderer as elements open and close, so no tree of the whole page is held and deep nesting needs no
 recursion. The renderer leaves out what is not shown (``head``, scripts, styles, templates, the ``hidden``
-attribute, ``display:none``, ``visibility:hidden``, hidden inputs), folds white space except in ``pre``, starts
+attribute, ``display:none``, ``visibility:hidden``, hidden inputs, ``noframes`` and ``noembed``, what stands in for
+``iframe``, ``object``, ``audio``, ``video`` and ``canvas``, annotations and phantoms of ``math``, ``desc`` and
+``metadata`` of ``svg`` and its characters outside ``text``, ``title`` and ``foreignObject``), folds white space except in ``pre``, starts
 blocks on lines of their own with an empty line around paragraphs, headings, lists, tables and quotes, marks and
-indents list items, numbers ordered ones and pads table cells so that columns line up.
+indents list items, numbers ordered ones and pads table cells so that columns line up. Tokens of a formula and
+labels of a drawing are set apart by blanks; text in ``defs`` and ``symbol`` is rendered once, where it stands.
+
+An exception: the options of ``select`` and ``datalist`` are left out, also those that a page would show; they are
+the values of a control.
 
 Defined results: a null page is empty and gives an empty text; a page without tags is its text; unknown tags are
 inline; tags without an end run to the end of the page; repeated rows are rendered each; columns other than the
@@ -31,12 +37,17 @@ from strata.llm.common import column_bytes, in_arrow
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes".split())
 ESCAPABLE_RAW = frozenset("textarea title".split())
-UNSEEN = frozenset("head script style template title noframes noembed iframe datalist object audio video canvas svg math select".split())
+UNSEEN = frozenset("head script style template title noframes noembed iframe datalist object audio video canvas select".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table ul".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu dir pre blockquote table hr figure fieldset".split())
 CLOSES_P = BLOCKS - frozenset("body html dd dt li legend".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 IN_HEAD = frozenset("base link meta noframes noscript script style template title".split())
+# Elements in svg and math: not shown; with HTML inside; tokens of a formula; HTML tags that end the svg or math.
+UNSEEN_IN = {"svg": frozenset("desc metadata script style".split()), "math": frozenset("annotation annotation-xml mphantom script style".split())}
+HTML_IN = {"svg": frozenset("desc foreignobject title".split()), "math": frozenset("mi mn mo ms mtext annotation-xml".split())}
+TOKENS = frozenset("mi mn mo ms mtext".split())
+BREAKS = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 #: An opening tag -> the open elements it closes, and the elements that shield them.
 IMPLIED = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir", "table"}),
@@ -146,13 +157,24 @@ class Renderer:
         self.flows, self.tables = [Flow()], []
         self.lists: list[list] = []  # [tag, next number, indents of its flow]
         self.hidden = self.pre = 0
-
-    def opened(self, tag: str, attributes: dict[str, str]) -> bool:
-        """Whether the element is hidden; what it holds is then left out."""
-        if self.hidden or tag in UNSEEN or "hidden" in attributes or _GONE.search(attributes.get("style", "")):
+        self.token = False  # a formula has begun
+
+    def opened(self, tag: str, attributes: dict[str, str], place: str = "") -> bool:
+        """Whether the element is hidden; what it holds is then left out. ``place`` is svg, math or HTML (empty)."""
+        gone = tag in UNSEEN_IN[place] if place else tag in UNSEEN
+        if place or tag == "svg":
+            gone |= attributes.get("display") == "none" or attributes.get("visibility") in ("hidden", "collapse")
+        if self.hidden or gone or "hidden" in attributes or _GONE.search(attributes.get("style", "")):
             self.hidden += 1
             return True
         flow = self.flows[-1]
+        if tag == "math":
+            self.token = False
+        if place:
+            if place == "svg" and tag in ("text", "title") or place == "math" and tag in TOKENS and self.token:
+                flow.gap = True
+            self.token |= tag in TOKENS
+            return False
         if tag in BLOCKS:
             flow.block(tag in SPACED and not (tag in ("ul", "ol", "menu", "dir") and self.lists))
         if tag in ("ul", "ol", "menu", "dir"):
@@ -185,11 +207,15 @@ class Renderer:
             flow.words(attributes.get("alt", ""))
         return False
 
-    def closed(self, tag: str, hidden: bool, attributes: dict[str, str]) -> None:
+    def closed(self, tag: str, hidden: bool, attributes: dict[str, str], place: str = "") -> None:
         if hidden:
             self.hidden -= 1
             return
         flow = self.flows[-1]
+        if place:
+            if place == "svg" and tag in ("text", "title"):
+                flow.gap = True
+            return
         if tag in ("td", "th", "caption") and self.tables and len(self.flows) > 1:
             lines = self.flows.pop().done()
             table = self.tables[-1]
@@ -223,12 +249,21 @@ class Renderer:
 
 def render(page: str) -> str:
     """All visible text of a page, lines joined by line feeds."""
-    out, stack, at = Renderer(), [], 0  # stack: (tag, hidden, attributes)
+    out, stack, at = Renderer(), [], 0  # stack: (tag, hidden, attributes, place of the tag, place and text place inside)
     standing: Counter[str] = Counter()  # open elements by tag
 
     def pop() -> None:
         standing[stack[-1][0]] -= 1
-        out.closed(*stack.pop())
+        out.closed(*stack.pop()[:4])
+
+    def inside() -> tuple[str, bool]:
+        """svg, math or HTML (empty), and whether characters are shown there."""
+        return stack[-1][4:] if stack else ("", True)
+
+    def break_out() -> None:
+        """Close the svg or math around, down to HTML."""
+        while inside()[0]:
+            pop()
 
     def close(which: set[str] | frozenset[str], shields: set[str]) -> None:
         """Close the nearest element of ``which`` with all above it, unless a shield stands in between."""
@@ -238,7 +273,7 @@ def render(page: str) -> str:
                     pop()
                 close(which, shields) if len(which) > 2 else None  # a row closes its cell first, then itself
                 return
-            if stack[k][0] in shields:
+            if stack[k][0] in shields or stack[k][3] and not stack[k][4]:  # HTML in svg or math closes nothing around
                 return
 
     def leave_head() -> None:
@@ -250,7 +285,8 @@ def render(page: str) -> str:
         shown = html.unescape(raw)
         if standing["head"] and shown.strip(" \t\r\n\f"):
             leave_head()
-        out.text(shown)
+        if inside()[1]:
+            out.text(shown)
 
     while at < len(page):
         found = _TAG.search(page, at)
@@ -261,9 +297,17 @@ def render(page: str) -> str:
             text(page[at : found.start()])
         at = found.end()
         if not found[2]:
+            if inside()[0] and page.startswith("<![CDATA[", found.start()):
+                end = page.find("]]>", found.start())
+                raw = page[found.start() + 9 : end if end >= 0 else len(page)]
+                if inside()[1]:
+                    out.text(raw)
+                at = end + 3 if end >= 0 else len(page)
             continue
         tag = found[2].lower()
         if found[1]:
+            if tag in ("br", "p"):
+                break_out()
             if tag == "br":
                 leave_head()
                 if out.opened("br", {}):
@@ -279,23 +323,40 @@ def render(page: str) -> str:
                 continue
             if tag not in IN_HEAD:
                 leave_head()
-        attributes = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(found[3])} if found[3].strip(" /") else {}
-        if standing["p"] and tag in CLOSES_P:
-            close({"p"}, {"td", "th", "caption", "button", "table"})
-        if tag in IMPLIED:
-            close(*IMPLIED[tag])
-        if tag in HEADINGS and stack and stack[-1][0] in HEADINGS:
-            pop()
-        if tag == "a" and standing["a"]:
-            close({"a"}, {"td", "th", "table"})
-        hidden = out.opened(tag, attributes)
-        if tag in VOID:
+        attributes, ended = {}, found[3].endswith("/")
+        if found[3].strip(" /"):
+            for m in _ATTRIBUTE.finditer(found[3]):
+                attributes[m[1].lower()] = html.unescape(m[2] or m[3] or m[4] or "")
+                ended = ended and not (m[4] and m.end() == len(found[3]))  # the slash of a value without quotes
+        if tag in BREAKS or tag == "font" and not attributes.keys().isdisjoint(("color", "face", "size")):
+            break_out()
+        place, shown = inside()
+        if not place:
+            if standing["p"] and tag in CLOSES_P:
+                close({"p"}, {"td", "th", "caption", "button", "table"})
+            if tag in IMPLIED:
+                close(*IMPLIED[tag])
+            if tag in HEADINGS and stack and stack[-1][0] in HEADINGS:
+                pop()
+            if tag == "a" and standing["a"]:
+                close({"a"}, {"td", "th", "table"})
+            shown = inside()[1]
+        hidden = out.opened(tag, attributes, place)
+        if place or tag in ("svg", "math"):
+            within = "" if tag in HTML_IN.get(place, ()) else tag if tag in ("svg", "math") else place
+            shown = within != "svg" or tag == "text" or shown and tag != "svg"
+            if ended:
+                out.closed(tag, hidden, attributes, place)
+                continue
+        else:
+            within = ""
+        if not place and tag in VOID:
             if hidden:
                 out.hidden -= 1
             continue
-        stack.append((tag, hidden, attributes))
+        stack.append((tag, hidden, attributes, place, within, shown))
         standing[tag] += 1
-        if tag in RAW or tag in ESCAPABLE_RAW:
+        if (tag in RAW or tag in ESCAPABLE_RAW) and not place or tag in ("script", "style"):
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
             inner = page[at : end.start() if end else len(page)]
             out.text(html.unescape(inner) if tag in ESCAPABLE_RAW else inner)

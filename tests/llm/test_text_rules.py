@@ -192,3 +192,25 @@ def test_a_head_ends_where_it_must():
         "<div hidden>no</p></br></div>Hello": "Hello",
     }.items():
         assert html_layout.render(page) == text, page
+
+
+def test_formulas_and_drawings_are_rendered():
+    for page, text in {
+        "so <math><mfrac><mi>a</mi><mn>12</mn></mfrac><mo>=</mo><mi>b</mi><annotation>no</annotation></math>.": "so a 12 = b.",
+        "a <svg/> b <math/> c": "a b c",
+        "<p>a <svg><path d='m'/><g><title>Sales</title><text x=1>one</text><text>t<tspan>wo</tspan></text>no</g></svg> b": "a Sales one two b",
+        "<svg><style/><desc>no</desc><metadata>no</metadata><script>no</script><text><![CDATA[1 > 0]]></text></svg>": "1 > 0",
+        "<p>a<svg><foreignObject><div>in</div><p>deep</foreignObject></svg>b": "a\nin\n\ndeep\n\nb",
+        "<div><svg><g><path></div>a<svg><g><p>b": "a\n\nb",
+        "<svg><g display=none><text>no</text></g><text visibility=hidden>no</text><text>a</text></svg>": "a",
+        "<svg width=10/><text>a</text></svg>b": "a b",
+        "<p><svg><rect></p>a <math><mphantom><mi>no</mi></mphantom><mtext>x <b>y</b></mtext></math>": "a x y",
+    }.items():
+        assert html_layout.render(page) == text, (page, html_layout.render(page))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from("<p> </p> <div> </div> <b> </b> <math> </math> <mi> </mi> <mrow> </mrow> <math/> <svg/> <table> <td> </table> <br> </br> w1 w2 w3".split()), max_size=40))
+def test_no_word_is_lost_in_formulas(parts):
+    out = html_layout.render(" ".join(parts))
+    assert sorted(re.findall(r"w\d", out)) == sorted(x for x in parts if x[0] == "w")
