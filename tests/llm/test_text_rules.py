@@ -214,3 +214,18 @@ def test_formulas_and_drawings_are_rendered():
 def test_no_word_is_lost_in_formulas(parts):
     out = html_layout.render(" ".join(parts))
     assert sorted(re.findall(r"w\d", out)) == sorted(x for x in parts if x[0] == "w")
+
+
+def test_a_tag_ends_at_its_own_end():
+    for page, text in {
+        "<p title=it's>first</p> <p>they don't</p> end": "first\n\nthey don't\n\nend",
+        "<a href=\"x\"\">text</a>": "text",
+        "<a href=\"x\"\"y' title='a > b' z = \"<b>\">text</a> \"more\"": "text \"more\"",
+        "<img alt=\"a 'b' > c\" \"><p don't>it's": "a 'b' > c\n\nit's",
+        "<a href=\"x>text</a> end": "text end",
+        "<img =x alt='pic'/><input value=a/>": "pica/",
+        "</p title='>'>x<input value = 'y'>": "xy",
+        "<a b=>x</a> <input value=\"\">y": "x y",
+        "<a href='x": "<a href='x",
+    }.items():
+        assert html_layout.render(page) == text, (page, html_layout.render(page))
