@@ -113,6 +113,29 @@ def labelled_sample(labels: DataFrame, column: str, limit: int) -> DataFrame:
     return per_id.withColumn("part", fold().cast("int")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
 
+def sampled_texts(docs: DataFrame, sample: DataFrame, max_bytes: int) -> DataFrame:
+    """doc_id, y, text: one row for each id of a ``labelled_sample`` that has a text, the first of them in its order.
+
+    An id is taken while the texts before it hold less than ``max_bytes``; of several texts of an id the one
+    with the smallest hash counts, and null is empty. Only ids, labels, hashes and sizes reach the driver.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
+    sizes = (
+        rows.join(F.broadcast(sample), "doc_id")
+        .groupBy("doc_id", "y")
+        .agg(F.min_by(F.octet_length("text"), "hash").alias("size"), F.min("hash").alias("hash"))
+        .select("doc_id", "y", "hash", "size", F.xxhash64("doc_id").alias("place"))
+    )
+    taken, held = [], 0
+    for r in sorted(sizes.toArrow().to_pylist(), key=lambda r: (r["place"], r["doc_id"])):
+        if held >= max_bytes:
+            break
+        held += r["size"]
+        taken.append((r["doc_id"], r["y"], r["hash"]))
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(taken, "doc_id long, y int, hash long"))
+    return rows.join(chosen, ["doc_id", "hash"]).groupBy("doc_id", "y").agg(F.first("text").alias("text"))
+
+
 def column_bytes(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """The UTF-8 bytes of a text column; null is empty."""
     return [b"" if x is None else x for x in batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()]

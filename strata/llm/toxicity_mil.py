@@ -10,11 +10,11 @@ ones. Features are lower-cased runs of letters and their first 4 to 7 bytes (ins
 for the ``max_features`` features in at least ``min_docs`` sampled documents that tell the labels apart most
 surely, with an L1 penalty that sets weights of chance words to zero.
 
-The fit uses at most ``max_labelled`` labelled documents of at most ``max_fit_bytes`` bytes each; both are
-documented bounds of the sample. Scoring takes whole texts of any length, in blocks.
+The fit uses at most ``max_labelled`` labelled documents, whole and of any length, until they hold
+``max_sample_bytes`` bytes; both are documented bounds of the sample. Fit and scoring take texts in blocks.
 
 Defined results: null and empty texts have one empty sentence; without labels of both kinds every sentence
-has the smoothed share of label 1; repeated rows are scored each; only text feeds a score. Sentences end at
+has the smoothed share of label 1, and without any label nothing is predicted or rejected; repeated rows are scored each; only text feeds a score. Sentences end at
 ``. ! ?`` and at line feeds.
 """
 
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import KIND, Block, blocks, column_bytes, fold, hashes, in_arrow, labelled_sample, runs
+from strata.llm.common import KIND, Block, blocks, column_bytes, fold, hashes, in_arrow, labelled_sample, runs, sampled_texts
 
 _STOP = np.zeros(256, bool)
 _STOP[[10, 33, 46, 63]] = True
@@ -39,7 +39,7 @@ class Params:
     buckets_log2: int = 20
     prefixes: tuple[int, ...] = (4, 5, 6, 7)
     max_labelled: int = 8_000
-    max_fit_bytes: int = 20_000
+    max_sample_bytes: int = 32 << 20
     max_features: int = 4_096
     min_docs: int = 4
     steps: int = 200
@@ -54,6 +54,10 @@ class Model:
     params: Params
     weights: np.ndarray
     bias: float
+    labelled: int  # documents learned from
+
+    def toxic(self, score: np.ndarray) -> np.ndarray:
+        return (score >= self.params.threshold) & (self.labelled > 0)
 
 
 def lowered(texts: list[bytes]) -> list[bytes]:
@@ -110,7 +114,7 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, p: Params) -
     weights = np.zeros(1 << p.buckets_log2, np.float32)
     share = (y.sum() + 1) / (len(y) + 2)
     if len(np.unique(y)) < 2:
-        return Model(p, weights, float(np.log(share / (1 - share))))
+        return Model(p, weights, float(np.log(share / (1 - share))), len(y))
     doc = np.repeat(np.arange(len(docs)), [len(a) for a, _ in docs])
     ids = np.concatenate([a for a, _ in docs])
     toxic_in, all_in = (np.zeros(len(weights)) for _ in range(2))
@@ -149,22 +153,35 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, p: Params) -
         w = np.sign(w) * np.maximum(np.abs(w) - rate * p.l1, 0)
         bias = min(bias - p.bias_rate / np.sqrt(gb) * db, -2.0)
     weights[frequent] = w
-    return Model(p, weights, float(bias))
+    return Model(p, weights, float(bias), len(y))
 
 
 def fit(docs: DataFrame, labels: DataFrame, p: Params = Params(), label: str = "toxic") -> Model:
+    def features(text: bytes) -> tuple[bytes, bytes]:
+        words, places, shift = [], [], 0
+        for block in blocks([text]):
+            ids, sentence, _, _ = instances(block, p)
+            used, place = np.unique(sentence, return_inverse=True)
+            words.append(ids.astype("<i4").tobytes())
+            places.append((place + shift).astype("<i4").tobytes())
+            shift += len(used)
+        return b"".join(words), b"".join(places)
+
     def run(batches):
         for batch in batches:
-            words, places = [], []
-            for text in lowered(column_bytes(batch, "text")):
-                ids, sentence, _, _ = instances(Block([(0, text)]), p)
-                words.append(ids.astype("<i4").tobytes())
-                places.append((np.unique(sentence, return_inverse=True)[1] if len(ids) else sentence).astype("<i4").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(words, pa.binary()), pa.array(places, pa.binary())], names=["doc_id", "y", "words", "places"])
-
-    sample = F.broadcast(labelled_sample(labels, label, p.max_labelled).drop("part"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.octet_length("text") <= p.max_fit_bytes).join(sample, "doc_id")
-    got = in_arrow(rows.select("doc_id", "y", "text"), run, "doc_id long, y int, words binary, places binary").toArrow().to_pylist()
+            texts, lo = lowered(column_bytes(batch, "text")), 0
+            while lo < len(texts):
+                made, size, hi = [], 0, lo
+                while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= 4 << 20):
+                    size += len(texts[hi])
+                    made.append(features(texts[hi]))
+                    hi += 1
+                columns = [pa.array([x[k] for x in made], pa.binary()) for k in range(2)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), *columns], names=["doc_id", "y", "words", "places"])
+                lo = hi
+
+    rows = sampled_texts(docs, labelled_sample(labels, label, p.max_labelled).drop("part"), p.max_sample_bytes)
+    got = in_arrow(rows, run, "doc_id long, y int, words binary, places binary").toArrow().to_pylist()
     got.sort(key=lambda r: (r["doc_id"], r["y"], r["words"]))
     bag = [(np.frombuffer(r["words"], "<i4").reshape(-1, 1 + len(p.prefixes)), np.frombuffer(r["places"], "<i4").astype(np.int64)) for r in got]
     return train(bag, np.array([r["y"] for r in got], np.int64), p)
@@ -177,7 +194,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         for batch in batches:
             s, n, a, b = bags(column_bytes(batch, "text"), shared.value)
-            hit = (s >= shared.value.params.threshold).astype(np.int32)
+            hit = shared.value.toxic(s).astype(np.int32)
+            n = n * (shared.value.labelled > 0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s), pa.array(hit), pa.array(n), pa.array(a), pa.array(b)], names=["doc_id", "held_out", "score", "predicted", "toxic_sentences", "worst_start", "worst_end"])
 
     rows = docs.select("doc_id", (fold() == 0).alias("held_out"), "text")
@@ -192,6 +210,6 @@ def accept(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         for batch in batches:
             s = bags(column_bytes(batch, "text"), shared.value)[0]
-            yield batch.filter(pa.array(s < shared.value.params.threshold))
+            yield batch.filter(pa.array(~shared.value.toxic(s)))
 
     return in_arrow(docs, run, docs.schema)

@@ -154,6 +154,22 @@ def test_offending_sentence_is_located(spark):
     assert text[rows[0]["worst_start"] : rows[0]["worst_end"]].strip() == "You aa bb VERMIN cc dd"
 
 
+def test_toxicity_learns_long_texts_and_rejects_nothing_unlabelled(spark):
+    rng = random.Random(4)
+    sentence = lambda bad: " ".join(["vermin" if bad and k == 4 else rng.choice("abcdefghij") * rng.randint(1, 4) for k in range(9)]) + ". "
+    rows = [(k, "".join(sentence(k % 2 == 0 and j == 2) for j in range(900 if k else 25_000))) for k in range(40)]
+    assert min(len(x) for _, x in rows) > 20_000 and len(rows[0][1]) > 1 << 19
+    labels = spark.createDataFrame([(k, 1, int(k % 2 == 0)) for k in range(40)], "doc_id long, quality int, toxic int")
+    model = toxicity_mil.fit(odd_docs(spark, rows), labels)
+    test = odd_docs(spark, [(1, "You aa bb vermin cc dd. Then calm again."), (2, "All calm. " * 50)])
+    assert [r["predicted"] for r in toxicity_mil.score(test, model).orderBy("doc_id").collect()] == [1, 0]
+    none = toxicity_mil.fit(odd_docs(spark, rows[:2]), labels.where("false"))
+    assert toxicity_mil.accept(test, none).count() == 2
+    assert {(r["predicted"], r["toxic_sentences"]) for r in toxicity_mil.score(test, none).collect()} == {(0, 0)}
+    small = toxicity_mil.fit(odd_docs(spark, rows), labels, toxicity_mil.Params(max_sample_bytes=50_000))
+    assert 1 <= small.labelled < 10
+
+
 def test_pipeline_stages(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "toxicity", "n-gram Jaccard join", "best-fit packing"]
     docs, labels = read_table(spark, SMALL, "documents"), read_table(spark, SMALL, "labels")
