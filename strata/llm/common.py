@@ -113,7 +113,7 @@ def labelled_sample(labels: DataFrame, column: str, limit: int) -> DataFrame:
     return per_id.withColumn("part", fold().cast("int")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
 
-def sampled_texts(docs: DataFrame, sample: DataFrame, max_bytes: int) -> DataFrame:
+def sampled_texts(docs: DataFrame, sample: DataFrame, max_bytes: int = 1 << 62) -> DataFrame:
     """doc_id, y, text: one row for each id of a ``labelled_sample`` that has a text, the first of them in its order.
 
     An id is taken while the texts before it hold less than ``max_bytes``; of several texts of an id the one

@@ -10,7 +10,8 @@
    of their folds is kept apart to fit the temperature by which its logits are divided.
 
 Defined results: a null text is empty and has all-zero features, and is scored like any other; without
-labels of both kinds every score is the smoothed share of label 1; repeated rows are scored each; columns
+labels of both kinds every score is the smoothed share of label 1; repeated rows are scored each, but one text
+per id is learned; columns
 other than the id and text are never read. Only text feeds a score.
 """
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import KIND, Block, blocks, column_bytes, fold, hashes, in_arrow, labelled_sample, runs
+from strata.llm.common import KIND, Block, blocks, column_bytes, fold, hashes, in_arrow, labelled_sample, runs, sampled_texts
 
 
 @dataclass(frozen=True)
@@ -169,8 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params(), label: str = "
             x = pooled(column_bytes(batch, "text"), shared.value, p)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *(pa.array(x[:, k]) for k in range(len(names)))], names=["doc_id", "y", "part", *names])
 
-    sample = F.broadcast(labelled_sample(labels, label, p.max_labelled))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id").select("doc_id", "y", "part", "text")
+    rows = sampled_texts(docs, labelled_sample(labels, label, p.max_labelled)).select("doc_id", "y", fold().cast("int").alias("part"), "text")
     got = in_arrow(rows, features, "doc_id long, y int, part int, " + ", ".join(f"{x} double" for x in names)).toArrow()
     x = np.column_stack([got[c].to_numpy() for c in names]) if got.num_rows else np.zeros((0, len(names)))
     order = np.lexsort((*x.T[:3], got["doc_id"].to_numpy()))

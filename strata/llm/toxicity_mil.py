@@ -14,7 +14,7 @@ The fit uses at most ``max_labelled`` labelled documents, whole and of any lengt
 ``max_sample_bytes`` bytes; both are documented bounds of the sample. Fit and scoring take texts in blocks.
 
 Defined results: null and empty texts have one empty sentence; without labels of both kinds every sentence
-has the smoothed share of label 1, and without any label nothing is predicted or rejected; repeated rows are scored each; only text feeds a score. Sentences end at
+has the smoothed share of label 1, and without any label nothing is predicted or rejected; repeated rows are scored each, but one text per id is learned; only text feeds a score. Sentences end at
 ``. ! ?`` and at line feeds.
 """
 

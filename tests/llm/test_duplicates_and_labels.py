@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strata.llm import ngram_join, quality_net, queries, toxicity_mil
-from strata.llm.common import read_table
+from strata.llm.common import labelled_sample, read_table, sampled_texts
 
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -170,6 +170,22 @@ def test_toxicity_learns_long_texts_and_rejects_nothing_unlabelled(spark):
     assert 1 <= small.labelled < 10
 
 
+@pytest.mark.parametrize("module, label", [(quality_net, "quality"), (toxicity_mil, "toxic")])
+def test_one_text_of_an_id_is_learned(spark, monkeypatch, module, label):
+    seen = []
+    train = module.train
+    monkeypatch.setattr(module, "train", lambda *a: seen.append(max(len(x) for x in a[:2])) or train(*a))
+    rows = [(1, f"words number {k % 50} of a text") for k in range(600)] + [(k, f"other text {k}") for k in range(2, 30)] + [(30, None), (30, "b"), (31, None)]
+    labels = spark.createDataFrame([(k, k % 2, k % 2) for k in range(1, 32)], "doc_id long, quality int, toxic int")
+    bound = labelled_sample(labels, label, 10_000).select("doc_id")
+    assert bound.where("doc_id in (1, 30, 31)").count() >= 2
+    module.fit(odd_docs(spark, rows), labels)
+    module.fit(odd_docs(spark, rows).orderBy(F.desc("text")), labels)
+    assert seen == [bound.count()] * 2
+    texts = [sorted((r["doc_id"], r["text"]) for r in sampled_texts(odd_docs(spark, x), labelled_sample(labels, label, 10_000)).collect()) for x in (rows, rows[::-1])]
+    assert texts[0] == texts[1] and len(texts[0]) == bound.count()
+
+
 def test_pipeline_stages(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "toxicity", "n-gram Jaccard join", "best-fit packing"]
     docs, labels = read_table(spark, SMALL, "documents"), read_table(spark, SMALL, "labels")
