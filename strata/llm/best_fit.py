@@ -5,6 +5,8 @@ evenly over partitions of about ``items`` pieces and each is packed by best-fit
 sequence count equals its lower bound is certified optimal and done. The others exchange: the documents of
 their sequences with room are dealt, whole sequences at a time, over fewer partitions and packed again, which
 is kept if it saves a sequence. After ``rounds`` exchanges, or when no partition has a gap, the packing stands.
+Certified partitions keep their last, partly filled sequences, so the count can exceed the bound over all pieces
+by about one sequence a partition, and by more where ``rounds`` ends with partitions open; the README has figures.
 
 Tokenising goes by words between ASCII white space, which the tokenizer's pattern never spans, so that every
 word is encoded once per worker and remembered (a bounded memory).
