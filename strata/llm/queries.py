@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import best_fit, block_search, byte_bpe, context_tree, html_layout, license_scan, line_rules, ngram_join, quality_net, toxicity_mil
+from strata.llm import best_fit, block_search, byte_bpe, context_tree, html_layout, interleave, license_scan, line_rules, ngram_join, phrases, quality_net, repair, toxicity_mil
 from strata.llm.common import fold, read_table
 
 
@@ -58,6 +58,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_net.score(docs, quality_net.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op11_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", interleave.size().alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.md5(text).alias("digest"))
+    placed = interleave.shards(docs, content=F.col("digest"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repair.damaged(read_table(spark, sf_dir, "conversations"))
+    return repair.audits(rows, F.col("dropped")).drop("made")
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents")).drop("first_doc", "first_start")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -71,8 +87,11 @@ QUERIES = {
         op8_license_scan,
         op9_html_layout,
         op10_quality,
+        op11_interleave,
+        op12_repair,
+        op13_phrases,
     )
 }
 
 #: SQL for DuckDB; the other operators are learned, approximate or iterative and are tested by brute force.
-ORACLE: dict[str, str] = {"op3_line_rules": line_rules.oracle()}
+ORACLE: dict[str, str] = {"op3_line_rules": line_rules.oracle(), "op11_interleave": interleave.oracle(), "op12_repair": repair.oracle(), "op13_phrases": phrases.oracle()}
