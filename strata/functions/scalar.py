@@ -43,18 +43,26 @@ def to_double(c: str | Column) -> Column:
 def to_timestamp(c: str | Column) -> Column:
     """string -> zone-free timestamp in UTC; malformed -> NULL.
 
-    A text with a zone offset is moved to UTC, whatever the session zone; one
-    without is taken as it stands.
+    A text with a zone, as an offset or by name (``+02:00``, ``Z``,
+    ``Europe/Paris``, ``PST``), is moved to UTC, whatever the session zone; with
+    a name that is no zone it is malformed.  One without is taken as it stands.
     """
     text = as_col(c).cast("string")
-    zoned = F.convert_timezone(F.current_timezone(), F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz"))
-    return F.when(text.rlike(r"\d:\d\d.*(Z|[+-]\d{1,2}(:?\d{2})?)\s*$"), zoned).otherwise(as_col(c).try_cast("timestamp_ntz"))
+    # whole microseconds since the epoch know no zone, nor hours that a zone has twice
+    seconds = (F.unix_micros(text.try_cast("timestamp")) / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    zoned = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return F.when(text.rlike(r":\d{1,2}(\.\d*)?\s*[^\s\d:.]"), zoned).otherwise(as_col(c).try_cast("timestamp_ntz"))
 
 
 def natural_order(c: str | Column) -> Column:
-    """A text's sorting key in which runs of digits compare as numbers (up to 20 digits)."""
+    """A text's sorting key in which runs of digits compare as numbers: first by length, then by digits."""
     parts = F.regexp_extract_all(as_col(c), F.lit(r"(\d+|\D+)"), F.lit(1))
-    return F.array_join(F.transform(parts, lambda x: F.when(x.rlike(r"^\d"), F.lpad(x, 20, "0")).otherwise(x)), "")
+
+    def key(x: Column) -> Column:
+        digits = F.ltrim(x, F.lit("0"))
+        return F.when(x.rlike(r"^\d"), F.concat(F.lpad(F.length(digits).cast("string"), 6, "0"), digits)).otherwise(x)
+
+    return F.array_join(F.transform(parts, key), "")
 
 
 def end_of_time() -> Column:

@@ -185,6 +185,7 @@ def apply_batches(
     tracked: list[str] = CUSTOMER_TRACKED,
     sk_col: str = "customer_sk",
     tie_break: list[str] | None = None,
+    order: DataFrame | None = None,
 ) -> DataFrame:
     """H7: apply any number of new batches to an existing history in one plan, without MERGE.
 
@@ -198,6 +199,7 @@ def apply_batches(
     longer hold the rows that changed nothing then.  With ``feed``, the rows
     applied so far, the keys of late batches are rebuilt from it and the result
     equals a full rebuild; without it every batch must be later than all applied.
+    ``order`` may pass the order of the batches, where ``batches`` is a part of them.
     """
     if feed is not None:
         keys, order = late_keys(batches, feed, key, ts_col, batch_col)
@@ -205,10 +207,10 @@ def apply_batches(
         every = feed.select(*columns).unionByName(batches.select(*columns)).join(keys, key, "left_semi")
         rebuilt = build_history(every, key, ts_col, batch_col, tracked, sk_col, tie_break, order=order)
         rest = apply_batches(
-            history.join(keys, key, "left_anti"), batches.join(keys, key, "left_anti"), None, key, ts_col, batch_col, tracked, sk_col, tie_break
+            history.join(keys, key, "left_anti"), batches.join(keys, key, "left_anti"), None, key, ts_col, batch_col, tracked, sk_col, tie_break, order
         )
         return rest.unionByName(rebuilt.select(*rest.columns))
-    latest = dedup_within_batch(batches, key, ts_col, batch_col, tie_break).join(order_batches(batches, batch_col, ts_col), batch_col)
+    latest = dedup_within_batch(batches, key, ts_col, batch_col, tie_break).join(order if order is not None else order_batches(batches, batch_col, ts_col), batch_col)
     new = latest.select(key, ts_col, *tracked, BATCH_TS, batch_col, F.lit(True).alias("_new"))
     current = history.where(F.col(CURRENT)).select(
         key, F.col(START).alias(ts_col), *tracked,

@@ -25,6 +25,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from strata.sources.ledger import Ledger
+
 CONTROL_SCHEMA = StructType(
     [
         StructField("entity_name", StringType(), False),
@@ -53,7 +55,6 @@ ACTIVE_COLUMNS = [
 # incremental copy, and the name pattern of a time-like column.
 LOAD_TYPES = ["full", "incremental"]
 FIRST_WATERMARK = "1900-01-01 00:00:00"
-RUN_ID = "run_id"
 TIME_LIKE = re.compile(r"(_at|_timestamp)$")
 
 # The six retail entities mapped onto the benchmark source tables.
@@ -126,28 +127,15 @@ def route_by_load_type(
     return full_snapshot(source), False
 
 
-def land_partitioned(
-    df: DataFrame, target: str, load_date: str | Column, mode: str = "overwrite", run_id: str | None = None
-) -> None:
-    """Snappy Parquet under ``<target>/load_date=<d>/[run_id=<r>/]``.
+def land_partitioned(df: DataFrame, target: str, load_date: str | Column, run_id: str | None = None) -> None:
+    """Snappy Parquet under ``<target>/load_date=<d>/run_id=<r>/``, entered in the landing's ledger.
 
-    Dynamic partition overwrite replaces only the partition(s) being written,
-    so re-landing a date is idempotent and other dates are untouched.  With a
-    ``run_id`` a second run on one date gets a folder of its own: its slice
-    begins where the first ended, so it must not replace it; only a retry of
-    the same run does.
+    Re-landing a run replaces only itself: a date landed without ``run_id`` is
+    idempotent, other dates and other runs of the date are untouched.  A second
+    run on one date gets a folder and a batch of its own: its slice begins
+    where the first ended.
     """
-    ld = F.lit(load_date).cast("date") if isinstance(load_date, str) else load_date.cast("date")
-    dated = df.withColumn("load_date", ld)
-    if run_id is not None:
-        dated = dated.withColumn(RUN_ID, F.lit(run_id))
-    (
-        dated.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy("load_date", *([RUN_ID] if run_id is not None else []))
-        .parquet(target)
-    )
+    Ledger(df.sparkSession, target).land(df, load_date, run_id)
 
 
 def advance_watermark(control: DataFrame, highs: DataFrame, run_ts: str | Column) -> DataFrame:

@@ -79,7 +79,6 @@ def point_in_time_join(
     how: str = "left",
     skew_fraction: float | None = None,
     salt_buckets: int = 32,
-    bypass_null_keys: bool = False,
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """As-of join on ``key = key AND start <= ts < end``.
@@ -95,46 +94,35 @@ def point_in_time_join(
     salted over ``salt_buckets`` partitions (see :func:`salt_hot_keys`), which
     works whatever the shape of the inputs.  ``hot`` may pass keys counted on a
     cheaper upstream column; a key more or less there changes the plan, never
-    the rows.  ``bypass_null_keys`` keeps
-    NULL-key facts out of the shuffle (:func:`null_keys_bypass`) for inputs
-    whose key may be NULL; Silver's not-null rules normally make it
-    unnecessary.  ``versions`` must carry distinct column names.
+    the rows.  Facts without a key are spread (see :func:`spread_null_keys`).
+    ``versions`` must carry distinct column names.
     """
-    def join(f: DataFrame, v: DataFrame) -> DataFrame:
-        if skew_fraction:
-            f, v = salt_hot_keys(f, v, fact_key, version_key, skew_fraction, salt_buckets, hot)
-            cond = (
-                (f[fact_key] == v[version_key])
-                & (f[SALT] == v["_v_salt"])
-                & (f[fact_ts] >= v[start])
-                & (f[fact_ts] < v[end])
-            )
-            return f.join(v, cond, how).drop(SALT, "_v_salt")
-        cond = (f[fact_key] == v[version_key]) & (f[fact_ts] >= v[start]) & (f[fact_ts] < v[end])
-        return f.join(v, cond, how)
-
-    if bypass_null_keys:
-        return null_keys_bypass(facts, versions, fact_key, how, join)
-    return join(facts, versions)
-
-
-def null_keys_bypass(facts: DataFrame, other: DataFrame, fact_key: str, how: str, join) -> DataFrame:
-    """Keep NULL-key fact rows out of a left join's shuffle.
-
-    A NULL key never matches, yet a left join must keep the row, so every
-    NULL-key row would hash to the same partition: with a third of the facts
-    NULL, one task would get them all.  They are filtered off map-side and
-    unioned back with NULL dimension columns instead.
+    f, v = spread_null_keys(facts, versions, fact_key, version_key, skew_fraction, salt_buckets, hot)
+    cond = (f[fact_key] == v[version_key]) & (f[SALT] == v["_v_salt"]) & (f[fact_ts] >= v[start]) & (f[fact_ts] < v[end])
+    return f.join(v, cond, how).drop(SALT, "_v_salt")
+
+
+NULL_SPREAD = 4096  # join partitions that rows without a key are dealt to, at most
+
+
+def spread_null_keys(
+    facts: DataFrame, other: DataFrame, fact_key: str, other_key: str, skew_fraction: float | None, salt_buckets: int, hot: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join with a salt as a second key.
+
+    A NULL key matches nothing, yet a left join keeps the row, and rows that
+    are dealt by that key alone all go to one task.  Such a row gets a negative
+    salt from a hash of itself, which no row of the other side has: the rows
+    are spread, in the one plan and the one shuffle of all the others.  Every
+    other row has salt 0, or that of its hot key (:func:`salt_hot_keys`).
     """
-    if how not in ("left", "left_outer", "leftouter"):
-        return join(facts, other)
-    key = F.col(f"`{fact_key}`")
-    joined = join(facts.where(key.isNotNull()), other)
-    nulls = facts.where(key.isNull()).select(
-        *[F.col(f"`{c}`") for c in facts.columns],
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema.fields],
-    )
-    return joined.unionByName(nulls.select(*joined.columns))
+    if skew_fraction:
+        f, v = salt_hot_keys(facts, other, fact_key, other_key, skew_fraction, salt_buckets, hot)
+    else:
+        f, v = facts.withColumn(SALT, F.lit(0).cast("bigint")), other.withColumn("_v_salt", F.lit(0).cast("bigint"))
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
+    salt = F.when(F.col(f"`{fact_key}`").isNull(), -1 - F.pmod(row_hash, F.lit(NULL_SPREAD))).otherwise(F.col(SALT))
+    return f.withColumn(SALT, salt), v
 
 
 def lookup_join(
@@ -146,7 +134,6 @@ def lookup_join(
     skew_fraction: float | None = None,
     salt_buckets: int = 32,
     hot: DataFrame | None = None,
-    bypass_null_keys: bool = False,
 ) -> DataFrame:
     """Equi lookup of a Type-1 dimension (one row per key on the dim side).
 
@@ -154,21 +141,11 @@ def lookup_join(
     is a sort-merge join, and with ``skew_fraction`` set the keys holding at
     least that share of the facts are salted as in the point-in-time join.
     ``hot`` may pass precomputed hot keys (column ``_hot_key``), e.g. counted
-    on a cheaper upstream column with the same distribution.
-    ``bypass_null_keys`` keeps NULL-key rows out of the shuffle (see
-    :func:`null_keys_bypass`); it evaluates ``facts`` in two branches, so use
-    it when ``facts`` is cheap to read twice (a table, not a deep join).
+    on a cheaper upstream column with the same distribution.  Facts without a
+    key are spread (see :func:`spread_null_keys`).
     """
-    def join(f: DataFrame, d: DataFrame) -> DataFrame:
-        if skew_fraction:
-            f, d = salt_hot_keys(f, d, fact_key, dim_key, skew_fraction, salt_buckets, hot)
-            cond = (f[fact_key] == d[dim_key]) & (f[SALT] == d["_v_salt"])
-            return f.join(d, cond, how).drop(SALT, "_v_salt")
-        return f.join(d, f[fact_key] == d[dim_key], how)
-
-    if bypass_null_keys:
-        return null_keys_bypass(facts, dim, fact_key, how, join)
-    return join(facts, dim)
+    f, d = spread_null_keys(facts, dim, fact_key, dim_key, skew_fraction, salt_buckets, hot)
+    return f.join(d, (f[fact_key] == d[dim_key]) & (f[SALT] == d["_v_salt"]), how).drop(SALT, "_v_salt")
 
 
 def naive_key_join(

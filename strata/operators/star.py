@@ -129,7 +129,6 @@ def fct_sales(
     warehouse_from: str = "orders",
     lookup_skew_fraction: float | None = None,
     hot_customers: DataFrame | None = None,
-    bypass_null_keys: bool = False,
 ) -> DataFrame:
     """Order-line grain sales fact (J1 + J3 + 2 x J2).
 
@@ -139,9 +138,8 @@ def fct_sales(
     broadcast by AQE when the dimension is small and split by AQE's skew join
     when it is read from its table; ``lookup_skew_fraction`` additionally
     salts hot products/warehouses (for large dimensions inside one plan).
-    ``hot_customers`` (column ``_hot_key``) spares counting them on ``orders``;
-    ``bypass_null_keys`` keeps lines without a product or warehouse out of the
-    shuffles (for inputs that are cheap to read twice).
+    ``hot_customers`` (column ``_hot_key``) spares counting them on ``orders``.
+    Lines without a product or warehouse are spread over the shuffles.
     """
     o_cols = ["order_id", "customer_id", "order_timestamp", "status"]
     i_cols = ["order_item_id", "order_id", "product_id", "quantity", "unit_price"]
@@ -161,12 +159,12 @@ def fct_sales(
     f = lookup_skew_fraction
     joined = lookup_join(
         lines, prod, "product_id", "_p_id", skew_fraction=f,
-        hot=hot_keys(items, "product_id", f) if f else None, bypass_null_keys=bypass_null_keys,
+        hot=hot_keys(items, "product_id", f) if f else None,
     )
     wh_source = headers if warehouse_from == "orders" else items
     joined = lookup_join(
         joined, wh, "warehouse_id", "_w_id", skew_fraction=f,
-        hot=hot_keys(wh_source, "warehouse_id", f) if f else None, bypass_null_keys=bypass_null_keys,
+        hot=hot_keys(wh_source, "warehouse_id", f) if f else None,
     )
     return joined.select(
         "order_item_id",
@@ -188,16 +186,15 @@ def fct_inventory_movements(
     dim_wh: DataFrame,
     dim_prod: DataFrame,
     lookup_skew_fraction: float | None = None,
-    bypass_null_keys: bool = False,
 ) -> DataFrame:
     """Event-grain inventory fact (2 x J2); lookups as in :func:`fct_sales`."""
     wh = dim_wh.select(F.col("warehouse_id").alias("_w_id"), "warehouse_sk")
     prod = dim_prod.select(F.col("product_id").alias("_p_id"), "product_sk")
     f = lookup_skew_fraction
-    joined = lookup_join(events, wh, "warehouse_id", "_w_id", skew_fraction=f, bypass_null_keys=bypass_null_keys)
+    joined = lookup_join(events, wh, "warehouse_id", "_w_id", skew_fraction=f)
     joined = lookup_join(
         joined, prod, "product_id", "_p_id", skew_fraction=f,
-        hot=hot_keys(events, "product_id", f) if f else None, bypass_null_keys=bypass_null_keys,
+        hot=hot_keys(events, "product_id", f) if f else None,
     )
     return joined.select(
         "event_id",

@@ -45,6 +45,35 @@ def land_csv_entities(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str,
     return root, columns
 
 
+# A landing as a source system may send it: order headers per year in <root>/<batch>/orders.csv, some lines of
+# which are short, long or badly quoted, and one year whose columns come in another order.
+FAULTY_COLUMNS = ["order_id", "customer_id", "status", "note"]
+SWAPPED_COLUMNS = ["customer_id", "order_id", "status", "note"]
+SWAPPED_YEAR = "1997"
+SHORT, LONG, QUOTED = (97, 0), (89, 1), (83, 2)  # divisor and remainder of the order's key
+
+
+def land_faulty_csv(spark: SparkSession, sf_dir: str) -> tuple[str, list[str]]:
+    """The root and the batches of that landing; every order is in one line of it."""
+    root = scratch_path(spark, "landing-faulty")
+    orders = standins.table(spark, sf_dir, "orders")
+    batch = F.coalesce(F.year("o_orderdate").cast("string"), F.lit("undated"))
+    fault = {k: F.col("o_orderkey") % d == r for k, (d, r) in {"short": SHORT, "long": LONG, "quoted": QUOTED}.items()}
+    first = F.when(batch == SWAPPED_YEAR, F.concat_ws(",", "o_custkey", "o_orderkey")).otherwise(F.concat_ws(",", "o_orderkey", "o_custkey"))
+    note = F.when(fault["quoted"], F.concat(F.lit('"'), "o_orderpriority", F.lit('" order, as sent'))).otherwise(
+        F.concat(F.lit('"'), "o_orderpriority", F.lit(' order, ""as sent"""')))
+    line = F.when(fault["short"], F.concat_ws(",", first, "o_orderstatus")).otherwise(
+        F.concat(F.concat_ws(",", first, "o_orderstatus", note), F.when(fault["long"], ",more").otherwise("")))
+    lines = orders.select(batch.alias("batch"), line.alias("line"))
+    batches = sorted(r["batch"] for r in lines.select("batch").distinct().collect())  # one per year
+    for b in batches:
+        header = ",".join(SWAPPED_COLUMNS if b == SWAPPED_YEAR else FAULTY_COLUMNS)
+        writer = lines.where(F.col("batch") == b).select(F.col("line").alias(header)).write.option("header", True)
+        # one field a line, written as it stands
+        writer.options(sep="\u0001", quote="", escapeQuotes=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{root}/{b}/orders.csv")
+    return root, batches
+
+
 # Orders landed per year; files of years before this one predate the
 # priority column, so the partitions have two different schemas.
 PRIORITY_SINCE_YEAR = 1998

@@ -10,7 +10,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import clean as C
@@ -141,3 +141,78 @@ class Layers:
         return self._keep(star.fct_inventory_movements(
             self.silver("inventory_events"), self.dim_warehouse, self.dim_product
         ))
+
+
+class DefectiveLayers(Layers):
+    """The layers with a share of every defect that the suite looks for, planted by remainders of the keys.
+
+    The facts are built from the sound history and dimensions; what a check reads is the defective form.
+    """
+
+    @cached_property
+    def sound(self) -> Layers:
+        return Layers.shared(self.spark, self.sf_dir, self.persist)
+
+    @staticmethod
+    def _rest(key: str, divisor: int) -> Column:
+        return F.col(key).cast("long") % divisor
+
+    def _repeated(self, df: DataFrame, which: Column) -> DataFrame:
+        return df.withColumn("_n", F.explode(F.when(which, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))).drop("_n")
+
+    def silver(self, entity: str) -> DataFrame:
+        rows = self.sound.silver(entity)
+        if entity != "order_items":
+            return rows
+        rejected = self.sound.quarantine(entity).where(self._rest("order_id", 17) == 10).select(*rows.columns)
+        return self._repeated(rows, self._rest("order_id", 17) == 9).unionByName(rejected)
+
+    def quarantine(self, entity: str) -> DataFrame:
+        return self.sound.quarantine(entity)
+
+    @cached_property
+    def customer_history(self) -> DataFrame:
+        k, closed = self._rest("customer_id", 13), ~F.col(H.CURRENT)
+        end = (
+            F.when(closed & (k == 1), F.col(H.END) + F.expr("INTERVAL 1 DAY"))
+            .when(closed & (k == 2), F.col(H.END) - F.expr("INTERVAL 1 HOUR"))
+            .when(closed & (k == 3), F.col(H.START))
+            .otherwise(F.col(H.END))
+        )
+        current = F.when(k == 4, True).when(k == 5, False).otherwise(F.col(H.CURRENT))
+        return self.sound.customer_history.withColumns({H.END: end, H.CURRENT: current})
+
+    @cached_property
+    def dim_product(self) -> DataFrame:
+        return self._repeated(self.sound.dim_product, self._rest("product_id", 17) == 1)
+
+    @cached_property
+    def dim_warehouse(self) -> DataFrame:
+        return self._repeated(self.sound.dim_warehouse, self._rest("warehouse_id", 7) == 1)
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return self._repeated(self.sound.dim_date, F.col("day_of_month") == 1)
+
+    @cached_property
+    def fct_sales(self) -> DataFrame:
+        k = self._rest("order_id", 17)
+        return self._repeated(self.sound.fct_sales, k == 1).withColumns({
+            "quantity": F.when(k == 2, 0).otherwise(F.col("quantity")),
+            "line_amount": F.when(k == 3, -5.0).when(k == 4, F.col("line_amount") + 1).otherwise(F.col("line_amount")),
+            "customer_sk": F.when(k != 5, F.col("customer_sk")),
+            "product_sk": F.when(k == 6, "gone").otherwise(F.col("product_sk")),
+            "warehouse_sk": F.when(k == 7, "gone").otherwise(F.col("warehouse_sk")),
+            "date_key": F.when(k == 8, 19000101).otherwise(F.col("date_key")),
+        })
+
+    @cached_property
+    def fct_inventory_movements(self) -> DataFrame:
+        k = self._rest("event_id", 17)
+        turned = (k == 2) & (F.col("event_type") != "ADJUSTMENT")
+        return self._repeated(self.sound.fct_inventory_movements, k == 1).withColumns({
+            "quantity_change": F.when(turned, -F.col("quantity_change")).otherwise(F.col("quantity_change")),
+            "warehouse_sk": F.when(k == 3, "gone").otherwise(F.col("warehouse_sk")),
+            "product_sk": F.when(k == 4, "gone").otherwise(F.col("product_sk")),
+            "date_key": F.when(k == 5, 19000101).otherwise(F.col("date_key")),
+        })

@@ -7,6 +7,8 @@ dependencies, in order).
 
 from __future__ import annotations
 
+import re
+
 EOT = "TIMESTAMP '9999-12-31 23:59:59'"
 
 _CTES: dict[str, tuple[str, list[str]]] = {}
@@ -55,10 +57,11 @@ def dn(*cols: str) -> str:
 cte("geo", "SELECT n.n_nationkey, n.n_name, r.r_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey")
 cte(
     "cust_raw",
-    """SELECT CAST(o.o_custkey AS VARCHAR) AS customer_id,
+    """SELECT CASE WHEN o.o_orderkey % 149 <> 0 THEN CAST(o.o_custkey AS VARCHAR) END AS customer_id,
        CASE WHEN o.o_orderpriority = '4-NOT SPECIFIED' THEN '  ' ELSE o.o_orderpriority END AS email,
        c.c_name AS customer_name, c.c_mktsegment AS segment, g.n_name AS city, g.r_name AS region,
-       o.o_orderdate AS updated_at, CAST(year(o.o_orderdate) AS VARCHAR) AS batch_id
+       CASE WHEN o.o_orderkey % 151 = 0 THEN 'not known' ELSE strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') END AS updated_at,
+       CAST(year(o.o_orderdate) AS VARCHAR) AS batch_id
 FROM orders o
 LEFT JOIN (customer c LEFT JOIN geo g ON c.c_nationkey = g.n_nationkey) ON o.o_custkey = c.c_custkey""",
     ["geo"],
@@ -67,7 +70,7 @@ cte(
     "cust_typed",
     f"""SELECT customer_id, {nt('email')} AS email, {nt('customer_name')} AS customer_name,
        {nt('segment')} AS segment, {nt('city')} AS city, {nt('region')} AS region,
-       updated_at, batch_id
+       TRY_CAST(updated_at AS TIMESTAMP) AS updated_at, batch_id
 FROM cust_raw""",
     ["cust_raw"],
 )
@@ -121,7 +124,8 @@ WINDOW w AS (PARTITION BY customer_id ORDER BY bts, batch_id)""",
 cte(
     "products_typed",
     f"""SELECT CAST(p_partkey AS VARCHAR) AS product_id, {nt('p_name')} AS product_name,
-       {nt('p_type')} AS category, p_retailprice AS unit_price, CAST(NULL AS TIMESTAMP) AS updated_at
+       {nt('p_type')} AS category, CASE WHEN p_partkey % 97 = 5 THEN NULL WHEN p_partkey % 89 = 1 THEN -p_retailprice ELSE p_retailprice END AS unit_price,
+       CAST(NULL AS TIMESTAMP) AS updated_at
 FROM part""",
 )
 cte("products_dedup", dedup("products_typed", "product_id", dn("updated_at", "product_name", "category", "unit_price")), ["products_typed"])
@@ -144,7 +148,7 @@ cte(
 
 cte(
     "warehouses_typed",
-    f"""SELECT CAST(s.s_suppkey AS VARCHAR) AS warehouse_id, {nt('s.s_name')} AS warehouse_name,
+    f"""SELECT CAST(s.s_suppkey AS VARCHAR) AS warehouse_id, CASE WHEN s.s_suppkey % 9 <> 4 THEN {nt('s.s_name')} END AS warehouse_name,
        {nt('g.n_name')} AS city, {nt('g.r_name')} AS region
 FROM supplier s LEFT JOIN geo g ON s.s_nationkey = g.n_nationkey""",
     ["geo"],
@@ -314,8 +318,8 @@ LEFT JOIN dim_product p ON e.product_id = p.product_id""",
 
 ORACLE: dict[str, str] = {
     "trim_to_null": sql(
-        "SELECT customer_id, email, customer_name, segment, city, region, updated_at, batch_id FROM cust_typed",
-        "cust_typed",
+        f"SELECT customer_id, {', '.join(f'{nt(c)} AS {c}' for c in ('email', 'customer_name', 'segment', 'city', 'region'))}, updated_at, batch_id FROM cust_raw",
+        "cust_raw",
     ),
     "dedup_latest": sql("SELECT * FROM items_dedup", "items_dedup"),
     "clean_products": sql("SELECT * FROM products_clean", "products_clean"),
@@ -353,6 +357,32 @@ WHERE c.customer_id IN (SELECT customer_id FROM history GROUP BY customer_id HAV
         "fct_sales",
         "history",
     ),
+    "report_customer_history": sql(
+        """SELECT * EXCLUDE (customer_sk), row_number() OVER (ORDER BY customer_id, effective_start_timestamp, email NULLS FIRST, customer_name NULLS FIRST,
+       segment NULLS FIRST, city NULLS FIRST, region NULLS FIRST, effective_end_timestamp, is_current) AS rank FROM history""",
+        "history",
+    ),
+    "report_sales_by_version": sql(
+        """SELECT f.order_item_id, f.order_timestamp, c.customer_id, c.email, f.line_amount,
+       row_number() OVER (ORDER BY c.customer_id, f.order_timestamp NULLS FIRST, f.order_item_id) AS rank
+FROM fct_sales f JOIN history c ON f.customer_sk = c.customer_sk
+WHERE c.customer_id IN (SELECT customer_id FROM history GROUP BY customer_id HAVING count(*) > 1)""",
+        "fct_sales",
+        "history",
+    ),
+    "report_batch_counts": sql(
+        "SELECT batch_id, count(*) AS n, row_number() OVER (ORDER BY batch_id NULLS FIRST) AS rank FROM cust_raw GROUP BY batch_id", "cust_raw"
+    ),
+    "report_top_stock": sql(
+        """SELECT w.warehouse_name, p.product_name, CAST(sum(f.quantity_change) AS BIGINT) AS net_movement,
+       row_number() OVER (ORDER BY sum(f.quantity_change) DESC, w.warehouse_name NULLS FIRST, p.product_name NULLS FIRST) AS rank
+FROM fct_inv f JOIN dim_warehouse w ON f.warehouse_sk = w.warehouse_sk
+JOIN dim_product p ON f.product_sk = p.product_sk
+GROUP BY w.warehouse_name, p.product_name ORDER BY rank LIMIT 100""",
+        "fct_inv",
+        "dim_warehouse",
+        "dim_product",
+    ),
     "net_stock_movement": sql(
         """SELECT w.warehouse_name, p.product_name, CAST(sum(f.quantity_change) AS BIGINT) AS net_movement
 FROM fct_inv f JOIN dim_warehouse w ON f.warehouse_sk = w.warehouse_sk
@@ -502,7 +532,7 @@ cte(
             "version not in effect at order time: fct_sales",
             """SELECT count(*) FROM fct_sales f
   JOIN history c ON f.customer_sk = c.customer_sk
-  JOIN (SELECT customer_id AS ck, effective_start_timestamp AS cur_start FROM history WHERE is_current) cur
+  JOIN (SELECT customer_id AS ck, max(effective_start_timestamp) AS cur_start FROM history WHERE is_current GROUP BY customer_id) cur
     ON c.customer_id = cur.ck
   WHERE c.is_current <> (f.order_timestamp >= cur.cur_start)""",
         ),
@@ -568,6 +598,48 @@ LEFT JOIN history h ON o.customer_id = h.customer_id""",
 )
 
 
+# --------------------------------------------------------------------------
+# the same checks over tables with planted defects
+_DEFECTS = {
+    "history": """SELECT customer_sk, customer_id, email, customer_name, segment, city, region, effective_start_timestamp,
+       CASE WHEN NOT is_current AND k = 1 THEN effective_end_timestamp + INTERVAL 1 DAY WHEN NOT is_current AND k = 2 THEN effective_end_timestamp - INTERVAL 1 HOUR
+            WHEN NOT is_current AND k = 3 THEN effective_start_timestamp ELSE effective_end_timestamp END AS effective_end_timestamp,
+       CASE k WHEN 4 THEN true WHEN 5 THEN false ELSE is_current END AS is_current
+FROM (SELECT *, CAST(customer_id AS BIGINT) % 13 AS k FROM history_sound)""",
+    "dim_product": "SELECT * FROM dim_product_sound UNION ALL SELECT * FROM dim_product_sound WHERE CAST(product_id AS BIGINT) % 17 = 1",
+    "dim_warehouse": "SELECT * FROM dim_warehouse_sound UNION ALL SELECT * FROM dim_warehouse_sound WHERE CAST(warehouse_id AS BIGINT) % 7 = 1",
+    "dim_date": "SELECT * FROM dim_date_sound UNION ALL SELECT * FROM dim_date_sound WHERE day_of_month = 1",
+    "items_clean": """SELECT * FROM items_clean_sound UNION ALL SELECT * FROM items_clean_sound WHERE CAST(order_id AS BIGINT) % 17 = 9
+UNION ALL SELECT * EXCLUDE (quarantine_reason, failed_rules) FROM items_bad WHERE CAST(order_id AS BIGINT) % 17 = 10""",
+    "fct_sales": """SELECT order_item_id, order_id, CASE WHEN k <> 5 THEN customer_sk END AS customer_sk, CASE WHEN k = 6 THEN 'gone' ELSE product_sk END AS product_sk,
+       CASE WHEN k = 7 THEN 'gone' ELSE warehouse_sk END AS warehouse_sk, CASE WHEN k = 8 THEN 19000101 ELSE date_key END AS date_key, order_timestamp, order_status,
+       CASE WHEN k = 2 THEN 0 ELSE quantity END AS quantity, unit_price, CASE k WHEN 3 THEN -5 WHEN 4 THEN line_amount + 1 ELSE line_amount END AS line_amount
+FROM (SELECT *, CAST(order_id AS BIGINT) % 17 AS k, unnest(CASE WHEN CAST(order_id AS BIGINT) % 17 = 1 THEN [1, 2] ELSE [1] END) FROM fct_sales_sound)""",
+    "fct_inv": """SELECT event_id, CASE WHEN k = 3 THEN 'gone' ELSE warehouse_sk END AS warehouse_sk, CASE WHEN k = 4 THEN 'gone' ELSE product_sk END AS product_sk,
+       CASE WHEN k = 5 THEN 19000101 ELSE date_key END AS date_key, event_timestamp, event_type,
+       CASE WHEN k = 2 AND event_type <> 'ADJUSTMENT' THEN -quantity_change ELSE quantity_change END AS quantity_change
+FROM (SELECT *, CAST(event_id AS BIGINT) % 17 AS k, unnest(CASE WHEN CAST(event_id AS BIGINT) % 17 = 1 THEN [1, 2] ELSE [1] END) FROM fct_inv_sound)""",
+}
+
+
+def _defective(final: str, *needs: str) -> str:
+    """Like ``sql``, with the defective forms in the place of the sound tables wherever a check reads them."""
+    order: list[str] = []
+    _resolve(list(needs), order)
+    sound = re.compile(rf"\b({'|'.join(_DEFECTS)})\b")
+    parts = [(sound.sub(r"\1_sound", n), sound.sub(r"\1_sound", _CTES[n][0])) for n in order if not n.startswith("chk_")]
+    parts += list(_DEFECTS.items()) + [(n, _CTES[n][0]) for n in order if n.startswith("chk_")]
+    return "WITH " + ",\n".join(f"{n} AS (\n{body}\n)" for n, body in parts) + "\n" + final
+
+
+ORACLE["check_expected_versions"] = sql(
+    chk("""SELECT 'versions of ' || k AS check_name, count(h.customer_id) AS observed, 1 AS expected
+FROM range(1, 101) t(k) LEFT JOIN history h ON h.customer_id = CAST(k AS VARCHAR) GROUP BY k"""),
+    "history",
+)
+ORACLE["check_defects"] = _defective("SELECT * FROM chk_all", "chk_all")
+
+
 # --------------------------------------------------------------------------
 # Bronze and ingestion
 def _values(rows) -> str:
@@ -592,7 +664,7 @@ def _seed_cte(name: str, rows) -> None:
 
 def _register_ingest():
     from strata.operators.ingest import DEFAULT_SEED
-    from strata.plans.queries import RESEED, RUN_TS, SLICE_LAST_WATERMARK
+    from strata.plans.queries import FIRST_RUN_UNTIL, RESEED, RUN_TS, SLICE_LAST_WATERMARK
 
     _seed_cte("seed", DEFAULT_SEED)
     _seed_cte("reseed", RESEED)
@@ -618,6 +690,20 @@ UNION ALL SELECT 'order_items', CAST(year(l_shipdate) AS VARCHAR), count(*) FROM
 UNION ALL SELECT 'inventory_events', strftime(ts, '%Y-%m-%d'), count(*) FROM events GROUP BY 2
 UNION ALL SELECT 'products', 'snapshot', count(*) FROM part
 UNION ALL SELECT 'warehouses', 'snapshot', count(*) FROM supplier""",
+            "bronze_csv_batches": f"""WITH sent AS (
+  SELECT coalesce(CAST(year(o_orderdate) AS VARCHAR), 'undated') AS batch_id, o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS order_id,
+         CAST(o_custkey AS VARCHAR) AS customer_id, o_orderstatus AS status, o_orderpriority AS p,
+         o_orderkey % 97 = 0 AS short, o_orderkey % 89 = 1 AS long, o_orderkey % 83 = 2 AS quoted FROM orders
+), judged AS (
+  SELECT *, CASE WHEN batch_id = '1997' THEN 'header' WHEN quoted AND NOT short THEN 'quotes' WHEN short OR long THEN 'column count' END AS reason,
+         CASE WHEN batch_id = '1997' THEN customer_id || ',' || order_id ELSE order_id || ',' || customer_id END || ',' || status ||
+         CASE WHEN short THEN '' ELSE CASE WHEN quoted THEN ',"' || p || '" order, as sent' ELSE ',"' || p || ' order, ""as sent""' || chr(34) END || CASE WHEN long THEN ',more' ELSE '' END END AS line
+  FROM sent
+)
+SELECT batch_id, batch_id || '/orders.csv' AS file, CASE WHEN reason IS NULL THEN order_id END AS order_id, CASE WHEN reason IS NULL THEN customer_id END AS customer_id,
+       CASE WHEN reason IS NULL THEN status END AS status, CASE WHEN reason IS NULL THEN p || ' order, "as sent"' END AS note,
+       CASE WHEN reason IS NOT NULL THEN line END AS raw_line, reason AS rejected_reason, 'order_desk' AS source_system, '{RUN_TS[:10]}' AS ingested_on
+FROM judged""",
             "bronze_merged_schema": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
        CASE WHEN year(o_orderdate) >= 1998 THEN o_orderpriority END AS o_orderpriority,
        make_date(year(o_orderdate), 1, 1) AS load_date,
@@ -649,8 +735,14 @@ WHERE CASE WHEN s.entity_name IS NOT NULL THEN s.is_active ELSE e.is_active END"
   SELECT o_custkey, 'batch_' || month(o_orderdate) AS batch_id, TIMESTAMP '2024-01-01 00:00:00' AS ingestion_timestamp, o_orderkey,
          row_number() OVER (PARTITION BY o_custkey ORDER BY month(o_orderdate) DESC NULLS LAST, o_orderkey DESC) AS rn
   FROM orders) WHERE rn = 1""",
-            "ingest_two_runs": f"""SELECT *, DATE '{RUN_TS[:10]}' AS load_date, 'load_date={RUN_TS[:10]}' AS batch_id
+            "ingest_two_runs": f"""SELECT *, DATE '{RUN_TS[:10]}' AS load_date,
+       'load_date={RUN_TS[:10]}/run_id=' || CASE WHEN o_orderdate <= TIMESTAMP '{FIRST_RUN_UNTIL}' THEN 'r1' ELSE 'r2' END AS batch_id
 FROM orders WHERE o_orderdate IS NOT NULL""",
+            "history_stream_runs": sql("SELECT * FROM history", "history").replace(
+                "CAST(year(o.o_orderdate) AS VARCHAR) AS batch_id",
+                """CASE WHEN coalesce(year(o.o_orderdate), 0) <= 1997 THEN 'load_date=1998-12-31/run_id=first' WHEN year(o.o_orderdate) = 1998 THEN 'load_date=1998-12-31/run_id=late'
+            WHEN year(o.o_orderdate) = 1999 THEN 'load_date=1998-12-31/run_id=second' ELSE 'load_date=2001-12-31/run_id=third' END AS batch_id""",
+            ),
             "ingest_run": """SELECT 'customers' AS entity_name, (SELECT count(*) FROM customer) AS landed_rows,
        CAST(NULL AS TIMESTAMP) AS last_watermark_value
 UNION ALL SELECT 'products', (SELECT count(*) FROM part), CAST(NULL AS TIMESTAMP)

@@ -8,6 +8,10 @@ passes (trap T11), so a failing run never becomes the next baseline.
 Each layer is written once and the next layer reads the written files, which
 cuts lineage between layers (an executor lost late in the run recomputes only
 from the last written layer).
+
+A run writes every table to a fresh version folder and switches all of them by
+one rename when the gate has passed.  Until then, and if it dies anywhere, the
+lake of the last good run is read in full.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from strata.operators import quality as Q
 from strata.operators import star
 from strata.plans import suite
 from strata.sources import files, sinks
+from strata.sources.store import Versions
 
 # Bronze column order of the six retail entities.
 ENTITY_COLUMNS = {
@@ -76,15 +81,27 @@ def entity_specs() -> dict[str, C.EntitySpec]:
 
 
 class Tables:
-    """Written layer tables, read back by path (same attributes as Layers)."""
+    """Written layer tables, read back by path (same attributes as Layers).
+
+    The version of the lake is resolved once; a run's own tables are read where it has staged them.
+    """
 
     def __init__(self, spark: SparkSession, root: str, null_attribute: str = "region"):
         self.spark, self.root = spark, root.rstrip("/")
         self.null_attribute = null_attribute
         self.splits: dict[str, sinks.SplitTable] = {}
+        self.versions = Versions(spark, root)
 
     def path(self, layer: str, name: str) -> str:
-        return f"{self.root}/{layer}/{name}"
+        return self.versions.path(f"{layer}/{name}")
+
+    def target(self, layer: str, name: str) -> str:
+        """A fresh folder for a table of this run."""
+        return self.versions.stage(f"{layer}/{name}")
+
+    def exists(self, layer: str, name: str) -> bool:
+        table = f"{layer}/{name}"
+        return table in self.versions.tables or table in self.versions.staged or self.versions.store.exists(table)
 
     def read(self, layer: str, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, name))
@@ -177,13 +194,15 @@ class RunResult:
     counts: dict[str, int]
     checks: list
     passed: bool
+    tables: Tables  # as this run wrote them, also where the gate kept them from being published
 
 
 def _write_layer(df: DataFrame, t: Tables, layer: str, name: str) -> int:
-    return sinks.write_counted(df, t.path(layer, name))
+    return sinks.write_counted(df, t.target(layer, name))
 
 
 FACT_MONTH = "date_month"
+RUN_LOG = "validation_run_log"
 
 
 def _write_fact(df: DataFrame, t: Tables, name: str, by_month: bool) -> int:
@@ -197,7 +216,7 @@ def _write_fact(df: DataFrame, t: Tables, name: str, by_month: bool) -> int:
     if not by_month:
         return _write_layer(df, t, "gold", name)
     monthly = df.withColumn(FACT_MONTH, F.expr("date_key div 100").cast("int")).hint("rebalance", FACT_MONTH)
-    return sinks.write_counted(monthly, t.path("gold", name), partition_by=[FACT_MONTH])
+    return sinks.write_counted(monthly, t.target("gold", name), partition_by=[FACT_MONTH])
 
 
 def bronze_source(
@@ -207,21 +226,21 @@ def bronze_source(
     batches: list[str] | None,
     landing_format: str = "csv",
     load_type: str | None = None,
-) -> DataFrame:
-    """Raw rows of one entity with ``batch_id`` and ``source_file``.
+) -> tuple[DataFrame, DataFrame | None]:
+    """Raw rows of one entity with ``batch_id`` and ``source_file``, and the lines that are no rows.
 
     csv:     ``<root>/<batch>/<entity>.csv`` for the given batches (S1).
     parquet: ``<root>/<entity>/load_date=<d>/`` -- every load date of an
              incremental entity (S2), only the latest of a full one (S3).
     """
     if landing_format == "csv":
-        return files.read_csv_batches(spark, landing_root, batches or [], entity, ENTITY_COLUMNS[entity])
+        return files.split_csv_batches(spark, landing_root, batches or [], entity, ENTITY_COLUMNS[entity])
     if landing_format != "parquet":
         raise ValueError(f"unknown landing format {landing_format!r}")
     root = f"{landing_root.rstrip('/')}/{entity}"
     kind = load_type or LOAD_TYPES[entity]
     df = files.read_partitions(spark, root) if kind == "incremental" else files.read_latest_snapshot(spark, root)
-    return df.drop("load_date")
+    return df.drop("load_date"), None
 
 
 def run_pipeline(
@@ -235,7 +254,10 @@ def run_pipeline(
     raise_on_failure: bool = True,
     landing_format: str = "csv",
     facts_by_month: bool = False,
+    keep_versions: int = 2,
 ) -> RunResult:
+    """One full run.  The lake under ``out_root`` switches to it only if the gate passes; the last
+    ``keep_versions`` versions stay readable for whoever has resolved them."""
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     ts: Column = F.lit(run_ts).cast("timestamp")
     t = Tables(spark, out_root)
@@ -243,26 +265,29 @@ def run_pipeline(
 
     # Bronze: one scan per entity over all batches, audit columns, overwrite.
     for entity in ENTITY_COLUMNS:
-        raw = bronze_source(spark, landing_root, entity, batches, landing_format)
+        raw, rejected = bronze_source(spark, landing_root, entity, batches, landing_format)
         bronze = files.add_bronze_audit(raw, source_system, ingestion_ts=ts)
-        counts[f"bronze.{entity}"] = sinks.write_bronze(bronze, t.path("bronze", entity))
+        counts[f"bronze.{entity}"] = sinks.write_bronze(bronze, t.target("bronze", entity))
+        if rejected is not None:
+            lines = files.add_bronze_audit(rejected, source_system, ingestion_ts=ts)
+            counts[f"quarantine.{entity}_lines"] = sinks.write_quarantine(lines, t.target("quarantine", f"{entity}_lines"))
 
     # Silver: typed + deduplicated, evaluated and written once per entity;
     # the clean table and the quarantine are the two partitions of that write.
     for entity, spec in entity_specs().items():
         typed = C.standardise(t.raw(entity), spec)
         deduped = C.dedup_latest(typed, spec.keys, spec.order_col, spec.tie_break)
-        split = sinks.write_split(deduped, spec.rules, spec.reason, t.path("silver", SILVER_NAME[entity]), ts)
+        split = sinks.write_split(deduped, spec.rules, spec.reason, t.target("silver", SILVER_NAME[entity]), ts)
         t.splits[entity] = split
         counts[f"silver.{SILVER_NAME[entity]}"] = split.valid_rows
         counts[f"quarantine.{entity}"] = split.quarantined_rows
 
     # Customer history: quarantine before dedup, then the window rebuild.
     feed, bad_feed = H.prepare_feed(t.raw("customers"), quarantine_ts=ts)
-    counts["quarantine.customers"] = sinks.write_quarantine(bad_feed, t.path("quarantine", "customers"))
+    counts["quarantine.customers"] = sinks.write_quarantine(bad_feed, t.target("quarantine", "customers"))
     history = H.build_history(feed)
     counts["silver.customers_history"] = sinks.drop_and_rebuild(
-        history, t.path("silver", "customers_history"), HISTORY_SCHEMA
+        history, t.target("silver", "customers_history"), HISTORY_SCHEMA
     )
 
     # Gold: dimensions first (dim_date needs both transactional inputs), then facts.
@@ -279,10 +304,10 @@ def run_pipeline(
 
     # Quality: the whole suite is one frame; run log compared, then gated.
     frames = [suite.full_suite(t)] + specific_checks(t, edge_cases or EdgeCases())
-    log_path = t.path("gold", "validation_run_log")
     current = Q.current_counts(spark, suite.stability_tables(t), ts)
-    if _exists(spark, log_path):
-        frames.append(Q.run_stability(spark.read.parquet(log_path), current))
+    log = t.read("gold", RUN_LOG) if t.exists("gold", RUN_LOG) else None
+    if log is not None:
+        frames.append(Q.run_stability(log, current))
     results = Q.union_all(frames)
     try:
         rows = Q.gate(results)
@@ -292,19 +317,10 @@ def run_pipeline(
             raise
         rows, passed = failed.rows, False
     if passed:
-        sinks.append_run_log(current, log_path)
-    return RunResult(out_root, counts, rows, passed)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
-
-
-def local_path(path: str) -> str:
-    from strata.session import local_dir
-
-    return local_dir(path)
+        # the log is a table of this version too: it never names a run that cannot be read
+        _write_layer(current if log is None else log.unionByName(current), t, "gold", RUN_LOG)
+        t.versions.publish(keep_versions)
+    return RunResult(out_root, counts, rows, passed, t)
 
 
 def register_layers(spark: SparkSession, out_root: str, prefix: str = "") -> list[str]:
@@ -312,7 +328,8 @@ def register_layers(spark: SparkSession, out_root: str, prefix: str = "") -> lis
 
     Bronze and Gold folders become tables over their location; each Silver
     table and its quarantine become views over their partition of the split
-    folder.  Existing names are replaced.  Returns the qualified names.
+    folder.  Names point at the version current now and are replaced by the
+    next call.  Returns the qualified names.
     """
     t = Tables(spark, out_root)
     ns = {layer: f"{prefix}{layer}" for layer in sinks.LAYERS}
@@ -342,6 +359,8 @@ def register_layers(spark: SparkSession, out_root: str, prefix: str = "") -> lis
 
     for entity in ENTITY_COLUMNS:
         table(ns["bronze"], entity, t.path("bronze", entity))
+        if t.exists("quarantine", f"{entity}_lines"):
+            table(ns["quarantine"], f"{entity}_lines", t.path("quarantine", f"{entity}_lines"))
     table(ns["silver"], "customers_history", t.path("silver", "customers_history"))
     table(ns["quarantine"], "customers", t.path("quarantine", "customers"))
     for entity, name in SILVER_NAME.items():
@@ -350,7 +369,7 @@ def register_layers(spark: SparkSession, out_root: str, prefix: str = "") -> lis
         view(ns["quarantine"], entity, split.path,
              split.columns + ["quarantine_reason", "failed_rules", "quarantine_timestamp"], False)
     for name in ["dim_customer", "dim_product", "dim_warehouse", "dim_date", "fct_sales",
-                 "fct_inventory_movements", "validation_run_log"]:
-        if _exists(spark, t.path("gold", name)):
+                 "fct_inventory_movements", RUN_LOG]:
+        if t.exists("gold", name):
             table(ns["gold"], name, t.path("gold", name))
     return names

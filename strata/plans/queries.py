@@ -199,6 +199,23 @@ REGISTRY["check_grain"] = _suite("grain")
 REGISTRY["check_expectations"] = _suite("expectations")
 
 
+@query("check_defects")
+def q_check_defects(spark, sf):
+    """The whole suite over layers with a share of every defect planted: no check can hold by chance."""
+    from strata.plans import suite
+    from strata.plans.layers import DefectiveLayers
+
+    return suite.full_suite(DefectiveLayers(spark, sf))
+
+
+@query("check_expected_versions")
+def q_check_expected_versions(spark, sf):
+    """Q6: versions of every customer of the first hundred keys, each expected to have one (those that changed fail)."""
+    from strata.operators.quality import expect_versions
+
+    return expect_versions(Layers.shared(spark, sf).customer_history, "customer_id", {str(k): 1 for k in range(1, 101)})
+
+
 @query("check_suite_summary")
 def q_check_suite_summary(spark, sf):
     """Q19: passed / failed over the whole suite (the gate's input)."""
@@ -226,6 +243,44 @@ def q_check_run_stability(spark, sf):
     return Q.run_stability(spark.read.parquet(log_path), second)
 
 
+# --------------------------------------------------------------------------
+# Ordered reports
+@query("report_customer_history")
+def q_report_customer_history(spark, sf):
+    """O1: all customer versions in order of customer and start."""
+    from strata.operators.report import ranked
+
+    lay = Layers.shared(spark, sf)
+    return ranked(lay.customer_history.drop("customer_sk"), ["customer_id", "effective_start_timestamp"])
+
+
+@query("report_sales_by_version")
+def q_report_sales_by_version(spark, sf):
+    """O1: the lines of customers with several versions, in order of customer, order time and line."""
+    from strata.operators.report import ranked
+
+    lay = Layers.shared(spark, sf)
+    return ranked(star.sales_by_customer_version(lay.fct_sales, lay.dim_customer), ["customer_id", "order_timestamp", "order_item_id"])
+
+
+@query("report_batch_counts")
+def q_report_batch_counts(spark, sf):
+    """O1: rows of the customer feed per batch, in order of the batch."""
+    from strata.operators.report import ranked
+
+    return ranked(Layers.shared(spark, sf).raw("customers").groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")), ["batch_id"])
+
+
+@query("report_top_stock")
+def q_report_top_stock(spark, sf):
+    """O1: the hundred largest net movements, largest first, then by names."""
+    from strata.operators.report import top
+
+    lay = Layers.shared(spark, sf)
+    net = star.net_stock_movement(lay.fct_inventory_movements, lay.dim_warehouse, lay.dim_product)
+    return top(net, ["net_movement", "warehouse_name", "product_name"], 100, ["net_movement"])
+
+
 # --------------------------------------------------------------------------
 # Bronze and ingestion
 @query("bronze_batches")
@@ -242,6 +297,22 @@ def q_bronze_batches(spark, sf):
     ).groupBy("entity", "batch_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("bronze_csv_batches")
+def q_bronze_csv_batches(spark, sf):
+    """S1/S6 on a landing with planted faults: the rows that load and the lines set aside, with batch, file,
+    reason and source system.  (The header line that each part of a swapped file repeats is left out.)"""
+    from strata.plans import landing
+    from strata.sources.files import add_bronze_audit, split_csv_batches
+
+    root, batches = landing.land_faulty_csv(spark, sf)
+    rows, rejected = split_csv_batches(spark, root, batches, "orders", landing.FAULTY_COLUMNS)
+    rejected = rejected.where(F.col("raw_line") != ",".join(landing.SWAPPED_COLUMNS))
+    audited = add_bronze_audit(rows.unionByName(rejected, allowMissingColumns=True), "order_desk", ingestion_ts=F.lit(RUN_TS).cast("timestamp"))
+    file = F.regexp_extract("source_file", r"/([^/]+/orders\.csv)(/[^/]*)?$", 1)
+    return audited.select("batch_id", file.alias("file"), *landing.FAULTY_COLUMNS, "raw_line", "rejected_reason", "source_system",
+                          F.date_format("ingestion_timestamp", "yyyy-MM-dd").alias("ingested_on"))
+
+
 @query("bronze_merged_schema")
 def q_bronze_merged_schema(spark, sf):
     """All load-date partitions of orders, merged by column name."""
@@ -338,6 +409,32 @@ def q_history_apply_batch(spark, sf):
     return H.apply_batches(H.build_history(before), feed.where(new), before)
 
 
+@query("history_stream_runs")
+def q_history_stream_runs(spark, sf):
+    """H7 as a stream over the landing's ledger: a first run, then two runs (one on the same load date), then a
+    late one on that date again; a batch is a date and its run. Equals the rebuild over these batches."""
+    from strata.plans.standins import raw_customers
+    from strata.operators.ingest import land_partitioned
+    from strata.session import scratch_path
+    from strata.streaming import latest_history, start_history_stream
+
+    feed, year = raw_customers(spark, sf), F.coalesce(F.col("batch_id").cast("int"), F.lit(0))
+    landing, history, checkpoint = (scratch_path(spark, f"runs-{x}") for x in ("landing", "history", "checkpoint"))
+    for runs in STREAM_RUNS:
+        for date, run, first, last in runs:
+            land_partitioned(feed.where(year.between(first, last)).drop("batch_id"), landing, date, run)
+        start_history_stream(spark, landing, history, checkpoint, buckets=16).awaitTermination()
+    return latest_history(spark, history, buckets=16)
+
+
+# Load date, run and the order years of each landing, by run of the stream.
+STREAM_RUNS = [
+    [("1998-12-31", "first", 0, 1997)],
+    [("1998-12-31", "second", 1999, 1999), ("2001-12-31", "third", 2000, 9999)],
+    [("1998-12-31", "late", 1998, 1998)],
+]
+
+
 @query("ingest_run")
 def q_ingest_run(spark, sf):
     """I1-I7 end to end: a first run copies every active source table into

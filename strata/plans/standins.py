@@ -11,7 +11,7 @@ source table; nothing is sampled.
 |------------------|------------------------------------------------|
 | customers (feed) | orders x customer x nation x region: one change row per order; the order
 |                  | priority is the changing contact attribute ('4-NOT SPECIFIED' arrives
-|                  | blank); batch = order year                       |
+|                  | blank); batch = order year; times are texts      |
 | products         | part                                           |
 | warehouses       | supplier x nation x region                     |
 | orders           | orders (status F/O map to completed/pending; P is not an accepted status) |
@@ -27,6 +27,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Bad values as sources send them, by divisor and remainder of the row's key: change rows without a customer or with
+# a time that is none, products priced in words or below zero, warehouses without a name.
+NO_CUSTOMER, NO_TIME = (149, 0), (151, 0)
+PRICE_IN_WORDS, PRICE_BELOW_ZERO = (97, 5), (89, 1)
+NO_NAME = (9, 4)
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -41,6 +47,10 @@ def _s(c) -> F.Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
+def planted(key: str, rule: tuple[int, int]) -> F.Column:
+    return F.col(key) % rule[0] == rule[1]
+
+
 def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation x region (25 rows): (n_nationkey, n_name, r_name)."""
     nation = table(spark, sf_dir, "nation")
@@ -52,13 +62,13 @@ def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer change feed: one row per order, batch = order year."""
-    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderpriority")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     geo = geography(spark, sf_dir)
     cust_geo = cust.join(geo, cust.c_nationkey == geo.n_nationkey, "left")
     feed = orders.join(cust_geo, orders.o_custkey == cust_geo.c_custkey, "left")
     return feed.select(
-        _s("o_custkey").alias("customer_id"),
+        F.when(~planted("o_orderkey", NO_CUSTOMER), _s("o_custkey")).alias("customer_id"),
         F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("  "))
         .otherwise(F.col("o_orderpriority"))
         .alias("email"),
@@ -66,7 +76,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("segment"),
         F.col("n_name").alias("city"),
         F.col("r_name").alias("region"),
-        F.col("o_orderdate").alias("updated_at"),
+        F.when(planted("o_orderkey", NO_TIME), "not known").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("updated_at"),
         _s(F.year("o_orderdate")).alias("batch_id"),
     )
 
@@ -77,7 +87,10 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         _s("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
-        F.col("p_retailprice").alias("unit_price"),
+        F.when(planted("p_partkey", PRICE_IN_WORDS), "on request")
+        .when(planted("p_partkey", PRICE_BELOW_ZERO), _s(-F.col("p_retailprice")))
+        .otherwise(_s("p_retailprice"))
+        .alias("unit_price"),
         F.lit(None).cast("timestamp_ntz").alias("updated_at"),
     )
 
@@ -87,7 +100,7 @@ def raw_warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = geography(spark, sf_dir)
     return supp.join(geo, supp.s_nationkey == geo.n_nationkey, "left").select(
         _s("s_suppkey").alias("warehouse_id"),
-        F.col("s_name").alias("warehouse_name"),
+        F.when(planted("s_suppkey", NO_NAME), "  ").otherwise(F.col("s_name")).alias("warehouse_name"),
         F.col("n_name").alias("city"),
         F.col("r_name").alias("region"),
     )

@@ -83,12 +83,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir for derived tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/strata-scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_dir(path: str) -> str:
-    """Strip a ``file:`` scheme so a local path can be listed in tests."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -1,8 +1,10 @@
 """Sinks (S7-S13): overwrite/append writes that report their row count.
 
 Counts come from an :class:`Observation` attached to the write itself, so no
-table is read back to count it.  Tables are written to fresh locations; a
-Parquet table cannot be overwritten while it is being read.
+table is read back to count it.  An overwrite of a folder is seen while it
+happens; tables that others read are replaced through
+:class:`strata.sources.store.Versions` instead (a fresh folder, then one
+rename), as the pipeline and the functions of S10 and S13 below do.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.operators.clean import VALID_FLAG, failed_rules, tag_validity, Rule
+from strata.sources.store import Versions
 
 LAYERS = ["bronze", "silver", "gold", "quarantine"]
 
@@ -24,7 +27,6 @@ def write_counted(
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
     fmt: str = "parquet",
-    as_table: bool = False,
 ) -> int:
     """Write ``df`` once and return the number of rows written.
 
@@ -38,10 +40,7 @@ def write_counted(
         writer = writer.option("overwriteSchema", "true").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if as_table:
-        writer.saveAsTable(target)
-    else:
-        writer.save(target)
+    writer.save(target)
     return int(obs.get.get("rows", 0))
 
 
@@ -129,8 +128,31 @@ def write_split(
 
 
 def replace_table_as(df: DataFrame, name: str, fmt: str = "parquet") -> int:
-    """CREATE OR REPLACE TABLE ... AS SELECT for a catalog table."""
-    return write_counted(df, name, "overwrite", fmt=fmt, as_table=True)
+    """CREATE OR REPLACE TABLE ... AS SELECT for a catalog table.
+
+    The rows go to a fresh folder beside the table's, and the catalog entry is
+    pointed at it when they are all there: a reader, or a run that dies, finds
+    the old table or the new one.  With the same columns that is one change of
+    the entry; other columns need the entry made anew, two changes in a row.
+    The folder replaced before the last one is removed.  A table that was not
+    made here keeps its own folder.
+    """
+    spark = df.sparkSession
+    schema, _, table = name.rpartition(".")
+    base = spark.catalog.getDatabase(schema or spark.catalog.currentDatabase()).locationUri
+    versions = Versions(spark, f"{base.rstrip('/')}/_replaced")
+    rows = write_counted(df, versions.stage(table), "overwrite", fmt=fmt)
+    path, quoted = versions.path(table), ".".join(f"`{p}`" for p in name.split("."))
+    known = spark.catalog.tableExists(name)
+    if known and [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in df.schema]:
+        spark.sql(f"ALTER TABLE {quoted} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+    else:
+        if known:
+            spark.sql(f"DROP TABLE {quoted}")
+        spark.sql(f"CREATE TABLE {quoted} USING {fmt} LOCATION '{path}'")
+    versions.publish()
+    return rows
 
 
 def create_namespaces(spark: SparkSession, prefix: str = "", layers: list[str] = LAYERS) -> list[str]:
@@ -146,10 +168,27 @@ def append_run_log(counts: DataFrame, target: str) -> int:
     return write_counted(counts, target, "append")
 
 
-def drop_and_rebuild(df: DataFrame, target: str, schema: StructType) -> int:
-    """Overwrite with an explicit, checked schema (names and types)."""
+def checked(df: DataFrame, schema: StructType, target: str) -> DataFrame:
+    """``df`` if its names and types are those of ``schema``."""
     actual = [(f.name, f.dataType) for f in df.schema.fields]
     wanted = [(f.name, f.dataType) for f in schema.fields]
     if actual != wanted:
         raise ValueError(f"schema mismatch for {target}: {actual} != {wanted}")
-    return write_counted(df, target, "overwrite")
+    return df
+
+
+def drop_and_rebuild(df: DataFrame, target: str, schema: StructType) -> int:
+    """A table rebuilt with an explicit, checked schema (names and types).
+
+    ``target`` is a folder of this run alone (a staged version); for a table by
+    itself see :func:`rebuild_versioned`.
+    """
+    return write_counted(checked(df, schema, target), target, "overwrite")
+
+
+def rebuild_versioned(df: DataFrame, root: str, table: str, schema: StructType, keep: int = 2) -> int:
+    """S13 for the table ``<root>/<table>``: rebuilt in a fresh folder, then switched by one rename."""
+    versions = Versions(df.sparkSession, root)
+    rows = write_counted(checked(df, schema, table), versions.stage(table), "overwrite")
+    versions.publish(keep)
+    return rows

@@ -1,17 +1,19 @@
 """Incremental history maintenance as a Structured Streaming job.
 
-The landing zone receives one ``load_date=<d>`` partition per ingestion run
-(I6).  A file-source stream over it sees every new partition exactly once
-(the stream's checkpoint records processed files), and ``foreachBatch``
-applies all its new batches to the Type-2 history in one plan with
-:func:`apply_batches` (H7); keys of late batches are rebuilt from the landing.
-Each micro-batch writes the complete new history to its own ``epoch=<id>``
-folder, which
-
-* cuts lineage (the next epoch reads files, not a growing plan),
-* makes a replayed epoch idempotent (the folder is overwritten with the same
-  content), and
-* leaves every earlier history readable.
+The landing's ledger (see :mod:`strata.sources.ledger`) gets one small file per
+run, and a file stream over it sees each exactly once (the stream's checkpoint
+records them).  ``foreachBatch`` reads the files of the new runs and applies
+them to the Type-2 history in one epoch of :class:`HistoryStore`, whatever
+their dates: a batch is a date and its run, here as in a rebuild from
+:func:`strata.sources.files.read_partitions`.
+
+* Only the buckets of keys that the runs touch are rewritten.
+* A late batch is known by the order kept beside the history; its buckets are
+  built anew from the rows kept there.  The landing is not read again.
+* A run that had been applied and was landed again is the one case that the
+  history is built anew from the landing.
+* Each epoch is published by one rename, and one replayed after a crash is
+  applied once.
 
 Run it with ``trigger(availableNow=True)`` after each landing: it processes
 what has arrived and stops, the streaming equivalent of "copy the watermark
@@ -21,82 +23,62 @@ range, then merge".
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from strata.operators import history as H
-from strata.sources.files import RUN_ID, list_batches
+from strata.sources import ledger as L
+from strata.streaming.store import HistoryStore
 
 EPOCH = "epoch"
 
 
-def landing_stream(spark: SparkSession, root: str, schema: StructType, max_files: int | None = None) -> DataFrame:
-    """A file-source stream over ``<root>/load_date=<d>/*.parquet``.
+def landing_stream(spark: SparkSession, root: str, max_runs: int | None = None) -> DataFrame:
+    """A stream of the landing's runs: the rows of its ledger, in order of landing."""
+    L.Ledger(spark, root).adopt()
+    reader = spark.readStream.schema(L.SCHEMA)
+    if max_runs:
+        reader = reader.option("maxFilesPerTrigger", max_runs)
+    return reader.json(f"{root.rstrip('/')}/{L.FOLDER}")
 
-    ``schema`` must include the partition column ``load_date`` (date).
-    """
-    reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(root)
-
-
-def epochs(spark: SparkSession, history_root: str) -> list[int]:
-    """The epochs written so far, in order; none only if the folder does not exist or is empty."""
-    try:
-        return sorted(int(x) for x in list_batches(spark, history_root, EPOCH))
-    except FileNotFoundError:
-        return []
 
-
-def latest_history(spark: SparkSession, history_root: str, before_epoch: int | None = None) -> DataFrame | None:
-    """The history of the latest epoch (``None`` if there is none); only its folder is opened."""
-    done = [e for e in epochs(spark, history_root) if before_epoch is None or e < before_epoch]
-    return spark.read.parquet(f"{history_root.rstrip('/')}/{EPOCH}={done[-1]}") if done else None
+def latest_history(spark: SparkSession, history_root: str, **kw) -> DataFrame | None:
+    """The history as last published (``None`` if there is none)."""
+    return HistoryStore(spark, history_root, **kw).history()
 
 
 def history_writer(
     spark: SparkSession,
     history_root: str,
+    landing_root: str,
     key: str = "customer_id",
     ts_col: str = "updated_at",
     tracked: list[str] = H.CUSTOMER_TRACKED,
     sk_col: str = "customer_sk",
-    landing_root: str | None = None,
     quarantine_root: str | None = None,
+    buckets: int = 64,
 ):
-    """The ``foreachBatch`` function: prepare, quarantine, apply all batches in one plan, write.
+    """The ``foreachBatch`` function: read the runs, quarantine, apply them as one epoch.
 
-    With ``landing_root`` late batches are recognised and their keys rebuilt
-    from what has landed.  Rejected rows go to ``quarantine_root`` (default:
-    beside the history), one folder per epoch.
+    Rejected rows go to ``quarantine_root`` (default: beside the history), one
+    folder per epoch.
     """
     rejected = quarantine_root or f"{history_root.rstrip('/')}-quarantine"
 
-    def prepared(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-        named = raw.withColumn("batch_id", F.concat(F.lit("load_date="), F.col("load_date").cast("string")))
-        return H.prepare_feed(named.drop("load_date", RUN_ID), key, ts_col, "batch_id", tracked)
-
     def apply(micro: DataFrame, epoch_id: int) -> None:
-        newest = max(epochs(spark, history_root), default=-1)
-        if newest > epoch_id:
-            raise RuntimeError(
-                f"{history_root} holds epoch {newest}, later than this stream's {epoch_id}: "
-                "go on with the checkpoint that wrote it, or use another history folder"
-            )
-        feed, bad = prepared(micro)
+        store = HistoryStore(spark, history_root, key, ts_col, tracked, sk_col, buckets)
+        landed = L.Ledger(spark, landing_root)
+        entries = L.parts_of(micro.collect())  # one small row per run
+        newest = max((p.number for p in entries), default=0)
+        standing = landed.parts([p for p in landed.entries() if p.number <= newest])
+        fresh = bool(entries) and store.has_batches([p.batch for p in entries])
+        named = {(p.number, p.load_date, p.run_id) for p in entries}
+        parts = standing if fresh else [p for p in standing if (p.number, p.load_date, p.run_id) in named]
+        if not parts and not fresh:
+            return
+        rows = L.read_parts(spark, landed.root, parts, L.united(standing or entries)).withColumn("batch_id", L.batch_column())
+        feed, bad = H.prepare_feed(rows.drop(L.LOAD_DATE, L.RUN_ID, "source_file"), key, ts_col, "batch_id", tracked)
         bad.write.mode("overwrite").parquet(f"{rejected}/{EPOCH}={epoch_id}")
-        hist = latest_history(spark, history_root, before_epoch=epoch_id)
-        if hist is None:
-            hist = H.build_history(feed, key, ts_col, "batch_id", tracked, sk_col)
-        else:
-            before = None
-            if landing_root:
-                landed, _ = prepared(spark.read.schema(micro.schema).parquet(landing_root))
-                before = landed.join(feed.select("batch_id").distinct(), "batch_id", "left_anti")
-            hist = H.apply_batches(hist, feed, before, key, ts_col, "batch_id", tracked, sk_col)
-        hist.write.mode("overwrite").parquet(f"{history_root.rstrip('/')}/{EPOCH}={epoch_id}")
+        store.apply(feed, epoch_id, fresh)
 
     return apply
 
@@ -104,16 +86,16 @@ def history_writer(
 def start_history_stream(
     spark: SparkSession,
     landing_root: str,
-    schema: StructType,
     history_root: str,
     checkpoint: str,
     available_now: bool = True,
+    max_runs: int | None = None,
     **kw,
 ) -> StreamingQuery:
-    """Start the incremental history job (exactly-once over landed files)."""
+    """Start the incremental history job (each landed run exactly once)."""
     writer = (
-        landing_stream(spark, landing_root, schema)
-        .writeStream.foreachBatch(history_writer(spark, history_root, landing_root=landing_root, **kw))
+        landing_stream(spark, landing_root, max_runs)
+        .writeStream.foreachBatch(history_writer(spark, history_root, landing_root, **kw))
         .option("checkpointLocation", checkpoint)
     )
     if available_now:

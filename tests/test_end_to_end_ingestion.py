@@ -60,4 +60,5 @@ def test_two_ingestion_runs_build_the_same_lake(spark, tmp_path):
     assert [r.order_item_id for r in t.quarantine("order_items").collect()] == ["OI2002"]
     # the second run copied only what changed
     orders_landed = files.read_partitions(spark, f"{landing}/orders").groupBy("batch_id").count().collect()
-    assert {r.batch_id: r["count"] for r in orders_landed} == {"load_date=2024-01-15": 5, "load_date=2024-02-15": 3}
+    assert {r.batch_id: r["count"] for r in orders_landed} == {
+        "load_date=2024-01-15/run_id=r20240115020000": 5, "load_date=2024-02-15/run_id=r20240215020000": 3}

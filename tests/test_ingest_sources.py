@@ -112,14 +112,46 @@ def test_read_csv_batches_with_audit(spark):
     assert {"ingestion_timestamp", "source_system", "batch_id", "source_file"} <= set(audited.columns)
 
 
-def test_reordered_csv_header_fails_instead_of_swapping(spark, tmp_path):
+def test_reordered_csv_header_is_set_aside_instead_of_swapping(spark, tmp_path):
     d = tmp_path / "b1"
     d.mkdir()
     (d / "warehouses.csv").write_text("warehouse_name,warehouse_id,city,region\nAmsterdam DC,W01,A,NH\n")
-    df = files.read_csv_batches(spark, str(tmp_path), ["b1"], "warehouses",
-                                ["warehouse_id", "warehouse_name", "city", "region"])
-    with pytest.raises(Exception):
-        df.collect()
+    rows, rejected = files.split_csv_batches(spark, str(tmp_path), ["b1"], "warehouses",
+                                             ["warehouse_id", "warehouse_name", "city", "region"])
+    assert rows.count() == 0
+    assert {(r.batch_id, r.raw_line, r.rejected_reason) for r in rejected.collect()} == {
+        ("b1", "warehouse_name,warehouse_id,city,region", "header"), ("b1", "Amsterdam DC,W01,A,NH", "header")}
+
+
+def test_bad_csv_lines_are_set_aside_and_the_rest_loads(spark, tmp_path):
+    text = {
+        "b 1": 'id,name,n\n1,a,2\n2,b\n3,c,4,5\n4,"x, y",6\n5,"bad,7\n6,"q"z,8\n\n7,"say ""hi""",9\n8,"esc \\"q\\" e",10\n9,,\n10,a"b,3\n11,"",é\n',
+        "b+2": "name,id,n\na,1,2\n", "b3": "id,name,n\r\n12,x,y\r\n", "b4": "", "b5": '\ufeff"id","name","n"\n13,p,q\nid,name,n\n14,r,s\n',
+    }
+    for batch, content in text.items():
+        (tmp_path / batch).mkdir()
+        (tmp_path / batch / "e.csv").write_bytes(content.encode())
+    rows, rejected = files.split_csv_batches(spark, str(tmp_path), list(text), "e", ["id", "name", "n"])
+    got = {(r.batch_id, r.id, r.name, r.n) for r in rows.collect()}
+    assert got == {("b 1", "1", "a", "2"), ("b 1", "4", "x, y", "6"), ("b 1", "7", 'say "hi"', "9"), ("b 1", "8", 'esc "q" e', "10"), ("b 1", "9", None, None),
+                   ("b 1", "11", None, "é"), ("b3", "12", "x", "y"), ("b5", "13", "p", "q"), ("b5", "14", "r", "s")}
+    bad = {(r.batch_id, r.raw_line, r.rejected_reason) for r in rejected.collect()}
+    assert bad == {("b 1", "2,b", "column count"), ("b 1", "3,c,4,5", "column count"), ("b 1", '5,"bad,7', "quotes"), ("b 1", '6,"q"z,8', "quotes"),
+                   ("b 1", '10,a"b,3', "quotes"), ("b+2", "name,id,n", "header"), ("b+2", "a,1,2", "header")}
+    assert all(r.source_file.endswith("/e.csv") for r in rejected.collect())
+    with pytest.raises(Exception, match="(?i)not_found|does not exist"):
+        files.read_csv_batches(spark, str(tmp_path), ["none"], "e", ["id"]).count()
+
+
+def test_partitioned_csv_sets_bad_lines_aside(spark, tmp_path):
+    rows = [("1", "a", "2024-01-01 10:00:00"), ("2", "b, c", "x+y %z"), ("3", None, None)]
+    root = str(tmp_path / "p")
+    spark.createDataFrame(rows, "id string, name string, b string").write.partitionBy("b").option("header", True).csv(root)
+    (tmp_path / "p" / "b=late").mkdir()
+    (tmp_path / "p" / "b=late" / "x.csv").write_text("id,name\n4\n5,e\n")
+    good, bad = files.split_csv_partitioned(spark, root, ["id", "name"], "b")
+    assert {(r.id, r.name, r.b) for r in good.collect()} == {*rows, ("5", "e", "late")}
+    assert [(r.b, r.raw_line, r.rejected_reason) for r in bad.collect()] == [("late", "4", "column count")]
 
 
 def test_land_and_read_partitions(spark, tmp_path):

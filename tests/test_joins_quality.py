@@ -104,21 +104,19 @@ def test_an_empty_window_overlaps_nothing(spark):
 
 
 def test_gate_reports_every_failure(spark):
+    rows = F.count(F.lit(1))
     frame = Q.union_all([
-        Q.count_check("passes", spark.range(0)),
-        Q.count_check("fails one", spark.range(3)),
-        Q.count_check("evidence missing", spark.range(0), None),
-        Q.equal_counts("grain", spark.range(4), spark.range(5)),
+        Q.table_checks(spark.range(0), [Q.Check("holds", rows), Q.Check("no evidence", rows, None)]),
+        Q.table_checks(spark.range(3), [Q.Check("three too many", rows), Q.Check("one short", rows, 4)]),
     ])
     with pytest.raises(Q.ValidationFailed) as err:
         Q.gate(frame)
-    msg = str(err.value)
-    assert "3 of 4" in msg and "fails one" in msg and "evidence missing" in msg and "grain" in msg
-    assert "passes" not in msg.split("failed:")[1]
+    assert str(err.value).splitlines()[1:] == ["no evidence = 0 instead of at least 1", "three too many = 3 instead of 0", "one short = 3 instead of 4"]
+    assert "3 of 4" in str(err.value) and len(err.value.rows) == 4 and len(err.value.failing) == 3
 
 
 def test_gate_passes_and_returns_rows(spark):
-    rows = Q.gate(Q.count_check("ok", spark.range(0)))
+    rows = Q.gate(Q.table_checks(spark.range(0), [Q.Check("ok", F.count(F.lit(1)))]))
     assert rows[0].passed and rows[0].observed == 0
 
 
@@ -145,7 +143,7 @@ def test_item_without_order_breaks_grain(spark):
     dim_w = spark.createDataFrame([("w", "W1", "x", "c", "r")], "warehouse_sk string, warehouse_id string, warehouse_name string, city string, region string")
     fct = star.fct_sales(items, orders, dim_c, dim_p, dim_w)
     assert [r.order_item_id for r in fct.collect()] == ["OI1"]  # inner join drops the orphan line
-    assert not Q.equal_counts("rows", fct, items).first().passed
+    assert not Q.table_checks(fct, [Q.Check("rows", F.count(F.lit(1)), items.count())]).first().passed
 
 
 def test_incremental_slice_lookback(spark):

@@ -97,10 +97,10 @@ def test_salted_lookups_equal_plain_lookups(spark):
         map(key, star.fct_inventory_movements(*inv, lookup_skew_fraction=0.001).collect()))
 
 
-def test_null_keys_bypass_the_left_join_shuffle(spark):
+def test_null_keys_are_spread_in_one_plan(spark):
     from strata.operators import joins as J
 
-    facts = spark.range(3000).select(
+    facts = spark.range(30000).select(
         F.col("id").alias("fid"),
         F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise((F.col("id") % 50).cast("string")).alias("k"),
         F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz").alias("ts"),
@@ -108,10 +108,24 @@ def test_null_keys_bypass_the_left_join_shuffle(spark):
     versions = spark.createDataFrame(
         [(str(i), f"v{i}", dt.datetime(2024, 1, 1), dt.datetime(9999, 12, 31)) for i in range(50)],
         f"vk string, sk string, {START} timestamp_ntz, {END} timestamp_ntz")
-    got = J.point_in_time_join(facts, versions, "k", "vk", "ts", bypass_null_keys=True)
-    rows = got.collect()
-    assert len(rows) == 3000 and got.columns == facts.columns + versions.columns
-    assert sum(r.sk is None for r in rows) == 1000 and all(r.sk == f"v{r.k}" for r in rows if r.k is not None)
     dims = spark.createDataFrame([(str(i), f"d{i}") for i in range(50)], "dk string, name string")
-    looked = J.lookup_join(facts, dims, "k", "dk", bypass_null_keys=True).collect()
-    assert len(looked) == 3000 and sum(r.name is None for r in looked) == 1000
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        for got, columns, value in ((J.point_in_time_join(facts, versions, "k", "vk", "ts"), versions.columns, "sk"),
+                                    (J.point_in_time_join(facts, versions, "k", "vk", "ts", skew_fraction=0.01, salt_buckets=4), versions.columns, "sk"),
+                                    (J.lookup_join(facts, dims, "k", "dk"), dims.columns, "name")):
+            assert got.columns == facts.columns + columns
+            rows = got.withColumn("task", F.spark_partition_id()).collect()
+            assert len(rows) == 30000 and sum(r[value] is None for r in rows) == 10000
+            assert all(r[value][1:] == r.k for r in rows if r.k is not None)
+            # 10,000 rows without a key, 400 for each other: the former are as even as can be
+            loads = sorted(sum(r.task == t for r in rows if r.k is None) for t in range(8))
+            assert loads[-1] <= 2 * loads[4] and loads[0] > 0
+            plan = got._jdf.queryExecution().optimizedPlan()
+            assert "Union" not in plan.toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -11,7 +11,6 @@ from strata.operators import history as H
 from strata.operators.clean import Rule, dedup_latest
 from strata.operators.ingest import CONTROL_SCHEMA, run_ingestion
 from strata.sources import files, sinks
-from strata.streaming import latest_history, start_history_stream
 
 D = dt.datetime
 
@@ -53,7 +52,7 @@ def test_two_runs_on_one_date_keep_both_slices(spark, tmp_path):
         assert report[0]["succeeded"]
         landed = files.read_partitions(spark, f"{root}/t")
         assert sorted(r.id for r in landed.collect()) == [1, 2, 3]
-        assert {r.batch_id for r in landed.collect()} == {"load_date=2024-02-01"} and files.RUN_ID not in landed.columns
+        assert {r.batch_id for r in landed.collect()} == {f"load_date=2024-02-01/run_id=r20240201{h}0000" for h in ("01", "02")} and files.RUN_ID not in landed.columns
 
 
 def test_latest_snapshot_opens_one_folder(spark, tmp_path):
@@ -75,6 +74,30 @@ def test_batch_ten_is_later_than_batch_nine(spark):
     assert dates.orderBy(S.natural_order("b").desc()).first().b == "load_date=2024-02-01"
 
 
+def test_runs_of_many_digits_compare_as_numbers(spark):
+    names = ["b1" + "0" * 30, "b9" + "0" * 29, "b" + "7" * 25, "b" + "7" * 24 + "8", "b2", "b010", "b9"]
+    df = spark.createDataFrame([(n,) for n in names], "b string")
+    assert [r.b for r in df.orderBy(S.natural_order("b")).collect()] == ["b2", "b9", "b010", names[2], names[3], names[1], names[0]]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Europe/Paris"])
+def test_zones_by_name_move_to_utc(spark, zone):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    want = {
+        "2024-01-01 08:00:00 Europe/Paris": D(2024, 1, 1, 7), "2024-01-01 08:00:00 PST": D(2024, 1, 1, 16), "2024-07-01T08:00:00Europe/Paris": D(2024, 7, 1, 6),
+        "2024-01-01 08:00:00 UTC": D(2024, 1, 1, 8), "2024-01-01 08:00:00.25 GMT+2": D(2024, 1, 1, 6, 0, 0, 250000), "2024-01-01 08:00 +05:30": D(2024, 1, 1, 2, 30),
+        "2024-01-01 08:00:00 Nowhere/City": None, "2024-01-01 08:00:00 PM": None,
+        # hours that a zone has twice or not at all
+        "2024-11-03T09:30:00Z": D(2024, 11, 3, 9, 30), "2024-11-03T08:30:00Z": D(2024, 11, 3, 8, 30), "2024-03-31T02:30:00": D(2024, 3, 31, 2, 30), "1969-12-31 23:59:59.5Z": D(1969, 12, 31, 23, 59, 59, 500000),
+    }
+    try:
+        got = spark.createDataFrame([(t,) for t in want], "t string").select("t", S.to_timestamp("t").alias("x")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert {r.t: r.x for r in got} == want
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
 def test_offsets_move_to_utc(spark, zone):
     old = spark.conf.get("spark.sql.session.timeZone")
@@ -129,26 +152,3 @@ def test_the_plan_does_not_grow_with_the_batches(spark, tmp_path):
         plan = H.apply_batches(spark.read.parquet(str(tmp_path / "h")), new)._jdf.queryExecution().optimizedPlan()
         sizes.append(plan.collectLeaves().size())
     assert sizes[0] == sizes[1] <= 4
-
-
-def test_stream_quarantines_and_takes_late_landings(spark, tmp_path):
-    from strata.operators.ingest import land_partitioned
-
-    columns = ["customer_id", "email", "customer_name", "segment", "city", "region", "updated_at"]
-    schema = spark.createDataFrame([], ", ".join(f"{c} string" for c in columns) + ", load_date date").schema
-    rows = lambda day, mails: spark.createDataFrame([(k, m, "n", "s", "c", "r", f"2024-01-{day:02d} 00:00:00") for k, m in mails], schema.fieldNames()[:-1])
-    landing, history, checkpoint = (str(tmp_path / x) for x in ("landing", "history", "checkpoint"))
-    landed = {}
-    for date, day, mails in (("2024-01-10", 10, [("a", "1"), ("b", "1"), (None, "1")]), ("2024-01-20", 20, [("a", "2"), ("b", "1")]), ("2024-01-15", 15, [("a", "3"), ("c", "1")])):
-        landed[date] = rows(day, mails)
-        land_partitioned(landed[date], landing, date)
-        start_history_stream(spark, landing, schema, history, checkpoint).awaitTermination()
-    every = None
-    for date, df in landed.items():
-        named = df.withColumn("batch_id", F.lit(f"load_date={date}"))
-        every = named if every is None else every.unionByName(named)
-    valid, _ = H.prepare_feed(every)
-    assert history_rows(latest_history(spark, history)) == history_rows(H.build_history(valid))
-    assert spark.read.parquet(f"{history}-quarantine").count() == 1
-    with pytest.raises(Exception, match="later than this stream"):
-        start_history_stream(spark, landing, schema, history, str(tmp_path / "other")).awaitTermination()
