@@ -1,25 +1,28 @@
-"""Collocations by Rabin-Karp fingerprints: count n-grams as 64-bit numbers, materialise frequent phrases only.
+"""Collocations by Rabin-Karp fingerprints: count n-grams as numbers, materialise frequent phrases only.
 
 Prefix polynomials over the hashes of a block's words give the fingerprint of each of its n-grams by one
 subtraction and one product. Counting goes level by level: an n-gram can only be frequent if the shorter ones in
-it are, so a level counts what the one before let through. What is frequent becomes a field of
-``2**field_log2`` bits, whose size does not depend on the corpus; a bit set by chance lets a rare n-gram be
-counted, and nothing is lost. The shuffles of these levels carry fingerprints and counts, summed map-side first.
+it are, so a level counts what the one before let through. A task sums its fingerprints (the first 40 bits of
+them) and sends them sorted, as differences, to the bucket of their first bits; a bucket merges what it gets and
+returns a bit per frequent fingerprint. The field of all these bits has ``2**field_log2`` of them, whatever the
+size of the corpus; a bit set by chance lets a rare n-gram be counted, and nothing is lost.
 
 The last pass holds the survivors against the text: all occurrences of a fingerprint in a block are compared, word
-by word, with the one pointed at (equal numbers of different words are told apart), and one row per block and
-phrase, with its words, count and a pointer to its first occurrence, is summed by language and words. Counts are
-therefore exact, whatever collides. Scores are exact integers in decimal arithmetic.
-
-Defined results: a null or empty text has no words, a null language is ``und``; repeated rows count each; null
-ids may be pointed at; columns other than ``doc_id``, ``text`` and ``lang`` are not read; an empty table gives
-no rows. A long text is counted in stretches that overlap by three words, and each n-gram belongs to the stretch
-in which it starts.
+by word, with the one pointed at (equal numbers of different words are told apart), and a task sends its phrases,
+each once, with their words, counts and pointers to first occurrences, sorted and compressed by bucket. A bucket
+sums them by their words. Counts are therefore exact, whatever collides. Single words are sent only if a frequent
+pair of words has them. Scores are exact integers in decimal arithmetic.
+
+Defined results: a null or empty text has no words, a null language is ``und``; repeated rows count each; rows
+with a null id are counted and not pointed at; ids are whole numbers; columns other than ``doc_id``, ``text`` and
+``lang`` are not read; an empty table gives no rows. A long text is counted in stretches that overlap by three
+words, and each n-gram belongs to the stretch in which it starts.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
@@ -49,7 +52,10 @@ class Params:
     inside: int = 80  # per cent of a candidate's occurrences that a longer one must have to replace it
     top: int = 2000  # phrases reported per language
     field_log2: int = 26
-    block: int = 4 << 20
+    block: int = 2 << 20
+    held: int = 2 << 20  # fingerprints that a task sums before it sends them
+    phrases: int = 1_000_000  # and phrases
+    bucket: int = 32 << 20  # bytes of text for which there is one bucket of fingerprints
     bits: int = 64  # of a fingerprint; fewer only in tests of collisions
 
 
@@ -91,8 +97,10 @@ class Grams:
         if count <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         first = np.flatnonzero((self.piece[:count] == self.piece[n - 1 :]) & self.own[:count])
-        sums = (self.sums[first + n] - self.sums[first]) * self.inverse[first]
-        return first, mix(mix(sums + np.uint64(n)) ^ self.lang[first]) >> self.drop << self.drop
+        return first, mix(mix(self.sums_of(first, n) + np.uint64(n)) ^ self.lang[first]) >> self.drop << self.drop
+
+    def sums_of(self, first: np.ndarray, n: int) -> np.ndarray:
+        return (self.sums[first + n] - self.sums[first]) * self.inverse[first]
 
 
 def grams(batch: pa.RecordBatch, p: Params) -> Iterator[Grams]:
@@ -132,24 +140,91 @@ def passing(g: Grams, n: int, fields: list[np.ndarray], p: Params) -> tuple[np.n
     return first, prints
 
 
-def level(texts: DataFrame, lengths: tuple[int, ...], fields: list[np.ndarray], p: Params) -> list[np.ndarray]:
-    """One field for each length: the n-grams with at least ``p.least`` occurrences of their fingerprint."""
+def pack(prints: np.ndarray, number: np.ndarray, buckets_log2: int) -> Iterator[tuple[int, bytes]]:
+    """Sorted fingerprints and their counts by bucket: differences and counts, a plane for each byte of them.
+
+    Most planes are nearly constant, which is what the compression of a shuffle shortens best.
+    """
+    short = prints >> np.uint64(24)
+    where = (short >> np.uint64(40 - buckets_log2)).astype(np.int64) if buckets_log2 else np.zeros(len(short), np.int64)
+    cuts = np.flatnonzero(np.concatenate(([True], where[1:] != where[:-1], [True]))).tolist() if len(short) else [0]
+    for lo, hi in zip(cuts, cuts[1:]):
+        steps = np.diff(short[lo:hi], prepend=np.uint64(0)).astype("<u8")
+        planes = steps.view(np.uint8).reshape(-1, 8).T[:5]
+        yield int(where[lo]), planes.tobytes() + np.minimum(number[lo:hi], (1 << 32) - 1).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(data, np.uint8).reshape(9, -1)
+    steps, number = np.zeros((planes.shape[1], 8), np.uint8), np.zeros((planes.shape[1], 4), np.uint8)
+    steps[:, :5], number[:] = planes[:5].T, planes[5:].T
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64), number.view("<u4").ravel().astype(np.int64)
+
+
+def summed(prints: list[np.ndarray], number: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct fingerprints in order, and the sums of their numbers."""
+    every, many = np.concatenate(prints), np.concatenate(number)
+    order = np.argsort(every, kind="stable")
+    every = every[order]
+    first = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1]))) if len(every) else np.zeros(0, np.int64)
+    return every[first], np.add.reduceat(many[order], first) if len(first) else many
+
+
+def words_of_pairs(g: Grams, pairs: np.ndarray, p: Params) -> np.ndarray:
+    """Fingerprints of the words that stand in a pair let through by a field."""
+    first, prints = g.of(2)
+    first = first[has(pairs, prints, p.field_log2)]
+    used = np.zeros(len(g.starts), bool)
+    used[first] = used[first + 1] = True
+    return np.unique(mix(mix(g.sums_of(np.flatnonzero(used), 1) + np.uint64(1)) ^ g.lang[used]) >> g.drop << g.drop)
+
+
+def level(texts: DataFrame, lengths: tuple[int, ...], fields: list[np.ndarray], buckets_log2: int, p: Params, words: bool = False) -> list[np.ndarray]:
+    """The field of n-grams of these lengths with at least ``p.least`` occurrences of their fingerprint.
+
+    With ``words`` also the field of words in pairs that ``fields`` let through.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(fields)
+    slots = p.field_log2 - buckets_log2  # bits of the field in a bucket, as a power of two
 
     def run(batches):
+        held: dict[int, tuple[list, list]] = {0: ([], []), 1: ([], [])}
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            for kind, (prints, number) in held.items():
+                if prints:
+                    rows = list(pack(*summed(prints, number), buckets_log2))
+                    yield pa.RecordBatch.from_arrays([pa.array([kind] * len(rows), pa.int32()), pa.array([b for b, _ in rows], pa.int64()), pa.array([d for _, d in rows], pa.binary())], names=["kind", "bucket", "data"])
+                    prints.clear(), number.clear()
+
+        def add(kind: int, prints: np.ndarray, number: np.ndarray) -> None:
+            held[kind][0].append(prints), held[kind][1].append(number)
+
         for batch in batches:
             for g in grams(batch, p):
                 for n in lengths:
-                    prints, number = np.unique(passing(g, n, shared.value, p)[1], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(prints), n, np.int32)), pa.array(prints.view(np.int64)), pa.array(number)], names=["n", "print", "c"])
-
-    counted = in_arrow(texts, run, "n int, print long, c long").groupBy("n", "print").agg(F.sum("c").alias("c")).where(F.col("c") >= p.least)
-    slot = F.shiftrightunsigned("print", 64 - p.field_log2) + 1
-    maps = counted.groupBy("n", F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
-    out = [np.zeros(max(1 << p.field_log2 >> 3, 4096), np.uint8) for _ in lengths]
-    for r in maps.toArrow().to_pylist():
-        lo = (r["bucket"] - 1) * 4096
-        out[lengths.index(r["n"])][lo : lo + 4096] = np.frombuffer(r["bits"], np.uint8)
+                    add(0, *np.unique(passing(g, n, shared.value, p)[1], return_counts=True))
+                if words:
+                    prints = words_of_pairs(g, shared.value[1], p)
+                    add(1, prints, np.full(len(prints), p.least))
+                if sum(len(x) for prints, _ in held.values() for x in prints) > p.held:
+                    yield from sent()
+        yield from sent()
+
+    def merge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        got = [unpack(x) for x in table["data"].to_pylist()]
+        prints, number = summed([x for x, _ in got], [x for _, x in got])
+        frequent = prints[number >= p.least]
+        bits = np.zeros(1 << slots, bool)
+        bits[(frequent >> np.uint64(40 - p.field_log2)).astype(np.int64) & ((1 << slots) - 1)] = True
+        return pa.table({"kind": [key[0].as_py()], "bucket": [key[1].as_py()], "bits": [np.packbits(bits, bitorder="little").tobytes()]}, schema=schema)
+
+    schema = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("bits", pa.binary())])
+    sent = in_arrow(texts, run, "kind int, bucket long, data binary")
+    out = [np.zeros(1 << p.field_log2 >> 3, np.uint8) for _ in range(1 + words)]
+    for r in sent.groupBy("kind", "bucket").applyInArrow(merge, "kind int, bucket long, bits binary").toArrow().to_pylist():
+        size = 1 << slots >> 3
+        out[r["kind"]][r["bucket"] * size : (r["bucket"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
     return out
 
 
@@ -180,49 +255,113 @@ def told_apart(g: Grams, ids: np.ndarray, first: np.ndarray, prints: np.ndarray,
     return first[rep], count
 
 
+def planes(values: np.ndarray, width: int) -> bytes:
+    """The ``width`` low bytes of whole numbers, a plane for each."""
+    return values.astype("<i8").view(np.uint8).reshape(-1, 8).T[:width].tobytes()
+
+
+def from_planes(data: bytes, width: int) -> np.ndarray:
+    got = np.frombuffer(data, np.uint8).reshape(width, -1)
+    out = np.zeros((got.shape[1], 8), np.uint8)
+    out[:, :width] = got.T
+    return out.view("<i8").ravel()
+
+
+_WIDTHS = (5, 8, 5, 1)  # of counts, ids, places, and whether there is an id
+
+
+def pack_phrases(found: list[tuple[bytes, list]]) -> bytes:
+    """Phrases in order with [count, id, place] of each, compressed."""
+    found.sort()
+    columns = [np.array(x, np.int64) for x in zip(*((c, d or 0, a or 0, d is not None) for _, (c, d, a) in found), strict=True)]
+    return zlib.compress(b"".join([len(found).to_bytes(8, "little"), *map(planes, columns, _WIDTHS), b"\n".join([w for w, _ in found])]), 3)
+
+
+def unpack_phrases(data: bytes) -> Iterator[tuple[bytes, int, int | None, int]]:
+    data = zlib.decompress(data)
+    n, at, columns = int.from_bytes(data[:8], "little"), 8, []
+    for width in _WIDTHS:
+        columns.append(from_planes(data[at : at + n * width], width).tolist())
+        at += n * width
+    for words, count, doc, start, there in zip(data[at:].split(b"\n"), *columns, strict=True):
+        yield words, count, doc if there else None, start
+
+
+def gather(held: dict[bytes, list], words: bytes, count: int, doc: int | None, start: int) -> None:
+    """Add to the count of a phrase, and keep the pointer to its first occurrence."""
+    old = held.get(words)
+    if old is None:
+        held[words] = [count, doc, start]
+    else:
+        old[0] += count
+        if doc is not None and (old[1] is None or (doc, start) < (old[1], old[2])):
+            old[1], old[2] = doc, start
+
+
 def phrases(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """lang, n, phrase, a, first_doc, first_start: words and phrases with ``p.least`` occurrences or more.
+    """lang, n, phrase, a, first_doc, first_start: phrases with ``p.least`` occurrences or more, and their words.
 
     ``first_start`` counts bytes of the document's text; the row with ``n`` 0 has all words of the language.
     """
-    texts = docs.select("doc_id", "text", F.coalesce("lang", F.lit("und")).alias("lang"))
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    fields: list[np.ndarray] = []
-    fields += level(texts, (1,), fields, p)
-    fields += level(texts, (2,), fields, p)
-    if p.longest > 2:
-        fields += level(texts, tuple(range(3, p.longest + 1)), fields, p)
-    shared = texts.sparkSession.sparkContext.broadcast(fields)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce("lang", F.lit("und")).alias("lang"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets_log2 = min(max(3, (size // p.bucket).bit_length()), 20, p.field_log2 - 3)
+    once = level(texts, (1,), [], buckets_log2, p)
+    pairs = level(texts, (2,), once, buckets_log2, p)
+    longer, words = level(texts, tuple(range(3, p.longest + 1)), [once[0], pairs[0]], buckets_log2, p, words=True)
+    shared = texts.sparkSession.sparkContext.broadcast([words, pairs[0], *[longer] * (p.longest - 2)])
 
     def run(batches):
+        held: dict[str, dict[bytes, list]] = {}
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            for lang, found in held.items():
+                buckets: dict[int, list] = {}
+                for item in found.items():
+                    buckets.setdefault(zlib.crc32(item[0]) >> (32 - buckets_log2), []).append(item)
+                found.clear()
+                rows = [(b, pack_phrases(buckets.pop(b))) for b in list(buckets)]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(rows), pa.string()), pa.array([b for b, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], names=["lang", "bucket", "data"])
+            held.clear()
+
         for batch in batches:
-            lang = batch.column("lang")
+            lang, doc = batch.column("lang").to_pylist(), batch.column("doc_id").to_pylist()
+            for name in lang:
+                held.setdefault(name, {})
             for g in grams(batch, p):
-                ids, data, rows, size, words, count, start = same_words(g), g.buf.tobytes(), [], [], [], [], []
-                owner = g.row[g.part]
+                same, data, owner = same_words(g), g.buf.tobytes(), g.row[g.part]
                 for n in range(1, p.longest + 1):
                     first, prints = passing(g, n, shared.value[: n - 1], p)
                     keep = has(shared.value[n - 1], prints, p.field_log2)
-                    rep, number = told_apart(g, ids, first[keep], prints[keep], n)
+                    rep, number = told_apart(g, same, first[keep], prints[keep], n)
                     spans = [(g.starts[rep + j].tolist(), g.ends[rep + j].tolist()) for j in range(n)]
-                    words += map(b" ".join, zip(*([data[a:b] for a, b in zip(*s, strict=True)] for s in spans), strict=True))
-                    rows += owner[rep].tolist()
-                    start += (g.starts[rep] - g.begin[g.part[rep]] + g.place[g.part[rep]]).tolist()
-                    count += number.tolist()
-                    size += [n] * len(rep)
-                for i, number in enumerate(np.bincount(owner[g.own], minlength=1).tolist()):
-                    if number:
-                        rows.append(i), size.append(0), words.append(b""), count.append(number), start.append(0)
-                at = pa.array(rows, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [lang.take(at), pa.array(size, pa.int32()), pa.array(words, pa.binary()), pa.array(count, pa.int64()), batch.column("doc_id").take(at), pa.array(start, pa.int64())],
-                    names=["lang", "n", "phrase", "c", "doc_id", "start"],
-                )
-
-    found = in_arrow(texts, run, f"lang string, n int, phrase binary, c long, doc_id {kind}, start long")
-    summed = found.groupBy("lang", "n", "phrase").agg(F.sum("c").alias("a"), F.min(F.struct("doc_id", "start")).alias("at"))
-    kept = summed.where((F.col("a") >= p.least) | (F.col("n") == 0))
-    return kept.select("lang", "n", F.decode("phrase", "utf-8").alias("phrase"), "a", F.col("at.doc_id").alias("first_doc"), F.col("at.start").alias("first_start"))
+                    words = map(b" ".join, zip(*([data[a:b] for a, b in zip(*s, strict=True)] for s in spans), strict=True))
+                    place = (g.starts[rep] - g.begin[g.part[rep]] + g.place[g.part[rep]]).tolist()
+                    for row, phrase, count, start in zip(owner[rep].tolist(), words, number.tolist(), place, strict=True):
+                        gather(held[lang[row]], phrase, count, doc[row], start)
+                for row, count in enumerate(np.bincount(owner[g.own], minlength=1).tolist()):
+                    if count:
+                        gather(held[lang[row]], b"", count, doc[row], 0)
+                if sum(map(len, held.values())) > p.phrases:
+                    yield from sent()
+                    held.update((name, {}) for name in lang)
+        yield from sent()
+
+    def merge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        every: dict[bytes, list] = {}
+        for chunk in table["data"]:
+            for found in unpack_phrases(chunk.as_py()):
+                gather(every, *found)
+        kept = [(w, x) for w, x in every.items() if x[0] >= p.least or not w]
+        size = [w.count(b" ") + 1 if w else 0 for w, _ in kept]
+        start = [x[2] if x[1] is not None else None for _, x in kept]
+        words = pa.array([w for w, _ in kept], pa.binary())
+        return pa.table([[key[0].as_py()] * len(kept), size, words, [x[0] for _, x in kept], [x[1] for _, x in kept], start], schema=schema)
+
+    schema = pa.schema([("lang", pa.string()), ("n", pa.int32()), ("phrase", pa.binary()), ("a", pa.int64()), ("first_doc", pa.int64()), ("first_start", pa.int64())])
+    sent = in_arrow(texts, run, "lang string, bucket long, data binary")
+    found = sent.groupBy("lang", "bucket").applyInArrow(merge, "lang string, n int, phrase binary, a long, first_doc long, first_start long")
+    return found.withColumn("phrase", F.decode("phrase", "utf-8"))
 
 
 def collocations(docs: DataFrame, p: Params = Params()) -> DataFrame:
