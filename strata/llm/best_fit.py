@@ -8,8 +8,10 @@ is kept if it saves a sequence. After ``rounds`` exchanges, or when no partition
 Certified partitions keep their last, partly filled sequences, so the count can exceed the bound over all pieces
 by about one sequence a partition, and by more where ``rounds`` ends with partitions open; the README has figures.
 
-Tokenising goes by words between ASCII white space, which the tokenizer's pattern never spans, so that every
-word is encoded once per worker and remembered (a bounded memory).
+Tokenising goes by words between ASCII white space, which neither the tokenizer's pattern nor its special tokens
+span. A block's words are looked up all at once: words of up to 16 bytes are two numbers and a length, compared
+whole with those in a table of fixed size, and the ids found are gathered by numpy. Only words that are not in
+the table reach the tokenizer.
 
 Defined results: a null or empty text is its closing id alone; repeated rows are packed each; null ids are
 kept; columns other than ``doc_id`` and ``text`` are not read; an empty table gives no rows.
@@ -21,6 +23,7 @@ import os
 import re
 import unicodedata
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +32,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import column_bytes, cut, in_arrow, remembered, settled
+from strata.llm.common import SPACE, Block, blocks, column_bytes, in_arrow, mix, remembered, runs, settled
+
+_WORD = (~SPACE).astype(np.uint8)
 
 
 @dataclass(frozen=True)
@@ -38,114 +43,182 @@ class Params:
     tokenizer: str | None = None  # a file; by default the public word BPE of 49,408 ids
     items: int = 50_000
     rounds: int = 3
-    remembered: int = 400_000  # words, and as many letter runs, of each of two generations
+    table_log2: int = 20  # places of the table of words
+    ids: int = 1 << 23  # that the table holds before it starts anew
+    remembered: int = 100_000  # letter runs, and long words, of each of two generations
+
+
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+class Remembered:
+    """Texts and their ids in two generations: a full one becomes the older, what is used again moves to the new."""
+
+    def __init__(self, limit: int):
+        self.limit, self.new, self.old = limit, {}, {}
+
+    def get(self, keys: list[bytes], make) -> dict[bytes, bytes]:
+        """The ids of ``keys``; those not known are made together."""
+        found = {}
+        for k in keys:
+            ids = self.new.get(k) or self.old.get(k)
+            if ids is not None:
+                found[k] = ids
+        unknown = [k for k in keys if k not in found]
+        found.update(zip(unknown, make(unknown), strict=True))
+        if len(self.new) > self.limit:
+            self.new, self.old = {}, self.new
+        self.new.update(found)
+        return found
 
 
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers.
 
-    A word seen before costs one lookup. Of a new one, letters followed by other signs are matches of their own
-    in the tokenizer's pattern, so both are looked up apart; new letter runs are encoded many at a time, and the
-    tokens that end a match tell them apart again.
+    A new word of letters followed by other signs is two matches of the tokenizer's pattern, so both are looked up
+    apart; new letter runs are encoded many at a time, and the tokens that end a match tell them apart again.
     """
 
     LETTERS = re.compile(rb"([A-Za-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")
 
-    def __init__(self, path: str | None, remembered: int):
+    def __init__(self, p: Params):
         import public_tokenizers
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer = Tokenizer.from_file(p.tokenizer or public_tokenizers.path("word_bpe_49k.json"))
         vocabulary, suffix = self.tokenizer.get_vocab(), self.tokenizer.model.end_of_word_suffix
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         if suffix:
             self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-        # two generations: a full one becomes the older, and what is used again moves to the new one
-        self.words: dict[bytes, bytes] = {}
-        self.older_words: dict[bytes, bytes] = {}
-        self.letters: dict[bytes, bytes] = {}
-        self.older_letters: dict[bytes, bytes] = {}
-        self.signs: dict[bytes, bytes] = {b"": b""}
-        self.remembered = remembered
+        self.p, self.letters, self.long, self.signs = p, Remembered(p.remembered), Remembered(p.remembered), {b"": b""}
+        self.clear()
+
+    def clear(self) -> None:
+        """An empty table: the two numbers and the length of the word at each place, and where its ids lie."""
+        places = 1 << self.p.table_log2
+        self.first, self.second = np.zeros(places, np.uint64), np.zeros(places, np.uint64)
+        self.size = np.zeros(places, np.int8)  # 0: no word
+        self.at, self.count = np.zeros(places, np.int64), np.zeros(places, np.int64)
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def ids(self, text: bytes) -> bytes:
         return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn_letters(self, new: list[bytes]) -> None:
+    def of_letters(self, new: list[bytes]) -> list[bytes]:
+        out: list[bytes] = []
         for lo in range(0, len(new), 1024):
             some = new[lo : lo + 1024]
             packed = self.ids(b" ".join(some))
             ends = np.flatnonzero(self.ends[np.frombuffer(packed, "<u4")]) * 4 + 4
             if len(ends) == len(some):
                 at = [0, *ends.tolist()]
-                self.letters.update(zip(some, [packed[a:b] for a, b in zip(at, at[1:])], strict=True))
+                out += [packed[a:b] for a, b in zip(at, at[1:])]
             else:
-                self.letters.update((x, self.ids(x)) for x in some)
-
-    def learn(self, new: list[bytes]) -> None:
-        if len(self.words) > self.remembered:
-            self.words, self.older_words = {}, self.words
-        if len(self.letters) > self.remembered:
-            self.letters, self.older_letters = {}, self.letters
-        known = [w for w in new if w in self.older_words]
-        self.words.update(zip(known, map(self.older_words.__getitem__, known), strict=True))
-        new = [w for w in new if w not in self.older_words]
-        if len(self.signs) > self.remembered:
+                out += map(self.ids, some)
+        return out
+
+    def of_words(self, new: list[bytes]) -> list[bytes]:
+        """Ids of different words, by the tokenizer."""
+        if len(self.signs) > self.p.remembered:
             self.signs = {b"": b""}
         split = []
         for w in new:
+            if w.isalpha():  # ASCII letters only
+                split.append((w.lower(), b""))
+                continue
             m = self.LETTERS.fullmatch(w)
             letters, signs = m.groups() if m else (b"", b"")
             if not m or not (letters.isascii() or unicodedata.normalize("NFC", letters.decode("utf-8", "replace")).lower().isalpha()):
-                self.words[w] = self.ids(w)
+                split.append(None)
                 continue
-            split.append((w, letters.lower() if letters.isascii() else letters, signs))
+            split.append((letters.lower() if letters.isascii() else letters, signs))
             if signs not in self.signs:
                 self.signs[signs] = self.ids(signs)
-        every = {x for _, x, _ in split if x not in self.letters}
-        known = [x for x in every if x in self.older_letters]
-        self.letters.update(zip(known, map(self.older_letters.__getitem__, known), strict=True))
-        self.learn_letters([x for x in every if x not in self.older_letters])
-        self.words.update((w, self.letters[x] + self.signs[y]) for w, x, y in split)
-
-    def many(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of some texts, whose new words are learned together."""
-        split = [text.split() if len(text) <= 1 << 20 else None for text in texts]
-        every: set[bytes] = set()
-        for words in split:
-            every.update(words or ())
-        self.learn([w for w in every if w not in self.words])
-        try:
-            return [self(text) if words is None else b"".join(map(self.words.__getitem__, words)) for text, words in zip(texts, split, strict=True)]
-        except KeyError:  # a change of generations has dropped some
-            return list(map(self, texts))
+        known = self.letters.get(list(dict.fromkeys(x[0] for x in split if x)), self.of_letters)
+        return [self.ids(w) if x is None else known[x[0]] + self.signs[x[1]] for w, x in zip(new, split, strict=True)]
+
+    def block(self, block: Block) -> list[bytes]:
+        """The ids of each part of a block."""
+        starts, ends = runs(_WORD[block.buf])
+        size = ends - starts
+        padded = np.concatenate((block.buf, np.zeros(16, np.uint8)))
+        eights = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))  # the eight bytes from each place on
+        short = size <= 16
+        first = eights[starts] & _MASK[np.minimum(size, 8)]
+        second = eights[np.minimum(starts + 8, len(block.buf))] & _MASK[np.clip(size - 8, 0, 8)]
+        place = (mix(first + second * np.uint64(0x9E3779B97F4A7C15) + size.astype(np.uint64)) >> np.uint64(64 - self.p.table_log2)).astype(np.int64)
+        known = short & (self.size[place] == size) & (self.first[place] == first) & (self.second[place] == second)
+        at, count = self.at[place], self.count[place]
+        if not known.all():
+            data = block.buf.tobytes()
+            other = np.flatnonzero(~known)
+            words = [data[a:b] for a, b in zip(starts[other].tolist(), ends[other].tolist(), strict=True)]
+            new = {w: None for w in words}
+            few, many = [w for w in new if len(w) <= 16], [w for w in new if len(w) > 16]
+            long = self.long.get(many, self.of_words)
+            ids = self.of_words(few) + [long[w] for w in many]
+            if self.used > self.p.ids:
+                # the ids of known words move to the front of a fresh pool
+                kept = self.gathered(at[known], count[known])
+                self.clear()
+                self.add(kept)
+                moved = np.cumsum(count[known])
+                at[known] = moved - count[known]
+            length = np.array([len(x) for x in ids], np.int64) // 4
+            place_of = self.used + np.cumsum(length) - length
+            self.add(np.frombuffer(b"".join(ids), "<u4"))
+            index = {w: i for i, w in enumerate(few + many)}
+            which = np.array([index[w] for w in words], np.int64)
+            at[other], count[other] = place_of[which], length[which]
+            learn = other[short[other]]
+            spot = place[learn]
+            self.first[spot], self.second[spot], self.size[spot] = first[learn], second[learn], size[learn]
+            self.at[spot], self.count[spot] = at[learn], count[learn]
+            # of words that meet at one place the last stays, in all columns alike
+        every = self.gathered(at, count).astype("<u4").tobytes()
+        upto = np.concatenate(([0], np.cumsum(count)))[np.searchsorted(starts, np.append(block.starts, len(block.buf)))] * 4
+        return [every[a:b] for a, b in zip(upto.tolist(), upto[1:].tolist())]
+
+    def add(self, ids: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate((self.pool, np.zeros(len(self.pool), np.uint32)))
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+
+    def gathered(self, at: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """The stretches of the pool one after the other."""
+        ends = np.cumsum(count)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.pool[np.repeat(at - (ends - count), count) + np.arange(total)]
+
+    def many(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of each text in order; no more than a block and a text are held."""
+        parts: list[bytes] = []
+        now = 0
+        for block in blocks(texts):
+            for owner, ids in zip(block.owner.tolist(), self.block(block), strict=True):
+                if owner != now:
+                    yield b"".join(parts)
+                    parts, now = [], owner
+                parts.append(ids)
+        if texts:
+            yield b"".join(parts)
 
     def __call__(self, text: bytes) -> bytes:
-        out = []
-        for piece in cut(text, 1 << 20):
-            words = piece.split()  # at the six ASCII white-space bytes
-            try:
-                out.append(b"".join(map(self.words.__getitem__, words)))
-            except KeyError:
-                self.learn(list(set(words)))  # all of them: a change of generations may have dropped some
-                out.append(b"".join(map(self.words.__getitem__, words)))
-        return b"".join(out)
+        return next(self.many([text]))
 
 
 def pieces(docs: DataFrame, p: Params) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 and an even ``spread`` of numbers."""
 
-    memory = f"word ids {p.tokenizer} {p.remembered}"
+    memory = f"word ids {p}"
 
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode, spread = remembered(memory, lambda: Encoder(p.tokenizer, p.remembered)), TaskContext.get().partitionId()
+        encode, spread = remembered(memory, lambda: Encoder(p)), TaskContext.get().partitionId()
         for batch in batches:
             row, number, start, length, crc = [], [], [], [], []
-            texts = column_bytes(batch, "text")
-            coded = (x for lo in range(0, len(texts), 256) for x in encode.many(texts[lo : lo + 256]))
-            for i, ids in enumerate(coded):
+            for i, ids in enumerate(encode.many(column_bytes(batch, "text"))):
                 ids += b"\0\0\0\0"
                 step = 4 * p.capacity
                 for k, at in enumerate(range(0, len(ids), step)):

@@ -57,17 +57,32 @@ def test_bpe_query(spark, reference):
 @pytest.fixture(scope="module")
 def words():
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     return lambda text: [*t.encode(text or "", add_special_tokens=False).ids, 0]
 
 
-ENCODER = best_fit.Encoder(None, 40)
+ENCODERS = [best_fit.Encoder(best_fit.Params(table_log2=t, ids=n, remembered=10)) for t, n in ((3, 30), (12, 200), (16, 1 << 20))]
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.one_of(PIECES, st.sampled_from(["İ", "Σ", "ΑΣ", "ﬁ", "<|endoftext|>", "Ab", "ß", "don't", "\x0b"])), max_size=40).map("".join))
+@given(st.lists(st.one_of(PIECES, st.sampled_from(["İ", "Σ", "ΑΣ", "ﬁ", "<|endoftext|>", "<|STARTOFTEXT|>", "<|", "Ab", "ß", "don't", "\x0b", "\x00", "sixteenletters", "a\x00 a "])), max_size=40).map("".join))
 def test_word_lookup_equals_the_tokenizer(words, text):
-    assert np.frombuffer(ENCODER(text.encode()), "<u4").tolist() + [0] == words(text)
+    for encoder in ENCODERS:
+        assert np.frombuffer(encoder(text.encode()), "<u4").tolist() + [0] == words(text)
+
+
+def test_special_strings_are_special(words):
+    assert words("hello <|endoftext|> world")[1] == 49407
+    for encoder in ENCODERS:
+        assert np.frombuffer(encoder(b"hello <|endoftext|> world"), "<u4").tolist() + [0] == words("hello <|endoftext|> world")
+
+
+def test_many_texts_at_once(words):
+    rng = np.random.default_rng(2)
+    vocabulary = ["".join(rng.choice(list("abcdeABé!.,'1"), rng.integers(1, 25))) for _ in range(300)]
+    texts = [" ".join(rng.choice(vocabulary, rng.integers(0, 200))) for _ in range(60)] + ["", " \n", "x " * 400_000, "y" * 3000]
+    for encoder in ENCODERS:
+        got = list(encoder.many([t.encode() for t in texts]))
+        assert [np.frombuffer(x, "<u4").tolist() + [0] for x in got] == [words(t) for t in texts]
 
 
 def valid(rows, capacity):
