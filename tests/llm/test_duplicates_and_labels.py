@@ -1,6 +1,9 @@
 """N-gram join against brute force, the learned operators' held-out accuracy, and the pipeline."""
 
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -9,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strata.llm import ngram_join, quality_net, queries, toxicity_mil
-from strata.llm.common import labelled_sample, read_table, sampled_texts
+from strata.llm.common import blocks, hashes, labelled_sample, read_table, sampled_texts
 
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -130,7 +133,8 @@ def test_held_out_accuracy(spark, module, label, least):
 def test_without_labels_every_score_is_the_share(spark, module):
     labels = spark.createDataFrame([(None, 1, 1), (1, None, None)], "doc_id long, quality int, toxic int")
     scores = [r["score"] for r in module.score(odd_docs(spark, TEXTS[1:4]), module.fit(odd_docs(spark), labels)).collect()]
-    assert min(scores) >= 0.5 and max(scores) <= 1
+    # no label at all: half of them good, a quarter toxic, so that nothing is predicted to be
+    assert set(scores) == {0.5} if module is quality_net else max(abs(x - 0.25) for x in scores) < 1e-9
     assert module.score(odd_docs(spark), module.fit(empty_docs(spark), labels)).count() == len(TEXTS)
 
 
@@ -151,7 +155,58 @@ def test_offending_sentence_is_located(spark):
     text = "A calm line here.\nYou aa bb VERMIN cc dd. Then calm again."
     rows = toxicity_mil.score(odd_docs(spark, [(1, text), (2, "All calm. " * 50)]), model).orderBy("doc_id").collect()
     assert [r["predicted"] for r in rows] == [1, 0] and [r["toxic_sentences"] for r in rows] == [1, 0]
-    assert text[rows[0]["worst_start"] : rows[0]["worst_end"]].strip() == "You aa bb VERMIN cc dd"
+    places = lambda r, t: [t.encode()[s["start"] : s["end"]].decode().strip() for s in r["sentences"]]
+    assert places(rows[0], text) == ["You aa bb VERMIN cc dd"]
+    # places are those of the text as it is, also where lower-casing changes lengths, and after a cut into pieces
+    text = "İİ İstanbul. " + "Calm words here. " * 40_000 + "A VERMIN İ line! Calm.\nvermin again? İ" + " İ" * 30
+    row = toxicity_mil.score(odd_docs(spark, [(1, text)]), model).first()
+    assert places(row, text) == ["A VERMIN İ line", "vermin again"] and row["toxic_sentences"] == 2
+    plain = plain_bag(text, model)
+    assert abs(row["score"] - plain[0]) < 1e-6 and len(plain[1]) == 2
+
+
+def plain_bag(text, model):
+    """Leaky noisy-or, sentence by sentence, in Python."""
+    p = model.params
+    leak, keep, blamed = math.log1p(math.exp(model.bias)), 0.0, []
+    for k, sentence in enumerate(re.split("[.!?\n]", text.lower())):
+        found = set()
+        for word in re.findall(r"[a-z\u0080-\U0010ffff]+", sentence):
+            data = word.encode()
+            buf = np.frombuffer(data, np.uint8)
+            found |= set((hashes(buf, np.array([0]), np.array([len(data)]), p.prefixes)[0] >> np.uint64(64 - p.buckets_log2)).tolist())
+        if found:
+            z = model.bias + sum(float(model.weights[i]) for i in sorted(found))
+            keep += max(math.log1p(math.exp(z)) - leak, 0)
+            if z >= 0:
+                blamed.append(k)
+    return -math.expm1(-leak - keep), blamed
+
+
+def test_toxicity_equals_plain_noisy_or(spark):
+    docs, labels = read_table(spark, SMALL, "documents"), read_table(spark, SMALL, "labels")
+    model = toxicity_mil.fit(docs, labels, toxicity_mil.Params(min_docs=2))
+    assert np.count_nonzero(model.weights)
+    rows = {r["doc_id"]: r for r in toxicity_mil.score(docs, model).collect()}
+    for d in docs.collect():
+        want, blamed = plain_bag(d["text"], model)
+        assert abs(rows[d["doc_id"]]["score"] - want) < 1e-6 and rows[d["doc_id"]]["toxic_sentences"] == len(blamed)
+
+
+def test_features_are_those_of_plain_counts(spark):
+    docs, labels = read_table(spark, SMALL, "documents"), read_table(spark, SMALL, "labels")
+    p = toxicity_mil.Params(min_docs=2, max_features=60)
+    rows = sampled_texts(docs, labelled_sample(labels, "toxic", p.max_labelled).drop("part"))
+    held, toxic, y = Counter(), Counter(), []
+    for r in rows.collect():
+        found = {int(i) for b in blocks([r["text"].encode()]) for i in toxicity_mil.instances(b, p)[0].ravel()} - {0}
+        held.update(found)
+        toxic.update(found if r["y"] else ())
+        y.append(r["y"])
+    share = (sum(y) + 1) / (len(y) + 2)
+    sure = {i: (toxic[i] - share * n) / math.sqrt(share * (1 - share) * n) for i, n in held.items() if n >= p.min_docs}
+    best = sorted((i for i in sure if sure[i]), key=lambda i: (-abs(sure[i]), i))[: p.max_features]
+    assert toxicity_mil.telling(rows, share, p).tolist() == sorted(best)
 
 
 def test_toxicity_learns_long_texts_and_rejects_nothing_unlabelled(spark):
@@ -165,7 +220,7 @@ def test_toxicity_learns_long_texts_and_rejects_nothing_unlabelled(spark):
     assert [r["predicted"] for r in toxicity_mil.score(test, model).orderBy("doc_id").collect()] == [1, 0]
     none = toxicity_mil.fit(odd_docs(spark, rows[:2]), labels.where("false"))
     assert toxicity_mil.accept(test, none).count() == 2
-    assert {(r["predicted"], r["toxic_sentences"]) for r in toxicity_mil.score(test, none).collect()} == {(0, 0)}
+    assert all(r["score"] < 0.5 and not r["predicted"] and not r["toxic_sentences"] for r in toxicity_mil.score(test, none).collect())
     small = toxicity_mil.fit(odd_docs(spark, rows), labels, toxicity_mil.Params(max_sample_bytes=50_000))
     assert 1 <= small.labelled < 10
 
@@ -205,5 +260,5 @@ def test_every_operator_is_registered():
     import __spark_entry__ as E
 
     names = E.queries()
-    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{k}" for k in range(1, 11)] and "pipeline" in names
+    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{k}" for k in range(1, 14)] and "pipeline" in names
     assert set(E.oracle_sql()) <= set(names)
