@@ -7,8 +7,9 @@ running-max window instead of a self join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from strata.operators.history import CURRENT, END, START
 
@@ -17,15 +18,21 @@ SALT = "_salt"
 
 
 def hot_keys(facts: DataFrame, key: str, fraction: float) -> DataFrame:
-    """Keys holding at least ``fraction`` of all fact rows.
+    """Keys holding at least ``fraction`` of all fact rows, as a table of its own.
 
     At most ``1 / fraction`` keys can qualify, so the result has a proven size
     bound and may be broadcast.  The per-key count is a partial (map-side)
-    aggregate, so a hot key is counted without being gathered in one task.
+    aggregate, so a hot key is counted without being gathered in one task.  The
+    keys are counted here, once, whatever number of plans uses the table.
     """
-    counts = facts.groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.select(F.sum("_n")).scalar()  # from the per-key counts, not a second scan
-    return counts.where(F.col("_n") >= total * F.lit(fraction)).select("_hot_key")
+    if not 0 < fraction <= 1:
+        raise ValueError(f"a share of the rows must be above 0 and at most 1, not {fraction}")
+    seen = Observation("rows by key")
+    counts = facts.groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n")).observe(seen, F.sum("_n").alias("rows"))
+    largest = counts.orderBy(F.desc("_n")).limit(int(1 / fraction) + 1).collect()
+    rows = seen.get["rows"] or 0
+    hot = [(r["_hot_key"],) for r in largest if r["_n"] >= rows * fraction and r["_hot_key"] is not None]
+    return facts.sparkSession.createDataFrame(hot, StructType([StructField("_hot_key", facts.schema[key].dataType)]))
 
 
 def salt_hot_keys(
@@ -119,7 +126,8 @@ def spread_null_keys(
     if skew_fraction:
         f, v = salt_hot_keys(facts, other, fact_key, other_key, skew_fraction, salt_buckets, hot)
     else:
-        f, v = facts.withColumn(SALT, F.lit(0).cast("bigint")), other.withColumn("_v_salt", F.lit(0).cast("bigint"))
+        # zero on the other side as well, but not a constant, which the optimizer would take out of the join's keys
+        f, v = facts.withColumn(SALT, F.lit(0).cast("bigint")), other.withColumn("_v_salt", F.pmod(F.xxhash64(other_key), F.lit(1)).cast("bigint"))
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
     salt = F.when(F.col(f"`{fact_key}`").isNull(), -1 - F.pmod(row_hash, F.lit(NULL_SPREAD))).otherwise(F.col(SALT))
     return f.withColumn(SALT, salt), v

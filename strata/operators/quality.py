@@ -101,6 +101,12 @@ def current_counts(spark: SparkSession, tables: dict[str, DataFrame], run_ts: Co
     ).select(run_ts.cast("timestamp").alias("run_timestamp"), "table_name", "row_count")
 
 
+def known_counts(spark: SparkSession, counts: dict[str, int], run_ts: Column) -> DataFrame:
+    """The same rows from counts that the writes have reported."""
+    frame = spark.createDataFrame(list(counts.items()), "table_name string, row_count bigint")
+    return frame.select(run_ts.cast("timestamp").alias("run_timestamp"), "table_name", "row_count")
+
+
 def latest_run(log: DataFrame) -> DataFrame:
     """A10: rows of the most recent run (scalar subquery on max(run_timestamp))."""
     return log.where(F.col("run_timestamp") == log.select(F.max("run_timestamp")).scalar())

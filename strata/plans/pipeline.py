@@ -91,6 +91,7 @@ class Tables:
         self.null_attribute = null_attribute
         self.splits: dict[str, sinks.SplitTable] = {}
         self.versions = Versions(spark, root)
+        self.observed: dict[str, int] = {}  # metrics of the suite known from writing the tables
 
     def path(self, layer: str, name: str) -> str:
         return self.versions.path(f"{layer}/{name}")
@@ -198,7 +199,9 @@ class RunResult:
 
 
 def _write_layer(df: DataFrame, t: Tables, layer: str, name: str) -> int:
-    return sinks.write_counted(df, t.target(layer, name))
+    rows = sinks.write_counted(df, t.target(layer, name))
+    t.observed[f"{name}.rows"] = rows
+    return rows
 
 
 FACT_MONTH = "date_month"
@@ -213,10 +216,12 @@ def _write_fact(df: DataFrame, t: Tables, name: str, by_month: bool) -> int:
     task writes a third of the table nor every task writes a file into every
     month.  Readers drop the partition column again (see :class:`Tables`).
     """
+    rules = suite.measured(suite.sales_rules() if name == "fct_sales" else suite.inventory_rules())
+    metrics = {f"{name}.{k}": c for k, c in rules.items()}
     if not by_month:
-        return _write_layer(df, t, "gold", name)
+        return sinks.write_counted(df, t.target("gold", name), metrics=metrics, observed=t.observed)
     monthly = df.withColumn(FACT_MONTH, F.expr("date_key div 100").cast("int")).hint("rebalance", FACT_MONTH)
-    return sinks.write_counted(monthly, t.target("gold", name), partition_by=[FACT_MONTH])
+    return sinks.write_counted(monthly, t.target("gold", name), partition_by=[FACT_MONTH], metrics=metrics, observed=t.observed)
 
 
 def bronze_source(
@@ -279,7 +284,7 @@ def run_pipeline(
         deduped = C.dedup_latest(typed, spec.keys, spec.order_col, spec.tie_break)
         split = sinks.write_split(deduped, spec.rules, spec.reason, t.target("silver", SILVER_NAME[entity]), ts)
         t.splits[entity] = split
-        counts[f"silver.{SILVER_NAME[entity]}"] = split.valid_rows
+        counts[f"silver.{SILVER_NAME[entity]}"] = t.observed[f"silver.{SILVER_NAME[entity]}.rows"] = split.valid_rows
         counts[f"quarantine.{entity}"] = split.quarantined_rows
 
     # Customer history: quarantine before dedup, then the window rebuild.
@@ -290,6 +295,8 @@ def run_pipeline(
         history, t.target("silver", "customers_history"), HISTORY_SCHEMA
     )
 
+    t.observed["history.rows"] = counts["silver.customers_history"]
+
     # Gold: dimensions first (dim_date needs both transactional inputs), then facts.
     counts["gold.dim_customer"] = _write_layer(star.dim_customer(t.customer_history), t, "gold", "dim_customer")
     counts["gold.dim_product"] = _write_layer(star.dim_product(t.silver("products")), t, "gold", "dim_product")
@@ -304,7 +311,7 @@ def run_pipeline(
 
     # Quality: the whole suite is one frame; run log compared, then gated.
     frames = [suite.full_suite(t)] + specific_checks(t, edge_cases or EdgeCases())
-    current = Q.current_counts(spark, suite.stability_tables(t), ts)
+    current = Q.known_counts(spark, {name: counts[name] for name in suite.STABLE}, ts)
     log = t.read("gold", RUN_LOG) if t.exists("gold", RUN_LOG) else None
     if log is not None:
         frames.append(Q.run_stability(log, current))

@@ -1,11 +1,12 @@
 """The validation suite (Q1-Q19, D5, D7, D10) as one pass per table.
 
-A pass computes only the metrics that the checks at hand ask for.  A fact's own
-rules are one aggregate without a join; its foreign keys are first counted per
-key (partial aggregates, so a NULL or hot key is one row per task) and only the
-key lists meet the dimensions; every history-structure check comes out of one
-window pass.  The metric rows are pivoted into check rows by a single tiny
-aggregate, so the whole suite is one Spark action with one row per check.
+A pass computes only the metrics that the checks at hand ask for, and not those
+observed while the table was written (``lay.observed``).  A fact is read once:
+its rows are counted per own and foreign key (partial aggregates, so a NULL or
+hot key is one row per task) and only the key lists meet the dimensions; every
+history-structure check comes out of one window pass.  The metric rows are
+pivoted into check rows by a single tiny aggregate, so the whole suite is one
+Spark action with one row per check.
 
 ``lay`` is any object exposing the layer tables: :class:`Layers` (lazy plans
 over the stand-ins) or :class:`strata.plans.pipeline.Tables` (written files).
@@ -13,7 +14,7 @@ over the stand-ins) or :class:`strata.plans.pipeline.Tables` (written files).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators import quality as Q
@@ -30,13 +31,12 @@ SILVER_TABLES = {
 }
 
 
+STABLE = ["silver.customers_history", "silver.order_items_clean", "gold.fct_sales", "gold.fct_inventory_movements"]
+
+
 def stability_tables(lay) -> dict[str, DataFrame]:
-    return {
-        "silver.customers_history": lay.customer_history,
-        "silver.order_items_clean": lay.silver("order_items"),
-        "gold.fct_sales": lay.fct_sales,
-        "gold.fct_inventory_movements": lay.fct_inventory_movements,
-    }
+    frames = (lay.customer_history, lay.silver("order_items"), lay.fct_sales, lay.fct_inventory_movements)
+    return dict(zip(STABLE, frames, strict=True))
 
 
 # --------------------------------------------------------------------------
@@ -76,77 +76,96 @@ def chosen(df: DataFrame, prefix: str, want: set[str], named: dict) -> DataFrame
     return Q.metrics(df, prefix, {k: v for k, v in named.items() if k in want})
 
 
-def orphans(fact: DataFrame, prefix: str, keys: dict[str, tuple[str, DataFrame, str]]) -> DataFrame:
-    """Rows whose key a dimension lacks (NULL included), for ``metric -> (fk, dimension, key)``.
+def fact_pass(
+    fact: DataFrame, prefix: str, item: str, want: set[str], rules: dict[str, Column],
+    keys: dict[str, tuple[str, DataFrame, str]], versions: DataFrame | None = None,
+) -> DataFrame:
+    """All metrics of a fact from one reading of it.
 
-    Keys are counted before they meet the dimensions, so no fact row is shuffled.
+    Each row is counted under its own key (with the rules that it breaks), under each foreign key, and under its
+    customer version with its time. Keys are counted before they meet the dimensions, so no fact row is shuffled but for
+    its own key, and a NULL or hot key is one row per task. ``versions``: customer_sk, _cur, _cur_start.
     """
-    named = [x for metric, (fk, _, _) in keys.items() for x in (F.lit(metric), F.col(fk).cast("string"))]
-    counts = fact.select(F.stack(F.lit(len(keys)), *named)).toDF("metric", "key").groupBy("metric", "key").agg(F.count(F.lit(1)).alias("n"))
-    known = Q.union_all([
-        dim.select(F.lit(metric).alias("metric"), F.col(key).cast("string").alias("key")).distinct()
-        for metric, (_, dim, key) in keys.items()
-    ])
-    missing = counts.join(known, ["metric", "key"], "left_anti").groupBy("metric").agg(F.sum("n").alias("n"))
-    names = fact.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, keys))).alias("metric"))
-    return names.join(missing, "metric", "left").select(
-        F.concat(F.lit(f"{prefix}."), "metric").alias("metric"), F.coalesce("n", F.lit(0)).cast("bigint").alias("value")
+    asked = {k: v for k, v in keys.items() if k in want}
+    broken = {k: v for k, v in rules.items() if k in want}
+    none = [F.lit(0).cast("bigint")] * len(broken)
+
+    def counted(metric: str, key: Column, at: Column, flags: list[Column]) -> Column:
+        named = [x.alias(f"_r{i}") for i, x in enumerate(flags)]
+        return F.struct(F.lit(metric).alias("metric"), key.cast("string").alias("key"), at.cast("timestamp_ntz").alias("at"), *named)
+
+    no_time = F.lit(None)
+    kinds = [counted(m, F.col(fk), no_time, none) for m, (fk, _, _) in asked.items()]
+    if broken or want & {"rows", "extra_rows"}:
+        kinds.append(counted("_item", F.col(item), no_time, [F.coalesce(c, F.lit(False)).cast("bigint") for c in broken.values()]))
+    known = [dim.select(F.lit(m).alias("metric"), F.col(key).cast("string").alias("key")).distinct() for m, (_, dim, key) in asked.items()]
+    known = [k.withColumns({"_cur": F.lit(None).cast("int"), "_cur_start": F.lit(None).cast("timestamp_ntz")}) for k in known]
+    if "version_mismatch" in want:
+        kinds.append(counted("_version", F.col("customer_sk"), F.col("order_timestamp"), none))
+        known.append(versions.select(F.lit("_version").alias("metric"), F.col("customer_sk").alias("key"), "_cur", F.col("_cur_start").cast("timestamp_ntz").alias("_cur_start")))
+    counts = fact.select(F.inline(F.array(*kinds))).groupBy("metric", "key", "at").agg(
+        F.count(F.lit(1)).alias("n"), *(F.sum(f"_r{i}").alias(f"_r{i}") for i in range(len(broken)))
     )
+    if known:
+        met = counts.join(Q.union_all(known).withColumn("_known", F.lit(True)), ["metric", "key"], "left")
+    else:
+        met = counts.withColumns({"_known": F.lit(None).cast("boolean"), "_cur": F.lit(None).cast("int"), "_cur_start": F.lit(None).cast("timestamp_ntz")})
+    of, n = F.col("metric"), F.col("n")
+    total = lambda which: F.coalesce(F.sum(F.when(which, n)), F.lit(0))
+    named = {m: total((of == m) & F.col("_known").isNull()) for m in asked}
+    named |= {m: F.coalesce(F.sum(F.when(of == "_item", F.col(f"_r{i}"))), F.lit(0)) for i, m in enumerate(broken)}
+    named |= {"rows": total(of == "_item"), "extra_rows": total(of == "_item") - F.count_if((of == "_item") & F.col("key").isNotNull())}
+    named |= {"version_mismatch": total((of == "_version") & ((F.col("_cur") == 1) != (F.col("at") >= F.col("_cur_start"))))}
+    return chosen(met, prefix, want, named)
+
+
+def sales_rules() -> dict[str, Column]:
+    """What a sales line may break by itself."""
+    expected = F.round(F.col("quantity").try_cast("decimal(12,0)") * F.col("unit_price").try_cast("decimal(20,6)"), 2)
+    return {
+        "unresolved_customer": F.col("customer_sk").isNull(),
+        "bad_quantity": F.col("quantity") <= 0,
+        "negative_amounts": (F.col("unit_price") < 0) | (F.col("line_amount") < 0),
+        "amount_mismatch": F.col("line_amount").isNull() | expected.isNull() | (F.abs(F.col("line_amount").cast("decimal(38,6)") - expected) > 0.01),
+    }
 
 
-def fact_passes(fact: DataFrame, prefix: str, want: set[str], own: dict, keys: dict) -> list[DataFrame]:
-    frames = [chosen(fact, prefix, want, own)] if want & set(own) else []
-    asked = {k: v for k, v in keys.items() if k in want}
-    return frames + ([orphans(fact, prefix, asked)] if asked else [])
+def inventory_rules() -> dict[str, Column]:
+    """What a movement may break by itself."""
+    et, q = F.col("event_type"), F.col("quantity_change")
+    return {"sign_violations": ((et == "INBOUND") & (q <= 0)) | ((et == "OUTBOUND") & (q >= 0))}
+
+
+def measured(rules: dict[str, Column] | None = None) -> dict[str, Column]:
+    """Metrics that a write of the table can observe: its rows, and those that break a rule."""
+    return {"rows": F.count(F.lit(1)), **{k: F.count_if(c) for k, c in (rules or {}).items()}}
 
 
 def sales_pass(lay, want: set[str]) -> DataFrame:
-    expected_amount = F.round(
-        F.col("quantity").try_cast("decimal(12,0)") * F.col("unit_price").try_cast("decimal(20,6)"), 2
-    )
-    frames = fact_passes(lay.fct_sales, "fct_sales", want, {
-        "rows": F.count(F.lit(1)),
-        "extra_rows": F.count(F.lit(1)) - F.count_distinct("order_item_id"),
-        "unresolved_customer": F.count_if(F.col("customer_sk").isNull()),
-        "bad_quantity": F.count_if(F.col("quantity") <= 0),
-        "negative_amounts": F.count_if((F.col("unit_price") < 0) | (F.col("line_amount") < 0)),
-        "amount_mismatch": F.count_if(F.col("line_amount").isNull() | expected_amount.isNull() | (F.abs(F.col("line_amount").cast("decimal(38,6)") - expected_amount) > 0.01)),
-    }, {
+    # each version with its key's current start, one row per version key so the lookup cannot fan out
+    per_key = Window.partitionBy("customer_id")
+    versions = (
+        lay.dim_customer.select(
+            "customer_sk",
+            F.col(CURRENT).cast("int").alias("_cur"),
+            F.max(F.when(F.col(CURRENT), F.col(START))).over(per_key).alias("_cur_start"),
+        )
+        .groupBy("customer_sk")
+        .agg(F.max("_cur").alias("_cur"), F.max("_cur_start").alias("_cur_start"))
+    ) if "version_mismatch" in want else None
+    return fact_pass(lay.fct_sales, "fct_sales", "order_item_id", want, sales_rules(), {
         "orphan_product": ("product_sk", lay.dim_product, "product_sk"),
         "orphan_warehouse": ("warehouse_sk", lay.dim_warehouse, "warehouse_sk"),
         "orphan_date": ("date_key", lay.dim_date, "date_key"),
-    })
-    if "version_mismatch" in want:
-        # each version with its key's current start, one row per version key so the lookup cannot fan out;
-        # lines without a version match none and stay out of the shuffle
-        per_key = Window.partitionBy("customer_id")
-        versions = (
-            lay.dim_customer.select(
-                "customer_sk",
-                F.col(CURRENT).cast("int").alias("_cur"),
-                F.max(F.when(F.col(CURRENT), F.col(START))).over(per_key).alias("_cur_start"),
-            )
-            .groupBy("customer_sk")
-            .agg(F.max("_cur").alias("_cur"), F.max("_cur_start").alias("_cur_start"))
-        )
-        lines = lay.fct_sales.where(F.col("customer_sk").isNotNull()).join(versions, "customer_sk")
-        frames.append(Q.metrics(lines, "fct_sales", {
-            "version_mismatch": F.count_if((F.col("_cur") == 1) != (F.col("order_timestamp") >= F.col("_cur_start"))),
-        }))
-    return Q.union_all(frames)
+    }, versions)
 
 
 def inventory_pass(lay, want: set[str]) -> DataFrame:
-    et, q = F.col("event_type"), F.col("quantity_change")
-    return Q.union_all(fact_passes(lay.fct_inventory_movements, "fct_inventory_movements", want, {
-        "rows": F.count(F.lit(1)),
-        "extra_rows": F.count(F.lit(1)) - F.count_distinct("event_id"),
-        "sign_violations": F.count_if(((et == "INBOUND") & (q <= 0)) | ((et == "OUTBOUND") & (q >= 0))),
-    }, {
+    return fact_pass(lay.fct_inventory_movements, "fct_inventory_movements", "event_id", want, inventory_rules(), {
         "orphan_warehouse": ("warehouse_sk", lay.dim_warehouse, "warehouse_sk"),
         "orphan_product": ("product_sk", lay.dim_product, "product_sk"),
         "orphan_date": ("date_key", lay.dim_date, "date_key"),
-    }))
+    })
 
 
 def dimension_pass(df: DataFrame, name: str, key: str, want: set[str]) -> DataFrame:
@@ -264,14 +283,24 @@ def table_pass(lay, name: str, want: frozenset[str]) -> DataFrame:
 
 
 def run_checks(lay, checks: list[Q.MetricCheck]) -> DataFrame:
-    """Compute only the metrics the checks need, then the check rows."""
+    """Compute only the metrics the checks need, then the check rows.
+
+    ``lay.observed`` has metrics that are known from the writing of the tables; they are not computed again.
+    """
+    observed = getattr(lay, "observed", {})
     wanted: dict[str, set[str]] = {}
+    known: dict[str, int] = {}
     for c in checks:
         for metric in (c.observed, c.expected):
-            if isinstance(metric, str):
+            if isinstance(metric, str) and metric in observed:
+                known[metric] = observed[metric]
+            elif isinstance(metric, str):
                 table, _, name = metric.rpartition(".")
                 wanted.setdefault(table, set()).add(name)
     frames = [table_pass(lay, t, frozenset(names)) for t, names in sorted(wanted.items())]
+    if known:
+        rows = F.array(*(F.struct(F.lit(m).alias("metric"), F.lit(v).cast("bigint").alias("value")) for m, v in known.items()))
+        frames.append(lay.spark.range(1).select(F.inline(rows)))
     return Q.checks_from_metrics(Q.union_all(frames), checks)
 
 

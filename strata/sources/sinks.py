@@ -27,21 +27,29 @@ def write_counted(
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
     fmt: str = "parquet",
+    metrics: dict[str, Column] | None = None,
+    observed: dict[str, int] | None = None,
 ) -> int:
     """Write ``df`` once and return the number of rows written.
 
+    ``metrics`` are aggregates that the write observes as well; their values
+    are put into ``observed``.
+
     An overwrite replaces every partition of the target, also those that get no
     rows this time, whatever the session's overwrite mode.
     """
     obs = Observation(f"rows_{abs(hash(target)) % 10**8}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.mode(mode).format(fmt)
+    more = {k: c.cast("bigint").alias(f"_m{i}") for i, (k, c) in enumerate((metrics or {}).items())}
+    writer = df.observe(obs, F.count(F.lit(1)).alias("rows"), *more.values()).write.mode(mode).format(fmt)
     if mode == "overwrite":
         writer = writer.option("overwriteSchema", "true").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(target)
-    return int(obs.get.get("rows", 0))
+    got = obs.get
+    if observed is not None:
+        observed.update({k: int(got.get(f"_m{i}") or 0) for i, k in enumerate(more)})
+    return int(got.get("rows", 0))
 
 
 def write_bronze(df: DataFrame, target: str, **kw) -> int:
