@@ -37,6 +37,7 @@ class Params:
     symbol_percent: int = 10  # of a line's word characters, exclamation marks included
     bars: int = 3
     short_chars: int = 24
+    stock_percent: int = 5  # of a line's characters that its stock phrases must make up, each counted once
     keep_percent: int = 50
     min_words: int = 20
     repeat_percent: int = 30
@@ -59,13 +60,16 @@ def signs_of(text: Column, signs: str) -> Column:
 def judged_line(line: Column, boilerplate: Column, p: Params) -> Column:
     """The line, and whether it fails; ``boilerplate``: whether the text has a stock phrase at all."""
     bare = F.regexp_replace(line, r"[\x20\x09-\x0D]+", "")
-    made = F.transform(F.array(F.struct(F.char_length(bare).alias("chars"), signs_of(line, SYMBOLS + "!").alias("signs"))), lambda s: (
+    known = F.array(*(F.struct(F.lit(x).alias("phrase"), F.lit(len(x.replace(" ", ""))).alias("size")) for x in PHRASES))
+    stock = F.aggregate(known, F.lit(0), lambda n, x: n + F.when(F.contains(F.lower(line), x["phrase"]), x["size"]).otherwise(0))
+    stock = F.when(boilerplate, stock).otherwise(0)
+    made = F.transform(F.array(F.struct(F.char_length(bare).alias("chars"), signs_of(line, SYMBOLS + "!").alias("signs"), stock.alias("stock"))), lambda s: (
         (100 * F.char_length(s["signs"]) > p.symbol_percent * s["chars"])
         | (F.char_length(signs_of(s["signs"], "|")) >= p.bars)
         | ((s["chars"] <= p.short_chars) & ~F.right(F.rtrim(line, F.lit(SPACES + "\"')]")), F.lit(1)).isin(*".!?:;,"))
+        | (boilerplate & (s["stock"] > 0) & (100 * s["stock"] >= p.stock_percent * s["chars"]))
     ))[0]
-    stock = F.exists(F.array(*map(F.lit, PHRASES)), lambda phrase: F.contains(F.lower(line), phrase))
-    return F.struct(line.alias("line"), (made | (boilerplate & stock)).alias("fails"))
+    return F.struct(line.alias("line"), made.alias("fails"))
 
 
 def judged(docs: DataFrame, p: Params = Params()) -> DataFrame:
@@ -116,7 +120,7 @@ def judged(docs: DataFrame, p: Params = Params()) -> DataFrame:
 def oracle() -> str:
     """The query's SQL for DuckDB, written from the rules above and independent of the plan."""
     ws = r"[\x20\x09-\x0D]"
-    phrases = " OR ".join(f"contains(lower(line), '{x}')" for x in PHRASES)
+    stock = " + ".join(f"CASE WHEN contains(lower(line), '{x}') THEN {len(x.replace(' ', ''))} ELSE 0 END" for x in PHRASES)
     bare = lambda x: f"regexp_replace({x}, '{ws}', '', 'g')"
     return rf"""
 WITH docs AS (
@@ -134,7 +138,7 @@ WITH docs AS (
   WHERE NOT (100 * length(regexp_replace(line, '[^#*$%&|<>!]', '', 'g')) > 10 * chars
     OR length(regexp_replace(line, '[^|]', '', 'g')) >= 3
     OR (chars <= 24 AND NOT regexp_matches(line, '[.!?:;,][\x20\x09-\x0D"'')\]]*$'))
-    OR {phrases})
+    OR ({stock} > 0 AND 100 * ({stock}) >= 5 * chars))
   GROUP BY rid
 ), windows AS (
   SELECT rid, unnest(list_transform(range(1, len(w) - 6), lambda i: w[i:i + 7])) AS win, unnest(range(1, len(w) - 6)) AS pos
