@@ -11,10 +11,10 @@ attribute, ``display:none``, ``visibility:hidden``, hidden inputs, ``noframes``
 ``metadata`` of ``svg`` and its characters outside ``text``, ``title`` and ``foreignObject``), folds white space except in ``pre``, starts
 blocks on lines of their own with an empty line around paragraphs, headings, lists, tables and quotes, marks and
 indents list items, numbers ordered ones and pads table cells so that columns line up. Tokens of a formula and
-labels of a drawing are set apart by blanks; text in ``defs`` and ``symbol`` is rendered once, where it stands.
-
-An exception: the options of ``select`` and ``datalist`` are left out, also those that a page would show; they are
-the values of a control.
+labels of a drawing are set apart by blanks, and so are the options of a ``select``, all of which are rendered with
+the labels of their groups (a control shows them when it is opened; those of a ``datalist`` are suggestions and left
+out); text in ``defs`` and ``symbol`` is rendered once, where it stands. A cell spans 1,000 columns at most, as
+in the standard.
 
 Defined results: a null page is empty and gives an empty text; a page without tags is its text; unknown tags are
 inline; tags without an end run to the end of the page; repeated rows are rendered each; columns other than the
@@ -37,7 +37,7 @@ from strata.llm.common import column_bytes, in_arrow
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes".split())
 ESCAPABLE_RAW = frozenset("textarea title".split())
-UNSEEN = frozenset("head script style template title noframes noembed iframe datalist object audio video canvas select".split())
+UNSEEN = frozenset("head script style template title noframes noembed iframe datalist object audio video canvas".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table ul".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu dir pre blockquote table hr figure fieldset".split())
 CLOSES_P = BLOCKS - frozenset("body html dd dt li legend".split())
@@ -176,6 +176,10 @@ class Renderer:
                 flow.gap = True
             self.token |= tag in TOKENS
             return False
+        if tag in ("select", "optgroup", "option"):
+            flow.gap = True
+            if tag == "optgroup" and attributes.get("label"):
+                self.text(attributes["label"] + " ")
         if tag in BLOCKS:
             flow.block(tag in SPACED and not (tag in ("ul", "ol", "menu", "dir") and self.lists))
         if tag in ("ul", "ol", "menu", "dir"):
@@ -226,8 +230,10 @@ class Renderer:
             span = attributes.get("colspan", "1")
             if not table.rows:
                 table.rows.append([])
-            table.rows[-1].append((lines, min(max(int(span), 1), 100) if re.fullmatch(r"\d{1,6}", span) else 1))
+            table.rows[-1].append((lines, min(max(int(span), 1), 1000) if re.fullmatch(r"\d{1,6}", span) else 1))
             return
+        if tag in ("select", "optgroup", "option"):
+            flow.gap = True
         if tag in BLOCKS:
             flow.block(tag in SPACED and not (tag in ("ul", "ol", "menu", "dir") and len(self.lists) > 1))
         if tag in ("ul", "ol", "menu", "dir") and self.lists:

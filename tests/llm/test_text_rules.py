@@ -153,7 +153,8 @@ PAGES = {
     "<pre> a\n  b</pre>": " a\n  b",
     "<head><title>t</title></head><script>var x='</p>'</script><style>p{}</style>v": "v",
     "a<span hidden>no</span><i style='display: none'>no<b>no</b></i><!-- no -->b": "ab",
-    "<select><option>one</select><template>no</template>z": "z",
+    "a<select><option>one<option>two</select><template>no</template>z": "a one two z",
+    "<label>pick<select><optgroup label='big ones'><option selected>x</option><option hidden>y</option></select></label> <datalist><option>no</datalist>end": "pick big ones x end",
     "<dl><dt>T<dd>D<dt>U<dd>V</dl>": "T\n  D\nU\n  V",
     "x</p></div></b>y": "x\n\ny",
     "1 < 2 & 3 > 2": "1 < 2 & 3 > 2",
@@ -229,3 +230,12 @@ def test_a_tag_ends_at_its_own_end():
         "<a href='x": "<a href='x",
     }.items():
         assert html_layout.render(page) == text, (page, html_layout.render(page))
+
+
+def test_a_stock_phrase_in_prose_does_not_cost_the_line(spark):
+    """A phrase fails a line that it makes up a stated share of, not a long line of prose that holds it once."""
+    prose = " ".join(f"word{k} of a long paragraph" for k in range(60))
+    texts = [prose + " where javascript and a cookie are named once.", "Please accept our cookie policy.", prose + ".\nThis site uses cookies, see our privacy policy and the terms of use."]
+    rows = line_rules.judged(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r["clean_text"] for r in rows] == [texts[0], "", prose + "."]
+    assert [r["kept"] for r in rows] == [True, False, True]
