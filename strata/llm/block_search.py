@@ -46,7 +46,7 @@ def tiles(vectors: DataFrame, size: int) -> DataFrame:
     """Rows of up to ``size`` usable vectors of one dimension: ids, doubles, int8 codes and scales."""
 
     def pack(number: int, ids: list[int], v: np.ndarray) -> dict:
-        scale = np.abs(v).max(axis=1) / 127
+        scale = np.maximum(np.abs(v).max(axis=1) / 127, 5e-324)  # the least positive number, where a 127th is none
         codes = np.rint(v / scale[:, None]).astype(np.int8)
         return {"tile": (TaskContext.get().partitionId() << 32) + number, "dim": v.shape[1], "n": len(v), "ids": np.array(ids, "<i8").tobytes(), "vectors": v.astype("<f8").tobytes(), "codes": codes.tobytes(), "scales": scale.astype("<f8").tobytes()}
 
@@ -59,7 +59,7 @@ def tiles(vectors: DataFrame, size: int) -> DataFrame:
             values = lists.values.to_numpy(zero_copy_only=False).astype(float)  # null components become NaN
             for i, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
                 v = values[a:b]
-                if ids[i] is None or b == a or not np.isfinite(v).all() or not v.any() or np.abs(v).max() / 127 == 0:
+                if ids[i] is None or b == a or not np.isfinite(v).all() or not v.any():
                     continue
                 held = waiting.setdefault(b - a, ([], []))
                 held[0].append(ids[i])
@@ -100,15 +100,17 @@ def survivors(q: Tile, c: Tile, known: np.ndarray, k: int) -> tuple[np.ndarray,
     scale = q.scales[:, None] * c.scales[None, :]
     error = scale * ((q.sums[:, None] + c.sums[None, :]) / 2 + d / 4)
     product *= scale
-    error += 1e-9 * (np.abs(product) + error)  # rounding of this arithmetic and of the double sums
+    error += 1e-9 * (np.abs(product) + error) + 1e-300  # rounding of this arithmetic, also near zero, and of the double sums
     lower, upper = product - error, product + error
-    own = np.nonzero(np.isin(c.ids, q.ids))[0]
-    for j in own:
-        mine = q.ids == c.ids[j]
-        lower[mine, j] = upper[mine, j] = -np.inf
+    beyond = ~(np.isfinite(lower) & np.isfinite(upper))  # no bound holds: such pairs are recomputed
+    lower[beyond], upper[beyond] = -np.inf, np.inf
+    own = np.zeros(product.shape, bool)
+    for j in np.nonzero(np.isin(c.ids, q.ids))[0]:
+        own[q.ids == c.ids[j], j] = True
+    lower[own] = -np.inf
     if lower.shape[1] >= k:
         known = np.maximum(known, -np.partition(-lower, k - 1, axis=1)[:, k - 1])
-    return np.nonzero((upper >= known[:, None]) & np.isfinite(upper))
+    return np.nonzero((upper >= known[:, None]) & ~own)
 
 
 def search(vectors: DataFrame, is_query: Column, p: Params = Params()) -> DataFrame:
@@ -143,6 +145,8 @@ def search(vectors: DataFrame, is_query: Column, p: Params = Params()) -> DataFr
             exact = np.einsum("ij,ij->i", part.vectors[a], c.vectors[b])
             for x, s, i in zip((a + lo).tolist(), exact.tolist(), c.ids[b].tolist(), strict=True):
                 h = heaps[x]
+                if s != s:  # infinities of both signs: no product to rank
+                    continue
                 if len(h) < p.k:
                     heapq.heappush(h, (s, -i))
                 elif (s, -i) > h[0]:

@@ -53,6 +53,21 @@ def test_search_of_odd_rows(spark):
     assert block_search.search(vectors(spark, []), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_search_of_extreme_vectors(spark):
+    """Finite doubles whose products overflow, or whose parts are the least there are, are found like any other."""
+    rows = [(0, [1e200, 1e200]), (1, [1e200, 1e150]), (2, [5e-324, 0.0]), (3, [1e-320, -1e-320]), (4, [-1e308, 1.0]), (5, [1.0, 1.0]), (20, [1e-310, 1e-310]), (40, [5e-324, 5e-324]), (6, [1e300, -1e-300])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = block_search.search(df, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()
+    want = []
+    with np.errstate(all="ignore"):
+        for i, v in rows:
+            if i % 20 == 0:
+                found = sorted((-float(np.array(v) @ np.array(w)), j) for j, w in rows if j != i)
+                want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(found)]
+    assert [tuple(r)[:3] for r in got] == [w[:3] for w in sorted(want)]
+    assert all(a["score"] == b[3] or abs(a["score"] - b[3]) <= 1e-12 * abs(b[3]) for a, b in zip(got, sorted(want), strict=True))
+
+
 def test_certified_bounds_hold():
     rng = np.random.default_rng(5)
     make = lambda n: rng.normal(size=(n, 40)) * rng.lognormal(size=(n, 1))
