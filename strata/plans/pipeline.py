@@ -17,7 +17,7 @@ lake of the last good run is read in full.
 from __future__ import annotations
 
 import datetime as dt
-import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -268,24 +268,30 @@ def run_pipeline(
     t = Tables(spark, out_root)
     counts: dict[str, int] = {}
 
-    # Bronze: one scan per entity over all batches, audit columns, overwrite.
-    for entity in ENTITY_COLUMNS:
+    # Bronze: one scan per entity over all batches, audit columns; entities side by side.
+    def bronze(entity: str) -> dict[str, int]:
         raw, rejected = bronze_source(spark, landing_root, entity, batches, landing_format)
-        bronze = files.add_bronze_audit(raw, source_system, ingestion_ts=ts)
-        counts[f"bronze.{entity}"] = sinks.write_bronze(bronze, t.target("bronze", entity))
+        rows = files.add_bronze_audit(raw, source_system, ingestion_ts=ts)
+        done = {f"bronze.{entity}": sinks.write_bronze(rows, t.target("bronze", entity))}
         if rejected is not None:
             lines = files.add_bronze_audit(rejected, source_system, ingestion_ts=ts)
-            counts[f"quarantine.{entity}_lines"] = sinks.write_quarantine(lines, t.target("quarantine", f"{entity}_lines"))
+            done[f"quarantine.{entity}_lines"] = sinks.write_quarantine(lines, t.target("quarantine", f"{entity}_lines"))
+        return done
 
     # Silver: typed + deduplicated, evaluated and written once per entity;
     # the clean table and the quarantine are the two partitions of that write.
-    for entity, spec in entity_specs().items():
+    def silver(entity: str) -> dict[str, int]:
+        spec, name = entity_specs()[entity], SILVER_NAME[entity]
         typed = C.standardise(t.raw(entity), spec)
         deduped = C.dedup_latest(typed, spec.keys, spec.order_col, spec.tie_break)
-        split = sinks.write_split(deduped, spec.rules, spec.reason, t.target("silver", SILVER_NAME[entity]), ts)
-        t.splits[entity] = split
-        counts[f"silver.{SILVER_NAME[entity]}"] = t.observed[f"silver.{SILVER_NAME[entity]}.rows"] = split.valid_rows
-        counts[f"quarantine.{entity}"] = split.quarantined_rows
+        split = t.splits[entity] = sinks.write_split(deduped, spec.rules, spec.reason, t.target("silver", name), ts)
+        t.observed[f"silver.{name}.rows"] = split.valid_rows
+        return {f"silver.{name}": split.valid_rows, f"quarantine.{entity}": split.quarantined_rows}
+
+    for step, entities in ((bronze, ENTITY_COLUMNS), (silver, SILVER_NAME)):
+        with ThreadPoolExecutor(len(entities)) as pool:  # a write of one table leaves most of a cluster idle
+            for done in pool.map(step, entities):
+                counts.update(done)
 
     # Customer history: quarantine before dedup, then the window rebuild.
     feed, bad_feed = H.prepare_feed(t.raw("customers"), quarantine_ts=ts)

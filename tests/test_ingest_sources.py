@@ -235,7 +235,7 @@ def test_run_ingestion_first_repeat_new_and_failed(spark, tmp_path):
     c3, _ = I.run_ingestion(spark, c2, {"orders": more, "items": items}, landing, "2024-01-05", "2024-01-05 01:00:00")
     landed = files.read_partitions(spark, f"{landing}/orders")
     got = {r.batch_id: r.n for r in landed.groupBy("batch_id").agg(F.count("*").alias("n")).collect()}
-    assert got == {"load_date=2024-01-03": 2, "load_date=2024-01-05": 1}
+    assert got == {"load_date=2024-01-03/run_id=r20240103010000": 2, "load_date=2024-01-05/run_id=r20240105010000": 1}
     # a failed copy keeps its mark and does not stop the other entity
     broken = spark.createDataFrame([("x", D(2024, 1, 9))], "id string, ts timestamp_ntz").select(
         F.col("id").cast("int").alias("id"), "ts")  # ANSI cast error at run time

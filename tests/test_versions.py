@@ -105,17 +105,18 @@ def test_a_run_that_dies_after_any_write_leaves_the_old_lake(spark, tmp_path, mo
 
 
 def test_rejected_lines_are_a_table_of_the_lake(spark, tmp_path):
-    landing = tmp_path / "landing" / "b1"
-    landing.mkdir(parents=True)
-    for entity, columns in ENTITY_COLUMNS.items():
-        text = open(os.path.join(FIXTURE_LANDING, "batch_1", f"{entity}.csv")).read()
-        (landing / f"{entity}.csv").write_text(text + ("O9,too,few\n" if entity == "orders" else ""))
-    run = run_pipeline(spark, str(landing.parent), ["b1"], str(tmp_path / "lake"), dt.datetime(2024, 3, 1), "demo")
-    assert run.passed and run.counts["bronze.orders"] == 5 and run.counts["quarantine.orders_lines"] == 1
+    landing = tmp_path / "landing"
+    for batch in ("batch_1", "batch_2"):
+        (landing / batch).mkdir(parents=True)
+        for entity in ENTITY_COLUMNS:
+            text = open(os.path.join(FIXTURE_LANDING, batch, f"{entity}.csv")).read()
+            (landing / batch / f"{entity}.csv").write_text(text + ("O9,too,few\n" if (batch, entity) == ("batch_1", "orders") else ""))
+    run = run_pipeline(spark, str(landing), ["batch_1", "batch_2"], str(tmp_path / "lake"), dt.datetime(2024, 3, 1), "demo")
+    assert run.passed and run.counts["bronze.orders"] == 8 and run.counts["quarantine.orders_lines"] == 1
     line = Tables(spark, str(tmp_path / "lake")).read("quarantine", "orders_lines").first()
-    assert (line.raw_line, line.rejected_reason, line.batch_id, line.source_system) == ("O9,too,few", "column count", "b1", "demo")
-    assert "strata_q.orders_lines" not in pipeline.register_layers(spark, str(tmp_path / "lake"), "vv_")
-    assert spark.table("vv_quarantine.orders_lines").count() == 1 and spark.table("vv_bronze.orders").count() == 5
+    assert (line.raw_line, line.rejected_reason, line.batch_id, line.source_system) == ("O9,too,few", "column count", "batch_1", "demo")
+    assert "vv_quarantine.orders_lines" in pipeline.register_layers(spark, str(tmp_path / "lake"), "vv_")
+    assert spark.table("vv_quarantine.orders_lines").count() == 1 and spark.table("vv_bronze.orders").count() == 8
 
 
 def test_catalog_tables_are_replaced_without_a_gap(spark):
