@@ -5,8 +5,9 @@ once. Classes get ``bands * rows`` min-hashes; ``banding`` picks the counts for
 similarity. After the shuffle on band hashes, each bucket is compared in blocks of ``block`` members (a hot
 bucket becomes several block pairs, each its own group), on min-hash signatures with a margin of four
 standard errors, and only a spanning forest of the pairs found leaves the task. Its components are sets of
-likely partners; their full n-gram sets are fetched and *all* pairs inside are verified exactly, again in
-blocks. Nothing but counts and forests leaves a task, so a group of thousands of near copies costs no
+likely partners; their full n-gram sets are fetched and *all* pairs inside whose sizes allow the similarity are
+verified exactly, again in blocks, and range by range of the n-grams' hashes, so that what a task holds does not
+depend on the length of texts. Nothing but counts and forests leaves a task, so a group of thousands of near copies costs no
 quadratic output, and no link in it is lost.
 
 Words are runs of bytes other than ASCII white space. Defined results: a text of one to ``words - 1`` words
@@ -21,14 +22,15 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from fractions import Fraction
-from math import ceil, log1p, sqrt
+from math import ceil, log, log1p, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import SPACE, blocks, column_bytes, hashes, in_arrow, mix, runs, settled
+from strata.operators.joins import SALT, hot_keys, spread_null_keys
 
 _WORD = (~SPACE).astype(np.uint8)
 _ODD = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
@@ -42,6 +44,7 @@ class Params:
     max_hashes: int = 128
     block: int = 1024
     bitmap_log2: int = 23
+    range_grams: int = 1 << 20
 
 
 def banding(similarity: float, recall: float, max_hashes: int) -> tuple[int, int]:
@@ -121,7 +124,7 @@ def signatures(sets: list[np.ndarray], bands: int, rows: int) -> tuple[np.ndarra
 
 
 def described(docs: DataFrame, p: Params) -> DataFrame:
-    """doc_id, cls, bands, sig: one row per input row."""
+    """doc_id, cls, size, bands, sig: one row per input row."""
     bands, rows = banding(p.similarity, p.recall, p.max_hashes)
 
     def run(batches):
@@ -133,12 +136,12 @@ def described(docs: DataFrame, p: Params) -> DataFrame:
                 offsets = np.concatenate(([0], np.cumsum([bands * bool(len(s)) for s in sets]))).astype(np.int32)
                 packed = iter(sig)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, len(sets)), pa.array(names, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel())), pa.array([next(packed).tobytes() if len(s) else None for s in sets], pa.binary())],
-                    names=["doc_id", "cls", "bands", "sig"],
+                    [ids.slice(lo, len(sets)), pa.array(names, pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel())), pa.array([next(packed).tobytes() if len(s) else None for s in sets], pa.binary())],
+                    names=["doc_id", "cls", "size", "bands", "sig"],
                 )
 
     rows_ = docs.select("doc_id", "text")
-    return in_arrow(rows_, run, f"doc_id {rows_.schema['doc_id'].dataType.simpleString()}, cls binary, bands array<long>, sig binary")
+    return in_arrow(rows_, run, f"doc_id {rows_.schema['doc_id'].dataType.simpleString()}, cls binary, size long, bands array<long>, sig binary")
 
 
 def in_blocks(df: DataFrame, key: str, member: str, block: int, bins: int) -> DataFrame:
@@ -235,19 +238,35 @@ def candidate_edges(classes: DataFrame, p: Params) -> DataFrame:
     return groups.select("gid", "key", "i", "k", "far", "cls", "sig").groupBy("gid").applyInArrow(run, "a binary, b binary")
 
 
+_HOT = 1 / 64  # a key with this share of the rows, or more, is dealt to many tasks
+
+
+def hot(rows: DataFrame, key: str) -> DataFrame:
+    """The hot keys, 64 at most."""
+    return F.broadcast(hot_keys(rows, key, _HOT))
+
+
+def looked_up(rows: DataFrame, table: DataFrame, key: str, spread: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of their key's one row in ``table``; keys in ``spread``, and null, go to many tasks."""
+    f, t = spread_null_keys(rows, table.withColumnRenamed(key, "_of"), key, "_of", _HOT, 32, spread)
+    return f.join(t, (F.col(key) == F.col("_of")) & (F.col(SALT) == F.col("_v_salt")), how).drop(SALT, "_v_salt", "_of")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root: the least node reachable over the edges, for every node that has one.
 
     Each round takes the least label among neighbours, then follows it one step; rounds grow with the
-    logarithm of a component's diameter and are cut by checkpoints.
+    logarithm of a component's diameter and are cut by checkpoints. Centres of large stars, and the labels that
+    large components have come to, are spread over tasks.
     """
     both = settled(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct())
     labels = settled(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
+    centres = hot(both, "b")
     while True:
-        heard = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("heard"))
+        heard = looked_up(both, labels.withColumnRenamed("node", "b"), "b", centres).groupBy("a").agg(F.min("root").alias("heard"))
         lower = labels.join(heard, labels["node"] == heard["a"], "left").select("node", "root", F.least("root", F.coalesce("heard", "root")).alias("low"))
         step = labels.select(F.col("node").alias("low"), F.col("root").alias("next"))
-        joined = lower.join(step, "low").select("node", F.col("root").alias("was"), F.least("low", "next").alias("root"))
+        joined = looked_up(lower, step, "low", hot(labels, "root")).select("node", F.col("root").alias("was"), F.least("low", "next").alias("root"))
         joined = settled(joined)
         changed = joined.where("root <> was").limit(1).count()
         labels = joined.select("node", "root")
@@ -316,41 +335,141 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     return out.astype(np.int64)
 
 
-def verified(sets: DataFrame, groups: DataFrame, copies: DataFrame, p: Params) -> DataFrame:
-    """cls, links, peer: links of a class found in one group (documents) and its root in the group's forest."""
-    nodes = groups.join(groups.groupBy("root").agg(F.count("*").alias("n")), "root").join(copies, groups["node"] == copies["cls"]).select("cls", "root", "n", "copies")
-    total = groups.count()
+def dealt(nodes: DataFrame, p: Params) -> DataFrame:
+    """``nodes`` (cls, root, size, copies) with ``targets``: the comparisons that a class takes part in.
+
+    Sizes fall into bands of which only neighbours can reach the similarity. A band of a root is dealt into blocks
+    of about ``block / 2`` classes; a comparison (lo, hi, i, k) is block i of band lo against block k of band hi,
+    or a block with itself. It goes through the n-grams in ``ranges`` of their hashes, about ``range_grams`` in each.
+    """
+    width = max(-log(p.similarity), 1e-6) * (1 + 1e-9)  # a little wider, so that rounding loses no neighbour
+    nodes = nodes.withColumn("band", F.floor(F.log(F.col("size")) / width))
+    nodes = settled(nodes.withColumn("place", F.concat("root", F.lit(":").cast("binary"), F.col("band").cast("string").cast("binary"))))
+    bands = nodes.groupBy("root", "band", "place").agg(F.count("*").alias("n"), F.sum("size").alias("grams"))
+    bands = bands.withColumn("m", F.ceil(F.col("n") * 2 / p.block).cast("int")).withColumn("held", F.col("grams") / F.col("m"))
+    beside = bands.select("root", "band", "place", "n", "m", "held")
+    for name, step in (("up", 1), ("down", -1)):
+        other = bands.select("root", (F.col("band") - step).alias("band"), F.col("m").alias(f"m_{name}"), F.col("held").alias(f"held_{name}"))
+        beside = beside.join(other, ["root", "band"], "left")
+    b, m, band = F.pmod(F.xxhash64("cls"), F.col("m")).cast("int"), F.col("m"), F.col("band")
+
+    def targets(there: Column, lo: Column, hi: Column, count: Column, held: Column, place) -> Column:
+        ranges = F.ceil((F.col("held") + held) / p.range_grams).cast("int")
+        each = lambda j: F.struct(lo.alias("lo"), hi.alias("hi"), *(x.alias(c) for c, x in zip(("i", "k", "far"), place(j), strict=True)), ranges.alias("ranges"))
+        # a sequence that ends before it starts would run backwards, so absent neighbours get an empty array
+        return F.coalesce(F.when(there, F.transform(F.sequence(F.lit(0), count - 1), each)), F.expr("cast(array() as array<struct<lo:long,hi:long,i:int,k:int,far:boolean,ranges:int>>)"))
+
+    own = targets(F.col("n") > 1, band, band, m, F.col("held"), lambda j: (F.least(b, j), F.greatest(b, j), b > j))
+    up = targets(F.col("m_up").isNotNull(), band, band + 1, F.col("m_up"), F.col("held_up"), lambda j: (b, j, F.lit(False)))
+    down = targets(F.col("m_down").isNotNull(), band - 1, band, F.col("m_down"), F.col("held_down"), lambda j: (j, b, F.lit(True)))
+    return looked_up(nodes, beside.drop("root", "band"), "place", hot(nodes, "place")).select("cls", "root", "size", "copies", F.concat(own, up, down).alias("targets")).where(F.size("targets") > 0)
+
+
+_TARGET = ("root", "lo", "hi", "i", "k")
+_MEMBER = ("at", "far", "cls", "size", "copies", "grams")
+
+
+def sent(rows: DataFrame, p: Params) -> DataFrame:
+    """The classes' n-grams, a row for each comparison and range of hashes; each class has a row in range 0."""
+    kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
+
+    def run(batches):
+        out, held = [], 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                grams_ = np.frombuffer(row["grams"], np.uint64)
+                for t in row["targets"]:
+                    n = t["ranges"]
+                    borders = np.array([(k << 64) // n for k in range(1, n)], np.uint64)
+                    bounds = [0, *np.searchsorted(grams_, borders).tolist(), len(grams_)]
+                    for at, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+                        if hi > lo or not at:
+                            out.append((row["root"], t["lo"], t["hi"], t["i"], t["k"], at, t["far"], row["cls"], row["size"], row["copies"], grams_[lo:hi].tobytes()))
+                            held += 8 * (hi - lo) + 100
+                        if held > 8 << 20:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, t_) for c, t_ in zip(zip(*out, strict=True), kinds, strict=True)], names=[*_TARGET, *_MEMBER])
+                            out, held = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t_) for c, t_ in zip(zip(*out, strict=True), kinds, strict=True)], names=[*_TARGET, *_MEMBER])
+
+    return in_arrow(rows, run, "root binary, lo long, hi long, i int, k int, at int, far boolean, cls binary, size long, copies long, grams binary")
+
+
+class Comparison:
+    """One block of classes with itself, or two with each other: intersections are added up range by range."""
+
+    def __init__(self, itself: bool):
+        self.itself, self.at = itself, 0
+        self.cls, self.far, self.size, self.copies = [], [], [], []
+        self.row: dict[bytes, int] = {}
+        self.held: dict[int, np.ndarray] = {}
+        self.common = None
+
+    def add(self, at: int, far: bool, cls: bytes, size: int, copies: int, data: bytes) -> None:
+        if at != self.at:
+            self.add_up()
+            self.at = at
+        if not at and cls not in self.row:
+            self.row[cls] = len(self.cls)
+            for column, x in ((self.cls, cls), (self.far, far), (self.size, size), (self.copies, copies)):
+                column.append(x)
+        self.held[self.row[cls]] = np.frombuffer(data, np.uint64)
+
+    def add_up(self) -> None:
+        if self.common is None:  # range 0 names all classes
+            far = np.array(self.far)
+            self.left, self.right = (np.arange(len(far)),) * 2 if self.itself else (np.flatnonzero(~far), np.flatnonzero(far))
+            self.common = np.zeros((len(self.left), len(self.right)), np.int64)
+        x, y = ([k for k, row in enumerate(side) if len(self.held.get(row, ()))] for side in (self.left, self.right))
+        if x and y:
+            self.common[np.ix_(x, y)] += shared_counts([self.held[self.left[k]] for k in x], [self.held[self.right[k]] for k in y])
+        self.held = {}
+
+    def links(self, share: Fraction) -> Iterator[tuple[bytes, int, bytes]]:
+        """Each linked class, the documents it links to, and the root of its part of the linked ones."""
+        self.add_up()
+        size, weight = np.array(self.size), np.array(self.copies)
+        union = size[self.left][:, None] + size[self.right][None, :] - self.common
+        linked = self.common * share.denominator >= union * share.numerator
+        if self.itself:
+            np.fill_diagonal(linked, False)
+        count = np.zeros(len(size), np.int64)
+        count[self.left] += linked @ weight[self.right]
+        if not self.itself:
+            count[self.right] += weight[self.left] @ linked
+        a, b = np.nonzero(linked)
+        label = roots(len(size), self.left[a], self.right[b])
+        for x in np.flatnonzero(count).tolist():
+            yield self.cls[x], int(count[x]), self.cls[label[x]]
+
+
+def verified(sets: DataFrame, groups: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
+    """cls, links, peer: links of a class found in one comparison (documents) and its root in that forest.
+
+    A task streams through its comparisons in order and holds one range of one comparison, whatever the texts' lengths.
+    """
     share = Fraction(str(p.similarity))
-    dealt = in_blocks(sets.join(nodes, "cls"), "root", "cls", p.block // 2, max(16, total >> 10))
+    nodes = groups.join(classes, groups["node"] == classes["cls"]).select("cls", "root", "size", "copies")
+    rows = sets.join(dealt(nodes, p), "cls").select("cls", "root", "size", "copies", "grams", "targets")
 
-    def run(table: pa.Table) -> pa.Table:
-        cls, root, far = table["cls"].to_pylist(), np.array([hash(x) for x in table["root"].to_pylist()]), table["far"].to_numpy(zero_copy_only=False)
-        grams_ = [np.frombuffer(x, np.uint64) for x in table["grams"].to_pylist()]
-        weight = table["copies"].to_numpy()
-        order, bounds = spans(root, table["i"].to_numpy(), table["k"].to_numpy())
-        links, ea, eb = np.zeros(len(cls), np.int64), [], []
-        for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-            rows = order[lo:hi]
-            cross = far[rows].any()
-            left, right = (rows[~far[rows]], rows[far[rows]]) if cross else (rows, rows)
-            if not len(left) or not len(right):
-                continue
-            common = shared_counts([grams_[x] for x in left], [grams_[x] for x in right])
-            union = np.array([len(grams_[x]) for x in left])[:, None] + np.array([len(grams_[x]) for x in right])[None, :] - common
-            linked = common * share.denominator >= union * share.numerator
-            if not cross:
-                np.fill_diagonal(linked, False)
-            links[left] += linked @ weight[right]
-            if cross:
-                links[right] += weight[left] @ linked
-            a, b = np.nonzero(linked)
-            ea.append(left[a])
-            eb.append(right[b])
-        label = roots(len(cls), np.concatenate(ea), np.concatenate(eb)) if ea else np.arange(len(cls))
-        some = np.flatnonzero(links)
-        return pa.table({"cls": pa.array([cls[x] for x in some], pa.binary()), "links": pa.array(links[some]), "peer": pa.array([cls[label[x]] for x in some], pa.binary())})
-
-    return dealt.select("gid", "root", "i", "k", "far", "cls", "copies", "grams").groupBy("gid").applyInArrow(run, "cls binary, links long, peer binary")
+    def run(batches):
+        now = work = None
+        for batch in batches:
+            out = []
+            for row in zip(*(batch.column(c).to_pylist() for c in (*_TARGET, *_MEMBER)), strict=True):
+                if row[:5] != now:
+                    out += work.links(share) if work else ()
+                    now, work = row[:5], Comparison(row[1] == row[2] and row[3] == row[4])
+                work.add(*row[5:])
+            yield found(out)
+        if work:
+            yield found(list(work.links(share)))
+
+    def found(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.binary(), pa.int64(), pa.binary()))], names=["cls", "links", "peer"])
+
+    streamed = sent(rows, p).repartition(*_TARGET).sortWithinPartitions(*_TARGET, "at")
+    return in_arrow(streamed, run, "cls binary, links long, peer binary")
 
 
 def classes_of(docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
@@ -359,9 +478,9 @@ def classes_of(docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
     ``text_class`` is the least id of the class, ``class_id`` that of its connected group.
     """
     rows = settled(described(docs, p))
-    classes = settled(rows.where("cls is not null").groupBy("cls").agg(F.count("*").alias("copies"), F.min("doc_id").alias("text_class"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
+    classes = settled(rows.where("cls is not null").groupBy("cls").agg(F.count("*").alias("copies"), F.min("doc_id").alias("text_class"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
     likely = components(candidate_edges(classes, p))
-    found = settled(verified(gram_sets(docs, likely, p), likely, classes.select("cls", "copies"), p))
+    found = settled(verified(gram_sets(docs, likely, p), likely, classes.select("cls", "size", "copies"), p))
     groups = components(found.where("cls <> peer").select(F.col("cls").alias("a"), F.col("peer").alias("b")))
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
     table = (
@@ -371,7 +490,7 @@ def classes_of(docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
         .select("cls", "copies", "text_class", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "cls").alias("group"))
     )
     ids = table.groupBy("group").agg(F.min("text_class").alias("class_id"))
-    return rows.select("doc_id", "cls"), table.join(ids, "group")
+    return rows.select("doc_id", "cls"), looked_up(table, ids, "group", hot(groups, "root"))
 
 
 def join(docs: DataFrame, p: Params = Params()) -> DataFrame:
@@ -380,7 +499,7 @@ def join(docs: DataFrame, p: Params = Params()) -> DataFrame:
     ``n_links`` counts the other rows whose n-gram sets reach the similarity, copies included.
     """
     rows, table = classes_of(docs, p)
-    return rows.join(table, "cls", "left").select(
+    return looked_up(rows, table, "cls", hot(rows, "cls"), "left").select(
         "doc_id",
         F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("text_class", "doc_id").alias("text_class"),
@@ -396,7 +515,7 @@ def one_of_each(docs: DataFrame, p: Params = Params()) -> DataFrame:
     rows, table = classes_of(docs, p)
     key = lambda name: F.concat(F.col(name), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary"))
     least = F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "cls")).alias("least")
-    keep = rows.join(table.select("cls", "group"), "cls").groupBy("group").agg(least).select("least.*").select(key("cls").alias("_key"), F.lit(True).alias("_keep"))
+    keep = looked_up(rows, table.select("cls", "group"), "cls", hot(rows, "cls")).groupBy("group").agg(least).select("least.*").select(key("cls").alias("_key"), F.lit(True).alias("_keep"))
     names = docs.columns
     plain = docs.select(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)), "doc_id", "text")
     schema = plain.drop("text").schema.add("_cls", "binary")
@@ -410,5 +529,5 @@ def one_of_each(docs: DataFrame, p: Params = Params()) -> DataFrame:
     marked = in_arrow(plain, run, schema).withColumn(
         "_key", F.coalesce(key("_cls"), F.concat(F.lit("empty "), F.monotonically_increasing_id().cast("string")).cast("binary"))
     )
-    kept = marked.join(keep, "_key", "left").where("_keep or _cls is null").dropDuplicates(["_key"])
+    kept = looked_up(marked, keep, "_key", hot(rows.select(key("cls").alias("_key")), "_key"), "left").where("_keep or _cls is null").dropDuplicates(["_key"])
     return kept.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(names)))

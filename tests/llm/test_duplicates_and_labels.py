@@ -57,7 +57,7 @@ def near_copies(seed=1):
     return rows + [(n + k, rows[k][1]) for k in range(20)]
 
 
-@pytest.mark.parametrize("p", [ngram_join.Params(), ngram_join.Params(block=8, bitmap_log2=6)])
+@pytest.mark.parametrize("p", [ngram_join.Params(), ngram_join.Params(block=8, bitmap_log2=6), ngram_join.Params(block=16, range_grams=48)])
 def test_join_equals_all_pairs(spark, p):
     rows = TEXTS + near_copies()
     links, group = brute(rows)
@@ -82,6 +82,39 @@ def test_join_on_the_small_table(spark):
     assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in queries.op4_ngram_join(spark, SMALL).collect()} == want
 
 
+def test_what_a_task_holds_does_not_grow_with_texts(spark):
+    """Comparisons go range by range; only sizes that may reach the similarity are compared, and all of those."""
+    p = ngram_join.Params(range_grams=1000)
+    rng = np.random.default_rng(4)
+    sets = {b"%03d" % k: np.unique(rng.integers(0, 1 << 64, n, np.uint64)) for k, n in enumerate([40, 50, 51, 63, 64, 4000, 5000, 5001, 5002, 90_000])}
+    nodes = spark.createDataFrame([(c, b"r", len(s), 1) for c, s in sets.items()], "cls binary, root binary, size long, copies long")
+    grams = spark.createDataFrame([(c, s.tobytes()) for c, s in sets.items()], "cls binary, grams binary")
+    rows = ngram_join.sent(grams.join(ngram_join.dealt(nodes, p), "cls"), p).collect()
+    held, met = Counter(), {}
+    for r in rows:
+        target = tuple(r[c] for c in ("lo", "hi", "i", "k"))
+        held[target, r["at"]] += len(r["grams"]) // 8
+        met.setdefault(target, {False: set(), True: set()})[r["far"]].add(bytes(r["cls"]))
+    assert max(held.values()) <= 2 * p.range_grams
+    pairs = Counter()
+    for (lo, hi, i, k), sides in met.items():
+        itself = lo == hi and i == k
+        pairs.update((min(a, b), max(a, b)) for a in sides[False] for b in (sides[False] if itself else sides[True]) if not itself or a < b)
+    assert set(pairs.values()) == {1}
+    near = {(a, b) for a in sets for b in sets if a < b and 5 * min(len(sets[a]), len(sets[b])) >= 4 * max(len(sets[a]), len(sets[b]))}
+    assert near <= set(pairs) and (b"000", b"009") not in pairs
+
+
+def test_a_star_and_repeats_are_spread(spark):
+    edges = spark.createDataFrame([(f"{k:05d}".encode(), b"00000") for k in range(1, 3000)] + [(b"a", b"b"), (b"b", b"c")], "a binary, b binary")
+    got = {bytes(r["node"]): bytes(r["root"]) for r in ngram_join.components(edges).collect()}
+    assert len(got) == 3003 and {v for k, v in got.items() if k[:1] == b"0"} == {b"00000"} and got[b"c"] == b"a"
+    rows = [(7, "the same few words in every row of them")] * 500 + [(k, "") for k in range(300)] + [(9000, "another text that stands quite alone here")]
+    docs = odd_docs(spark, rows)
+    assert sorted(r["n_links"] for r in ngram_join.join(docs).collect()) == [0] * 301 + [499] * 500
+    assert sorted(r["doc_id"] for r in ngram_join.one_of_each(docs).collect()) == sorted([7, *range(300), 9000])
+
+
 def test_one_of_each_group_stays(spark):
     rows = TEXTS + near_copies()
     docs = odd_docs(spark, rows)
