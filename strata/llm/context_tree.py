@@ -13,8 +13,9 @@ How it is dealt out. Texts are packed into chunks of about ``chunk_bytes``. A ch
 sequences (context and byte) and word hashes it holds, with their training counts; requests are added up per
 bucket, in a tree of bounded fan-in. A bucket holds whole subtrees below three context bytes (at most 2**24
 entries each, whatever the corpus), so it computes depths 5 to 3 itself and its share of the sums for depth 2;
-depths 2 to 0 have at most 2**24 entries in all, are added up in a tree too, and are broadcast. The buckets then
-answer the requests, and each chunk scores its texts. Only distinct sequences move, and texts once, compressed.
+depths 2 to 0 have at most 2**24 entries in all, are added up in a tree too, and are broadcast. The answers then
+go down the tree by which the requests came up, each node getting what it asked for, and each chunk scores its
+texts. Only distinct sequences move, and texts once, compressed.
 
 Defined results: a null text is empty and only its end is coded; a null id counts as remainder 0 (training);
 repeated rows count and are scored each; columns other than ``doc_id`` and ``text`` are not read. Words are told
@@ -214,20 +215,44 @@ def requests(chunks: DataFrame, buckets: int, p: Params) -> DataFrame:
     return in_arrow(chunks, run, "kind string, bucket int, chunk long, keys binary, counts binary")
 
 
-def merged(asked: DataFrame, groups: int, p: Params) -> DataFrame:
-    """kind, bucket, keys, counts: one row per bucket, added up ``fan_in`` rows at a time."""
+def merged(asked: DataFrame, groups: int, p: Params) -> list[DataFrame]:
+    """kind, bucket, g, keys, counts: a table per level, from one row per group and bucket to one per bucket.
+
+    A row is the sum of the ``fan_in`` rows of the level below whose g, divided by ``fan_in``, is its own.
+    """
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         k, n = added([unpacked(x, np.uint64) for x in table["keys"].to_pylist()], [unpacked(x, np.int64) for x in table["counts"].to_pylist()])
         return pa.table({"kind": pa.array([key[0].as_py()]), "bucket": pa.array([key[1].as_py()], pa.int32()), "g": pa.array([key[2].as_py()], pa.int64()), "keys": pa.array([packed(k)], pa.binary()), "counts": pa.array([packed(n)], pa.binary())})
 
-    out = asked.drop("chunk")
+    levels, below = [], asked.drop("chunk")
     while True:
-        out = out.groupBy("kind", "bucket", "g").applyInArrow(run, "kind string, bucket int, g long, keys binary, counts binary")
+        levels.append(settled(below.groupBy("kind", "bucket", "g").applyInArrow(run, "kind string, bucket int, g long, keys binary, counts binary")))
         if groups == 1:
-            return out.drop("g")
+            return levels
         groups = -(-groups // p.fan_in)
-        out = out.withColumn("g", F.floor(F.col("g") / p.fan_in))
+        below = levels[-1].withColumn("g", F.floor(F.col("g") / p.fan_in))
+
+
+def answered(levels: list[DataFrame], known: DataFrame, p: Params) -> DataFrame:
+    """kind, bucket, at, keys, vals: ``known`` values handed down the tree by which the requests came up.
+
+    ``levels`` starts with the requests (their own ``at`` and the g of the first level). A row gets the values of
+    the keys it asked for and no others, so what moves is what was asked, at any number of groups.
+    """
+
+    def answer(key: tuple[pa.Scalar, ...], wanted: pa.Table, have: pa.Table) -> pa.Table:
+        kind = np.int64 if key[0].as_py() == "w" else np.float32
+        keys, vals = (unpacked(have[c][0].as_py(), t) for c, t in (("keys", np.uint64), ("vals", kind))) if have.num_rows else (np.zeros(0, np.uint64), np.zeros(0, kind))
+        found = [packed(vals[np.searchsorted(keys, unpacked(x, np.uint64))]) for x in wanted["keys"].to_pylist()]
+        return pa.table({"kind": wanted["kind"], "bucket": wanted["bucket"], "at": wanted["at"], "keys": wanted["keys"], "vals": pa.array(found, pa.binary())})
+
+    wants = [levels[0].select("kind", "bucket", "g", "at", "keys")]
+    wants += [level.select("kind", "bucket", F.floor(F.col("g") / p.fan_in).alias("g"), F.col("g").alias("at"), "keys") for level in levels[1:-1]]
+    by = ("kind", "bucket", "g")
+    for want in reversed(wants):
+        known = want.groupBy(*by).cogroup(known.withColumnRenamed("at", "g").groupBy(*by)).applyInArrow(answer, "kind string, bucket int, at long, keys binary, vals binary")
+    return known
 
 
 # -- the tree --------------------------------------------------------------------------------------------------
@@ -393,7 +418,8 @@ def score(docs: DataFrame, held_out: Column, p: Params = Params()) -> DataFrame:
     count, train = size["n"], size["train"] or 0
     groups, buckets = max(1, -(-count // p.fan_in)), min(p.most_buckets, max(12, count))
     asked = settled(requests(chunks, buckets, p).withColumn("g", F.pmod(F.xxhash64("chunk"), F.lit(groups).cast("long"))))
-    sums = settled(merged(asked, groups, p))
+    levels = merged(asked, groups, p)
+    sums = levels[-1].drop("g")
     top, tokens, distinct = top_of(sums, buckets, p)
     shared = docs.sparkSession.sparkContext.broadcast(top)
     total, kinds = tokens + train, distinct + (train > 0)
@@ -405,15 +431,8 @@ def score(docs: DataFrame, held_out: Column, p: Params = Params()) -> DataFrame:
                 values = n if row["kind"] == "w" else shared.value.log10(k, n).astype(np.float32) if len(k) else np.zeros(0, np.float32)
                 yield pa.RecordBatch.from_arrays([pa.array([row["kind"]]), pa.array([row["bucket"]], pa.int32()), pa.array([row["keys"]], pa.binary()), pa.array([packed(values)], pa.binary())], names=["kind", "bucket", "keys", "vals"])
 
-    def answer(key: tuple[pa.Scalar, ...], wanted: pa.Table, have: pa.Table) -> pa.Table:
-        kind = np.int64 if key[0].as_py() == "w" else np.float32
-        keys, vals = (unpacked(have[c][0].as_py(), t) for c, t in (("keys", np.uint64), ("vals", kind))) if have.num_rows else (np.zeros(0, np.uint64), np.zeros(0, kind))
-        found = [packed(vals[np.searchsorted(keys, unpacked(x, np.uint64))]) for x in wanted["keys"].to_pylist()]
-        return pa.table({"chunk": wanted["chunk"], "kind": pa.array([key[0].as_py()] * len(found), pa.string()), "keys": wanted["keys"], "vals": pa.array(found, pa.binary())})
-
-    by = ("kind", "bucket", "g")
-    known = in_arrow(sums, model, "kind string, bucket int, keys binary, vals binary").withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
-    answers = asked.groupBy(*by).cogroup(known.groupBy(*by)).applyInArrow(answer, "chunk long, kind string, keys binary, vals binary")
+    known = in_arrow(sums, model, "kind string, bucket int, keys binary, vals binary").withColumn("at", F.lit(0).cast("long"))
+    answers = answered([asked.withColumnRenamed("chunk", "at"), *levels], known, p).withColumnRenamed("at", "chunk")
     end_known, end_score = int(train > 0), log10((train + 0.5) / (total + 0.5 * (kinds + 1)))
 
     def scored(key: tuple[pa.Scalar, ...], packs: pa.Table, answers_: pa.Table) -> pa.Table:
