@@ -274,6 +274,78 @@ def test_one_text_of_an_id_is_learned(spark, monkeypatch, module, label):
     assert texts[0] == texts[1] and len(texts[0]) == bound.count()
 
 
+def test_quality_equals_plain_pooling(spark):
+    """Word vectors, features and scores by loops over tokens, contexts and units."""
+    p = quality_net.Params(buckets_log2=7, dim=6, hidden=3)
+    rows = TEXTS + near_copies()[:25]
+    docs = odd_docs(spark, rows).repartition(3)
+    pos, sign = quality_net.index_vectors(p)
+    table = [[0.0] * p.dim for _ in range(1 << p.buckets_log2)]
+
+    def buckets(text):
+        found = re.findall(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^A-Za-z\x80-\xff0-9\x20\x09-\x0d]+", (text or "").encode())
+        return [int(hashes(np.frombuffer(t, np.uint8), np.array([0]), np.array([len(t)]))[0]) >> (64 - p.buckets_log2) for t in found]
+
+    for _, text in rows:
+        ids = buckets(text)
+        for at, word in enumerate(ids):
+            for near in (*range(max(0, at - p.window), at), *range(at + 1, min(len(ids), at + p.window + 1))):
+                for k in range(p.nonzero):
+                    table[word][pos[ids[near], k]] += sign[ids[near], k]
+    length = lambda v: math.sqrt(sum(x * x for x in v))
+    unit = [[x / length(v) for x in v] if any(v) else None for v in table]
+    some = [v for v in unit if v]
+    middle = [sum(v[d] for v in some) / len(some) for d in range(p.dim)]
+    unit = [[x - m for x, m in zip(v, middle)] if v else [0.0] * p.dim for v in unit]
+    unit = [[x / max(length(v), 1e-9) for x in v] for v in unit]
+    vectors = quality_net.word_vectors(docs, p)
+    assert np.allclose(vectors, unit, atol=1e-5)
+
+    rng = np.random.default_rng(3)
+    n = 2 * p.dim + 2
+    model = quality_net.Model(p, vectors, rng.normal(size=n), 1 + rng.random(n), rng.normal(size=(n, 3)), rng.normal(size=3), rng.normal(size=3), 0.3, 1.7)
+
+    def plain(text):
+        v = [unit[b] for b in buckets(text)]
+        mean = [sum(x[d] for x in v) / max(1, len(v)) for d in range(p.dim)]
+        spread = [math.sqrt(max(0, sum(x[d] ** 2 for x in v) / max(1, len(v)) - mean[d] ** 2)) for d in range(p.dim)]
+        x = [(f - m) / s for f, m, s in zip([*mean, *spread, length(mean), math.log1p(len(v))], model.mean, model.scale)]
+        hidden = [math.tanh(sum(x[k] * model.w1[k][j] for k in range(n)) + model.b1[j]) for j in range(3)]
+        return 1 / (1 + math.exp(-(sum(h * w for h, w in zip(hidden, model.w2)) + model.b2) / model.temperature))
+
+    key = lambda r: (-1 if r[0] is None else r[0], r[1])
+    got = sorted(((r["doc_id"], r["score"]) for r in quality_net.score(docs, model).collect()), key=key)
+    want = sorted(((i, plain(t)) for i, t in rows), key=key)
+    assert [a[0] for a in got] == [a[0] for a in want]
+    assert np.allclose([a[1] for a in got], [a[1] for a in want], atol=1e-4)
+
+
+@pytest.mark.parametrize("labelled", [False, True])
+def test_pipeline_of_odd_rows(spark, tmp_path, labelled):
+    """Null ids and texts, repeats, long texts, clashing columns and empty tables, through all stages."""
+    schema = "doc_id long, quality int, toxic int"
+    for name, rows in (("odd", TEXTS + near_copies()), ("none", [])):
+        labels = [(i, int(k % 3 > 0), int(k % 5 == 0)) for k, (i, _) in enumerate(rows)] if labelled else []
+        docs = odd_docs(spark, rows)
+        docs = docs.select(*(F.col(c).cast("string" if t == "void" else t).alias(c) for c, t in docs.dtypes))
+        sf = f"{tmp_path}/{name}"
+        docs.repartition(3).write.parquet(f"{sf}/documents.parquet")
+        spark.createDataFrame([*labels, (None, 1, None)], schema).write.parquet(f"{sf}/labels.parquet")
+        docs = read_table(spark, sf, "documents")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            assert stage(spark, docs, sf).schema == docs.schema
+        packed = corpus_pipeline.run(spark, sf).collect()
+        assert len({(r["sequence_id"], r["offset"]) for r in packed}) == len(packed)
+        if not rows:
+            assert not packed
+        elif labelled:
+            assert {r["doc_id"] for r in packed} <= {i for i, _ in rows}
+        else:  # nothing is known against any row, so one of each group and all rows without words are packed
+            groups = {g for g, (_, t) in zip(brute(rows)[1], rows) if gram_set(t)}
+            firsts = [r for r in packed if r["piece"] == 0]
+            assert len(firsts) == len(groups) + sum(not gram_set(t) for _, t in rows)
+
+
 def test_pipeline_stages(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "toxicity", "n-gram Jaccard join", "best-fit packing"]
     docs, labels = read_table(spark, SMALL, "documents"), read_table(spark, SMALL, "labels")

@@ -2,6 +2,7 @@
 
 import re
 from collections import Counter
+from html.parser import HTMLParser
 
 import duckdb
 import pandas as pd
@@ -10,6 +11,7 @@ from hypothesis import strategies as st
 from odd import TEXTS, empty_docs, odd_docs
 
 from strata.llm import html_layout, license_scan, line_rules
+from strata.llm.common import read_table
 
 PROSE = "\n".join(" ".join(f"{w}{k}" for w in "this line has plain and honest words that end as they should".split()) + "." for k in range(12))
 
@@ -239,3 +241,47 @@ def test_a_stock_phrase_in_prose_does_not_cost_the_line(spark):
     rows = line_rules.judged(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
     assert [r["clean_text"] for r in rows] == [texts[0], "", prose + "."]
     assert [r["kept"] for r in rows] == [True, False, True]
+
+
+class PlainReader(HTMLParser):
+    """The visible words of a page, without any layout: a second way to read the pages of the table."""
+
+    def __init__(self):
+        super().__init__()
+        self.out, self.unseen, self.lists = [], [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("head", "script", "style", "title", "template"):
+            self.unseen.append(tag)
+        elif tag in ("ul", "ol"):
+            self.lists.append([tag, 0])
+        if not self.unseen and tag in html_layout.BLOCKS | {"br", "td", "th", "tr"}:
+            self.out.append(" ")
+        if tag == "li" and not self.unseen:
+            kind = self.lists[-1] if self.lists else ["ul", 0]
+            kind[1] += 1
+            self.out.append(f"{kind[1]}. " if kind[0] == "ol" else "- ")
+
+    def handle_endtag(self, tag):
+        if tag in self.unseen:
+            del self.unseen[self.unseen.index(tag) :]
+        elif tag in ("ul", "ol") and self.lists:
+            self.lists.pop()
+        if not self.unseen and tag in html_layout.BLOCKS | {"td", "th", "tr"}:
+            self.out.append(" ")
+
+    def handle_data(self, data):
+        if not self.unseen:
+            self.out.append(data)
+
+
+def test_words_of_all_pages_equal_a_plain_reader(spark):
+    pages = read_table(spark, "/root/testdata/sf0.01", "pages")
+    got = {r["page_id"]: r["text"] for r in html_layout.extracted(pages).collect()}
+    rows = pages.select("page_id", "html").collect()
+    assert len(got) == len(rows) > 100
+    for r in rows:
+        reader = PlainReader()
+        reader.feed(r["html"] or "")
+        reader.close()
+        assert got[r["page_id"]].split() == "".join(reader.out).split(), r["page_id"]
