@@ -52,6 +52,8 @@ class EntitySpec:
 
 
 _CASTS = {"int": S.to_int, "double": S.to_double, "timestamp": S.to_timestamp}
+# a column of these types has no zone in its text, so it need not be written out and searched for one
+_TIMES = ("date", "timestamp", "timestamp_ntz")
 
 
 def trim_to_null(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -70,7 +72,8 @@ def standardise(df: DataFrame, spec: EntitySpec) -> DataFrame:
     for c in spec.uppers:
         exprs[c] = S.upper_trim(c)
     for c, kind in spec.casts.items():
-        exprs[c] = _CASTS[kind](c)
+        timed = kind == "timestamp" and c not in exprs and df.schema[c].dataType.typeName() in _TIMES
+        exprs[c] = F.col(c).try_cast("timestamp_ntz") if timed else _CASTS[kind](c)
     return df.withColumns(exprs) if exprs else df
 
 

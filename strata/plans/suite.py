@@ -82,29 +82,30 @@ def fact_pass(
 ) -> DataFrame:
     """All metrics of a fact from one reading of it.
 
-    Each row is counted under its own key (with the rules that it breaks), under each foreign key, and under its
-    customer version with its time. Keys are counted before they meet the dimensions, so no fact row is shuffled but for
-    its own key, and a NULL or hot key is one row per task. ``versions``: customer_sk, _cur, _cur_start.
+    Each row is counted with its own key and the rules that it breaks, under each foreign key, and under its customer
+    version with its time. Keys are counted before they meet the dimensions, so no fact row is shuffled but for its own
+    key, and a NULL or hot key is one row per task. Own keys are only told apart: one row per task goes on from them.
+    ``versions``: customer_sk, _cur, _cur_start.
     """
     asked = {k: v for k, v in keys.items() if k in want}
     broken = {k: v for k, v in rules.items() if k in want}
     none = [F.lit(0).cast("bigint")] * len(broken)
 
-    def counted(metric: str, key: Column, at: Column, flags: list[Column]) -> Column:
+    def counted(metric: str, key: Column, at: Column, own: Column, flags: list[Column]) -> Column:
         named = [x.alias(f"_r{i}") for i, x in enumerate(flags)]
-        return F.struct(F.lit(metric).alias("metric"), key.cast("string").alias("key"), at.cast("timestamp_ntz").alias("at"), *named)
+        return F.struct(F.lit(metric).alias("metric"), key.cast("string").alias("key"), at.cast("timestamp_ntz").alias("at"), own.cast("string").alias("own"), *named)
 
-    no_time = F.lit(None)
-    kinds = [counted(m, F.col(fk), no_time, none) for m, (fk, _, _) in asked.items()]
+    no = F.lit(None)
+    kinds = [counted(m, F.col(fk), no, no, none) for m, (fk, _, _) in asked.items()]
     if broken or want & {"rows", "extra_rows"}:
-        kinds.append(counted("_item", F.col(item), no_time, [F.coalesce(c, F.lit(False)).cast("bigint") for c in broken.values()]))
+        kinds.append(counted("_item", no, no, F.col(item), [F.coalesce(c, F.lit(False)).cast("bigint") for c in broken.values()]))
     known = [dim.select(F.lit(m).alias("metric"), F.col(key).cast("string").alias("key")).distinct() for m, (_, dim, key) in asked.items()]
     known = [k.withColumns({"_cur": F.lit(None).cast("int"), "_cur_start": F.lit(None).cast("timestamp_ntz")}) for k in known]
     if "version_mismatch" in want:
-        kinds.append(counted("_version", F.col("customer_sk"), F.col("order_timestamp"), none))
+        kinds.append(counted("_version", F.col("customer_sk"), F.col("order_timestamp"), no, none))
         known.append(versions.select(F.lit("_version").alias("metric"), F.col("customer_sk").alias("key"), "_cur", F.col("_cur_start").cast("timestamp_ntz").alias("_cur_start")))
     counts = fact.select(F.inline(F.array(*kinds))).groupBy("metric", "key", "at").agg(
-        F.count(F.lit(1)).alias("n"), *(F.sum(f"_r{i}").alias(f"_r{i}") for i in range(len(broken)))
+        F.count(F.lit(1)).alias("n"), F.count_distinct("own").alias("_own"), *(F.sum(f"_r{i}").alias(f"_r{i}") for i in range(len(broken)))
     )
     if known:
         met = counts.join(Q.union_all(known).withColumn("_known", F.lit(True)), ["metric", "key"], "left")
@@ -114,7 +115,7 @@ def fact_pass(
     total = lambda which: F.coalesce(F.sum(F.when(which, n)), F.lit(0))
     named = {m: total((of == m) & F.col("_known").isNull()) for m in asked}
     named |= {m: F.coalesce(F.sum(F.when(of == "_item", F.col(f"_r{i}"))), F.lit(0)) for i, m in enumerate(broken)}
-    named |= {"rows": total(of == "_item"), "extra_rows": total(of == "_item") - F.count_if((of == "_item") & F.col("key").isNotNull())}
+    named |= {"rows": total(of == "_item"), "extra_rows": total(of == "_item") - F.coalesce(F.sum(F.when(of == "_item", F.col("_own"))), F.lit(0))}
     named |= {"version_mismatch": total((of == "_version") & ((F.col("_cur") == 1) != (F.col("at") >= F.col("_cur_start"))))}
     return chosen(met, prefix, want, named)
 
@@ -173,16 +174,25 @@ def dimension_pass(df: DataFrame, name: str, key: str, want: set[str]) -> DataFr
 
 
 def items_pass(lay, want: set[str]) -> DataFrame:
-    """Silver order items: rows, repeated keys, and keys that are also quarantined."""
+    """Silver order items: rows, repeated keys, and keys that are also quarantined, from one reading of both sides."""
     items = lay.silver("order_items")
-    frames = [chosen(items, "silver.order_items_clean", want, {
-        "rows": F.count(F.lit(1)),
-        "extra_rows": F.count(F.lit(1)) - F.count_distinct("order_item_id"),
-    })] if want - {"leaked"} else []
-    if "leaked" in want:
-        bad = lay.quarantine("order_items").select("order_item_id").distinct()
-        frames.append(Q.metrics(items.join(bad, "order_item_id", "left_semi"), "silver.order_items_clean", {"leaked": F.count(F.lit(1))}))
-    return Q.union_all(frames)
+    if want == {"rows"}:
+        return chosen(items, "silver.order_items_clean", want, {"rows": F.count(F.lit(1))})
+    if "leaked" not in want:
+        keys = items.select("order_item_id", F.lit(1).alias("kept"), F.lit(False).alias("bad"))
+    elif hasattr(lay, "item_keys"):
+        keys = lay.item_keys()
+    else:  # two tables
+        keys = items.select("order_item_id", F.lit(1).alias("kept"), F.lit(False).alias("bad")).unionByName(
+            lay.quarantine("order_items").select("order_item_id", F.lit(0).alias("kept"), F.lit(True).alias("bad")))
+    per_key = keys.groupBy("order_item_id").agg(F.sum("kept").alias("n"), F.bool_or("bad").alias("bad"))
+    n, known = F.col("n"), F.col("order_item_id").isNotNull()
+    rows = F.coalesce(F.sum(n), F.lit(0))
+    return chosen(per_key, "silver.order_items_clean", want, {
+        "rows": rows,
+        "extra_rows": rows - F.count_if(known & (n > 0)),
+        "leaked": F.coalesce(F.sum(F.when(known & F.col("bad"), n)), F.lit(0)),
+    })
 
 
 def raw_items_pass(lay, want: set[str]) -> DataFrame:
