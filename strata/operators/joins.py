@@ -43,11 +43,13 @@ def salt_hot_keys(
     fraction: float,
     buckets: int,
     hot: DataFrame | None = None,
+    spread: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Spread each hot key over ``buckets`` join partitions.
 
-    A hot fact row gets a salt from a hash of the whole row (deterministic, so
-    a recomputed task puts every row in the same bucket again); the versions of
+    A hot fact row gets a salt from a hash of the whole row, or of its columns
+    ``spread`` (deterministic, so a recomputed task puts every row in the same
+    bucket again); the versions of
     a hot key are copied once per bucket; every other key keeps salt 0 and a
     single copy.  Only the versions of at most ``1 / fraction`` keys are
     replicated.
@@ -56,7 +58,7 @@ def salt_hot_keys(
         raise ValueError(f"a share of the rows must be above 0 and at most 1, not {fraction}")
     if hot is None:
         hot = F.broadcast(hot_keys(facts, fact_key, fraction))  # at most 1 / fraction rows
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in spread or facts.columns])
     f = facts.join(hot, facts[fact_key] == hot["_hot_key"], "left").select(
         *[facts[f"`{c}`"] for c in facts.columns],
         F.when(F.col("_hot_key").isNotNull(), F.pmod(row_hash, F.lit(buckets)))
@@ -87,6 +89,7 @@ def point_in_time_join(
     skew_fraction: float | None = None,
     salt_buckets: int = 32,
     hot: DataFrame | None = None,
+    spread: list[str] | None = None,
 ) -> DataFrame:
     """As-of join on ``key = key AND start <= ts < end``.
 
@@ -102,9 +105,11 @@ def point_in_time_join(
     works whatever the shape of the inputs.  ``hot`` may pass keys counted on a
     cheaper upstream column; a key more or less there changes the plan, never
     the rows.  Facts without a key are spread (see :func:`spread_null_keys`).
-    ``versions`` must carry distinct column names.
+    ``spread`` names the columns that tell the facts apart: with their own key
+    the salt does not hold the other columns in the plan of a query that needs
+    none of them.  ``versions`` must carry distinct column names.
     """
-    f, v = spread_null_keys(facts, versions, fact_key, version_key, skew_fraction, salt_buckets, hot)
+    f, v = spread_null_keys(facts, versions, fact_key, version_key, skew_fraction, salt_buckets, hot, spread)
     cond = (f[fact_key] == v[version_key]) & (f[SALT] == v["_v_salt"]) & (f[fact_ts] >= v[start]) & (f[fact_ts] < v[end])
     return f.join(v, cond, how).drop(SALT, "_v_salt")
 
@@ -113,22 +118,23 @@ NULL_SPREAD = 4096  # join partitions that rows without a key are dealt to, at m
 
 
 def spread_null_keys(
-    facts: DataFrame, other: DataFrame, fact_key: str, other_key: str, skew_fraction: float | None, salt_buckets: int, hot: DataFrame | None
+    facts: DataFrame, other: DataFrame, fact_key: str, other_key: str, skew_fraction: float | None, salt_buckets: int,
+    hot: DataFrame | None, spread: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Both sides of a join with a salt as a second key.
 
     A NULL key matches nothing, yet a left join keeps the row, and rows that
     are dealt by that key alone all go to one task.  Such a row gets a negative
-    salt from a hash of itself, which no row of the other side has: the rows
+    salt from a hash of itself (or of its columns ``spread``), which no row of the other side has: the rows
     are spread, in the one plan and the one shuffle of all the others.  Every
     other row has salt 0, or that of its hot key (:func:`salt_hot_keys`).
     """
     if skew_fraction:
-        f, v = salt_hot_keys(facts, other, fact_key, other_key, skew_fraction, salt_buckets, hot)
+        f, v = salt_hot_keys(facts, other, fact_key, other_key, skew_fraction, salt_buckets, hot, spread)
     else:
         # zero on the other side as well, but not a constant, which the optimizer would take out of the join's keys
         f, v = facts.withColumn(SALT, F.lit(0).cast("bigint")), other.withColumn("_v_salt", F.pmod(F.xxhash64(other_key), F.lit(1)).cast("bigint"))
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in spread or facts.columns])
     salt = F.when(F.col(f"`{fact_key}`").isNull(), -1 - F.pmod(row_hash, F.lit(NULL_SPREAD))).otherwise(F.col(SALT))
     return f.withColumn(SALT, salt), v
 
@@ -142,6 +148,7 @@ def lookup_join(
     skew_fraction: float | None = None,
     salt_buckets: int = 32,
     hot: DataFrame | None = None,
+    spread: list[str] | None = None,
 ) -> DataFrame:
     """Equi lookup of a Type-1 dimension (one row per key on the dim side).
 
@@ -150,9 +157,9 @@ def lookup_join(
     least that share of the facts are salted as in the point-in-time join.
     ``hot`` may pass precomputed hot keys (column ``_hot_key``), e.g. counted
     on a cheaper upstream column with the same distribution.  Facts without a
-    key are spread (see :func:`spread_null_keys`).
+    key are spread (see :func:`spread_null_keys`), by a hash of ``spread``.
     """
-    f, d = spread_null_keys(facts, dim, fact_key, dim_key, skew_fraction, salt_buckets, hot)
+    f, d = spread_null_keys(facts, dim, fact_key, dim_key, skew_fraction, salt_buckets, hot, spread)
     return f.join(d, (f[fact_key] == d[dim_key]) & (f[SALT] == d["_v_salt"]), how).drop(SALT, "_v_salt")
 
 

@@ -100,7 +100,8 @@ SKEW_FRACTION = 0.01
 
 
 def resolve_customer_version(
-    orders: DataFrame, dim_cust: DataFrame, skew_fraction: float | None = SKEW_FRACTION, hot: DataFrame | None = None
+    orders: DataFrame, dim_cust: DataFrame, skew_fraction: float | None = SKEW_FRACTION, hot: DataFrame | None = None,
+    spread: list[str] | None = None,
 ) -> DataFrame:
     """J3 applied to order headers: the customer version in effect at order time.
 
@@ -116,7 +117,7 @@ def resolve_customer_version(
     )
     return point_in_time_join(
         orders, versions, "customer_id", "_c_id", "order_timestamp", "_c_start", "_c_end",
-        skew_fraction=skew_fraction, hot=hot,
+        skew_fraction=skew_fraction, hot=hot, spread=spread,
     ).drop("_c_id", "_c_start", "_c_end")
 
 
@@ -148,7 +149,7 @@ def fct_sales(
     else:
         i_cols.append("warehouse_id")
     headers = resolve_customer_version(
-        orders.select(*o_cols).withColumnRenamed("order_id", "_o_id"), dim_cust, hot=hot_customers
+        orders.select(*o_cols).withColumnRenamed("order_id", "_o_id"), dim_cust, hot=hot_customers, spread=["_o_id"]
     )
     items = order_items.select(*i_cols)
     lines = items.join(headers, F.col("order_id") == F.col("_o_id"), "inner")
@@ -159,12 +160,12 @@ def fct_sales(
     f = lookup_skew_fraction
     joined = lookup_join(
         lines, prod, "product_id", "_p_id", skew_fraction=f,
-        hot=hot_keys(items, "product_id", f) if f else None,
+        hot=hot_keys(items, "product_id", f) if f else None, spread=["order_item_id"],
     )
     wh_source = headers if warehouse_from == "orders" else items
     joined = lookup_join(
         joined, wh, "warehouse_id", "_w_id", skew_fraction=f,
-        hot=hot_keys(wh_source, "warehouse_id", f) if f else None,
+        hot=hot_keys(wh_source, "warehouse_id", f) if f else None, spread=["order_item_id"],
     )
     return joined.select(
         "order_item_id",
@@ -191,10 +192,10 @@ def fct_inventory_movements(
     wh = dim_wh.select(F.col("warehouse_id").alias("_w_id"), "warehouse_sk")
     prod = dim_prod.select(F.col("product_id").alias("_p_id"), "product_sk")
     f = lookup_skew_fraction
-    joined = lookup_join(events, wh, "warehouse_id", "_w_id", skew_fraction=f)
+    joined = lookup_join(events, wh, "warehouse_id", "_w_id", skew_fraction=f, spread=["event_id"])
     joined = lookup_join(
         joined, prod, "product_id", "_p_id", skew_fraction=f,
-        hot=hot_keys(events, "product_id", f) if f else None,
+        hot=hot_keys(events, "product_id", f) if f else None, spread=["event_id"],
     )
     return joined.select(
         "event_id",
